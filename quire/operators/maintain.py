@@ -14,7 +14,7 @@ from quire.functions.catalogue import commit_log
 from quire.operators.publish import publish
 from quire.plans import visibility
 from quire.sources import filesystem as fsys
-from quire.sources.catalogue_log import LOG_SCHEMA, log_files
+from quire.sources.catalogue_log import LOG_SCHEMA, TIMESTAMP_FORMAT, log_files
 from quire.sources.datasets import dataset_state, read_commits
 from quire.sources.listing import norm, per_root
 
@@ -138,11 +138,12 @@ def compact_catalogue(ctx: Context, files: int = 1) -> dict:
         return {"merged_files": 0, "folder": None}
     merged = f"{ctx.log_dir}/merged-{uuid.uuid4().hex}"
     (
-        spark.read.schema(LOG_SCHEMA).parquet(*paths)
+        spark.read.schema(LOG_SCHEMA).option("timestampFormat", TIMESTAMP_FORMAT).json(paths)
         .dropDuplicates(["kind", "entry_id"])
         .coalesce(max(1, files))
         .write.mode("errorifexists")
-        .parquet(merged)
+        .option("timestampFormat", TIMESTAMP_FORMAT)
+        .json(merged)
     )
     folders = sorted({p.rsplit("/", 1)[0] for p in paths})
     for f in folders:

@@ -1,4 +1,4 @@
-"""The catalogue as Parquet entries written by Spark.
+"""The catalogue as a log of small JSON entries, read with Spark.
 
 Every publish writes exactly one entry folder, after its data. An entry row holds
 the commit, the dataset attributes at that commit, the schema and the declared
@@ -10,8 +10,10 @@ half-registered publish. The public tables ``datasets``, ``commits``,
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
@@ -73,42 +75,66 @@ def entry(**values) -> tuple:
     return tuple(values.get(f) for f in LOG_FIELDS)
 
 
+TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def _jsonable(v):
+    if isinstance(v, datetime):
+        return v.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    if isinstance(v, dict):
+        return {str(k): _jsonable(x) for k, x in v.items()}
+    if isinstance(v, (list, tuple)):
+        return [_jsonable(x) for x in v]
+    return v
+
+
+def _record(row: tuple) -> dict:
+    rec = dict(zip(LOG_FIELDS, row))
+    if rec.get("columns") is not None:
+        names = COLUMN_TYPE.fieldNames()
+        rec["columns"] = [dict(zip(names, c)) if isinstance(c, (list, tuple)) else c for c in rec["columns"]]
+    return {k: _jsonable(v) for k, v in rec.items() if v is not None}
+
+
 def write_entries(ctx: Context, rows: Sequence[tuple], folder_id: str | None = None) -> str:
-    """Write log rows as one file in a new folder; returns the folder.
+    """Write log rows as one JSON-lines file in a new folder; returns the folder.
 
-    The folder name is unique per write (T4: one folder per writer never
-    conflicts); the file appears at job commit, which is the commit point.
+    The file is metadata only (one row per commit), written by the driver the
+    way table formats write their commit logs: under a hidden name, then
+    renamed, so it appears whole. Its appearance is the commit point. One
+    folder per write, so concurrent writers never conflict (T4).
     """
     folder = f"{ctx.log_dir}/{folder_id or uuid.uuid4().hex}"
-    (
-        ctx.spark.createDataFrame(list(rows), LOG_SCHEMA)
-        .coalesce(1)
-        .write.mode("overwrite")
-        .parquet(folder)
-    )
+    text = "\n".join(json.dumps(_record(r), separators=(",", ":")) for r in rows) + "\n"
+    fsys.write_text_atomic(ctx.spark, f"{folder}/entry.json", text)
     return folder
 
 
+def _reader(ctx: Context):
+    return (
+        ctx.spark.read.schema(LOG_SCHEMA)
+        .option("recursiveFileLookup", "true")
+        .option("timestampFormat", TIMESTAMP_FORMAT)
+        .option("mode", "FAILFAST")
+    )
+
+
+def raw_log(ctx: Context) -> DataFrame:
+    """Log rows as stored; an entry may appear twice while a merge runs."""
+    if not fsys.exists(ctx.spark, ctx.log_dir):
+        return ctx.spark.createDataFrame([], LOG_SCHEMA)
+    return _reader(ctx).json(ctx.log_dir)
+
+
 def read_log(ctx: Context) -> DataFrame:
     """All log rows. Duplicates left by a catalogue merge in progress are dropped."""
     if not fsys.exists(ctx.spark, ctx.log_dir):
         return ctx.spark.createDataFrame([], LOG_SCHEMA)
-    raw = (
-        ctx.spark.read.schema(LOG_SCHEMA)
-        .option("recursiveFileLookup", "true")
-        .parquet(ctx.log_dir)
-    )
-    return raw.dropDuplicates(["kind", "entry_id"])
+    return _reader(ctx).json(ctx.log_dir).dropDuplicates(["kind", "entry_id"])
 
 
 def log_files(ctx: Context) -> DataFrame:
     """(path) of every visible log file, for catalogue maintenance."""
     if not fsys.exists(ctx.spark, ctx.log_dir):
         return ctx.spark.createDataFrame([], "path string")
-    return (
-        ctx.spark.read.schema(LOG_SCHEMA)
-        .option("recursiveFileLookup", "true")
-        .parquet(ctx.log_dir)
-        .select(F.col("_metadata.file_path").alias("path"))
-        .distinct()
-    )
+    return _reader(ctx).json(ctx.log_dir).select(F.col("_metadata.file_path").alias("path")).distinct()

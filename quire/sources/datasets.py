@@ -5,13 +5,13 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quire.context import Context
 from quire.errors import DatasetNotFoundError
 from quire.plans import visibility
-from quire.sources.catalogue_log import read_log
+from quire.sources.catalogue_log import raw_log
 
 ATTRS = [
     "name", "description", "schema_id", "schema_json", "folder", "format",
@@ -54,25 +54,28 @@ class DatasetState:
 def dataset_state(ctx: Context, dataset_id: str, version: int | None = None) -> DatasetState | None:
     """Live commits of one dataset (as of ``version``) and its last attributes.
 
-    Only the live commit ids and one row of attributes reach the driver: this is
-    the commit list a reader needs to name its folders.
+    One scan of the log filtered on ``dataset_id`` and one window pass keyed by
+    it: ``dense_rank`` gives versions (entries duplicated by a catalogue merge
+    share a rank), and the last reset and last version come from the same
+    window partitioning, so there is a single shuffle. Only the live commit ids
+    and one row of attributes reach the driver: the folder list a reader needs.
     """
-    c = read_log(ctx).filter(
-        (F.col("kind") == "commit") & (F.col("dataset_id") == dataset_id)
-    )
-    c = visibility.with_versions(c)
+    c = raw_log(ctx).filter((F.col("kind") == "commit") & (F.col("dataset_id") == dataset_id))
+    ordered = Window.partitionBy("dataset_id").orderBy("committed_at", "commit_id")
+    c = c.withColumn("version", F.dense_rank().over(ordered))
     if version is not None:
         c = c.filter(F.col("version") <= int(version))
-    w_all = F.max("version").over(_whole(c))
-    c = c.withColumn("_max_version", w_all)
-    live_ids = visibility.live(c).select("commit_id", F.lit(True).alias("_live"))
+    whole = Window.partitionBy("dataset_id")
+    c = c.withColumn(
+        "_reset", F.max(F.when(F.col("mode").isin(*visibility.RESETS), F.col("version"))).over(whole)
+    ).withColumn("_max_version", F.max("version").over(whole))
+    is_live = (F.col("version") >= F.col("_reset")) & (F.col("mode") != "delete")
     last = F.col("version") == F.col("_max_version")
     rows = (
-        c.join(live_ids, "commit_id", "left")
-        .filter(F.col("_live").isNotNull() | last)
+        c.filter(is_live | last)
         .select(
             "commit_id", "mode", "version", "replace_where", "_max_version",
-            F.col("_live").isNotNull().alias("_is_live"),
+            is_live.alias("_is_live"),
             last.alias("_is_last"),
             *[F.when(last, F.col(a)).alias(a) for a in ATTRS],
         )
@@ -80,7 +83,8 @@ def dataset_state(ctx: Context, dataset_id: str, version: int | None = None) ->
     )
     if not rows:
         return None
-    rows.sort(key=lambda r: r["version"])
+    uniq = {r["commit_id"]: r for r in rows}
+    rows = sorted(uniq.values(), key=lambda r: r["version"])
     last_row = next(r for r in rows if r["_is_last"])
     return DatasetState(
         dataset_id=dataset_id,
@@ -96,14 +100,6 @@ def dataset_state(ctx: Context, dataset_id: str, version: int | None = None) ->
     )
 
 
-def _whole(df: DataFrame):
-    from pyspark.sql import Window
-
-    return Window.partitionBy("dataset_id").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-
-
 def segments(live: list[LiveCommit]) -> list[tuple[list[str], list[str]]]:
     """Split live commits at replace commits.
 

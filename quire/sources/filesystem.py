@@ -65,3 +65,20 @@ def glob(spark: SparkSession, pattern: str) -> list[Entry]:
         Entry(s.getPath().toString(), bool(s.isDirectory()), int(s.getModificationTime()), int(s.getLen()))
         for s in st
     ]
+
+
+def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small metadata file so it appears complete or not at all: a
+    hidden temporary name in the same folder, then a rename. Fails if ``path``
+    exists already."""
+    jvm = _jvm(spark)
+    fs, final = _fs(spark, path)
+    tmp = jvm.org.apache.hadoop.fs.Path(final.getParent(), f"_tmp-{final.getName()}")
+    out = fs.create(tmp, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if not fs.rename(tmp, final):
+        fs.delete(tmp, False)
+        raise OSError(f"could not publish {path}")
