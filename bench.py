@@ -112,19 +112,22 @@ def main():
     q["w3_read_by_id_100_commits"] = median_time(lambda: scan_action(read_dataset(ctx, first)))
     n_commits = len(slices)
 
-    # W14: catalogue listing at 10, 100, 1000 datasets (entries written in batches of 10)
+    # W14: catalogue listing as one catalogue grows to 10, 100, 1000 datasets
+    # (each batch of 100 publishes registers with one entry file)
+    cctx = Context.scratch(spark, "bench-cat")
+    have = 0
     for n in (10, 100, 1000):
-        cctx = Context.scratch(spark, f"bench-cat{n}")
-        for i in range(0, n, 10):
+        while have < n:
+            step = min(100, n - have)
             publish_many(
                 cctx,
-                [{"df": nation, "name": f"nation_{i + j}", "description": "nations"} for j in range(10)],
-                parallelism=CPUS,
+                [{"df": nation, "name": f"nation_{have + j}", "description": "nations"} for j in range(step)],
+                parallelism=2 * CPUS,
             ).collect()
+            have += step
         q[f"w14_list_catalogue_{n}"] = median_time(lambda: catalogue_datasets(cctx).collect())
-        if n == 1000:
-            compact_catalogue(cctx)
-            q["w14_list_catalogue_1000_merged"] = median_time(lambda: catalogue_datasets(cctx).collect())
+    compact_catalogue(cctx)
+    q["w14_list_catalogue_1000_merged"] = median_time(lambda: catalogue_datasets(cctx).collect())
 
     # W15: sweep with 1000 orphan folders (a tenth of them with files)
     sctx = Context.scratch(spark, "bench-sweep")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quire.context import Context
 from quire.plans import visibility
-from quire.sources.catalogue_log import read_log
+from quire.sources.catalogue_log import raw_log, read_log  # noqa: F401
 
 DATASET_ATTRS = [
     "mode",
@@ -30,12 +30,27 @@ DATASET_ATTRS = [
 ]
 
 
+COMMIT_FACTS = [
+    "dataset_id", "commit_id", "mode", "schema_id", "n_rows", "n_removed",
+    "replace_where", "committed_at",
+]
+
+
 def commit_log(ctx: Context) -> DataFrame:
-    return read_log(ctx).filter(F.col("kind") == "commit")
+    """Commit entries as stored: an entry may appear twice while a catalogue
+    merge is under way, so callers either use duplicate-proof aggregates
+    (``max``, ``max_by``, ``min``) or :func:`commit_facts`."""
+    return raw_log(ctx).filter(F.col("kind") == "commit")
+
+
+def commit_facts(ctx: Context) -> DataFrame:
+    """One row per commit, narrow columns only. Duplicated entries are exact
+    copies, so ``distinct`` removes them with a hash aggregate."""
+    return commit_log(ctx).select(*COMMIT_FACTS).distinct()
 
 
 def commits(ctx: Context) -> DataFrame:
-    return commit_log(ctx).select(
+    return commit_facts(ctx).select(
         "dataset_id", "commit_id", "mode", "schema_id", "n_rows", "committed_at"
     )
 
@@ -45,10 +60,7 @@ def history(ctx: Context, dataset_id: str | None = None) -> DataFrame:
     c = commit_log(ctx)
     if dataset_id is not None:
         c = c.filter(F.col("dataset_id") == dataset_id)
-    c = c.select(
-        "dataset_id", "commit_id", "mode", "schema_id", "n_rows", "n_removed",
-        "replace_where", "committed_at",
-    )
+    c = c.select(*COMMIT_FACTS).distinct()
     live_ids = visibility.live(c).select("commit_id", F.lit(True).alias("live"))
     return (
         visibility.with_versions(c)
@@ -69,17 +81,19 @@ def datasets(ctx: Context) -> DataFrame:
 
 def schemas(ctx: Context) -> DataFrame:
     return (
-        read_log(ctx)
+        raw_log(ctx)
         .filter(F.col("schema_id").isNotNull())
         .select("schema_id", F.explode("columns").alias("c"))
         .select("schema_id", "c.*")
-        .dropDuplicates(["schema_id", "ordinal"])
+        .distinct()
     )
 
 
 def lineage(ctx: Context) -> DataFrame:
-    return commit_log(ctx).select(
-        "dataset_id", "commit_id", F.explode("inputs").alias("input_dataset_id")
+    return (
+        commit_log(ctx)
+        .select("dataset_id", "commit_id", F.explode("inputs").alias("input_dataset_id"))
+        .distinct()
     )
 
 
@@ -92,9 +106,29 @@ def tags(ctx: Context) -> DataFrame:
 
 
 def catalogue_datasets(ctx: Context) -> DataFrame:
-    """Datasets with row counts taken from the commit entries, not the data."""
-    counts = (
-        visibility.live(commit_log(ctx))
+    """Datasets with row counts taken from the commit entries, not the data.
+
+    One partial aggregate per dataset gives its last attributes and its reset
+    point; the commit facts (one row per commit) are joined to it, filtered to
+    live commits and summed per dataset, again with a partial aggregate. No
+    shuffle is keyed by a dataset alone before a map-side combine.
+    """
+    key = visibility.order_key()
+    packed = F.struct(*[F.col(a) for a in DATASET_ATTRS])
+    per_ds = (
+        commit_log(ctx)
+        .groupBy("dataset_id")
+        .agg(
+            F.max_by(packed, key).alias("_last"),
+            F.min("committed_at").alias("created_at"),
+            F.max(F.when(F.col("mode").isin(*visibility.RESETS), key)).alias("_reset_key"),
+        )
+        .filter(F.col("_last.mode") != "delete")
+    )
+    sums = (
+        commit_facts(ctx)
+        .join(per_ds.select("dataset_id", "_reset_key"), "dataset_id")
+        .filter((key >= F.col("_reset_key")) & (F.col("mode") != "delete"))
         .groupBy("dataset_id")
         .agg(
             F.sum(F.col("n_rows") - F.coalesce("n_removed", F.lit(0))).alias("n_rows"),
@@ -102,10 +136,10 @@ def catalogue_datasets(ctx: Context) -> DataFrame:
             F.max("committed_at").alias("last_commit_at"),
         )
     )
-    return datasets(ctx).join(counts, "dataset_id").select(
+    return per_ds.join(sums, "dataset_id").select(
         "dataset_id",
-        F.col("name").alias("dataset_name"),
-        "description",
+        F.col("_last.name").alias("dataset_name"),
+        F.col("_last.description").alias("description"),
         "n_rows",
         "n_live_commits",
         "created_at",

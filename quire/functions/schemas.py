@@ -10,7 +10,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructT
 
 from quire.context import Context
 from quire.errors import SchemaMismatchError
-from quire.sources.catalogue_log import entry, read_log, write_entries
+from quire.sources.catalogue_log import entry, raw_log, write_entries
 
 SCHEMA_NAMESPACE = uuid.UUID("6f1c1f7e-3d55-4c8e-9a53-0c1b2d4e5f60")
 
@@ -85,7 +85,7 @@ def register_schema(ctx: Context, schema: StructType | str, schema_id: str | Non
 
 def lookup_schema(ctx: Context, schema_id: str) -> StructType:
     rows = (
-        read_log(ctx)
+        raw_log(ctx)
         .filter((F.col("schema_id") == str(schema_id)) & F.col("schema_json").isNotNull())
         .select("schema_json")
         .limit(1)

@@ -56,7 +56,7 @@ def sweep_orphans(ctx: Context, older_than, dry_run: bool = True) -> DataFrame:
     folders = spark.createDataFrame(rows, "folder string, dataset_id string, commit_id string, modified timestamp")
 
     c = commit_log(ctx).select("dataset_id", "commit_id", "committed_at", "mode")
-    known = c.select("commit_id")
+    known = c.select("commit_id").distinct()
     dead = (
         visibility.latest(c, ["mode"]).filter(F.col("mode") == "delete").select("dataset_id")
     )

@@ -38,7 +38,7 @@ from quire.functions.schemas import (
     schema_id_of,
 )
 from quire.sources import filesystem as fsys
-from quire.sources.catalogue_log import entry, read_log, write_entries
+from quire.sources.catalogue_log import entry, raw_log, write_entries
 from quire.sources.datasets import DatasetState, dataset_state, read_commits
 
 log = logging.getLogger(__name__)
@@ -115,9 +115,10 @@ def inputs_from_files(ctx: Context, df: DataFrame) -> list[str]:
 def committed_outcome(ctx: Context, commit_id: str) -> dict | None:
     """The stored outcome of a commit id that already has an entry (replays)."""
     rows = (
-        read_log(ctx)
+        raw_log(ctx)
         .filter((F.col("kind") == "commit") & (F.col("entry_id") == commit_id))
         .select("dataset_id", "commit_id", "mode", "n_rows", "schema_id")
+        .limit(1)
         .collect()
     )
     if not rows:

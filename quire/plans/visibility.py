@@ -22,14 +22,17 @@ def order_key() -> F.Column:
 
 
 def with_versions(commits: DataFrame) -> DataFrame:
-    """Adds ``version``: 1-based position of each commit in its dataset."""
+    """Adds ``version``: 1-based position of each commit in its dataset
+    (``dense_rank``, so a duplicated entry does not shift later versions)."""
     w = Window.partitionBy("dataset_id").orderBy("committed_at", "commit_id")
-    return commits.withColumn("version", F.row_number().over(w))
+    return commits.withColumn("version", F.dense_rank().over(w))
 
 
 def live(commits: DataFrame) -> DataFrame:
     """Live rows of ``commits`` (any columns, needs dataset_id, commit_id,
-    committed_at, mode)."""
+    committed_at, mode). The reset point per dataset is a small aggregate;
+    AQE broadcasts it when its runtime size allows, else shuffles both sides
+    (and splits a skewed dataset partition)."""
     resets = (
         commits.filter(F.col("mode").isin(*RESETS))
         .groupBy("dataset_id")
@@ -44,15 +47,15 @@ def live(commits: DataFrame) -> DataFrame:
 
 
 def latest(commits: DataFrame, attrs: list[str]) -> DataFrame:
-    """One row per dataset: ``attrs`` of its last commit, its first commit time
-    and the number of commits. ``max_by`` aggregates partially per map task."""
+    """One row per dataset: ``attrs`` of its last commit and its first commit
+    time. ``max_by``/``min`` aggregate partially per map task and do not mind
+    duplicated entries."""
     packed = F.struct(*[F.col(a) for a in attrs])
     return (
         commits.groupBy("dataset_id")
         .agg(
             F.max_by(packed, order_key()).alias("_last"),
             F.min("committed_at").alias("created_at"),
-            F.count(F.lit(1)).alias("n_versions"),
         )
-        .select("dataset_id", "created_at", "n_versions", "_last.*")
+        .select("dataset_id", "created_at", "_last.*")
     )
