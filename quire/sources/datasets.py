@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import logging
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -13,6 +15,8 @@ from quire.errors import DatasetNotFoundError
 from quire.plans import visibility
 from quire.sources.catalogue_log import raw_log
 
+log = logging.getLogger(__name__)
+
 ATTRS = [
     "name", "description", "schema_id", "schema_json", "folder", "format",
     "partition_by", "tags",
@@ -51,7 +55,9 @@ class DatasetState:
         return list(self.attrs.get("partition_by") or [])
 
 
-def dataset_state(ctx: Context, dataset_id: str, version: int | None = None) -> DatasetState | None:
+def dataset_state(
+    ctx: Context, dataset_id: str, version: int | None = None, as_of=None
+) -> DatasetState | None:
     """Live commits of one dataset (as of ``version``) and its last attributes.
 
     One scan of the log filtered on ``dataset_id`` and one window pass keyed by
@@ -65,6 +71,8 @@ def dataset_state(ctx: Context, dataset_id: str, version: int | None = None) ->
     c = c.withColumn("version", F.dense_rank().over(ordered))
     if version is not None:
         c = c.filter(F.col("version") <= int(version))
+    if as_of is not None:
+        c = c.filter(F.col("committed_at") <= F.lit(_utc(as_of)))
     whole = Window.partitionBy("dataset_id")
     c = c.withColumn(
         "_reset", F.max(F.when(F.col("mode").isin(*visibility.RESETS), F.col("version"))).over(whole)
@@ -174,12 +182,33 @@ def read_commits(
     return out
 
 
-def read_dataset(ctx: Context, dataset_id: str, version: int | None = None, **options) -> DataFrame:
-    """Dataset by id, as of ``version`` (1-based commit number) when given."""
+# Above this many live commits a read names very many folders; compaction
+# (``compact_dataset``) folds them into one commit.
+MANY_COMMITS = 1000
+
+
+def _utc(ts):
+    if isinstance(ts, str):
+        ts = datetime.fromisoformat(ts)
+    if not isinstance(ts, datetime):
+        raise TypeError("as_of must be a datetime or an ISO-8601 string")
+    return ts if ts.tzinfo else ts.replace(tzinfo=timezone.utc)
+
+
+def read_dataset(
+    ctx: Context, dataset_id: str, version: int | None = None, as_of=None, **options
+) -> DataFrame:
+    """Dataset by id; as of ``version`` (1-based commit number) or of the
+    instant ``as_of`` (datetime or ISO string, UTC when naive) when given."""
     if not isinstance(dataset_id, str) or not dataset_id:
         raise TypeError("dataset_id must be a non-empty string")
-    st = dataset_state(ctx, dataset_id, version)
+    if version is not None and (not isinstance(version, int) or version < 1):
+        raise ValueError("version must be a positive int")
+    st = dataset_state(ctx, dataset_id, version, as_of)
     if st is None or not st.exists:
         what = f"version {version} of " if version is not None else ""
-        raise DatasetNotFoundError(f"no live {what}dataset {dataset_id}")
+        what += f"dataset as of {as_of} " if as_of is not None else "dataset "
+        raise DatasetNotFoundError(f"no live {what}{dataset_id}")
+    if len(st.live) > MANY_COMMITS:
+        log.warning("dataset %s has %d live commits; compact_dataset would fold them", dataset_id, len(st.live))
     return read_commits(ctx, dataset_id, st.live, st.schema, st.attrs["format"] or ctx.format, **options)

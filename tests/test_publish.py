@@ -241,3 +241,21 @@ def test_rows_observed_in_same_pass(ctx, tables):
     assert out["n_rows"] == tables("orders").count()
     parts = files_under(ctx, [ctx.processed_dir(out["dataset_id"])]).count()
     assert parts >= 3
+
+
+def test_read_as_of_time(ctx, spark):
+    import time
+    from datetime import datetime, timezone
+
+    ds = publish(ctx, spark.createDataFrame([(1,)], ["x"]), "t", "d")["dataset_id"]
+    time.sleep(0.05)
+    mid = datetime.now(timezone.utc)
+    time.sleep(0.05)
+    publish(ctx, spark.createDataFrame([(2,)], ["x"]), "t", "d", dataset_id=ds, mode="append")
+    assert rows(read_dataset(ctx, ds, as_of=mid)) == [(1,)]
+    assert rows(read_dataset(ctx, ds, as_of=mid.isoformat())) == [(1,)]
+    assert rows(read_dataset(ctx, ds)) == [(1,), (2,)]
+    with pytest.raises(DatasetNotFoundError):
+        read_dataset(ctx, ds, as_of="2000-01-01T00:00:00")
+    with pytest.raises(ValueError):
+        read_dataset(ctx, ds, version=0)
