@@ -40,10 +40,11 @@ def files_under(ctx: Context, roots: Sequence[str]) -> DataFrame:
 
 
 def ancestors(path_col: F.Column) -> F.Column:
-    """Array of every ancestor folder of a normalised absolute path."""
+    """Array of every ancestor folder of a normalised absolute path, and the
+    path itself (so a root that is a file matches its own listing row)."""
     parts = F.split(path_col, "/")
     return F.transform(
-        F.sequence(F.lit(2), F.size(parts) - 1),
+        F.sequence(F.lit(2), F.size(parts)),
         lambda i: F.array_join(F.slice(parts, 1, i), "/"),
     )
 

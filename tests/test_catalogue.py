@@ -79,6 +79,9 @@ def test_exists_report(ctx, tables):
         (True, True), (True, True), (True, False), (False, False), (False, False)
     ]
     assert rep[empty]["exists"] and not rep[f"{ctx.base}/nope"]["exists"]
+    one_file = [r["path"] for r in ctx.spark.read.format("binaryFile").load(raw).select("path").collect()][0]
+    single = exists_report(ctx, [one_file]).collect()[0]
+    assert single["has_files"] and single["n_files"] == 1 and not single["is_dataset"]
     assert rep[raw]["n_files"] >= 1 and rep[raw]["bytes"] > 0
 
 
