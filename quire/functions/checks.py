@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
 
@@ -51,11 +52,16 @@ def check_dataset_id(dataset_id) -> str | None:
     raise TypeError("dataset_id must be a UUID")
 
 
+_COMMIT_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]{0,127}")
+
+
 def check_commit_id(commit_id) -> str | None:
+    """A commit id names a folder: letters, digits, ``.``, ``_``, ``-``, not
+    starting with a hidden-name character."""
     if commit_id is None:
         return None
-    if not isinstance(commit_id, str) or not commit_id or "/" in commit_id or "=" in commit_id:
-        raise TypeError("commit_id must be a non-empty string without '/' or '='")
+    if not isinstance(commit_id, str) or not _COMMIT_ID.fullmatch(commit_id):
+        raise TypeError("commit_id must be 1-128 of [A-Za-z0-9._-], starting with a letter or digit")
     return commit_id
 
 

@@ -99,3 +99,13 @@ def test_tag_normalisation():
     assert checks.normalise_tags({"a": "b", "c": ["d", "e"], 1: 2}) == {
         "a": ["b"], "c": ["d", "e"], "1": ["2"]
     }
+
+
+@pytest.mark.parametrize("cid", ["", "a/b", "k=v", "_hidden", ".dot", "x%20", 7])
+def test_bad_commit_ids(cid):
+    with pytest.raises(TypeError):
+        checks.check_commit_id(cid)
+
+
+def test_good_commit_ids():
+    assert checks.check_commit_id("batch-7.v2_x") == "batch-7.v2_x"
