@@ -11,6 +11,8 @@ from __future__ import annotations
 import logging
 import re
 import uuid
+from datetime import date, datetime
+from decimal import Decimal
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -167,6 +169,37 @@ def fit_append(frame: DataFrame, current: StructType, merge: bool) -> tuple[Data
     return frame.select(*cols), StructType(list(current.fields) + added)
 
 
+def sql_literal(v) -> str:
+    """A Python value from a Spark row as a Spark SQL literal."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, float) and (v != v or v in (float("inf"), float("-inf"))):
+        return f"CAST('{v}' AS DOUBLE)"
+    if isinstance(v, (int, float, Decimal)):
+        return repr(v) if not isinstance(v, Decimal) else f"{v}BD"
+    if isinstance(v, datetime):
+        kw = "TIMESTAMP_NTZ" if v.tzinfo is None else "TIMESTAMP"
+        return f"{kw} '{v.isoformat(sep=' ')}'"
+    if isinstance(v, date):
+        return f"DATE '{v.isoformat()}'"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    raise TypeError(f"cannot express partition value {v!r} as a literal")
+
+
+def partitions_predicate(parts: list[str], values: list) -> str:
+    """Null-safe SQL predicate matching exactly the given partition tuples."""
+    if not values:
+        return "FALSE"
+    terms = []
+    for row in values:
+        conj = " AND ".join(f"`{c}` <=> {sql_literal(row[c])}" for c in parts)
+        terms.append(f"({conj})")
+    return " OR ".join(terms)
+
+
 def guard_partition_values(frame: DataFrame, parts: list[str]) -> DataFrame:
     """An empty string would be stored as the null partition (T6): fail the
     write instead of changing the value."""
@@ -213,6 +246,7 @@ def prepare(
         raise TypeError("inputs must be a list of dataset ids or None")
     opts = checks.clean_options(options or {})
     merge = opts.pop("mergeSchema", "false") == "true"
+    dynamic = opts.pop("partitionOverwriteMode", "static").lower() == "dynamic"
     if mode == "append" and ds is None:
         raise ValueError("dataset_id is required for append")
     checks.check_columns(df, parts)
@@ -231,6 +265,8 @@ def prepare(
     if live and mode == "ignore":
         return {"dataset_id": ds, "commit_id": None, "accepted": False, "status": "ignored", "n_rows": 0}
     effective = "append" if (live and mode == "append") else "overwrite"
+    if dynamic and live and mode == "overwrite" and (parts or state.partition_by):
+        effective = "replace"
 
     frame = df
     try:
@@ -243,7 +279,7 @@ def prepare(
             schema, sid = target, str(schema_id)
         else:
             schema, sid = as_nullable(df.schema), None
-        if effective == "append":
+        if effective in ("append", "replace"):
             if not parts:
                 parts = state.partition_by
             elif parts != state.partition_by:
@@ -261,7 +297,7 @@ def prepare(
     except SchemaMismatchError as e:
         return failure(e, ds, cid)
 
-    return CommitPlan(
+    plan = CommitPlan(
         dataset_id=ds,
         commit_id=cid,
         mode=effective,
@@ -280,6 +316,28 @@ def prepare(
         options=opts,
         new_dataset=state is None,
     )
+    if effective == "replace":
+        dynamic_overwrite(ctx, plan, state)
+    return plan
+
+
+def dynamic_overwrite(ctx: Context, plan: CommitPlan, state: DatasetState) -> None:
+    """Spark's ``partitionOverwriteMode=dynamic`` as a replace commit: the
+    partition values written are collected by the write's own observation
+    (one pass) and become the replace predicate, so older commits lose exactly
+    those partitions, pruned at the scan."""
+    parts = plan.partition_by
+    fmt = state.attrs["format"] or ctx.format
+    plan.metrics.append(F.collect_set(F.struct(*[F.col(f"`{c}`") for c in parts])).alias("_written"))
+
+    def finish(values: dict) -> str | None:
+        written = values.get("_written") or []
+        plan.replace_where = partitions_predicate(parts, written)
+        old = read_commits(ctx, plan.dataset_id, state.live, state.schema, fmt)
+        plan.n_removed = old.filter(F.coalesce(F.expr(plan.replace_where), F.lit(False))).count()
+        return None
+
+    plan.checks.append(finish)
 
 
 def rollback(ctx: Context, plan: CommitPlan, err: QuireError, entry_folder: str | None = None) -> dict:

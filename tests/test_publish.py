@@ -259,3 +259,32 @@ def test_read_as_of_time(ctx, spark):
         read_dataset(ctx, ds, as_of="2000-01-01T00:00:00")
     with pytest.raises(ValueError):
         read_dataset(ctx, ds, version=0)
+
+
+def test_dynamic_partition_overwrite(ctx, spark):
+    first = spark.createDataFrame(
+        [("a", 1), ("a", 2), ("b", 3), (None, 4), ("it's", 5)], "k string, v int"
+    )
+    ds = publish(ctx, first, "dyn", "d", partition_by="k")["dataset_id"]
+    new = spark.createDataFrame([("a", 10), (None, 40), ("it's", 50)], "k string, v int")
+    out = publish(ctx, new, "dyn", "d", dataset_id=ds, mode="overwrite", partitionOverwriteMode="dynamic")
+    assert out["accepted"] and out["mode"] == "replace", out
+    assert rows(read_dataset(ctx, ds).fillna("<null>")) == [
+        ("<null>", 40), ("a", 10), ("b", 3), ("it's", 50)
+    ]
+    assert catalogue_datasets(ctx).collect()[0]["n_rows"] == 4
+    # static overwrite still replaces everything
+    publish(ctx, new, "dyn", "d", dataset_id=ds, mode="overwrite")
+    assert read_dataset(ctx, ds).count() == 3
+
+
+def test_sql_literals():
+    from datetime import date
+
+    from quire.operators.publish import partitions_predicate, sql_literal
+
+    assert sql_literal("a'b\\c") == "'a\\'b\\\\c'"
+    assert sql_literal(None) == "NULL" and sql_literal(True) == "TRUE"
+    assert sql_literal(date(2024, 1, 2)) == "DATE '2024-01-02'"
+    assert partitions_predicate(["k"], []) == "FALSE"
+    assert partitions_predicate(["k", "j"], [{"k": 1, "j": None}]) == "(`k` <=> 1 AND `j` <=> NULL)"
