@@ -37,7 +37,8 @@ class Context:
     Layout under ``base``::
 
         <base>/<dataset_id>/Processed/commit_id=<commit_id>/...   data
-        <base>/_catalogue/log/<entry_id>/part-*.parquet           catalogue entries
+        <base>/_catalogue/log/<entry_id>/entry.json               catalogue entries
+        <base>/_catalogue/merged/<generation>/part-*.parquet      merged entries
 
     ``hooks`` maps a step name (``"write"``, ``"register"``, ``"rollback"``) to a
     callable run just before that step; tests use it to inject failures.
@@ -74,6 +75,10 @@ class Context:
     def log_dir(self) -> str:
         return f"{self.catalogue_dir}/log"
 
+    @property
+    def merged_dir(self) -> str:
+        return f"{self.catalogue_dir}/merged"
+
     def dataset_root(self, dataset_id: str) -> str:
         return f"{self.base}/{dataset_id}"
 

@@ -129,25 +129,40 @@ def compact_dataset(ctx: Context, dataset_id: str, files: int | None = None, sal
     )
 
 
-def compact_catalogue(ctx: Context, files: int = 1) -> dict:
-    """Merge the one-file-per-publish catalogue entries into one folder, then
-    remove the merged folders. Readers drop the duplicates seen in between."""
+def compact_catalogue(ctx: Context, files: int | None = None) -> dict:
+    """Merge the one-file-per-publish JSON entries and earlier merged
+    generations into one new Parquet generation, then remove what was merged.
+
+    The generation is range-partitioned by ``(dataset_id, committed_at,
+    commit_id)`` (a dataset with most entries still spreads over several
+    tasks) and sorted within files, so lookups of one dataset prune by min/max
+    statistics. Entries written while the merge runs are not touched; readers
+    drop duplicates seen before the old folders are gone.
+    """
     spark = ctx.spark
-    paths = [r["path"] for r in log_files(ctx).collect()]
-    if not paths:
+    json_paths = [r["path"] for r in log_files(ctx).collect()]
+    old_gens = [e.path for e in fsys.glob(spark, f"{ctx.merged_dir}/*") if e.is_dir]
+    parts = []
+    if json_paths:
+        parts.append(
+            spark.read.schema(LOG_SCHEMA).option("timestampFormat", TIMESTAMP_FORMAT).json(json_paths)
+        )
+    if old_gens:
+        parts.append(spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(*old_gens))
+    if not parts:
         return {"merged_files": 0, "folder": None}
-    merged = f"{ctx.log_dir}/merged-{uuid.uuid4().hex}"
-    (
-        spark.read.schema(LOG_SCHEMA).option("timestampFormat", TIMESTAMP_FORMAT).json(paths)
-        .dropDuplicates(["kind", "entry_id"])
-        .coalesce(max(1, files))
-        .write.mode("errorifexists")
-        .option("timestampFormat", TIMESTAMP_FORMAT)
-        .json(merged)
-    )
-    folders = sorted({p.rsplit("/", 1)[0] for p in paths})
-    for f in folders:
-        if f.rstrip("/").endswith(merged.rsplit("/", 1)[1]):
-            continue
+    src = parts[0]
+    for p in parts[1:]:
+        src = src.unionByName(p)
+    keys = ["dataset_id", "committed_at", "commit_id"]
+    merged = src.dropDuplicates(["kind", "entry_id"])
+    merged = (
+        merged.repartitionByRange(files, *keys) if files else merged.repartitionByRange(*keys)
+    ).sortWithinPartitions(*keys)
+    gen = f"{ctx.merged_dir}/gen-{datetime.now(timezone.utc).strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    merged.write.mode("errorifexists").parquet(gen)
+    for f in sorted({p.rsplit("/", 1)[0] for p in json_paths}):
         fsys.delete(spark, f)
-    return {"merged_files": len(paths), "folder": merged}
+    for g in old_gens:
+        fsys.delete(spark, g)
+    return {"merged_files": len(json_paths), "merged_generations": len(old_gens), "folder": gen}

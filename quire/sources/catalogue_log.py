@@ -119,22 +119,44 @@ def _reader(ctx: Context):
     )
 
 
+def _merged(ctx: Context) -> DataFrame | None:
+    if not fsys.exists(ctx.spark, ctx.merged_dir):
+        return None
+    return (
+        ctx.spark.read.schema(LOG_SCHEMA)
+        .option("recursiveFileLookup", "true")
+        .parquet(ctx.merged_dir)
+    )
+
+
 def raw_log(ctx: Context) -> DataFrame:
-    """Log rows as stored; an entry may appear twice while a merge runs."""
-    if not fsys.exists(ctx.spark, ctx.log_dir):
+    """Log rows as stored: new JSON entries plus the merged Parquet
+    generations. An entry may appear twice while a merge runs.
+
+    Merged generations are range-partitioned and sorted by ``dataset_id``, so
+    a lookup of one dataset skips files and row groups by their statistics.
+    """
+    parts = []
+    if fsys.exists(ctx.spark, ctx.log_dir):
+        parts.append(_reader(ctx).json(ctx.log_dir))
+    merged = _merged(ctx)
+    if merged is not None:
+        parts.append(merged)
+    if not parts:
         return ctx.spark.createDataFrame([], LOG_SCHEMA)
-    return _reader(ctx).json(ctx.log_dir)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def read_log(ctx: Context) -> DataFrame:
-    """All log rows. Duplicates left by a catalogue merge in progress are dropped."""
-    if not fsys.exists(ctx.spark, ctx.log_dir):
-        return ctx.spark.createDataFrame([], LOG_SCHEMA)
-    return _reader(ctx).json(ctx.log_dir).dropDuplicates(["kind", "entry_id"])
+    """All log rows, each entry once."""
+    return raw_log(ctx).dropDuplicates(["kind", "entry_id"])
 
 
 def log_files(ctx: Context) -> DataFrame:
-    """(path) of every visible log file, for catalogue maintenance."""
+    """(path) of every visible JSON entry file (not yet merged)."""
     if not fsys.exists(ctx.spark, ctx.log_dir):
         return ctx.spark.createDataFrame([], "path string")
     return _reader(ctx).json(ctx.log_dir).select(F.col("_metadata.file_path").alias("path")).distinct()

@@ -156,9 +156,17 @@ def test_compaction(ctx, tables):
     assert read_dataset(ctx, ds).exceptAll(part).count() == 0
     n_before = log_files(ctx).count()
     assert compact_catalogue(ctx)["merged_files"] == n_before
-    assert log_files(ctx).count() == 1
+    assert log_files(ctx).count() == 0
     assert read_dataset(ctx, ds).count() == part.count()
     assert catalogue_datasets(ctx).count() == 1
+    # new entries after a merge, then a second merge folds the generation in
+    publish(ctx, part.limit(3), "part", "p", dataset_id=ds, mode="append")
+    assert read_dataset(ctx, ds).count() == part.count() + 3
+    second = compact_catalogue(ctx, files=2)
+    assert second["merged_files"] == 1 and second["merged_generations"] == 1
+    assert read_dataset(ctx, ds).count() == part.count() + 3
+    assert read_dataset(ctx, ds, version=1).count() == part.filter("p_size < 20").count()
+    assert catalogue_datasets(ctx).collect()[0]["n_rows"] == part.count() + 3
 
 
 def test_stream_commits_once_per_batch(ctx, spark, tables):
