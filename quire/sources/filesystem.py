@@ -61,10 +61,11 @@ def glob(spark: SparkSession, pattern: str) -> list[Entry]:
     st = fs.globStatus(p)
     if st is None:
         return []
-    return [
-        Entry(s.getPath().toString(), bool(s.isDirectory()), int(s.getModificationTime()), int(s.getLen()))
-        for s in st
-    ]
+    out = []
+    for s in st:
+        is_dir = bool(s.isDirectory())
+        out.append(Entry(s.getPath().toString(), is_dir, int(s.getModificationTime()), 0 if is_dir else int(s.getLen())))
+    return out
 
 
 def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:

@@ -288,3 +288,19 @@ def test_sql_literals():
     assert sql_literal(date(2024, 1, 2)) == "DATE '2024-01-02'"
     assert partitions_predicate(["k"], []) == "FALSE"
     assert partitions_predicate(["k", "j"], [{"k": 1, "j": None}]) == "(`k` <=> 1 AND `j` <=> NULL)"
+
+
+@pytest.mark.parametrize("step", ["write", "register"])
+def test_failure_injected_at_each_step_leaves_nothing(ctx, tables, step):
+    def boom(**_):
+        raise OSError(f"injected at {step}")
+
+    ctx.hooks[step] = boom
+    out = publish(ctx, tables("nation"), "nation", "nations")
+    assert not out["accepted"]
+    assert out["error_type"] == {"write": "PublishError", "register": "RegistrationError"}[step]
+    assert f"injected at {step}" in out["error"]
+    assert not fsys.exists(ctx.spark, ctx.dataset_root(out["dataset_id"]))
+    assert commits(ctx).count() == 0
+    ctx.hooks.clear()
+    assert publish(ctx, tables("nation"), "nation", "nations")["accepted"]
