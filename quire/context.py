@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import threading
-import time
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
@@ -101,7 +100,3 @@ class Context:
         fn = self.hooks.get(step)
         if fn is not None:
             fn(**info)
-
-
-def wall_seconds() -> float:
-    return time.time()
