@@ -41,7 +41,7 @@ from quire.functions.schemas import (
 )
 from quire.sources import filesystem as fsys
 from quire.sources.catalogue_log import entry, raw_log, write_entries
-from quire.sources.datasets import DatasetState, dataset_state, read_commits
+from quire.sources.datasets import DatasetState, dataset_state, read_commits, state_and_probe
 
 log = logging.getLogger(__name__)
 
@@ -251,13 +251,19 @@ def prepare(
         raise ValueError("dataset_id is required for append")
     checks.check_columns(df, parts)
 
-    if cid is not None:
+    state: DatasetState | None = None
+    if ds:
+        # one catalogue job: the dataset's state and, for a given commit id,
+        # whether that commit exists already (a replay)
+        state, prior = state_and_probe(ctx, ds, probe_commit=cid)
+        if prior is not None:
+            return prior
+    elif cid is not None:
         prior = committed_outcome(ctx, cid)
         if prior is not None:
             return prior
     cid = cid or str(uuid.uuid4())
 
-    state: DatasetState | None = dataset_state(ctx, ds) if ds else None
     live = state is not None and state.exists
     ds = ds or str(uuid.uuid4())
     if live and mode == "error":

@@ -58,6 +58,12 @@ class DatasetState:
 def dataset_state(
     ctx: Context, dataset_id: str, version: int | None = None, as_of=None
 ) -> DatasetState | None:
+    return state_and_probe(ctx, dataset_id, version, as_of)[0]
+
+
+def state_and_probe(
+    ctx: Context, dataset_id: str, version: int | None = None, as_of=None, probe_commit: str | None = None
+) -> tuple[DatasetState | None, dict | None]:
     """Live commits of one dataset (as of ``version``) and its last attributes.
 
     One scan of the log filtered on ``dataset_id`` and one window pass keyed by
@@ -66,7 +72,9 @@ def dataset_state(
     window partitioning, so there is a single shuffle. Only the live commit ids
     and one row of attributes reach the driver: the folder list a reader needs.
     """
-    c = raw_log(ctx).filter((F.col("kind") == "commit") & (F.col("dataset_id") == dataset_id))
+    mine = F.col("dataset_id") == dataset_id
+    probe = F.col("entry_id") == probe_commit if probe_commit else F.lit(False)
+    c = raw_log(ctx).filter((F.col("kind") == "commit") & (mine | probe))
     ordered = Window.partitionBy("dataset_id").orderBy("committed_at", "commit_id")
     c = c.withColumn("version", F.dense_rank().over(ordered))
     if version is not None:
@@ -80,17 +88,28 @@ def dataset_state(
     is_live = (F.col("version") >= F.col("_reset")) & (F.col("mode") != "delete")
     last = F.col("version") == F.col("_max_version")
     rows = (
-        c.filter(is_live | last)
+        c.filter(is_live | last | probe)
         .select(
-            "commit_id", "mode", "version", "replace_where", "_max_version",
+            "dataset_id", "commit_id", "mode", "version", "replace_where", "_max_version",
+            "n_rows", "schema_id",
             is_live.alias("_is_live"),
             last.alias("_is_last"),
+            probe.alias("_is_probe"),
             *[F.when(last, F.col(a)).alias(a) for a in ATTRS],
         )
         .collect()
     )
+    found = next((r for r in rows if r["_is_probe"]), None)
+    prior = None
+    if found is not None:
+        prior = {
+            "dataset_id": found["dataset_id"], "commit_id": found["commit_id"], "accepted": True,
+            "status": "committed", "mode": found["mode"], "n_rows": found["n_rows"],
+            "schema_id": found["schema_id"], "replayed": True,
+        }
+    rows = [r for r in rows if r["dataset_id"] == dataset_id]
     if not rows:
-        return None
+        return None, prior
     uniq = {r["commit_id"]: r for r in rows}
     rows = sorted(uniq.values(), key=lambda r: r["version"])
     last_row = next(r for r in rows if r["_is_last"])
@@ -105,7 +124,7 @@ def dataset_state(
             if r["_is_live"]
         ],
         attrs={a: last_row[a] for a in ATTRS},
-    )
+    ), prior
 
 
 def segments(live: list[LiveCommit]) -> list[tuple[list[str], list[str]]]:
