@@ -304,3 +304,17 @@ def test_failure_injected_at_each_step_leaves_nothing(ctx, tables, step):
     assert commits(ctx).count() == 0
     ctx.hooks.clear()
     assert publish(ctx, tables("nation"), "nation", "nations")["accepted"]
+
+
+def test_registered_schema_wrong_type_and_missing_column(ctx, spark):
+    sid = register_schema(ctx, "id int, name string, extra_col string")
+    wrong = spark.createDataFrame([("x", "a")], "id string, name string")
+    out = publish(ctx, wrong, "w", "d", schema_id=sid)
+    assert out["error_type"] == "SchemaMismatchError" and "id" in out["error"]
+    # a missing nullable column is filled with null
+    ok = publish(ctx, spark.createDataFrame([(1, "a")], "id int, name string"), "w", "d", schema_id=sid)
+    assert ok["accepted"], ok
+    assert read_dataset(ctx, ok["dataset_id"]).collect()[0].asDict() == {"id": 1, "name": "a", "extra_col": None}
+    # narrowing is refused before any data is written
+    narrow = publish(ctx, spark.createDataFrame([(1, "a")], "id bigint, name string"), "w", "d", schema_id=sid)
+    assert narrow["error_type"] == "SchemaMismatchError"
