@@ -16,7 +16,7 @@ from quire.plans import visibility
 from quire.sources import filesystem as fsys
 from quire.sources.catalogue_log import LOG_SCHEMA, TIMESTAMP_FORMAT, log_files
 from quire.sources.datasets import dataset_state, read_commits
-from quire.sources.listing import norm, per_root
+from quire.sources.listing import files_under, norm
 
 SWEEP_SCHEMA = (
     "folder string, dataset_id string, commit_id string, modified timestamp, "
@@ -67,10 +67,18 @@ def sweep_orphans(ctx: Context, older_than, dry_run: bool = True) -> DataFrame:
     cand = orphans.filter(F.col("modified") < F.lit(cut)).withColumn("root", norm(F.col("folder")))
     picked = cand.select("folder", "dataset_id", "commit_id", "modified", "root").collect()
     roots = [r["folder"] for r in picked]
+    sizes = {}
     if roots:
-        sizes = {r["root"]: (r["n_files"], r["bytes"]) for r in per_root(ctx, roots, cand).collect()}
-    else:
-        sizes = {}
+        # one parallel listing of the candidates; each file is keyed by the
+        # commit folder in its own path (no join needed)
+        folder_of = F.regexp_extract(norm(F.col("path")), r"^(.*/Processed/commit_id=[^/]+)/", 1)
+        listed = (
+            files_under(ctx, roots)
+            .select(folder_of.alias("root"), "length")
+            .groupBy("root")
+            .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+        )
+        sizes = {r["root"]: (r["n_files"], r["bytes"]) for r in listed.collect()}
     out = []
     for r in picked:
         n, b = sizes.get(r["root"], (0, 0))
