@@ -137,6 +137,9 @@ def compact_dataset(ctx: Context, dataset_id: str, files: int | None = None, sal
     )
 
 
+ENTRIES_PER_FILE = 1_000_000
+
+
 def compact_catalogue(ctx: Context, files: int | None = None) -> dict:
     """Merge the one-file-per-publish JSON entries and earlier merged
     generations into one new Parquet generation, then remove what was merged.
@@ -164,9 +167,11 @@ def compact_catalogue(ctx: Context, files: int | None = None) -> dict:
         src = src.unionByName(p)
     keys = ["dataset_id", "committed_at", "commit_id"]
     merged = src.dropDuplicates(["kind", "entry_id"])
-    merged = (
-        merged.repartitionByRange(files, *keys) if files else merged.repartitionByRange(*keys)
-    ).sortWithinPartitions(*keys)
+    if not files:
+        # about a million entries per file; a catalogue is metadata, so this
+        # count is a small job
+        files = max(1, -(-merged.count() // ENTRIES_PER_FILE))
+    merged = merged.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
     gen = f"{ctx.merged_dir}/gen-{datetime.now(timezone.utc).strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
     merged.write.mode("errorifexists").parquet(gen)
     for f in sorted({p.rsplit("/", 1)[0] for p in json_paths}):

@@ -119,8 +119,13 @@ def _reader(ctx: Context):
     )
 
 
+def _has_entries(ctx: Context) -> bool:
+    """Whether any JSON entry folder exists (none right after a merge)."""
+    return bool(fsys.glob(ctx.spark, f"{ctx.log_dir}/*"))
+
+
 def _merged(ctx: Context) -> DataFrame | None:
-    if not fsys.exists(ctx.spark, ctx.merged_dir):
+    if not fsys.glob(ctx.spark, f"{ctx.merged_dir}/*"):
         return None
     return (
         ctx.spark.read.schema(LOG_SCHEMA)
@@ -137,7 +142,7 @@ def raw_log(ctx: Context) -> DataFrame:
     a lookup of one dataset skips files and row groups by their statistics.
     """
     parts = []
-    if fsys.exists(ctx.spark, ctx.log_dir):
+    if _has_entries(ctx):
         parts.append(_reader(ctx).json(ctx.log_dir))
     merged = _merged(ctx)
     if merged is not None:
@@ -157,6 +162,6 @@ def read_log(ctx: Context) -> DataFrame:
 
 def log_files(ctx: Context) -> DataFrame:
     """(path) of every visible JSON entry file (not yet merged)."""
-    if not fsys.exists(ctx.spark, ctx.log_dir):
+    if not _has_entries(ctx):
         return ctx.spark.createDataFrame([], "path string")
     return _reader(ctx).json(ctx.log_dir).select(F.col("_metadata.file_path").alias("path")).distinct()
