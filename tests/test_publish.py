@@ -318,3 +318,17 @@ def test_registered_schema_wrong_type_and_missing_column(ctx, spark):
     # narrowing is refused before any data is written
     narrow = publish(ctx, spark.createDataFrame([(1, "a")], "id bigint, name string"), "w", "d", schema_id=sid)
     assert narrow["error_type"] == "SchemaMismatchError"
+
+
+def test_recreate_after_delete(ctx, tables):
+    ds = publish(ctx, tables("region"), "region", "r")["dataset_id"]
+    delete_dataset(ctx, ds)
+    assert catalogue_datasets(ctx).count() == 0
+    out = publish(ctx, tables("nation"), "nation", "n", dataset_id=ds, mode="error")
+    assert out["accepted"], out  # nothing live: error mode creates
+    assert read_dataset(ctx, ds).count() == 25
+    got = [(r["dataset_name"], r["n_rows"]) for r in catalogue_datasets(ctx).collect()]
+    assert got == [("nation", 25)]
+    # the version before the tombstone points at removed files
+    h = [(r["version"], r["mode"], r["live"]) for r in history(ctx, ds).orderBy("version").collect()]
+    assert h == [(1, "overwrite", False), (2, "delete", False), (3, "overwrite", True)]
