@@ -36,7 +36,7 @@ class Context:
     Layout under ``base``::
 
         <base>/<dataset_id>/Processed/commit_id=<commit_id>/...   data
-        <base>/_catalogue/log/<entry_id>/entry.json               catalogue entries
+        <base>/_catalogue/log/<entry_id>/entry.parquet            catalogue entries
         <base>/_catalogue/merged/<generation>/part-*.parquet      merged entries
 
     ``hooks`` maps a step name (``"write"``, ``"register"``, ``"rollback"``) to a

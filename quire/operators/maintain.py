@@ -14,7 +14,7 @@ from quire.functions.catalogue import commit_log
 from quire.operators.publish import publish
 from quire.plans import visibility
 from quire.sources import filesystem as fsys
-from quire.sources.catalogue_log import LOG_SCHEMA, TIMESTAMP_FORMAT, log_files
+from quire.sources.catalogue_log import LOG_SCHEMA, log_files
 from quire.sources.datasets import dataset_state, read_commits
 from quire.sources.listing import files_under, norm
 
@@ -141,7 +141,7 @@ ENTRIES_PER_FILE = 1_000_000
 
 
 def compact_catalogue(ctx: Context, files: int | None = None) -> dict:
-    """Merge the one-file-per-publish JSON entries and earlier merged
+    """Merge the one-file-per-publish entries and earlier merged
     generations into one new Parquet generation, then remove what was merged.
 
     The generation is range-partitioned by ``(dataset_id, committed_at,
@@ -151,13 +151,11 @@ def compact_catalogue(ctx: Context, files: int | None = None) -> dict:
     drop duplicates seen before the old folders are gone.
     """
     spark = ctx.spark
-    json_paths = [r["path"] for r in log_files(ctx).collect()]
+    entry_paths = [r["path"] for r in log_files(ctx).collect()]
     old_gens = [e.path for e in fsys.glob(spark, f"{ctx.merged_dir}/*") if e.is_dir]
     parts = []
-    if json_paths:
-        parts.append(
-            spark.read.schema(LOG_SCHEMA).option("timestampFormat", TIMESTAMP_FORMAT).json(json_paths)
-        )
+    if entry_paths:
+        parts.append(spark.read.schema(LOG_SCHEMA).parquet(*entry_paths))
     if old_gens:
         parts.append(spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(*old_gens))
     if not parts:
@@ -174,8 +172,8 @@ def compact_catalogue(ctx: Context, files: int | None = None) -> dict:
     merged = merged.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
     gen = f"{ctx.merged_dir}/gen-{datetime.now(timezone.utc).strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
     merged.write.mode("errorifexists").parquet(gen)
-    for f in sorted({p.rsplit("/", 1)[0] for p in json_paths}):
+    for f in sorted({p.rsplit("/", 1)[0] for p in entry_paths}):
         fsys.delete(spark, f)
     for g in old_gens:
         fsys.delete(spark, g)
-    return {"merged_files": len(json_paths), "merged_generations": len(old_gens), "folder": gen}
+    return {"merged_files": len(entry_paths), "merged_generations": len(old_gens), "folder": gen}

@@ -1,4 +1,4 @@
-"""The catalogue as a log of small JSON entries, read with Spark.
+"""The catalogue as a log of small Parquet entries, read with Spark.
 
 Every publish writes exactly one entry folder, after its data. An entry row holds
 the commit, the dataset attributes at that commit, the schema and the declared
@@ -10,12 +10,15 @@ half-registered publish. The public tables ``datasets``, ``commits``,
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
@@ -75,17 +78,7 @@ def entry(**values) -> tuple:
     return tuple(values.get(f) for f in LOG_FIELDS)
 
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-
-
-def _jsonable(v):
-    if isinstance(v, datetime):
-        return v.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
-    if isinstance(v, dict):
-        return {str(k): _jsonable(x) for k, x in v.items()}
-    if isinstance(v, (list, tuple)):
-        return [_jsonable(x) for x in v]
-    return v
+ARROW_SCHEMA = to_arrow_schema(LOG_SCHEMA)
 
 
 def _record(row: tuple) -> dict:
@@ -93,66 +86,59 @@ def _record(row: tuple) -> dict:
     if rec.get("columns") is not None:
         names = COLUMN_TYPE.fieldNames()
         rec["columns"] = [dict(zip(names, c)) if isinstance(c, (list, tuple)) else c for c in rec["columns"]]
-    return {k: _jsonable(v) for k, v in rec.items() if v is not None}
+    if rec.get("tags") is not None:
+        rec["tags"] = [(str(k), list(v)) for k, v in rec["tags"].items()]
+    ts = rec.get("committed_at")
+    if isinstance(ts, datetime) and ts.tzinfo is None:
+        rec["committed_at"] = ts.replace(tzinfo=timezone.utc)
+    return rec
+
+
+def encode(rows: Sequence[tuple]) -> bytes:
+    """Log rows as the bytes of one small Parquet file."""
+    table = pa.Table.from_pylist([_record(r) for r in rows], schema=ARROW_SCHEMA)
+    buf = pa.BufferOutputStream()
+    pq.write_table(table, buf, compression="zstd")
+    return buf.getvalue().to_pybytes()
 
 
 def write_entries(ctx: Context, rows: Sequence[tuple], folder_id: str | None = None) -> str:
-    """Write log rows as one JSON-lines file in a new folder; returns the folder.
+    """Write log rows as one Parquet file in a new folder; returns the folder.
 
-    The file is metadata only (one row per commit), written by the driver the
-    way table formats write their commit logs: under a hidden name, then
-    renamed, so it appears whole. Its appearance is the commit point. One
-    folder per write, so concurrent writers never conflict (T4).
+    The file is metadata only (one row per commit), encoded on the driver and
+    written the way table formats write their commit logs: under a hidden
+    name, then renamed, so it appears whole. Its appearance is the commit
+    point. One folder per write, so concurrent writers never conflict (T4).
     """
     folder = f"{ctx.log_dir}/{folder_id or uuid.uuid4().hex}"
-    text = "\n".join(json.dumps(_record(r), separators=(",", ":")) for r in rows) + "\n"
-    fsys.write_text_atomic(ctx.spark, f"{folder}/entry.json", text)
+    fsys.write_bytes_atomic(ctx.spark, f"{folder}/entry.parquet", encode(rows))
     return folder
 
 
 def _reader(ctx: Context):
-    return (
-        ctx.spark.read.schema(LOG_SCHEMA)
-        .option("recursiveFileLookup", "true")
-        .option("timestampFormat", TIMESTAMP_FORMAT)
-        .option("mode", "FAILFAST")
-    )
+    return ctx.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true")
 
 
 def _has_entries(ctx: Context) -> bool:
-    """Whether any JSON entry folder exists (none right after a merge)."""
+    """Whether any entry folder exists (none right after a merge)."""
     return bool(fsys.glob(ctx.spark, f"{ctx.log_dir}/*"))
 
 
-def _merged(ctx: Context) -> DataFrame | None:
-    if not fsys.glob(ctx.spark, f"{ctx.merged_dir}/*"):
-        return None
-    return (
-        ctx.spark.read.schema(LOG_SCHEMA)
-        .option("recursiveFileLookup", "true")
-        .parquet(ctx.merged_dir)
-    )
+def _has_merged(ctx: Context) -> bool:
+    return bool(fsys.glob(ctx.spark, f"{ctx.merged_dir}/*"))
 
 
 def raw_log(ctx: Context) -> DataFrame:
-    """Log rows as stored: new JSON entries plus the merged Parquet
-    generations. An entry may appear twice while a merge runs.
+    """Log rows as stored: new entries plus the merged generations, in one
+    Parquet scan. An entry may appear twice while a merge runs.
 
     Merged generations are range-partitioned and sorted by ``dataset_id``, so
     a lookup of one dataset skips files and row groups by their statistics.
     """
-    parts = []
-    if _has_entries(ctx):
-        parts.append(_reader(ctx).json(ctx.log_dir))
-    merged = _merged(ctx)
-    if merged is not None:
-        parts.append(merged)
-    if not parts:
+    roots = [d for d, ok in ((ctx.log_dir, _has_entries(ctx)), (ctx.merged_dir, _has_merged(ctx))) if ok]
+    if not roots:
         return ctx.spark.createDataFrame([], LOG_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _reader(ctx).parquet(*roots)
 
 
 def read_log(ctx: Context) -> DataFrame:
@@ -161,7 +147,7 @@ def read_log(ctx: Context) -> DataFrame:
 
 
 def log_files(ctx: Context) -> DataFrame:
-    """(path) of every visible JSON entry file (not yet merged)."""
+    """(path) of every visible entry file not yet merged."""
     if not _has_entries(ctx):
         return ctx.spark.createDataFrame([], "path string")
-    return _reader(ctx).json(ctx.log_dir).select(F.col("_metadata.file_path").alias("path")).distinct()
+    return _reader(ctx).parquet(ctx.log_dir).select(F.col("_metadata.file_path").alias("path")).distinct()

@@ -68,7 +68,7 @@ def glob(spark: SparkSession, pattern: str) -> list[Entry]:
     return out
 
 
-def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
+def write_bytes_atomic(spark: SparkSession, path: str, data: bytes) -> None:
     """Write a small metadata file so it appears complete or not at all: a
     hidden temporary name in the same folder, then a rename. Fails if ``path``
     exists already."""
@@ -77,7 +77,7 @@ def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
     tmp = jvm.org.apache.hadoop.fs.Path(final.getParent(), f"_tmp-{final.getName()}")
     out = fs.create(tmp, False)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        out.write(bytearray(data))
     finally:
         out.close()
     if not fs.rename(tmp, final):
