@@ -37,7 +37,8 @@ __all__ = [
     "catalogue_datasets", "register_schema", "conform", "schema_violations",
 ]
 
-from quire.operators.maintain import compact_catalogue, compact_dataset, partition_counts, sweep_orphans
+from quire.operators.catalogue_merge import compact_catalogue
+from quire.operators.maintain import compact_dataset, partition_counts, sweep_orphans
 from quire.plans.lineage import lineage_closure, lineage_edges
 from quire.sources.listing import exists_report
 from quire.sources.storage import PathStorage

@@ -39,6 +39,10 @@ class Context:
         <base>/_catalogue/log/<entry_id>/entry.parquet            catalogue entries
         <base>/_catalogue/merged/<generation>/part-*.parquet      merged entries
 
+    ``auto_merge_entries``: merge pending catalogue entries into a Parquet
+    generation once this many have accumulated (off by default; see
+    :func:`quire.operators.catalogue_merge.maybe_merge`).
+
     ``hooks`` maps a step name (``"write"``, ``"register"``, ``"rollback"``) to a
     callable run just before that step; tests use it to inject failures.
     """
@@ -47,6 +51,8 @@ class Context:
     base: str
     format: str = "parquet"
     hooks: dict = field(default_factory=dict)
+    auto_merge_entries: int | None = None
+    max_generations: int = 8
     _clock_lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
     _last_ts: datetime | None = field(default=None, repr=False)
 

@@ -1,0 +1,75 @@
+"""Merging catalogue entries into Parquet generations (by hand or automatically)."""
+
+from __future__ import annotations
+
+import logging
+import uuid
+from datetime import datetime, timezone
+
+from quire.context import Context
+from quire.sources import filesystem as fsys
+from quire.sources.catalogue_log import LOG_SCHEMA, log_files
+
+log = logging.getLogger(__name__)
+
+ENTRIES_PER_FILE = 1_000_000
+
+
+def compact_catalogue(ctx: Context, files: int | None = None, full: bool = True) -> dict:
+    """Merge the one-file-per-publish entries (and, when ``full``, the earlier
+    merged generations) into one new Parquet generation, then remove what was
+    merged.
+
+    The generation is range-partitioned by ``(dataset_id, committed_at,
+    commit_id)`` (a dataset with most entries still spreads over several
+    tasks) and sorted within files, so lookups of one dataset prune by min/max
+    statistics. Entries written while the merge runs are not touched; readers
+    drop duplicates seen before the old folders are gone.
+    """
+    spark = ctx.spark
+    entry_paths = [r["path"] for r in log_files(ctx).collect()]
+    old_gens = [e.path for e in fsys.glob(spark, f"{ctx.merged_dir}/*") if e.is_dir] if full else []
+    if not entry_paths and len(old_gens) <= 1:
+        return {"merged_files": 0, "merged_generations": 0, "folder": None}
+    parts = []
+    if entry_paths:
+        parts.append(spark.read.schema(LOG_SCHEMA).parquet(*entry_paths))
+    if old_gens:
+        parts.append(spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(*old_gens))
+    src = parts[0]
+    for p in parts[1:]:
+        src = src.unionByName(p)
+    keys = ["dataset_id", "committed_at", "commit_id"]
+    merged = src.dropDuplicates(["kind", "entry_id"])
+    if not files:
+        # about a million entries per file; a catalogue is metadata, so this
+        # count is a small job
+        files = max(1, -(-merged.count() // ENTRIES_PER_FILE))
+    merged = merged.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    gen = f"{ctx.merged_dir}/gen-{datetime.now(timezone.utc).strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    merged.write.mode("errorifexists").parquet(gen)
+    for f in sorted({p.rsplit("/", 1)[0] for p in entry_paths}):
+        fsys.delete(spark, f)
+    for g in old_gens:
+        fsys.delete(spark, g)
+    return {"merged_files": len(entry_paths), "merged_generations": len(old_gens), "folder": gen}
+
+
+def maybe_merge(ctx: Context) -> dict | None:
+    """After a commit: when ``ctx.auto_merge_entries`` is set and that many
+    entries are pending, fold them into a new small generation (cost grows with
+    the pending entries, not the catalogue); when ``ctx.max_generations`` is
+    reached, rewrite everything into one. A failed merge is logged, never
+    raised: the commit it follows is already visible."""
+    limit = ctx.auto_merge_entries
+    if not limit:
+        return None
+    try:
+        pending = len(fsys.glob(ctx.spark, f"{ctx.log_dir}/*"))
+        if pending < limit:
+            return None
+        gens = len(fsys.glob(ctx.spark, f"{ctx.merged_dir}/*"))
+        return compact_catalogue(ctx, full=gens + 1 >= ctx.max_generations)
+    except Exception as e:  # noqa: BLE001
+        log.warning("catalogue merge skipped: %s", e)
+        return None

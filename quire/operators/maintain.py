@@ -11,10 +11,10 @@ from quire.context import Context
 from quire.errors import DatasetNotFoundError
 from quire.functions import checks
 from quire.functions.catalogue import commit_log
+from quire.operators.catalogue_merge import compact_catalogue  # noqa: F401 (public here too)
 from quire.operators.publish import publish
 from quire.plans import visibility
 from quire.sources import filesystem as fsys
-from quire.sources.catalogue_log import LOG_SCHEMA, log_files
 from quire.sources.datasets import dataset_state, read_commits
 from quire.sources.listing import files_under, norm
 
@@ -135,45 +135,3 @@ def compact_dataset(ctx: Context, dataset_id: str, files: int | None = None, sal
         ctx, df, st.attrs["name"], st.attrs["description"], tags=st.attrs["tags"],
         dataset_id=ds, mode="overwrite", partition_by=parts or None, inputs=[],
     )
-
-
-ENTRIES_PER_FILE = 1_000_000
-
-
-def compact_catalogue(ctx: Context, files: int | None = None) -> dict:
-    """Merge the one-file-per-publish entries and earlier merged
-    generations into one new Parquet generation, then remove what was merged.
-
-    The generation is range-partitioned by ``(dataset_id, committed_at,
-    commit_id)`` (a dataset with most entries still spreads over several
-    tasks) and sorted within files, so lookups of one dataset prune by min/max
-    statistics. Entries written while the merge runs are not touched; readers
-    drop duplicates seen before the old folders are gone.
-    """
-    spark = ctx.spark
-    entry_paths = [r["path"] for r in log_files(ctx).collect()]
-    old_gens = [e.path for e in fsys.glob(spark, f"{ctx.merged_dir}/*") if e.is_dir]
-    parts = []
-    if entry_paths:
-        parts.append(spark.read.schema(LOG_SCHEMA).parquet(*entry_paths))
-    if old_gens:
-        parts.append(spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(*old_gens))
-    if not parts:
-        return {"merged_files": 0, "folder": None}
-    src = parts[0]
-    for p in parts[1:]:
-        src = src.unionByName(p)
-    keys = ["dataset_id", "committed_at", "commit_id"]
-    merged = src.dropDuplicates(["kind", "entry_id"])
-    if not files:
-        # about a million entries per file; a catalogue is metadata, so this
-        # count is a small job
-        files = max(1, -(-merged.count() // ENTRIES_PER_FILE))
-    merged = merged.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
-    gen = f"{ctx.merged_dir}/gen-{datetime.now(timezone.utc).strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
-    merged.write.mode("errorifexists").parquet(gen)
-    for f in sorted({p.rsplit("/", 1)[0] for p in entry_paths}):
-        fsys.delete(spark, f)
-    for g in old_gens:
-        fsys.delete(spark, g)
-    return {"merged_files": len(entry_paths), "merged_generations": len(old_gens), "folder": gen}

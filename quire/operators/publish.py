@@ -30,6 +30,7 @@ from quire.errors import (
     SchemaMismatchError,
 )
 from quire.functions import checks
+from quire.operators.catalogue_merge import maybe_merge
 from quire.functions.schemas import (
     SAFE_WIDENINGS,
     as_nullable,
@@ -431,6 +432,7 @@ def register(ctx: Context, plans: Sequence[CommitPlan]) -> dict[str, dict]:
             )
             out[p.commit_id] = rollback(ctx, p, err, entry_folder)
         return out
+    maybe_merge(ctx)
     return {p.commit_id: success(p) for p in plans}
 
 

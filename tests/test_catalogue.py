@@ -187,3 +187,19 @@ def test_stream_commits_once_per_batch(ctx, spark, tables):
     again = publish(ctx, ev, "events", "stream", dataset_id=ds, mode="append", commit_id=batch_commit_id(ck, 0))
     assert again.get("replayed")
     assert read_dataset(ctx, ds).count() == ev.count()
+
+
+def test_auto_merge_keeps_entries_bounded(spark, tables):
+    from quire import Context
+    from quire.sources import filesystem as fsys
+
+    ctx = Context.scratch(spark, "automerge", auto_merge_entries=3, max_generations=2)
+    nation = tables("nation")
+    ds = publish(ctx, nation, "n", "d")["dataset_id"]
+    for _ in range(7):
+        publish(ctx, nation, "n", "d", dataset_id=ds, mode="append", inputs=[])
+    assert len(fsys.glob(spark, f"{ctx.log_dir}/*")) < 3
+    assert len(fsys.glob(spark, f"{ctx.merged_dir}/*")) <= 2
+    assert read_dataset(ctx, ds).count() == 8 * 25
+    assert catalogue_datasets(ctx).collect()[0]["n_rows"] == 8 * 25
+    assert sorted(r["version"] for r in __import__("quire").history(ctx, ds).collect()) == list(range(1, 9))
