@@ -16,6 +16,8 @@ RESERVED = "commit_id"
 def check_frame(df) -> None:
     if not isinstance(df, DataFrame):
         raise TypeError("df must be a DataFrame")
+    if df.isStreaming:
+        raise TypeError("df is a streaming DataFrame; use publish_stream")
 
 
 def check_name(name) -> None:

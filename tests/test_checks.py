@@ -109,3 +109,9 @@ def test_bad_commit_ids(cid):
 
 def test_good_commit_ids():
     assert checks.check_commit_id("batch-7.v2_x") == "batch-7.v2_x"
+
+
+def test_streaming_frame_refused(ctx, spark, tables):
+    sdf = spark.readStream.schema(tables("region").schema).parquet("/root/testdata/sf0.001/region*.parquet")
+    with pytest.raises(TypeError, match="publish_stream"):
+        publish(ctx, sdf, "r", "d")
