@@ -42,7 +42,7 @@ from quire.functions.schemas import (
 )
 from quire.sources import filesystem as fsys
 from quire.sources.catalogue_log import entry, raw_log, write_entries
-from quire.sources.datasets import DatasetState, dataset_state, read_commits, state_and_probe
+from quire.sources.datasets import DatasetState, dataset_state, read_commits, state_and_probe, states_and_probes
 
 log = logging.getLogger(__name__)
 
@@ -230,9 +230,11 @@ def prepare(
     inputs=None,
     commit_id=None,
     options: dict | None = None,
+    prefetched: tuple | None = None,
 ) -> CommitPlan | dict:
     """Checks (raised) and the commit plan; an outcome dict when nothing is to
-    be written (refused, ignored, replayed)."""
+    be written (refused, ignored, replayed). ``prefetched`` is ``(state,
+    prior)`` when the caller looked the dataset up already (batches)."""
     checks.check_frame(df)
     checks.check_name(name)
     checks.check_description(description)
@@ -256,7 +258,7 @@ def prepare(
     if ds:
         # one catalogue job: the dataset's state and, for a given commit id,
         # whether that commit exists already (a replay)
-        state, prior = state_and_probe(ctx, ds, probe_commit=cid)
+        state, prior = prefetched if prefetched is not None else state_and_probe(ctx, ds, probe_commit=cid)
         if prior is not None:
             return prior
     elif cid is not None:
@@ -475,44 +477,98 @@ OUTCOME_SCHEMA = (
 )
 
 
+def _spec_ids(spec) -> tuple[str | None, str | None]:
+    if not isinstance(spec, dict):
+        return None, None
+    try:
+        return checks.check_dataset_id(spec.get("dataset_id")), checks.check_commit_id(spec.get("commit_id"))
+    except TypeError:
+        return None, None
+
+
+def _waves(specs: Sequence, live_before: set[str]) -> list[list[int]]:
+    """Spec numbers in waves. Specs of one dataset keep their order across
+    waves, one per wave, except that plain appends (no ``mergeSchema``) to a
+    dataset live before the batch commute and share the first wave."""
+    waves: list[list[int]] = [[]]
+    pos: dict[str, int] = {}
+    only_appends: dict[str, bool] = {}
+    for i, spec in enumerate(specs, start=1):
+        ds, _ = _spec_ids(spec)
+        if ds is None:
+            waves[0].append(i)
+            continue
+        plain_append = spec.get("mode") == "append" and str(spec.get("mergeSchema", "")).lower() != "true"
+        if only_appends.get(ds, ds in live_before) and plain_append:
+            only_appends[ds] = True
+            pos[ds] = 0
+            waves[0].append(i)
+            continue
+        only_appends[ds] = False
+        k = pos[ds] + 1 if ds in pos else 0
+        pos[ds] = k
+        while len(waves) <= k:
+            waves.append([])
+        waves[k].append(i)
+    return waves
+
+
 def publish_many(ctx: Context, specs: Sequence[dict], parallelism: int = 4) -> DataFrame:
     """Publish a batch; one outcome row per spec (1-based ``spec_no``).
 
     Each spec is a dict of :func:`publish` arguments (``df``, ``name``,
-    ``description``, ...). Bad arguments are reported, not raised. Data writes
-    run as concurrent Spark jobs; all good commits are registered with one
-    catalogue entry file.
+    ``description``, ...). Bad arguments are reported, not raised. Several
+    specs for one dataset behave as if published one after another: they run
+    in successive waves (plain appends to a live dataset commute and share a
+    wave). Per wave: one catalogue lookup for all its datasets, concurrent data
+    writes, one entry file.
     """
     outcomes: dict[int, dict] = {}
-    plans: dict[int, CommitPlan] = {}
-    for i, spec in enumerate(specs, start=1):
-        try:
-            if not isinstance(spec, dict):
-                raise TypeError("a spec must be a dict of publish arguments")
-            s = dict(spec)
-            args = {k: s.pop(k, None) for k in ("df", "name", "description")}
-            known = ("schema_id", "tags", "dataset_id", "mode", "partition_by", "inputs", "commit_id")
-            kw = {k: s.pop(k) for k in known if k in s}
-            kw.setdefault("mode", "overwrite")
-            p = prepare(ctx, args["df"], args["name"], args["description"], options=s, **kw)
-        except (TypeError, ValueError) as e:
-            outcomes[i] = failure(e)
-            continue
-        if isinstance(p, dict):
-            outcomes[i] = p
+    known = ("schema_id", "tags", "dataset_id", "mode", "partition_by", "inputs", "commit_id")
+    all_ids = [ds for ds, _ in map(_spec_ids, specs) if ds]
+    all_probes = [cid for ds, cid in map(_spec_ids, specs) if ds and cid]
+    first = states_and_probes(ctx, sorted(set(all_ids)), sorted(set(all_probes))) if all_ids else ({}, {})
+    live_before = {ds for ds, st in first[0].items() if st.exists}
+    for n, wave in enumerate(_waves(specs, live_before)):
+        if n == 0:
+            states, priors = first
         else:
-            plans[i] = p
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        written = dict(zip(plans, pool.map(lambda p: write_commit(ctx, p), plans.values())))
-    good = [plans[i] for i, r in written.items() if r is None]
-    for i, r in written.items():
-        if r is not None:
-            outcomes[i] = r
-    registered = register(ctx, good)
-    for i, p in plans.items():
-        if written[i] is None:
-            outcomes[i] = registered[p.commit_id]
+            ids = sorted({ds for ds, _ in (_spec_ids(specs[i - 1]) for i in wave) if ds})
+            probes = sorted({cid for ds, cid in (_spec_ids(specs[i - 1]) for i in wave) if ds and cid})
+            states, priors = states_and_probes(ctx, ids, probes) if ids else ({}, {})
+
+        plans: dict[int, CommitPlan] = {}
+        for i in wave:
+            spec = specs[i - 1]
+            try:
+                if not isinstance(spec, dict):
+                    raise TypeError("a spec must be a dict of publish arguments")
+                s = dict(spec)
+                args = {k: s.pop(k, None) for k in ("df", "name", "description")}
+                kw = {k: s.pop(k) for k in known if k in s}
+                kw.setdefault("mode", "overwrite")
+                ds = checks.check_dataset_id(kw.get("dataset_id"))
+                cid = checks.check_commit_id(kw.get("commit_id"))
+                pre = (states.get(ds), priors.get(cid) if cid else None) if ds else None
+                p = prepare(ctx, args["df"], args["name"], args["description"], options=s, prefetched=pre, **kw)
+            except (TypeError, ValueError) as e:
+                outcomes[i] = failure(e)
+                continue
+            if isinstance(p, dict):
+                outcomes[i] = p
+            else:
+                plans[i] = p
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            written = dict(zip(plans, pool.map(lambda p: write_commit(ctx, p), plans.values())))
+        good = [plans[i] for i, r in written.items() if r is None]
+        for i, r in written.items():
+            if r is not None:
+                outcomes[i] = r
+        registered = register(ctx, good)
+        for i, p in plans.items():
+            if written[i] is None:
+                outcomes[i] = registered[p.commit_id]
 
     rows = []
     for i in range(1, len(specs) + 1):

@@ -64,16 +64,31 @@ def dataset_state(
 def state_and_probe(
     ctx: Context, dataset_id: str, version: int | None = None, as_of=None, probe_commit: str | None = None
 ) -> tuple[DatasetState | None, dict | None]:
-    """Live commits of one dataset (as of ``version``) and its last attributes.
+    """State of one dataset and, for ``probe_commit``, its stored outcome."""
+    states, priors = states_and_probes(ctx, [dataset_id], [probe_commit] if probe_commit else [], version, as_of)
+    return states.get(dataset_id), priors.get(probe_commit) if probe_commit else None
 
-    One scan of the log filtered on ``dataset_id`` and one window pass keyed by
-    it: ``dense_rank`` gives versions (entries duplicated by a catalogue merge
-    share a rank), and the last reset and last version come from the same
-    window partitioning, so there is a single shuffle. Only the live commit ids
-    and one row of attributes reach the driver: the folder list a reader needs.
+
+def states_and_probes(
+    ctx: Context,
+    dataset_ids: list[str],
+    probe_commits: list[str] = (),
+    version: int | None = None,
+    as_of=None,
+) -> tuple[dict[str, DatasetState], dict[str, dict]]:
+    """Live commits (as of ``version``/``as_of``) and last attributes of the
+    given datasets, and the stored outcome of any of ``probe_commits`` that
+    exists already (replays), in one catalogue job.
+
+    One scan of the log filtered on the ids and one window pass keyed by
+    ``dataset_id``: ``dense_rank`` gives versions (entries duplicated by a
+    catalogue merge share a rank), and the last reset and last version come
+    from the same window partitioning, so there is a single shuffle. Only live
+    commit ids and one row of attributes per dataset reach the driver: the
+    folder lists a reader needs.
     """
-    mine = F.col("dataset_id") == dataset_id
-    probe = F.col("entry_id") == probe_commit if probe_commit else F.lit(False)
+    mine = F.col("dataset_id").isin(list(dataset_ids))
+    probe = F.col("entry_id").isin(list(probe_commits)) if probe_commits else F.lit(False)
     c = raw_log(ctx).filter((F.col("kind") == "commit") & (mine | probe))
     ordered = Window.partitionBy("dataset_id").orderBy("committed_at", "commit_id")
     c = c.withColumn("version", F.dense_rank().over(ordered))
@@ -99,32 +114,37 @@ def state_and_probe(
         )
         .collect()
     )
-    found = next((r for r in rows if r["_is_probe"]), None)
-    prior = None
-    if found is not None:
-        prior = {
-            "dataset_id": found["dataset_id"], "commit_id": found["commit_id"], "accepted": True,
-            "status": "committed", "mode": found["mode"], "n_rows": found["n_rows"],
-            "schema_id": found["schema_id"], "replayed": True,
+    priors = {
+        r["commit_id"]: {
+            "dataset_id": r["dataset_id"], "commit_id": r["commit_id"], "accepted": True,
+            "status": "committed", "mode": r["mode"], "n_rows": r["n_rows"],
+            "schema_id": r["schema_id"], "replayed": True,
         }
-    rows = [r for r in rows if r["dataset_id"] == dataset_id]
-    if not rows:
-        return None, prior
-    uniq = {r["commit_id"]: r for r in rows}
-    rows = sorted(uniq.values(), key=lambda r: r["version"])
-    last_row = next(r for r in rows if r["_is_last"])
-    return DatasetState(
-        dataset_id=dataset_id,
-        n_versions=int(last_row["_max_version"]),
-        deleted=last_row["mode"] == "delete",
-        last_mode=last_row["mode"],
-        live=[
-            LiveCommit(r["commit_id"], r["mode"], int(r["version"]), r["replace_where"])
-            for r in rows
-            if r["_is_live"]
-        ],
-        attrs={a: last_row[a] for a in ATTRS},
-    ), prior
+        for r in rows
+        if r["_is_probe"]
+    }
+    wanted = set(dataset_ids)
+    by_ds: dict[str, dict] = {}
+    for r in rows:
+        if r["dataset_id"] in wanted:
+            by_ds.setdefault(r["dataset_id"], {})[r["commit_id"]] = r
+    states = {}
+    for ds, uniq in by_ds.items():
+        ordered_rows = sorted(uniq.values(), key=lambda r: r["version"])
+        last_row = next(r for r in ordered_rows if r["_is_last"])
+        states[ds] = DatasetState(
+            dataset_id=ds,
+            n_versions=int(last_row["_max_version"]),
+            deleted=last_row["mode"] == "delete",
+            last_mode=last_row["mode"],
+            live=[
+                LiveCommit(r["commit_id"], r["mode"], int(r["version"]), r["replace_where"])
+                for r in ordered_rows
+                if r["_is_live"]
+            ],
+            attrs={a: last_row[a] for a in ATTRS},
+        )
+    return states, priors
 
 
 def segments(live: list[LiveCommit]) -> list[tuple[list[str], list[str]]]:

@@ -203,3 +203,37 @@ def test_auto_merge_keeps_entries_bounded(spark, tables):
     assert read_dataset(ctx, ds).count() == 8 * 25
     assert catalogue_datasets(ctx).collect()[0]["n_rows"] == 8 * 25
     assert sorted(r["version"] for r in __import__("quire").history(ctx, ds).collect()) == list(range(1, 9))
+
+
+def test_publish_many_same_dataset_in_order(ctx, spark, tables):
+    ds = str(uuid.uuid4())
+    region, nation = tables("region"), tables("nation")
+    specs = [
+        {"df": region, "name": "r", "description": "d", "dataset_id": ds},
+        {"df": nation, "name": "n", "description": "d"},
+        {"df": region, "name": "r", "description": "d", "dataset_id": ds, "mode": "append"},
+        {"df": region, "name": "r", "description": "d", "dataset_id": ds, "mode": "error"},
+        {"df": region, "name": "r", "description": "d", "dataset_id": ds, "mode": "ignore"},
+    ]
+    out = {r["spec_no"]: r for r in publish_many(ctx, specs).collect()}
+    assert [out[i]["accepted"] for i in range(1, 6)] == [True, True, True, False, False]
+    assert out[4]["error_type"] == "DatasetExistsError" and out[5]["status"] == "ignored"
+    assert read_dataset(ctx, ds).count() == 2 * region.count()
+    assert sorted(r["dataset_name"] for r in catalogue_datasets(ctx).collect()) == ["n", "r"]
+
+
+def test_publish_many_waves():
+    from quire.operators.publish import _waves
+
+    a, b = str(uuid.uuid4()), str(uuid.uuid4())
+    specs = [
+        {"dataset_id": a, "mode": "append"},
+        {"dataset_id": a, "mode": "append"},
+        {"dataset_id": b, "mode": "append"},
+        {"dataset_id": a, "mode": "overwrite"},
+        {"dataset_id": a, "mode": "append"},
+        {"name": "new"},
+        {"dataset_id": b, "mode": "append", "mergeSchema": True},
+    ]
+    # a is live before the batch, b is not
+    assert _waves(specs, {a}) == [[1, 2, 3, 6], [4, 7], [5]]
