@@ -195,12 +195,32 @@ def test_replace_partition(ctx, tables):
     assert read_dataset(ctx, ds).count() == cust.count()
 
 
+def _plan(df) -> str:
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 def test_replace_prunes_old_partitions(ctx, tables):
     cust = tables("customer")
     ds = publish(ctx, cust, "customer", "d", partition_by="c_mktsegment")["dataset_id"]
     replace_partition(ctx, cust.filter("c_mktsegment = 'BUILDING'"), ds, "c_mktsegment = 'BUILDING'")
-    plan = read_dataset(ctx, ds)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "BUILDING" in plan
+    plan = _plan(read_dataset(ctx, ds))
+    assert "PartitionFilters: [NOT coalesce((c_mktsegment" in plan and "BUILDING" in plan
+
+
+def test_read_pushes_filters_and_prunes_columns(ctx, tables):
+    ds = publish(ctx, tables("orders"), "orders", "o", partition_by="o_orderstatus")["dataset_id"]
+    q = read_dataset(ctx, ds).filter("o_totalprice > 1000 AND o_orderstatus = 'F'").select("o_orderkey")
+    plan = _plan(q)
+    assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,1000.0)]" in plan
+    assert "PartitionFilters: [isnotnull(o_orderstatus" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
+    assert "Exchange" not in plan
 
 
 def test_delete_dataset(ctx, tables):
