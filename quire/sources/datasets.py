@@ -17,6 +17,10 @@ from quire.sources.catalogue_log import raw_log
 
 log = logging.getLogger(__name__)
 
+# Up to this many datasets per lookup the live filter is an OR of literal
+# bounds (pushed to the scan); above it, a join to the bounds.
+MAX_OR_TERMS = 200
+
 ATTRS = [
     "name", "description", "schema_id", "schema_json", "folder", "format",
     "partition_by", "tags",
@@ -27,7 +31,7 @@ ATTRS = [
 class LiveCommit:
     commit_id: str
     mode: str
-    version: int
+    committed_at: int  # epoch microseconds
     replace_where: str | None
 
 
@@ -36,7 +40,6 @@ class DatasetState:
     """What a reader or writer needs to know about one dataset at one version."""
 
     dataset_id: str
-    n_versions: int
     deleted: bool
     last_mode: str
     live: list[LiveCommit] = field(default_factory=list)
@@ -80,40 +83,77 @@ def states_and_probes(
     given datasets, and the stored outcome of any of ``probe_commits`` that
     exists already (replays), in one catalogue job.
 
-    One scan of the log filtered on the ids and one window pass keyed by
-    ``dataset_id``: ``dense_rank`` gives versions (entries duplicated by a
-    catalogue merge share a rank), and the last reset and last version come
-    from the same window partitioning, so there is a single shuffle. Only live
-    commit ids and one row of attributes per dataset reach the driver: the
+    The reset point and the last attributes of each dataset are partial
+    aggregates (``max``, ``max_by``), so a dataset with a very long commit
+    history is combined map-side, never gathered into one task; the commit
+    rows are joined back to them and filtered to the live ones. Only a read by
+    version number ranks commits, with one ordered window per dataset. Only
+    live commit ids and one row of attributes per dataset reach the driver: the
     folder lists a reader needs.
     """
     mine = F.col("dataset_id").isin(list(dataset_ids))
     probe = F.col("entry_id").isin(list(probe_commits)) if probe_commits else F.lit(False)
     c = raw_log(ctx).filter((F.col("kind") == "commit") & (mine | probe))
-    ordered = Window.partitionBy("dataset_id").orderBy("committed_at", "commit_id")
-    c = c.withColumn("version", F.dense_rank().over(ordered))
-    if version is not None:
-        c = c.filter(F.col("version") <= int(version))
     if as_of is not None:
         c = c.filter(F.col("committed_at") <= F.lit(_utc(as_of)))
-    whole = Window.partitionBy("dataset_id")
-    c = c.withColumn(
-        "_reset", F.max(F.when(F.col("mode").isin(*visibility.RESETS), F.col("version"))).over(whole)
-    ).withColumn("_max_version", F.max("version").over(whole))
-    is_live = (F.col("version") >= F.col("_reset")) & (F.col("mode") != "delete")
-    last = F.col("version") == F.col("_max_version")
-    rows = (
-        c.filter(is_live | last | probe)
-        .select(
-            "dataset_id", "commit_id", "mode", "version", "replace_where", "_max_version",
-            "n_rows", "schema_id",
-            is_live.alias("_is_live"),
-            last.alias("_is_last"),
-            probe.alias("_is_probe"),
-            *[F.when(last, F.col(a)).alias(a) for a in ATTRS],
+    if version is not None:
+        ordered = Window.partitionBy("dataset_id").orderBy("committed_at", "commit_id")
+        c = c.withColumn("_v", F.dense_rank().over(ordered)).filter(F.col("_v") <= int(version)).drop("_v")
+    key = visibility.order_key()
+    # job 1: per dataset, partial aggregates only (map-side combined)
+    per_ds = (
+        c.filter(mine)
+        .groupBy("dataset_id")
+        .agg(
+            F.max(F.when(F.col("mode").isin(*visibility.RESETS), key)).alias("_reset_key"),
+            F.max_by(F.struct(F.col("mode"), *[F.col(a) for a in ATTRS]), key).alias("_last"),
         )
+        .withColumn("_reset_us", F.unix_micros("_reset_key.committed_at"))
         .collect()
     )
+    states: dict[str, DatasetState] = {}
+    resets = []
+    for r in per_ds:
+        last = r["_last"]
+        states[r["dataset_id"]] = DatasetState(
+            dataset_id=r["dataset_id"],
+            deleted=last["mode"] == "delete",
+            last_mode=last["mode"],
+            attrs={a: last[a] for a in ATTRS},
+        )
+        if r["_reset_key"] is not None:
+            # epoch microseconds: no round trip through local Python datetimes
+            resets.append((r["dataset_id"], int(r["_reset_us"]), r["_reset_key"]["commit_id"]))
+
+    # job 2: the live commit rows (at or after each reset) and probed commits,
+    # a filter on the scan (committed_at bounds reach the Parquet statistics)
+    live_cond = F.lit(False)
+    if len(resets) <= MAX_OR_TERMS:
+        for ds, us, cid in resets:
+            ts = F.timestamp_micros(F.lit(us))  # folded to a literal: pushed to the scan
+            live_cond = live_cond | (
+                (F.col("dataset_id") == ds)
+                & (F.col("committed_at") >= ts)
+                & ((F.col("committed_at") > ts) | (F.col("commit_id") >= F.lit(cid)))
+            )
+        picked = c.filter(((live_cond & (F.col("mode") != "delete"))) | probe)
+    else:
+        keys = ctx.spark.createDataFrame(resets, "dataset_id string, _rus bigint, _rcid string").select(
+            "dataset_id", F.timestamp_micros("_rus").alias("_rts"), "_rcid"
+        )
+        after = (F.col("committed_at") > F.col("_rts")) | (
+            (F.col("committed_at") == F.col("_rts")) & (F.col("commit_id") >= F.col("_rcid"))
+        )
+        picked = c.join(keys, "dataset_id", "left").filter(
+            (F.col("_rts").isNotNull() & after & (F.col("mode") != "delete")) | probe
+        )
+    rows = picked.select(
+        "dataset_id", "commit_id", "mode", "committed_at", "replace_where", "n_rows", "schema_id",
+        F.unix_micros("committed_at").alias("_us"),
+        probe.alias("_is_probe"),
+        (F.col("dataset_id").isin(list(dataset_ids)) & (F.col("mode") != "delete")).alias("_is_mine"),
+    ).collect()
+
     priors = {
         r["commit_id"]: {
             "dataset_id": r["dataset_id"], "commit_id": r["commit_id"], "accepted": True,
@@ -123,27 +163,19 @@ def states_and_probes(
         for r in rows
         if r["_is_probe"]
     }
-    wanted = set(dataset_ids)
-    by_ds: dict[str, dict] = {}
+    reset_of = {ds: (ts, cid) for ds, ts, cid in resets}
+    seen = set()
     for r in rows:
-        if r["dataset_id"] in wanted:
-            by_ds.setdefault(r["dataset_id"], {})[r["commit_id"]] = r
-    states = {}
-    for ds, uniq in by_ds.items():
-        ordered_rows = sorted(uniq.values(), key=lambda r: r["version"])
-        last_row = next(r for r in ordered_rows if r["_is_last"])
-        states[ds] = DatasetState(
-            dataset_id=ds,
-            n_versions=int(last_row["_max_version"]),
-            deleted=last_row["mode"] == "delete",
-            last_mode=last_row["mode"],
-            live=[
-                LiveCommit(r["commit_id"], r["mode"], int(r["version"]), r["replace_where"])
-                for r in ordered_rows
-                if r["_is_live"]
-            ],
-            attrs={a: last_row[a] for a in ATTRS},
-        )
+        ds = r["dataset_id"]
+        if not r["_is_mine"] or ds not in states or (ds, r["commit_id"]) in seen:
+            continue
+        # a probed row of this dataset may predate the reset: keep live ones only
+        if ds not in reset_of or (r["_us"], r["commit_id"]) < reset_of[ds]:
+            continue
+        seen.add((ds, r["commit_id"]))
+        states[ds].live.append(LiveCommit(r["commit_id"], r["mode"], r["_us"], r["replace_where"]))
+    for st in states.values():
+        st.live.sort(key=lambda x: (x.committed_at, x.commit_id))
     return states, priors
 
 
