@@ -21,11 +21,38 @@ def order_key() -> F.Column:
     return F.struct(F.col("committed_at"), F.col("commit_id"))
 
 
-def with_versions(commits: DataFrame) -> DataFrame:
-    """Adds ``version``: 1-based position of each commit in its dataset
-    (``dense_rank``, so a duplicated entry does not shift later versions)."""
-    w = Window.partitionBy("dataset_id").orderBy("committed_at", "commit_id")
-    return commits.withColumn("version", F.dense_rank().over(w))
+ORDER = ["dataset_id", "committed_at", "commit_id"]
+
+
+def with_versions(commits: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Adds ``version``: 1-based position of each commit in its dataset.
+
+    ``commits`` must hold one row per commit. A plain window partitioned by
+    dataset would sort a dataset's whole history in one task; instead the rows
+    are range-partitioned on ``(dataset_id, committed_at, commit_id)`` (a long
+    history spreads over several tasks), numbered within each (partition,
+    dataset) group, and shifted by the counts of the same dataset in earlier
+    partitions -- a small table with at most one row per partition and dataset.
+    """
+    ranged = (
+        commits.repartitionByRange(partitions, *ORDER) if partitions else commits.repartitionByRange(*ORDER)
+    ).withColumn("_pid", F.spark_partition_id())
+    local = ranged.withColumn(
+        "_idx",
+        F.row_number().over(Window.partitionBy("_pid", "dataset_id").orderBy("committed_at", "commit_id")),
+    )
+    before = Window.partitionBy("dataset_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        local.groupBy("_pid", "dataset_id")
+        .agg(F.max("_idx").alias("_n"))
+        .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .select("_pid", "dataset_id", "_off")
+    )
+    return (
+        local.join(offsets, ["_pid", "dataset_id"])
+        .withColumn("version", (F.col("_off") + F.col("_idx")).cast("int"))
+        .drop("_pid", "_idx", "_off")
+    )
 
 
 def live(commits: DataFrame) -> DataFrame:

@@ -97,8 +97,10 @@ def states_and_probes(
     if as_of is not None:
         c = c.filter(F.col("committed_at") <= F.lit(_utc(as_of)))
     if version is not None:
-        ordered = Window.partitionBy("dataset_id").orderBy("committed_at", "commit_id")
-        c = c.withColumn("_v", F.dense_rank().over(ordered)).filter(F.col("_v") <= int(version)).drop("_v")
+        # the commit that is version N: rank the distinct commits, keep N and earlier
+        facts = c.filter(mine).select("dataset_id", "committed_at", "commit_id").distinct()
+        upto = visibility.with_versions(facts).filter(F.col("version") <= int(version)).select("commit_id")
+        c = c.join(upto, "commit_id", "left_semi")
     key = visibility.order_key()
     # job 1: per dataset, partial aggregates only (map-side combined)
     per_ds = (
