@@ -321,7 +321,8 @@ def prepare(
         schema_id=sid,
         inputs=list(inputs) if inputs is not None else inputs_from_files(ctx, df),
         folder=ctx.commit_dir(ds, cid),
-        fmt=ctx.format,
+        # commits of one dataset share its format; a reset may choose anew
+        fmt=(state.attrs.get("format") or ctx.format) if effective in ("append", "replace") else ctx.format,
         options=opts,
         new_dataset=state is None,
     )
@@ -382,12 +383,15 @@ def write_commit(ctx: Context, plan: CommitPlan) -> dict | None:
     except Exception as e:  # noqa: BLE001
         err = PublishError(f"Failed to write data to storage at {plan.folder}: {_first_line(e)}", plan.commit_id)
         return rollback(ctx, plan, err)
-    values = obs.get
-    plan.n_rows = int(values["n_rows"])
-    for check in plan.checks:
-        msg = check(values)
-        if msg:
-            return rollback(ctx, plan, PublishError(msg, plan.commit_id))
+    try:
+        values = obs.get
+        plan.n_rows = int(values["n_rows"])
+        for check in plan.checks:
+            msg = check(values)
+            if msg:
+                return rollback(ctx, plan, PublishError(msg, plan.commit_id))
+    except Exception as e:  # noqa: BLE001 - nothing may stay behind unregistered
+        return rollback(ctx, plan, PublishError(f"check after write failed: {_first_line(e)}", plan.commit_id))
     return None
 
 

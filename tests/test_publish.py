@@ -374,3 +374,18 @@ def test_many_types_round_trip(ctx, spark):
     assert r["ym"] == "INTERVAL '2' YEAR"
     assert str(r["d"]) == "1.2500000000" and bytes(r["b"]) == b"ab" and r["nan"] != r["nan"]
     assert r["m"] == {"k": ["v1", "v2"]} and r["s"]["y"] == "z" and r["v"] is None
+
+
+def test_failing_post_write_check_rolls_back(ctx, tables):
+    from quire.operators.publish import prepare, write_commit
+
+    plan = prepare(ctx, tables("region"), "region", "r")
+
+    def broken(values):
+        raise RuntimeError("cannot evaluate")
+
+    plan.checks.append(broken)
+    out = write_commit(ctx, plan)
+    assert out["error_type"] == "PublishError" and "cannot evaluate" in out["error"]
+    assert not fsys.exists(ctx.spark, plan.folder)
+    assert not fsys.exists(ctx.spark, ctx.dataset_root(plan.dataset_id))
