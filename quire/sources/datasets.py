@@ -233,7 +233,12 @@ def read_commits(
             ]
             df = frames[0]
             for f in frames[1:]:
-                df = df.unionByName(f)
+                df = df.unionByName(f, allowMissingColumns=True)
+            have = set(df.columns)
+            df = df.select(
+                *[c for c in df.columns],
+                *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in have],
+            )
         else:
             read_schema = StructType(
                 list(schema.fields) + [StructField("commit_id", StringType())]
