@@ -38,7 +38,9 @@ def _cutoff(older_than) -> datetime:
 def sweep_orphans(ctx: Context, older_than, dry_run: bool = True) -> DataFrame:
     """Commit folders nobody can read: no catalogue entry (a crashed or failed
     publish, T2) or a dataset whose last commit is a tombstone. Only folders last
-    modified before the cutoff are taken, so publishes under way are safe.
+    modified before the cutoff are taken, so publishes under way are safe --
+    provided the cutoff is longer than the longest publish (a large write may
+    not touch its commit folder's time until the job commits).
 
     The folder glob also returns empty folders, which a Spark listing hides
     (T20); file counts and bytes come from one ``binaryFile`` listing.
