@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from quire import messages as msg
 
 MODES = ("overwrite", "append", "error", "ignore")
 PRIMITIVES = (str, int, float, bool)
@@ -15,29 +16,29 @@ RESERVED = "commit_id"
 
 def check_frame(df) -> None:
     if not isinstance(df, DataFrame):
-        raise TypeError("df must be a DataFrame")
+        raise TypeError(msg.NOT_A_FRAME)
     if df.isStreaming:
         raise TypeError("df is a streaming DataFrame; use publish_stream")
 
 
 def check_name(name) -> None:
     if not isinstance(name, str) or not name:
-        raise TypeError("dataset_name must be a non-empty string")
+        raise TypeError(msg.BAD_NAME)
 
 
 def check_description(description) -> None:
     if not isinstance(description, str):
-        raise TypeError("dataset_description must be a string")
+        raise TypeError(msg.BAD_DESCRIPTION)
 
 
 def check_tags(tags) -> None:
     if tags is not None and not isinstance(tags, Mapping):
-        raise TypeError("tags must be a dictionary or None")
+        raise TypeError(msg.BAD_TAGS)
 
 
 def check_mode(mode) -> None:
     if mode not in MODES:
-        raise ValueError(f"Invalid mode: {mode}. Must be one of: {', '.join(MODES)}")
+        raise ValueError(msg.BAD_MODE.format(mode=mode))
 
 
 def check_dataset_id(dataset_id) -> str | None:

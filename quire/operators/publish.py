@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from quire import messages as msg
 from quire.context import Context
 from quire.errors import (
     DatasetExistsError,
@@ -381,15 +382,15 @@ def write_commit(ctx: Context, plan: CommitPlan) -> dict | None:
         ctx.run_hook("write", plan=plan)
         writer.save(plan.folder)
     except Exception as e:  # noqa: BLE001
-        err = PublishError(f"Failed to write data to storage at {plan.folder}: {_first_line(e)}", plan.commit_id)
+        err = PublishError(msg.WRITE_FAILED.format(path=plan.folder, error=_first_line(e)), plan.commit_id)
         return rollback(ctx, plan, err)
     try:
         values = obs.get
         plan.n_rows = int(values["n_rows"])
         for check in plan.checks:
-            msg = check(values)
-            if msg:
-                return rollback(ctx, plan, PublishError(msg, plan.commit_id))
+            problem = check(values)
+            if problem:
+                return rollback(ctx, plan, PublishError(problem, plan.commit_id))
     except Exception as e:  # noqa: BLE001 - nothing may stay behind unregistered
         return rollback(ctx, plan, PublishError(f"check after write failed: {_first_line(e)}", plan.commit_id))
     return None
@@ -433,7 +434,7 @@ def register(ctx: Context, plans: Sequence[CommitPlan]) -> dict[str, dict]:
         out = {}
         for p in plans:
             err = RegistrationError(
-                f"Failed to create data catalogue entry. correlation-id: {p.commit_id}: {_first_line(e)}",
+                msg.REGISTER_FAILED.format(correlation_id=p.commit_id) + f": {_first_line(e)}",
                 p.commit_id,
             )
             out[p.commit_id] = rollback(ctx, p, err, entry_folder)
