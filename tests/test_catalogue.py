@@ -237,3 +237,26 @@ def test_publish_many_waves():
     ]
     # a is live before the batch, b is not
     assert _waves(specs, {a}) == [[1, 2, 3, 6], [4, 7], [5]]
+
+
+def test_exists_report_without_broadcast(ctx, tables, monkeypatch):
+    from quire.sources import listing
+
+    monkeypatch.setattr(listing, "BROADCAST_PATHS", 0)
+    pub = publish(ctx, tables("nation"), "nation", "n")
+    rep = exists_report(ctx, [ctx.dataset_root(pub["dataset_id"]), f"{ctx.base}/nope"]).collect()
+    assert sorted((r["has_files"], r["is_dataset"]) for r in rep) == [(False, False), (True, True)]
+
+
+def test_batch_lookup_by_join(ctx, tables, monkeypatch):
+    from quire.sources import datasets as dsmod
+
+    monkeypatch.setattr(dsmod, "MAX_OR_TERMS", 0)
+    region = tables("region")
+    ids = [publish(ctx, region, f"r{i}", "d")["dataset_id"] for i in range(3)]
+    specs = [{"df": region, "name": f"r{i}", "description": "d", "dataset_id": ids[i], "mode": "append"} for i in range(3)]
+    specs.append({"df": region, "name": "r0", "description": "d", "dataset_id": ids[0], "mode": "error"})
+    out = {r["spec_no"]: r for r in publish_many(ctx, specs).collect()}
+    assert [out[i]["accepted"] for i in (1, 2, 3)] == [True, True, True]
+    assert out[4]["error_type"] == "DatasetExistsError"
+    assert all(read_dataset(ctx, d).count() == 2 * region.count() for d in ids)
