@@ -115,3 +115,17 @@ def test_streaming_frame_refused(ctx, spark, tables):
     sdf = spark.readStream.schema(tables("region").schema).parquet("/root/testdata/sf0.001/region*.parquet")
     with pytest.raises(TypeError, match="publish_stream"):
         publish(ctx, sdf, "r", "d")
+
+
+def test_catalogue_save_one_call(spark):
+    from quire import Catalogue
+
+    cat = Catalogue(spark)
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], ["letter", "number"])
+    out = cat.save(df, "Dataset Name", "Description", tags={"environment": ["test"]})
+    assert out["accepted"] and out["n_rows"] == 3
+    assert cat.read(out["dataset_id"]).count() == 3
+    assert [r["dataset_name"] for r in cat.datasets().collect()] == ["Dataset Name"]
+    assert cat.search(tags={"environment": "test"}).count() == 1
+    with pytest.raises(TypeError):
+        cat.save("a string", "name", "description")
