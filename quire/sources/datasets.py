@@ -102,8 +102,6 @@ def states_and_probes(
         upto = visibility.with_versions(facts).filter(F.col("version") <= int(version)).select("commit_id")
         c = c.join(upto, "commit_id", "left_semi")
     key = visibility.order_key()
-    if len(dataset_ids) == 1:
-        return _one_state(c, dataset_ids[0], mine, probe)
     # job 1: per dataset, partial aggregates only (map-side combined)
     per_ds = (
         c.filter(mine)
@@ -183,59 +181,6 @@ def states_and_probes(
     return states, priors
 
 
-def _one_state(c: DataFrame, dataset_id: str, mine, probe) -> tuple[dict[str, DatasetState], dict[str, dict]]:
-    """One dataset in one action: the reset key and the last key come from one
-    uncorrelated scalar subquery (an aggregate, combined map-side), and the
-    outer filter keeps the live commits, the last commit and probed commits."""
-    key = visibility.order_key()
-    ours = c.filter(mine)
-    keys = ours.select(
-        F.struct(
-            F.max(F.when(F.col("mode").isin(*visibility.RESETS), key)).alias("reset"),
-            F.max(key).alias("last"),
-        )
-    ).scalar()
-    reset_key, last_key = keys.getField("reset"), keys.getField("last")
-    is_live = F.coalesce((key >= reset_key) & (F.col("mode") != "delete"), F.lit(False))
-    is_last = F.coalesce(key == last_key, F.lit(False))
-    rows = (
-        c.filter((mine & (is_live | is_last)) | probe)
-        .select(
-            "dataset_id", "commit_id", "mode", "replace_where", "n_rows", "schema_id",
-            F.unix_micros("committed_at").alias("_us"),
-            probe.alias("_is_probe"),
-            (mine & is_live).alias("_is_live"),
-            (mine & is_last).alias("_is_last"),
-            *[F.when(is_last, F.col(a)).alias(a) for a in ATTRS],
-        )
-        .collect()
-    )
-    priors = {
-        r["commit_id"]: {
-            "dataset_id": r["dataset_id"], "commit_id": r["commit_id"], "accepted": True,
-            "status": "committed", "mode": r["mode"], "n_rows": r["n_rows"],
-            "schema_id": r["schema_id"], "replayed": True,
-        }
-        for r in rows
-        if r["_is_probe"]
-    }
-    last = next((r for r in rows if r["_is_last"]), None)
-    if last is None:
-        return {}, priors
-    st = DatasetState(
-        dataset_id=dataset_id,
-        deleted=last["mode"] == "delete",
-        last_mode=last["mode"],
-        attrs={a: last[a] for a in ATTRS},
-    )
-    seen = set()
-    for r in sorted((r for r in rows if r["_is_live"]), key=lambda r: (r["_us"], r["commit_id"])):
-        if r["commit_id"] not in seen:
-            seen.add(r["commit_id"])
-            st.live.append(LiveCommit(r["commit_id"], r["mode"], r["_us"], r["replace_where"]))
-    return {dataset_id: st}, priors
-
-
 def segments(live: list[LiveCommit]) -> list[tuple[list[str], list[str]]]:
     """Split live commits at replace commits.
 
