@@ -35,9 +35,32 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 
-def median_time(fn, runs=RUNS, warmup=1):
+JOBS: dict[str, list[int]] = {}
+
+
+def count_jobs(name, fn):
+    """[jobs, stages] Spark ran for one call of ``fn`` (job group + status tracker)."""
+    sc = SparkSession.getActiveSession().sparkContext
+    group = f"bench-{name}-{uuid.uuid4().hex[:6]}"
+    sc.setJobGroup(group, name)
+    try:
+        fn()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    ids = tracker.getJobIdsForGroup(group)
+    stages = 0
+    for j in ids:
+        info = tracker.getJobInfo(j)
+        stages += len(info.stageIds) if info else 0
+    JOBS[name] = [len(ids), stages]
+
+
+def median_time(fn, runs=RUNS, warmup=1, name=None):
     for _ in range(warmup):
         fn()
+    if name:
+        count_jobs(name, fn)
     ts = []
     for _ in range(runs):
         t = time.perf_counter()
@@ -74,7 +97,7 @@ def main():
     # W1: publish vs a plain write of the same frame
     q["plain_write_lineitem"] = median_time(lambda: lineitem.write.parquet(f"{scratch}/{uuid.uuid4().hex}"))
     ids = []
-    q["w1_publish_lineitem"] = median_time(lambda: ids.append(publish(ctx, lineitem, "lineitem", "lines")["dataset_id"]))
+    q["w1_publish_lineitem"] = median_time(lambda: ids.append(publish(ctx, lineitem, "lineitem", "lines")["dataset_id"]), name="w1_publish_lineitem")
 
     # W6: partitioned publish vs a plain partitioned write
     parts = ["o_orderstatus", "o_orderpriority"]
@@ -82,7 +105,7 @@ def main():
         lambda: orders.write.partitionBy(*parts).parquet(f"{scratch}/{uuid.uuid4().hex}")
     )
     q["w6_publish_orders_partitioned"] = median_time(
-        lambda: publish(ctx, orders, "orders", "orders", partition_by=parts)
+        lambda: publish(ctx, orders, "orders", "orders", partition_by=parts), name="w6_publish_orders_partitioned"
     )
 
     # reads: one folder, a dataset of 1 commit, a dataset of 100 commits
@@ -90,7 +113,7 @@ def main():
     lineitem.write.parquet(plain)
     q["plain_read_lineitem"] = median_time(lambda: scan_action(spark.read.parquet(plain)))
     one = ids[-1]
-    q["w1_read_by_id_1_commit"] = median_time(lambda: scan_action(read_dataset(ctx, one)))
+    q["w1_read_by_id_1_commit"] = median_time(lambda: scan_action(read_dataset(ctx, one)), name="w1_read_by_id_1_commit")
     # 100 key ranges covering every row (approximate quantiles, then exact ranges)
     bounds = lineitem.select(F.percentile_approx("l_orderkey", [i / 100 for i in range(1, 100)], 10000).alias("b")).first()["b"]
     edges = [None] + sorted(set(bounds)) + [None]
@@ -109,7 +132,7 @@ def main():
     ]
     for i in range(0, len(specs), 10):
         publish_many(ctx, specs[i:i + 10], parallelism=CPUS).collect()
-    q["w3_read_by_id_100_commits"] = median_time(lambda: scan_action(read_dataset(ctx, first)))
+    q["w3_read_by_id_100_commits"] = median_time(lambda: scan_action(read_dataset(ctx, first)), name="w3_read_by_id_100_commits")
     n_commits = len(slices)
 
     # W14: catalogue listing as one catalogue grows to 10, 100, 1000 datasets
@@ -125,7 +148,7 @@ def main():
                 parallelism=2 * CPUS,
             ).collect()
             have += step
-        q[f"w14_list_catalogue_{n}"] = median_time(lambda: catalogue_datasets(cctx).collect())
+        q[f"w14_list_catalogue_{n}"] = median_time(lambda: catalogue_datasets(cctx).collect(), name=f"w14_list_catalogue_{n}")
     compact_catalogue(cctx)
     q["w14_list_catalogue_1000_merged"] = median_time(lambda: catalogue_datasets(cctx).collect())
 
@@ -143,7 +166,7 @@ def main():
     for d in orphans[:100]:
         spark.createDataFrame([(1,)], "x int").write.mode("overwrite").parquet(d)
     q["w15_sweep_1000_dry_run"] = median_time(
-        lambda: sweep_orphans(sctx, older_than=-60).collect(), runs=max(1, RUNS // 2)
+        lambda: sweep_orphans(sctx, older_than=-60).collect(), runs=max(1, RUNS // 2), name="w15_sweep_1000_dry_run"
     )
 
     headline = [k for k in q if not k.startswith("plain_")]
@@ -162,6 +185,7 @@ def main():
             "read_100_commits": round(q["w3_read_by_id_100_commits"] / q["plain_read_lineitem"], 3),
         },
         "commits_in_w3_dataset": n_commits,
+        "spark_jobs_stages": JOBS,
     }
     print(json.dumps(out))
 
