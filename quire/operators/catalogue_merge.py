@@ -48,10 +48,8 @@ def compact_catalogue(ctx: Context, files: int | None = None, full: bool = True)
     merged = merged.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
     gen = f"{ctx.merged_dir}/gen-{datetime.now(timezone.utc).strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
     merged.write.mode("errorifexists").parquet(gen)
-    for f in sorted({p.rsplit("/", 1)[0] for p in entry_paths}):
-        fsys.delete(spark, f)
-    for g in old_gens:
-        fsys.delete(spark, g)
+    fsys.each(lambda f: fsys.delete(spark, f), sorted({p.rsplit("/", 1)[0] for p in entry_paths}))
+    fsys.each(lambda g: fsys.delete(spark, g), old_gens)
     return {"merged_files": len(entry_paths), "merged_generations": len(old_gens), "folder": gen}
 
 

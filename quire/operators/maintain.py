@@ -81,13 +81,11 @@ def sweep_orphans(ctx: Context, older_than, dry_run: bool = True) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
         )
         sizes = {r["root"]: (r["n_files"], r["bytes"]) for r in listed.collect()}
+    deleted = fsys.each(lambda r: fsys.delete(spark, r["folder"]), picked) if not dry_run else [False] * len(picked)
     out = []
-    for r in picked:
+    for r, gone in zip(picked, deleted):
         n, b = sizes.get(r["root"], (0, 0))
-        deleted = False
-        if not dry_run:
-            deleted = fsys.delete(spark, r["folder"])
-        out.append((r["folder"], r["dataset_id"], r["commit_id"], r["modified"], n > 0, int(n), int(b or 0), deleted))
+        out.append((r["folder"], r["dataset_id"], r["commit_id"], r["modified"], n > 0, int(n), int(b or 0), bool(gone)))
     return spark.createDataFrame(out, SWEEP_SCHEMA)
 
 

@@ -6,6 +6,8 @@ always read and written by Spark jobs.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -83,3 +85,17 @@ def write_bytes_atomic(spark: SparkSession, path: str, data: bytes) -> None:
     if not fs.rename(tmp, final):
         fs.delete(tmp, False)
         raise OSError(f"could not publish {path}")
+
+
+# Metadata calls per path are round trips to the storage service; a few run at
+# once from the driver (py4j serves each Python thread on its own connection).
+METADATA_THREADS = 16
+
+
+def each(fn: Callable, items: Iterable) -> list:
+    """``[fn(x) for x in items]`` with the calls issued concurrently."""
+    items = list(items)
+    if len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(METADATA_THREADS, len(items))) as pool:
+        return list(pool.map(fn, items))

@@ -77,10 +77,7 @@ def exists_report(ctx: Context, paths: Sequence[str]) -> DataFrame:
     if isinstance(paths, str) or not all(isinstance(p, str) and p for p in paths):
         raise TypeError("paths must be a list of non-empty strings")
     spark = ctx.spark
-    rows = []
-    for p in paths:
-        ok = fsys.exists(spark, p)
-        rows.append((p, fsys.qualify(spark, p), ok))
+    rows = fsys.each(lambda p: (p, fsys.qualify(spark, p), fsys.exists(spark, p)), paths)
     given = spark.createDataFrame(rows, "path string, qualified string, exists boolean").withColumn(
         "root", norm(F.col("qualified"))
     )
