@@ -260,3 +260,32 @@ def test_batch_lookup_by_join(ctx, tables, monkeypatch):
     assert [out[i]["accepted"] for i in (1, 2, 3)] == [True, True, True]
     assert out[4]["error_type"] == "DatasetExistsError"
     assert all(read_dataset(ctx, d).count() == 2 * region.count() for d in ids)
+
+
+def test_compaction_without_shuffle_keeps_partitions(ctx, tables):
+    orders = tables("orders")
+    urgent = "coalesce(o_orderpriority IN ('1-URGENT', '2-HIGH'), false)"
+    ds = publish(ctx, orders.filter(urgent), "orders", "o", partition_by="o_orderstatus")["dataset_id"]
+    publish(ctx, orders.filter(f"NOT {urgent}"), "orders", "o", dataset_id=ds, mode="append")
+    out = compact_dataset(ctx, ds)  # files=None: no shuffle
+    assert out["accepted"] and out["n_rows"] == orders.count()
+    back = read_dataset(ctx, ds)
+    assert back.exceptAll(orders).count() == 0 and orders.exceptAll(back).count() == 0
+    got = {r["o_orderstatus"]: r["n_rows"] for r in partition_counts(ctx, ds).collect()}
+    want = {r["o_orderstatus"]: r["count"] for r in orders.groupBy("o_orderstatus").count().collect()}
+    assert got == want
+
+
+def test_partition_counts_unpartitioned(ctx, tables):
+    ds = publish(ctx, tables("region"), "region", "r")["dataset_id"]
+    rows = partition_counts(ctx, ds).collect()
+    assert len(rows) == 1 and rows[0]["n_rows"] == 5 and rows[0]["n_files"] >= 1
+
+
+def test_lineage_closure_depth_limit(ctx, spark):
+    df = spark.createDataFrame([(1,)], ["x"])
+    ids = {k: publish(ctx, df, k, k, inputs=[])["dataset_id"] for k in "abcd"}
+    for i, o in [("a", "b"), ("b", "c"), ("c", "d")]:
+        publish(ctx, df, o, o, dataset_id=ids[o], mode="append", inputs=[ids[i]])
+    near = sorted((r["dataset_name"], r["distance"]) for r in lineage_closure(ctx, ids["a"], max_depth=2).collect())
+    assert near == [("b", 1), ("c", 2)]
