@@ -174,9 +174,10 @@ def near_duplicates(
 
     pairs = written(buckets.filter("node <> lead").select(F.col("lead").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
     links = written(_linked(pairs, sets, percent), "links")
-    checked, led, fan = pairs, None, 1
+    checked, led, fan, labels, known_links = pairs, None, 16, None, -1
     while True:
-        labels = written(connected_components(links), "labels")
+        if (now := links.count()) != known_links:
+            labels, known_links = written(connected_components(links), "labels"), now
         # buckets whose members are not yet one component
         lab = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = lab.groupBy("key").agg(
@@ -195,7 +196,7 @@ def near_duplicates(
         if new.isEmpty():
             break
         led = new.select("key", "node") if led is None else led.unionByName(new.select("key", "node"))
-        fan *= 4
+        fan *= 16
         more = new.select("key", F.col("node").alias("x"), F.col("label").alias("lx")).join(lab.drop("main"), "key")
         more = more.filter("lx <> label").select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
         more = written(more.join(checked, ["u", "v"], "left_anti"), "pairs")
