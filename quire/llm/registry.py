@@ -1,7 +1,7 @@
 """The registered queries of the corpus operators and their SQL."""
 
-from quire.llm import queries_near
+from quire.llm import queries_near, queries_tokens
 
-MODULES = (queries_near,)
+MODULES = (queries_near, queries_tokens)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE_SQL = {k: s for m in MODULES for k, s in getattr(m, "ORACLE_SQL", {}).items()}
