@@ -124,7 +124,7 @@ def _term_pattern(terms: Column) -> Column:
 
 
 def sanitised(
-    docs: DataFrame, alpha: float = 1.25, removal: float = 0.95, min_joint: int = 3, words: int = 8
+    docs: DataFrame, alpha: float = 1.25, removal: float = 0.95, min_joint: int = 2, words: int = 8
 ) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ``text`` sanitised and ``spans`` added: kind (an index
     of KINDS), start, end (code points of the old text) and what stands there now.
