@@ -3,7 +3,8 @@
 Every token has a sparse ternary index vector from a seeded generator. A word's vector is
 the sum of the index vectors of its neighbours over the whole corpus. Words share
 ``buckets`` rows by hash, so the table has a fixed size whatever the corpus. A
-document is the weighted mean and spread of its words' vectors. A network with one hidden layer
+document is the weighted mean and spread of its words' vectors, how alike words one and two
+places apart are, and its length. A network with one hidden layer
 (numpy) is trained on a bounded sample of labelled documents; a temperature fitted on
 rows kept apart calibrates its probabilities.
 """
@@ -118,7 +119,7 @@ def word_vectors(table: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray
 
 
 def features(docs: DataFrame, table: np.ndarray, s: Settings) -> DataFrame:
-    """doc_id and 2 x dims pooled numbers (float32 bytes) of every row."""
+    """doc_id and 2 x dims + 3 pooled numbers (float32 bytes) of every row."""
     vectors, weights = word_vectors(table, s)
     shared = docs.sparkSession.sparkContext.broadcast((vectors, weights))  # buckets x dims float32
 
@@ -128,7 +129,8 @@ def features(docs: DataFrame, table: np.ndarray, s: Settings) -> DataFrame:
             ids, texts = batch.column(0), byte_values(batch.column(1))
             for lo, hi in runs(texts, 1 << 18):
                 t, n = _tokens(texts[lo:hi], s.buckets)
-                out = np.zeros((hi - lo, 2 * s.dims), np.float32)
+                out = np.zeros((hi - lo, 2 * s.dims + 3), np.float32)
+                out[:, -1] = np.log1p(n)
                 full = n > 0
                 if len(t):
                     starts = (np.cumsum(n) - n)[full]
@@ -137,7 +139,12 @@ def features(docs: DataFrame, table: np.ndarray, s: Settings) -> DataFrame:
                     total = np.add.reduceat(weight, starts, axis=0)
                     mean = np.add.reduceat(x * weight, starts, axis=0) / total
                     square = np.add.reduceat(x * x * weight, starts, axis=0) / total
-                    out[full] = np.hstack((mean, np.sqrt(np.maximum(square - mean * mean, 0))))
+                    out[full, : 2 * s.dims] = np.hstack((mean, np.sqrt(np.maximum(square - mean * mean, 0))))
+                    doc = np.repeat(np.arange(hi - lo), n)
+                    for gap in (1, 2):
+                        alike = np.zeros(len(t), np.float32)
+                        alike[gap:] = np.einsum("ij,ij->i", x[gap:], x[:-gap]) * (doc[gap:] == doc[:-gap])
+                        out[full, 2 * s.dims + gap - 1] = np.add.reduceat(alike, starts) / n[full]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, hi - lo), pa.array([o.tobytes() for o in out], pa.binary())], ["doc_id", "x"]
                 )
