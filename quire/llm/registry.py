@@ -1,7 +1,7 @@
 """The registered queries of the corpus operators and their SQL."""
 
-from quire.llm import queries_chat, queries_near, queries_pii, queries_quality, queries_tokens
+from quire.llm import queries_chat, queries_near, queries_pii, queries_quality, queries_tokens, queries_warc
 
-MODULES = (queries_near, queries_tokens, queries_chat, queries_pii, queries_quality)
+MODULES = (queries_near, queries_tokens, queries_chat, queries_pii, queries_quality, queries_warc)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE_SQL = {k: s for m in MODULES for k, s in getattr(m, "ORACLE_SQL", {}).items()}
