@@ -3,13 +3,15 @@
 A document's set holds the hashes of its distinct 5-word shingles. Two keyed
 bijections make the whole signature: the first spreads the shingles over 2**32
 places, the second, shifted circularly by k, gives coordinate k. Documents that
-agree on all rows of a band meet in a bucket. Buckets are verified on full sets,
-from leaders outward, until every pair of a bucket is either in one component or
-was compared: a large group of near copies costs one star, not all pairs.
+agree on all rows of a band meet in a bucket. Buckets are verified on full sets: small ones
+throughout, large ones from leaders outward, until every pair of a bucket is
+either in one component or was compared. A large group of near copies so costs a
+few stars, not all pairs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +24,9 @@ from quire.llm.common import (
 )
 from quire.llm.components import connected_components
 
-SHINGLE, BANDS, ROWS, SEED = 5, 32, 5, 20_011
+SHINGLE, ROWS, MISS, SEED = 5, 8, 1e-6, 20_011
+#: Buckets up to this size are compared throughout at once: at most SMALL - 1 pairs a member.
+SMALL = 8
 _RUN = 1 << 16  # shingles worked on at once: the working arrays stay in cache
 
 
@@ -80,7 +84,7 @@ def _band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix64(key).view(np.int64)
 
 
-def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, seed: int = SEED) -> DataFrame:
+def signatures(docs: DataFrame, bands: int, rows: int = ROWS, seed: int = SEED) -> DataFrame:
     """doc_id, n_shingles, fp (128-bit fingerprint of the set) and the band keys."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,8 +151,26 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(b, "v").join(a, "u").select("u", "v", "su", "sv").mapInArrow(compare, "u long, v long")
 
 
+def _pairs(heads: DataFrame, members: DataFrame, keep: str = "true") -> DataFrame:
+    """Distinct pairs (u < v) of a bucket's heads (key, x) with its members (key, node)."""
+    both = heads.join(members, "key").filter("x <> node").filter(keep)
+    return both.select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
+
+
+def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
+    """Bands needed so that a pair at the threshold meets in none with probability ``miss``."""
+    return math.ceil(math.log(miss) / math.log(1 - (percent / 100) ** rows))
+
+
+def _leaders(members: DataFrame, fan: int) -> DataFrame:
+    """Up to ``fan`` members of each bucket: the least of each salt, by partial aggregates."""
+    return members.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(fan)).alias("salt")).agg(
+        F.min("node").alias("node")
+    ).select("key", "node")
+
+
 def near_duplicates(
-    docs: DataFrame, percent: int = 85, bands: int = BANDS, rows: int = ROWS, seed: int = SEED
+    docs: DataFrame, percent: int = 85, rows: int = ROWS, miss: float = MISS, seed: int = SEED
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text, ...).
 
@@ -162,48 +184,45 @@ def near_duplicates(
     linked with, and each row is returned. Other columns are ignored, whatever their
     names. An empty table gives an empty result.
     """
-    sig = written(signatures(docs, bands, rows, seed), "sig")
+    sig = written(signatures(docs, bands_for(percent, rows, miss), rows, seed), "sig")
     known = sig.filter("n_shingles > 0 and doc_id is not null")
     # one representative for each distinct set: copies never meet in a bucket
     rep = known.groupBy("fp").agg(F.min(F.struct("doc_id", "bands")).alias("r"))
     spread = rep.select(F.explode("r.bands").alias("key"), F.col("r.doc_id").alias("node"))
-    heads = spread.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("top")).filter("lead < top")
-    buckets = written(spread.join(heads.drop("top"), "key").distinct(), "buckets")
-    nodes = buckets.select("node").distinct()
-    sets = written(_sets_of(docs, nodes), "sets")
-
-    pairs = written(buckets.filter("node <> lead").select(F.col("lead").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
+    sizes = spread.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("top")
+    ).filter("least < top").select("key", "n")
+    buckets = written(spread.join(sizes, "key"), "buckets")
+    sets = written(_sets_of(docs, buckets.select("node").distinct()), "sets")
+
+    # small buckets are compared throughout, large ones from some leaders
+    small, large = buckets.filter(F.col("n") <= SMALL).drop("n"), buckets.filter(F.col("n") > SMALL).drop("n")
+    led = written(_leaders(large, SMALL), "leaders")
+    pairs = written(_pairs(small.select("key", F.col("node").alias("x")).unionByName(
+        led.select("key", F.col("node").alias("x"))), buckets.select("key", "node")), "pairs")
     links = written(_linked(pairs, sets, percent), "links")
-    checked, led, fan, labels, known_links = pairs, None, 16, None, -1
+    labels = written(connected_components(links), "labels")
+    checked, fan = pairs, SMALL
     while True:
-        if (now := links.count()) != known_links:
-            labels, known_links = written(connected_components(links), "labels"), now
-        # buckets whose members are not yet one component
-        lab = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = lab.groupBy("key").agg(
-            F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("n"),
-            F.max(F.when(F.col("node") == F.col("lead"), F.col("label"))).alias("main"),
-        ).filter("a < b and n > 2").select("key", "main")
-        lab = written(lab.join(mixed, "key").select("key", "node", "label", "main"), "open")
-        todo = lab.filter("label <> main").select("key", "node", "label")
-        if led is not None:
-            todo = todo.join(led, ["key", "node"], "left_anti")
-        salt = F.pmod(F.xxhash64("node"), F.lit(fan))
-        new = written(
-            todo.groupBy("key", salt.alias("s")).agg(F.min(F.struct("node", "label")).alias("l"))
-            .select("key", F.col("l.node").alias("node"), F.col("l.label").alias("label")), "leaders",
-        )
+        # members of large buckets that are in another component than most, and led by none yet
+        lab = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        counts = lab.groupBy("key", "label").agg(F.count("*").alias("n"))
+        main = counts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("m"), F.count("*").alias("k"))
+        lab = lab.join(main.filter("k > 1").select("key", F.col("m.label").alias("main")), "key")
+        lab = written(lab.select("key", "node", "label", "main"), "open")
+        fan *= 4
+        new = lab.filter("label <> main").select("key", "node").join(led, ["key", "node"], "left_anti")
+        new = written(_leaders(new, fan), "leaders")
         if new.isEmpty():
             break
-        led = new.select("key", "node") if led is None else led.unionByName(new.select("key", "node"))
-        fan *= 16
-        more = new.select("key", F.col("node").alias("x"), F.col("label").alias("lx")).join(lab.drop("main"), "key")
-        more = more.filter("lx <> label").select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
-        more = written(more.join(checked, ["u", "v"], "left_anti"), "pairs")
-        if more.isEmpty():
-            continue
+        led = led.unionByName(new)
+        heads = new.join(lab, ["key", "node"]).select("key", F.col("node").alias("x"), F.col("label").alias("lx"))
+        more = written(_pairs(heads, lab.drop("main"), "lx <> label").join(checked, ["u", "v"], "left_anti"), "pairs")
+        found = written(_linked(more, sets, percent), "links")
         checked = checked.unionByName(more)
-        links = written(links.unionByName(_linked(more, sets, percent)), "links")
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = written(connected_components(links), "labels")
 
     # the label of a set's representative, for all rows with that set
     of_set = rep.select("fp", F.col("r.doc_id").alias("node"))
