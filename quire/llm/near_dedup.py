@@ -151,9 +151,34 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(b, "v").join(a, "u").select("u", "v", "su", "sv").mapInArrow(compare, "u long, v long")
 
 
-def _pairs(heads: DataFrame, members: DataFrame, keep: str = "true") -> DataFrame:
-    """Distinct pairs (u < v) of a bucket's heads (key, x) with its members (key, node)."""
-    both = heads.join(members, "key").filter("x <> node").filter(keep)
+def _sharable(sets: DataFrame) -> DataFrame:
+    """(node, size, shared): shingles of each set, and those that another set has too. No
+    intersection of the node's set is larger than ``shared``."""
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                x = [np.frombuffer(v.as_buffer(), np.int64) for v in part.column(1)]
+                nodes = np.repeat(part.column(0).to_numpy(), [len(v) for v in x])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(x))], ["node", "shingle"])
+
+    rows = sets.select("node", "set").mapInArrow(unfold, "node long, shingle long")
+    alone = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("top")).filter("node = top")
+    alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
+    size = sets.groupBy("node").agg(F.max(F.octet_length("set") / 8).cast("long").alias("size"))
+    return size.join(alone, "node", "left").select(
+        "node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared")
+    )
+
+
+def _pairs(heads: DataFrame, members: DataFrame, percent: int, label: bool = False) -> DataFrame:
+    """Distinct pairs (u < v) of a bucket's heads with its members (of another label), as far
+    as what they can share may suffice for a link."""
+    h = heads.select("key", F.col("node").alias("x"), *[F.col(c).alias(f"{c}_x") for c in heads.columns if c not in ("key", "node")])
+    may = (100 + percent) * F.least("shared", "shared_x") >= percent * (F.col("size") + F.col("size_x"))
+    may = may & (F.col("x") != F.col("node"))
+    both = h.join(members, "key").filter(may & (F.col("label") != F.col("label_x")) if label else may)
     return both.select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
 
 
@@ -191,15 +216,20 @@ def near_duplicates(
     spread = rep.select(F.explode("r.bands").alias("key"), F.col("r.doc_id").alias("node"))
     sizes = spread.groupBy("key").agg(
         F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("top")
-    ).filter("least < top").select("key", "n")
+    ).filter("least < top").select("key")
     buckets = written(spread.join(sizes, "key"), "buckets")
     sets = written(_sets_of(docs, buckets.select("node").distinct()), "sets")
+    # a set with too much that no other candidate has cannot be linked
+    able = _sharable(sets).filter(100 * F.col("shared") >= percent * F.col("size"))
+    buckets = buckets.join(able, "node")
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = written(buckets.join(sizes, "key"), "able")
 
     # small buckets are compared throughout, large ones from some leaders
     small, large = buckets.filter(F.col("n") <= SMALL).drop("n"), buckets.filter(F.col("n") > SMALL).drop("n")
     led = written(_leaders(large, SMALL), "leaders")
-    pairs = written(_pairs(small.select("key", F.col("node").alias("x")).unionByName(
-        led.select("key", F.col("node").alias("x"))), buckets.select("key", "node")), "pairs")
+    heads = small.unionByName(large.join(led, ["key", "node"], "left_semi"))
+    pairs = written(_pairs(heads, buckets.drop("n"), percent), "pairs")
     links = written(_linked(pairs, sets, percent), "links")
     labels = written(connected_components(links), "labels")
     checked, fan = pairs, SMALL
@@ -208,16 +238,16 @@ def near_duplicates(
         lab = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         counts = lab.groupBy("key", "label").agg(F.count("*").alias("n"))
         main = counts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("m"), F.count("*").alias("k"))
-        lab = lab.join(main.filter("k > 1").select("key", F.col("m.label").alias("main")), "key")
-        lab = written(lab.select("key", "node", "label", "main"), "open")
-        fan *= 4
+        lab = written(lab.join(main.filter("k > 1").select("key", F.col("m.label").alias("main")), "key"), "open")
+        fan *= 8
         new = lab.filter("label <> main").select("key", "node").join(led, ["key", "node"], "left_anti")
         new = written(_leaders(new, fan), "leaders")
         if new.isEmpty():
             break
         led = led.unionByName(new)
-        heads = new.join(lab, ["key", "node"]).select("key", F.col("node").alias("x"), F.col("label").alias("lx"))
-        more = written(_pairs(heads, lab.drop("main"), "lx <> label").join(checked, ["u", "v"], "left_anti"), "pairs")
+        lab = lab.drop("main")
+        more = _pairs(lab.join(new, ["key", "node"], "left_semi"), lab, percent, label=True)
+        more = written(more.join(checked, ["u", "v"], "left_anti"), "pairs")
         found = written(_linked(more, sets, percent), "links")
         checked = checked.unionByName(more)
         if not found.isEmpty():
