@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,8 +28,8 @@ from quire.llm.common import byte_values
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Words kept in memory with their pieces, for each variant and Python worker.
-CACHED_WORDS, CACHED_LENGTH = 120_000, 48
-_MASK = (1 << 64) - 1
+CACHED_WORDS, CACHED_LENGTH = 180_000, 48
+_MASK, _NONE, _ODD = (1 << 64) - 1, 1 << 62, 0x9E3779B97F4A7C15
 _CHUNK = re.compile(r" *[^ ]+| +")
 
 
@@ -42,7 +43,7 @@ class _Cache(dict):
     def __missing__(self, word: str) -> bytes:
         ids = self.before.get(word)
         if ids is None:
-            ids = np.array(self.model.segment(word, self.variant), self.model.dtype).tobytes()
+            ids = array(self.model.code, self.model.segment(word, self.variant)).tobytes()
         if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
                 self.before = dict(self)
@@ -63,6 +64,7 @@ class DropoutModel:
         size = sp.vocab_size()
         pieces = [sp.id_to_piece(i) for i in range(size)]
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.code = "H" if size <= 1 << 16 else "I"
         self.byte_ids = {int(p[3:5], 16): i for i, p in enumerate(pieces) if sp.is_byte(i)}
         if len(self.byte_ids) < 256:
             raise ValueError(f"{model_file} has no byte pieces, so not every text can be decoded")
@@ -71,7 +73,7 @@ class DropoutModel:
             raise ValueError(f"{model_file} has pieces that reach over a space")
         self.ids = {pieces[i]: i for i in words}
         order = {s: k for k, s in enumerate(sorted({sp.get_score(i) for i in words}, reverse=True))}
-        self.rank = {pieces[i]: order[sp.get_score(i)] << 48 for i in words}
+        self.rank = {pieces[i]: order[sp.get_score(i)] << 44 for i in words}
         raw = [b""] * size
         for i in words:
             raw[i] = pieces[i].replace(SPACE, " ").encode()
@@ -80,21 +82,53 @@ class DropoutModel:
         self.raw = np.array(raw, object)
         self.is_byte = np.zeros(size, bool)
         self.is_byte[list(self.byte_ids.values())] = True
-        self.literal = np.array([self.byte_ids[b] for b in SPACE.encode()], self.dtype).tobytes()
+        self.literal = array(self.code, [self.byte_ids[b] for b in SPACE.encode()]).tobytes()
         self.below = int(dropout * (1 << 32))
         self.seed, self.variants = seed, variants
         self.caches = [_Cache(self, v) for v in range(variants)]
 
     def segment(self, word: str, variant: int) -> list[int]:
-        """Piece ids of a word with its leading space. The text before a word's last
-        run of non-spaces may hold further spaces."""
+        """Piece ids of a word with its leading space, or of one after a line break
+        (with the break). Spaces before the word's last run of non-spaces belong to it."""
+        if word[:1] == "\n":
+            return [self.byte_ids[10], *self._agenda(word[1:], variant)]
         return self._agenda(SPACE + word.replace(" ", SPACE), variant)
 
     def _agenda(self, text: str, variant: int) -> list[int]:
+        key = xxhash.xxh64_intdigest(text, seed=(self.seed * 1009 + variant) & _MASK)
+        part = self._short(text, key) if len(text) <= 32 else self._long(text, key)
+        ids = list(map(self.ids.get, part))
+        if None in ids:
+            ids = [x for p, i in zip(part, ids) for x in ([i] if i is not None else [self.byte_ids[b] for b in p.encode()])]
+        return ids
+
+    def _short(self, text: str, key: int) -> list[str]:
+        """The agenda of a short word as a list: the candidate of each place, best first."""
+        part, get, below = list(text), self.rank.get, self.below
+        at = list(range(len(part)))  # where each part starts in the word
+        agenda = [get(a + b, _NONE) for a, b in zip(part, part[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == _NONE:
+                break
+            i = agenda.index(best)
+            a = part[i] + part[i + 1]
+            if ((key ^ best ^ at[i] << 12 ^ len(a)) * _ODD & _MASK) >> 32 < below:
+                agenda[i] = _NONE
+                continue
+            part[i] = a
+            del part[i + 1], at[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = get(a + part[i + 1], _NONE)
+            if i:
+                agenda[i - 1] = get(part[i - 1] + a, _NONE)
+        return part
+
+    def _long(self, text: str, key: int) -> list[str]:
+        """The agenda of a long word as a heap; candidates that a merge made void are passed over."""
         part, n = list(text), len(text)
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
         rank, below = self.rank, self.below
-        key = xxhash.xxh64_intdigest(text, seed=(self.seed * 1009 + variant) & _MASK)
         agenda = []
         for i in range(n - 1):
             r = rank.get(part[i] + part[i + 1])
@@ -104,15 +138,12 @@ class DropoutModel:
         pop, push = heapq.heappop, heapq.heappush
         while agenda:
             c = pop(agenda)
-            i, size = (c >> 12) & 0xFFFFFFFFF, c & 0xFFF
+            i, size = (c >> 12) & 0xFFFFFFFF, c & 0xFFF
             a = part[i]
             if not a or (j := right[i]) >= n or len(a) + len(part[j]) != size:
                 continue  # one of the two has been merged meanwhile
-            if below:
-                h = ((key ^ c) * 0x9E3779B97F4A7C15) & _MASK
-                h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & _MASK
-                if h >> 32 < below:
-                    continue
+            if ((key ^ c) * _ODD & _MASK) >> 32 < below:
+                continue
             a += part[j]
             part[i], part[j] = a, ""
             k = right[i] = right[j]
@@ -126,36 +157,31 @@ class DropoutModel:
                 r = rank.get(part[p] + a)
                 if r is not None:
                     push(agenda, r | p << 12 | len(part[p]) + size)
-        out = []
-        for p in part:
-            if p:
-                i = self.ids.get(p)
-                if i is None:
-                    out.extend(self.byte_ids[b] for b in p.encode())
-                else:
-                    out.append(i)
-        return out
+        return [p for p in part if p]
 
     def encode(self, text: str, key: int) -> bytes:
         """Little-endian piece ids. ``key`` (of the document) picks the variants."""
         if not text:
             return b""
-        if SPACE not in text:
-            return self._encode_plain(text, key)
-        parts = text.split(SPACE)
-        out = [self._encode_plain(parts[0], key)]
-        for p in parts[1:]:
-            # what follows a literal U+2581 has no leading space of its own
-            head, space, rest = p.partition(" ")
-            out += [self.literal, np.array(self._agenda(head, key % self.variants), self.dtype).tobytes() if head else b""]
-            if space:
-                out.append(self._encode_plain(rest, key))
+        odd = SPACE in text or "  " in text or " \n" in text or text[0] == " " or text[-1] == " "
+        if not odd:
+            return self._words(text.replace("\n", " \n").split(" "), key)
+        out, literal = [], False
+        for run in text.split(SPACE):
+            out.append(self.literal if literal else b"")
+            for k, line in enumerate(run.split("\n")):
+                # after a line break or a literal U+2581 a word has no space of its own
+                if k or literal:
+                    head, space, line = line.partition(" ")
+                    head = self._agenda(head, key % self.variants) if head else []
+                    out.append(array(self.code, [self.byte_ids[10]] * bool(k) + head).tobytes())
+                    if not space:
+                        continue
+                out.append(self._words([c[1:] for c in _CHUNK.findall(" " + line)], key))
+            literal = True
         return b"".join(out)
 
-    def _encode_plain(self, text: str, key: int) -> bytes:
-        words = text.split(" ")
-        if "  " in text or text[:1] == " " or text[-1:] in (" ", ""):
-            words = [c[1:] for c in _CHUNK.findall(" " + text)]
+    def _words(self, words: list[str], key: int) -> bytes:
         v = self.variants
         if v == 1:
             return b"".join(map(self.caches[0].__getitem__, words))
