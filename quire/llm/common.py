@@ -113,3 +113,19 @@ def in_filter(bits: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     """Which of the ``xxhash64`` values may be in the bitmap."""
     h = hashed.astype(np.int64) & np.int64(len(bits) * 32 - 1)
     return (bits[h >> 5] >> (h & 31).astype(np.uint32)) & np.uint32(1) == 1
+
+
+def put_file(spark: SparkSession, name: str, data: bytes) -> str:
+    """Writes ``data`` to the shared folder and hands it to all executors as a local file;
+    returns the name to ask ``SparkFiles`` for."""
+    path = fresh_path(spark, name)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, False)
+    try:
+        for at in range(0, len(data), 4 << 20):
+            out.write(bytearray(data[at : at + (4 << 20)]))
+    finally:
+        out.close()
+    spark.sparkContext.addFile(path)
+    return path.rsplit("/", 1)[1]
