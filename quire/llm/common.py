@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -94,12 +94,11 @@ def windows(hashes: np.ndarray, n: int, multipliers: np.ndarray) -> np.ndarray:
     return mix64(out)
 
 
-def id_filter(df: DataFrame, column: str, log2_bits: int = 24) -> np.ndarray:
-    """A bitmap of hashed ``column`` values: 2**log2_bits bits whatever the input, so it
-    may be sent to all tasks. It lets strangers through; an exact join follows."""
-    h = F.xxhash64(F.col(column).cast("long")).bitwiseAND(F.lit((1 << log2_bits) - 1))
+def bit_filter(df: DataFrame, hashed: Column, log2_bits: int = 24) -> np.ndarray:
+    """A bitmap of hash values: 2**log2_bits bits whatever the input, so it may be sent to
+    all tasks. It lets strangers through; an exact join follows."""
     rows = (
-        df.select(h.alias("h"))
+        df.select(hashed.bitwiseAND(F.lit((1 << log2_bits) - 1)).alias("h"))
         .groupBy(F.shiftright("h", 5).alias("w"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(h % 32 AS int))")).alias("b"))
         .toPandas()
@@ -110,7 +109,7 @@ def id_filter(df: DataFrame, column: str, log2_bits: int = 24) -> np.ndarray:
 
 
 def in_filter(bits: np.ndarray, hashed: np.ndarray) -> np.ndarray:
-    """Which of the ``xxhash64`` values may be in the bitmap."""
+    """Which of the hash values may be in the bitmap."""
     h = hashed.astype(np.int64) & np.int64(len(bits) * 32 - 1)
     return (bits[h >> 5] >> (h & 31).astype(np.uint32)) & np.uint32(1) == 1
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from quire.llm.common import (
-    byte_values, hash_words, id_filter, in_filter, mix64, odd_constants, windows, written,
+    bit_filter, byte_values, hash_words, in_filter, mix64, odd_constants, windows, written,
 )
 from quire.llm.components import connected_components
 
@@ -112,7 +112,7 @@ def signatures(docs: DataFrame, bands: int, rows: int = ROWS, seed: int = SEED)
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, set) of the documents in ``nodes``: a scan that drops strangers early by a
     bitmap of fixed size, then an exact join."""
-    bits = id_filter(nodes, "node")
+    bits = bit_filter(nodes, F.xxhash64(F.col("node").cast("long")))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

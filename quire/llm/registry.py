@@ -1,7 +1,13 @@
 """The registered queries of the corpus operators and their SQL."""
 
-from quire.llm import queries_chat, queries_near, queries_pii, queries_quality, queries_rules, queries_tokens, queries_warc
+from quire.llm import (
+    queries_chat, queries_leaks, queries_lm, queries_near, queries_pii, queries_quality, queries_rules, queries_tokens,
+    queries_warc,
+)
 
-MODULES = (queries_near, queries_tokens, queries_chat, queries_pii, queries_quality, queries_warc, queries_rules)
+MODULES = (
+    queries_leaks, queries_near, queries_warc, queries_rules, queries_pii, queries_tokens, queries_lm, queries_quality,
+    queries_chat,
+)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE_SQL = {k: s for m in MODULES for k, s in getattr(m, "ORACLE_SQL", {}).items()}
