@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from quire.llm.common import table
-from quire.llm import sentencepiece_dropout as spm
+from quire.llm import sentencepiece_dropout as spm, training_order
+from quire.llm.common import fresh_path, table
 
 
 def op8_sentencepiece(spark, sf_dir):
@@ -18,4 +18,12 @@ def op8_sentencepiece(spark, sf_dir):
     )
 
 
-QUERIES = {"op8_sentencepiece": op8_sentencepiece}
+def op6_training_order(spark, sf_dir):
+    """All documents tokenised and written as shards in training order; every slot read back."""
+    path = fresh_path(spark, "order")
+    layout = training_order.write_training_order(table(spark, sf_dir, "documents"), path)
+    rows = training_order.read_training_order(spark, path, layout)
+    return rows.select("slot", "shard", "offset", "sequence", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES = {"op8_sentencepiece": op8_sentencepiece, "op6_training_order": op6_training_order}
