@@ -54,14 +54,18 @@ def byte_values(column: pa.Array) -> list[bytes]:
 
 def runs(texts: list[bytes], most: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges of about ``most`` bytes; a longer text is a range of its own."""
+    return runs_of([len(t) for t in texts], most)
+
+
+def runs_of(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     lo, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
+    for i, n in enumerate(sizes):
+        if size and size + n > most:
             yield lo, i
             lo, size = i, 0
-        size += len(t)
-    if lo < len(texts):
-        yield lo, len(texts)
+        size += n
+    if lo < len(sizes):
+        yield lo, len(sizes)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

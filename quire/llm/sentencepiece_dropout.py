@@ -23,33 +23,49 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from quire.llm.common import byte_values
+from quire.llm.common import byte_values, runs_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Words kept in memory with their pieces, for each variant and Python worker.
-CACHED_WORDS, CACHED_LENGTH = 180_000, 48
+CACHED_WORDS = 150_000
+_ROWS = 1 << 15  # words that advance together
 _MASK, _NONE, _ODD = (1 << 64) - 1, 1 << 62, 0x9E3779B97F4A7C15
 _CHUNK = re.compile(r" *[^ ]+| +")
 
 
-class _Cache(dict):
-    """Pieces by word for one variant: the words of late, and those of the time before."""
-
-    def __init__(self, model: "DropoutModel", variant: int):
-        super().__init__()
-        self.model, self.variant, self.before = model, variant, {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.before.get(word)
-        if ids is None:
-            ids = array(self.model.code, self.model.segment(word, self.variant)).tobytes()
-        if len(word) <= CACHED_LENGTH:
-            if len(self) >= CACHED_WORDS:
-                self.before = dict(self)
-                self.clear()
-            self[word] = ids
-        return ids
+class _PairTable:
+    """Merged piece of two neighbouring pieces, by open addressing in numpy arrays."""
+
+    _FACTOR, _BITS = np.uint64(0x9E3779B97F4A7C15), 21
+
+    def __init__(self, pairs: dict[int, int]):
+        while 4 * len(pairs) > 1 << self._BITS:
+            self._BITS += 1
+        size = 1 << self._BITS
+        self.keys, self.values = np.full(size, -1, np.int64), np.full(size, -1, np.int32)
+        keys = np.fromiter(pairs, np.int64, len(pairs))
+        for key, h, value in zip(keys.tolist(), self._place(keys).tolist(), pairs.values()):
+            while self.keys[h] >= 0:
+                h = (h + 1) % size
+            self.keys[h], self.values[h] = key, value
+
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * self._FACTOR) >> np.uint64(64 - self._BITS)).astype(np.int64)
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The merged piece's id, or -1."""
+        h = self._place(key)
+        found = self.keys[h]
+        out = np.where(found == key, self.values[h], -1)
+        left = np.flatnonzero((found != key) & (found >= 0))
+        while len(left):
+            h[left] = (h[left] + 1) & (len(self.keys) - 1)
+            found = self.keys[h[left]]
+            hit = found == key[left]
+            out[left[hit]] = self.values[h[left[hit]]]
+            left = left[~hit & (found >= 0)]
+        return out
 
 
 class DropoutModel:
@@ -82,10 +98,21 @@ class DropoutModel:
         self.raw = np.array(raw, object)
         self.is_byte = np.zeros(size, bool)
         self.is_byte[list(self.byte_ids.values())] = True
+        self.line_break = array(self.code, [self.byte_ids[10]]).tobytes()
         self.literal = array(self.code, [self.byte_ids[b] for b in SPACE.encode()]).tobytes()
         self.below = int(dropout * (1 << 32))
         self.seed, self.variants = seed, variants
-        self.caches = [_Cache(self, v) for v in range(variants)]
+        self.caches: list[tuple[dict, dict]] = [({}, {}) for _ in range(variants)]  # of late, and before
+        self.size, self.rank_of = size, np.zeros(size, np.int64)
+        self.rank_of[words] = [self.rank[pieces[i]] >> 44 for i in words]
+        self.id_of_char = np.full(0x110000, size, np.int32)  # ``size`` stands for characters without a piece
+        for i in words:
+            if len(pieces[i]) == 1:
+                self.id_of_char[ord(pieces[i])] = i
+        self.pairs = _PairTable({
+            self.ids[p[:k]] * (size + 1) + self.ids[p[k:]]: i
+            for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids
+        })
 
     def segment(self, word: str, variant: int) -> list[int]:
         """Piece ids of a word with its leading space, or of one after a line break
@@ -94,35 +121,88 @@ class DropoutModel:
             return [self.byte_ids[10], *self._agenda(word[1:], variant)]
         return self._agenda(SPACE + word.replace(" ", SPACE), variant)
 
+    def _key(self, text: str, variant: int) -> int:
+        return xxhash.xxh64_intdigest(text) ^ ((self.seed * 1009 + variant + 1) * _ODD & _MASK)
+
     def _agenda(self, text: str, variant: int) -> list[int]:
-        key = xxhash.xxh64_intdigest(text, seed=(self.seed * 1009 + variant) & _MASK)
-        part = self._short(text, key) if len(text) <= 32 else self._long(text, key)
+        part = self._long(text, self._key(text, variant))
         ids = list(map(self.ids.get, part))
         if None in ids:
             ids = [x for p, i in zip(part, ids) for x in ([i] if i is not None else [self.byte_ids[b] for b in p.encode()])]
         return ids
 
-    def _short(self, text: str, key: int) -> list[str]:
-        """The agenda of a short word as a list: the candidate of each place, best first."""
-        part, get, below = list(text), self.rank.get, self.below
-        at = list(range(len(part)))  # where each part starts in the word
-        agenda = [get(a + b, _NONE) for a, b in zip(part, part[1:])]
-        while agenda:
-            best = min(agenda)
-            if best == _NONE:
-                break
-            i = agenda.index(best)
-            a = part[i] + part[i + 1]
-            if ((key ^ best ^ at[i] << 12 ^ len(a)) * _ODD & _MASK) >> 32 < below:
-                agenda[i] = _NONE
-                continue
-            part[i] = a
-            del part[i + 1], at[i + 1], agenda[i]
-            if i < len(agenda):
-                agenda[i] = get(a + part[i + 1], _NONE)
-            if i:
-                agenda[i - 1] = get(part[i - 1] + a, _NONE)
-        return part
+    def segment_many(self, words: list[str], variant: int) -> list[bytes]:
+        """``segment`` for many words: short ones advance together, a merge of each at a time."""
+        out: list = [None] * len(words)
+        by_size: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            n = len(w) + (w[:1] != "\n")
+            by_size.setdefault(8 if n <= 8 else 16 if n <= 16 else 32 if n <= 32 else 0, []).append(i)
+        for i in by_size.pop(0, []):
+            out[i] = array(self.code, self.segment(words[i], variant)).tobytes()
+        for width, index in by_size.items():
+            for lo in range(0, len(index), _ROWS):
+                rows = index[lo : lo + _ROWS]
+                texts = [w[1:] if w[:1] == "\n" else SPACE + w.replace(" ", SPACE) for w in map(words.__getitem__, rows)]
+                ids, counts, odd = self._together(texts, variant, width)
+                raw, ends = ids.astype(self.dtype).tobytes(), (np.cumsum(counts) * self.dtype.itemsize).tolist()
+                for i, a, b, o in zip(rows, [0, *ends], ends, odd.tolist()):
+                    if o:
+                        out[i] = array(self.code, self.segment(words[i], variant)).tobytes()
+                    else:
+                        out[i] = self.line_break + raw[a:b] if words[i][:1] == "\n" else raw[a:b]
+        return out
+
+    def _together(self, texts: list[str], variant: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of all texts in a row, their number for each text, and which texts have
+        characters without a piece (their pieces are not valid)."""
+        n, none = len(texts), np.int64(_NONE >> 44)
+        points = np.array(texts, f"<U{width}").view(np.uint32).reshape(n, width)
+        size = np.fromiter(map(len, texts), np.int64, n)
+        real = np.arange(width) < size[:, None]  # a text may hold U+0000, which pads as well
+        part = np.where(real, self.id_of_char[points], self.size).astype(np.int64)
+        odd = (real & (part == self.size)).any(axis=1)
+        key = np.fromiter(map(xxhash.xxh64_intdigest, texts), np.uint64, n) ^ np.uint64((self.seed * 1009 + variant + 1) * _ODD & _MASK)
+        merged = np.full((n, width), -1, np.int64)
+        merged[:, :-1] = self.pairs.find((part[:, :-1] * (self.size + 1) + part[:, 1:]).ravel()).reshape(n, width - 1)
+        rank = np.where(merged >= 0, self.rank_of[merged], none)
+        alive, length = real.copy(), np.ones((n, width), np.int64)
+        right, left = np.tile(np.arange(1, width + 1), (n, 1)), np.tile(np.arange(-1, width - 1), (n, 1))
+        row = np.flatnonzero(~odd)
+
+        def renew(r, at, after):
+            """The candidate of piece ``at`` of rows ``r`` with the piece ``after`` it."""
+            there = (after < width) & real[r, np.minimum(after, width - 1)]
+            m = np.full(len(r), -1, np.int64)
+            m[there] = self.pairs.find(part[r[there], at[there]] * (self.size + 1) + part[r[there], after[there]])
+            merged[r, at] = m
+            rank[r, at] = np.where(m >= 0, self.rank_of[m], none)
+
+        while len(row):
+            open_ = rank[row]
+            at = open_.argmin(axis=1)
+            best = open_[np.arange(len(row)), at]
+            go = best < none
+            row, at, best = row[go], at[go], best[go]
+            nxt = right[row, at]
+            total = length[row, at] + length[row, nxt]
+            if self.below:
+                c = best << 44 ^ at << 12 ^ total
+                skip = ((key[row] ^ c.astype(np.uint64)) * np.uint64(_ODD)) >> np.uint64(32) < np.uint64(self.below)
+                rank[row[skip], at[skip]] = none
+                r, i, j, total = row[~skip], at[~skip], nxt[~skip], total[~skip]
+            else:
+                r, i, j = row, at, nxt
+            part[r, i], length[r, i], alive[r, j], rank[r, j] = merged[r, i], total, False, none
+            after = right[r, j]
+            right[r, i] = after
+            inner = after < width
+            left[r[inner], after[inner]] = i[inner]
+            renew(r, i, after)
+            before = left[r, i]
+            some = before >= 0
+            renew(r[some], before[some], i[some])
+        return part[alive], alive.sum(axis=1), odd
 
     def _long(self, text: str, key: int) -> list[str]:
         """The agenda of a long word as a heap; candidates that a merge made void are passed over."""
@@ -159,13 +239,48 @@ class DropoutModel:
                     push(agenda, r | p << 12 | len(part[p]) + size)
         return [p for p in part if p]
 
+    def encode_many(self, texts: list[str], keys: list[int]) -> list[bytes]:
+        """Little-endian piece ids of each text. ``keys`` (of the documents) pick the variants."""
+        v = self.variants
+        lists, needed = [], [set() for _ in range(v)]
+        for text, key in zip(texts, keys):
+            odd = SPACE in text or "  " in text or " \n" in text or text[:1] in (" ", "") or text[-1] == " "
+            lists.append(None if odd else text.replace("\n", " \n").split(" "))
+            if not odd:
+                for r in range(v):
+                    needed[(key + r) % v].update(lists[-1][r::v])
+        found = [self._looked_up(need, k) for k, need in enumerate(needed)]
+        out = []
+        for text, key, words in zip(texts, keys, lists):
+            if words is None:
+                out.append(self._odd(text, key))
+                continue
+            ids = [b""] * len(words)
+            for r in range(v):
+                ids[r::v] = map(found[(key + r) % v].__getitem__, words[r::v])
+            out.append(b"".join(ids))
+        return out
+
+    def _looked_up(self, needed: set, variant: int) -> dict:
+        """Pieces by word, for at least the words needed."""
+        late, before = self.caches[variant]
+        if len(late) > CACHED_WORDS:
+            late, before = {}, late
+            self.caches[variant] = (late, before)
+        needed.difference_update(late)
+        for w in needed.intersection(before):
+            late[w] = before[w]
+        new = list(needed.difference(before))
+        late.update(zip(new, self.segment_many(new, variant)))
+        return late
+
     def encode(self, text: str, key: int) -> bytes:
-        """Little-endian piece ids. ``key`` (of the document) picks the variants."""
+        return self.encode_many([text], [key])[0]
+
+    def _odd(self, text: str, key: int) -> bytes:
+        """Texts with runs of spaces, or with U+2581 itself."""
         if not text:
             return b""
-        odd = SPACE in text or "  " in text or " \n" in text or text[0] == " " or text[-1] == " "
-        if not odd:
-            return self._words(text.replace("\n", " \n").split(" "), key)
         out, literal = [], False
         for run in text.split(SPACE):
             out.append(self.literal if literal else b"")
@@ -177,19 +292,12 @@ class DropoutModel:
                     out.append(array(self.code, [self.byte_ids[10]] * bool(k) + head).tobytes())
                     if not space:
                         continue
-                out.append(self._words([c[1:] for c in _CHUNK.findall(" " + line)], key))
+                words = [c[1:] for c in _CHUNK.findall(" " + line)]
+                for r, w in enumerate(words):
+                    out.append(array(self.code, self._agenda(SPACE + w.replace(" ", SPACE), (key + r) % self.variants)).tobytes())
             literal = True
         return b"".join(out)
 
-    def _words(self, words: list[str], key: int) -> bytes:
-        v = self.variants
-        if v == 1:
-            return b"".join(map(self.caches[0].__getitem__, words))
-        out = [b""] * len(words)
-        for r in range(v):
-            out[r::v] = map(self.caches[(key + r) % v].__getitem__, words[r::v])
-        return b"".join(out)
-
     def decode(self, ids: bytes) -> bytes:
         """The text of ``encode``'s ids, in UTF-8."""
         if not ids:
@@ -218,10 +326,11 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load(model_file, dropout, seed, variants)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            sizes = [len(t) for t in byte_values(batch.column(1))]
+            for lo, hi in runs_of(sizes, 4 << 20):
+                part = batch.slice(lo, hi - lo)
                 keys = [0 if k is None else xxhash.xxh32_intdigest(str(k)) for k in part.column(0).to_pylist()]
-                ids = [m.encode(t or "", k) for t, k in zip(part.column(1).to_pylist(), keys)]
+                ids = m.encode_many([t or "" for t in part.column(1).to_pylist()], keys)
                 size = m.dtype.itemsize
                 n_bytes = [int(m.is_byte[np.frombuffer(x, m.dtype)].sum()) for x in ids]
                 yield pa.RecordBatch.from_arrays(
