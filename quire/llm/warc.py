@@ -60,15 +60,20 @@ def _record(fields: list[tuple[bytes, bytes]], block: bytes) -> bytes:
     return b"%b\r\n%bContent-Length: %d\r\n\r\n%b\r\n\r\n" % (VERSION, head, len(block), block)
 
 
-def _records(number, page, url, html, sha1, refers, refers_number, segment_bytes, chunk_bytes) -> Iterator[bytes]:
+def _line(text: str | None) -> bytes:
+    return " ".join((text or "").split()).encode()
+
+
+def _records(number, page, url, html, sha1, refers, refers_url, segment_bytes, chunk_bytes) -> Iterator[bytes]:
     own = [(b"WARC-Page-Id", str(page).encode())] if page is not None else []
     digest = b"sha1:" + base64.b32encode(bytes.fromhex(sha1))
-    shared = [(b"WARC-Target-URI", " ".join((url or "").split()).encode()), (b"WARC-Date", _DATE), (b"WARC-Payload-Digest", digest), *own]
+    shared = [(b"WARC-Target-URI", _line(url)), (b"WARC-Date", _DATE), (b"WARC-Payload-Digest", digest), *own]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
     if refers is not None:
         block = http + b"Content-Length: %d\r\n\r\n" % len(html)
         yield _record([(b"WARC-Type", b"revisit"), (b"WARC-Record-ID", _uri(number)), *shared, (b"WARC-Profile", _PROFILE),
-                       (b"WARC-Refers-To", _uri(refers_number)), (b"WARC-Refers-To-Page-Id", str(refers).encode()),
+                       (b"WARC-Refers-To-Target-URI", _line(refers_url)), (b"WARC-Refers-To-Date", _DATE),
+                       (b"WARC-Refers-To-Page-Id", str(refers).encode()),
                        (b"Content-Type", b"application/http; msgtype=response")], block)
         return
     block = http + b"Transfer-Encoding: chunked\r\n\r\n" + chunked(html, chunk_bytes)
@@ -97,14 +102,18 @@ def write_warc(
     p = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("html"),
-    ).withColumn("sha1", F.sha1("html")).withColumn("number", F.monotonically_increasing_id())
+    ).withColumn("sha1", F.sha1("html"))
     large = (F.octet_length("html") >= REVISIT_BYTES) & F.col("page_id").isNotNull()
-    # digests held by several pages; the payloads themselves are joined only with these
+    # digests held by several pages, and the page that holds the response
     held = p.filter(large).groupBy("sha1").agg(
-        F.max(F.struct("page_id", "number")).alias("last"), F.min("page_id").alias("least")
-    ).filter("last.page_id > least").select("sha1", "last")
-    revisits = p.filter(large).select("number", "page_id", "sha1").join(held, "sha1").filter("page_id < last.page_id")
-    p = p.join(revisits.select("number", F.col("last.page_id").alias("refers"), F.col("last.number").alias("refers_number")), "number", "left")
+        F.max(F.struct("page_id", "url")).alias("last"), F.min("page_id").alias("least")
+    ).filter("last.page_id > least").select("sha1", F.col("last.page_id").alias("last"), F.col("last.url").alias("last_url"))
+    p = p.join(held, "sha1", "left")
+    again = large & (F.col("page_id") < F.col("last"))
+    p = p.select(
+        F.monotonically_increasing_id().alias("number"), "page_id", "url", "html", "sha1",
+        F.when(again, F.col("last")).alias("refers"), F.when(again, F.col("last_url")).alias("refers_url"),
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,7 +123,7 @@ def write_warc(
                 out = [r[:-2] for row in rows for r in _records(*row, segment_bytes, chunk_bytes)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
-    rows = p.select("number", "page_id", "url", "html", "sha1", "refers", "refers_number").mapInArrow(run, "record binary")
+    rows = p.mapInArrow(run, "record binary")
     rows.select(F.col("record").cast("string").alias("value")).write.text(path, compression=compression, lineSep="\r\n")
 
 
@@ -156,7 +165,7 @@ def payload_of(block: bytes) -> tuple[bytes, int | None]:
 
 _FIELDS = {
     "type": "warc-type", "record_id": "warc-record-id", "uri": "warc-target-uri", "digest": "warc-payload-digest",
-    "page_id": "warc-page-id", "refers_to": "warc-refers-to", "refers_page": "warc-refers-to-page-id",
+    "page_id": "warc-page-id", "refers_uri": "warc-refers-to-target-uri", "refers_page": "warc-refers-to-page-id",
     "origin": "warc-segment-origin-id",
 }
 
