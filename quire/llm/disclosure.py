@@ -137,11 +137,12 @@ def sanitised(
     and rows are kept as they are. Other columns are passed on, whatever their names
     (a column ``spans`` is replaced). An empty table gives an empty result.
     """
-    docs = docs.drop("spans")
+    cols = [c for c in docs.columns if c != "spans"]
+    docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("doc"), F.col("text").cast("string").alias("text"))
     base = _base(docs, words)
-    cols = docs.columns
     found = written(base.filter(F.size("_found") > 0).withColumn("_row", F.monotonically_increasing_id()), "found")
-    clean = base.filter(F.size("_found") == 0).select(*cols, F.array().cast(f"array<{_SPAN}>").alias("spans"))
+    out = [F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in cols]
+    clean = base.filter(F.size("_found") == 0).select(*out, F.array().cast(f"array<{_SPAN}>").alias("spans"))
 
     terms = written(disclosing_terms(found, docs.select("text"), alpha, removal, min_joint), "terms")
     entity = F.array_distinct(F.transform("_found", lambda m: m["entity"]))
@@ -171,4 +172,4 @@ def sanitised(
         lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.char_length("text"))),
     )
     rows = rows.withColumn("text", walked)
-    return clean.unionByName(rows.select(*cols, "spans"))
+    return clean.unionByName(rows.select(*out, "spans"))

@@ -1,0 +1,72 @@
+import random
+import re
+
+from quire.llm.disclosure import KINDS, PATTERNS, sanitised
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def valid(kind, m):
+    d = [int(c) for c in m if c in "0123456789"]
+    if kind == "ip":
+        return all(int(x) <= 255 for x in m.split("."))
+    if kind == "card":
+        return 13 <= len(d) <= 19 and sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(reversed(d))) % 10 == 0
+    return 9 <= len(d) <= 15 if kind == "phone" else True
+
+
+def brute(text):
+    return [(k, m.start(), m.end()) for k, kind in enumerate(PLAIN) for m in re.finditer(PLAIN[kind], text or "") if valid(kind, m.group())]
+
+
+def base_of(row):
+    return [(s.kind, s.start, s.end) for s in row.spans if s.kind < len(PATTERNS)]
+
+
+TRICKY = [
+    "a@b.co_x@y.zz a@b.c.d.", "mail é𝄞 x.y+z@mail-1.example.org, or @no.where a@b", "1.2.3.4 1.2.3.4.5.6.7.8 256.1.1.1 0001.02.003.0255 1.2.3",
+    "4111 1111 1111 1111 and 4111-1111-1111-1112 4111  1111", "+1 (706) 555-3138 +44 20 7946 0958 ext +12 34 +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7",
+    "+1 4111111111111111 9@9.9 4644348398010899", "a" * 3000 + "@" + "b" * 3000, "1 " * 1500, "1." * 1500, "+1" * 500 + "2345678901",
+    "x@y.z" * 300, "192.168.0.1" * 50,
+]
+
+
+def test_base_as_brute_force(docs_of):
+    rng = random.Random(4)
+    rows = list(enumerate(TRICKY + ["".join(rng.choices("a1@.+- ()4é_5%", k=rng.randrange(60))) for _ in range(1500)]))
+    texts = dict(rows)
+    for r in sanitised(docs_of(rows)).collect():
+        assert base_of(r) == brute(texts[r.doc_id]), texts[r.doc_id][:200]
+
+
+def test_terms_that_disclose(docs_of):
+    rows = [(i, f"quiet words here the zebrafish keeper ann@x.org wrote of rain on day {i}") for i in range(4)]
+    rows += [(i, f"the rain wrote of quiet words here and the keeper left on day {i}") for i in range(10, 60)]
+    got = {r.doc_id: r for r in sanitised(docs_of(rows), alpha=1.25).collect()}
+    for i in range(4):
+        text = dict(rows)[i]
+        terms = {text[s.start : s.end]: s.label for s in got[i].spans if KINDS[s.kind] == "term"}
+        assert terms == {"zebrafish": ""}
+        assert "[EMAIL]" in got[i].text and "ann@" not in got[i].text and "zebrafish" not in got[i].text and "keeper" in got[i].text
+    assert all(got[i].spans == [] and got[i].text == dict(rows)[i] for i in range(10, 60))
+
+
+def test_odd_rows(docs_of, odd_rows):
+    rows = odd_rows + [(20, "a@b.cd"), (20, "a@b.cd"), (None, "ip 10.0.0.1")]
+    df = docs_of(rows)
+    out = sanitised(df)
+    assert out.columns == [*[c for c in df.columns if c != "spans"], "spans"]
+    got = out.collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    assert [r.text for r in got if r.doc_id == 2] == [None] and [r.text for r in got if r.doc_id == 20] == ["[EMAIL]"] * 2
+    assert "ip [IP]" in [r.text for r in got if r.doc_id is None]
+    assert all(r["row"] == r["_found"] == r["label"] == "other" for r in got)
+    assert sanitised(docs_of([])).collect() == []
+
+
+def test_native_plan(docs_of):
+    plan = sanitised(docs_of([(1, "a@b.cd")]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
