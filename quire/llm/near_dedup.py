@@ -27,6 +27,7 @@ from quire.llm.components import connected_components
 SHINGLE, ROWS, MISS, SEED = 5, 8, 1e-6, 20_011
 #: Buckets up to this size are compared throughout at once: at most SMALL - 1 pairs a member.
 SMALL = 8
+PARTS = 64
 _RUN = 1 << 16  # shingles worked on at once: the working arrays stay in cache
 
 
@@ -152,8 +153,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sharable(sets: DataFrame) -> DataFrame:
-    """(node, size, shared): shingles of each set, and those that another set has too. No
-    intersection of the node's set is larger than ``shared``."""
+    """(node, size, shared, parts): shingles of each set, how many of them another set has too,
+    and these by part of the hash space. Two sets share no more than the lesser number
+    of each part, added up."""
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,21 +166,35 @@ def _sharable(sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(x))], ["node", "shingle"])
 
     rows = sets.select("node", "set").mapInArrow(unfold, "node long, shingle long")
-    alone = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("top")).filter("node = top")
-    alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
-    size = sets.groupBy("node").agg(F.max(F.octet_length("set") / 8).cast("long").alias("size"))
-    return size.join(alone, "node", "left").select(
-        "node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared")
-    )
+    # a row for each shingle, so that the parts can be counted without its holders
+    held = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("top"))
+    part = F.col("shingle").bitwiseAND(F.lit(PARTS - 1)).cast("int")
+    alone = held.filter("node = top").groupBy("node", part.alias("part")).agg(F.count("*").cast("int").alias("n"))
+    alone = alone.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("part", "n"))).alias("alone"))
+    # what an id with several sets holds alone cannot be told apart by set: its sets keep all
+    alone = alone.join(sets.groupBy("node").agg(F.count("*").alias("k")).filter("k > 1"), "node", "left_anti")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [np.frombuffer(v.as_buffer(), np.uint64) & np.uint64(PARTS - 1) for v in batch.column(1)]
+            n = [np.bincount(v.astype(np.int64), minlength=PARTS).astype(np.int32) for v in x]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.list_(pa.int32()))], ["node", "all"])
+
+    every = sets.select("node", "set").mapInArrow(count, "node long, all array<int>").join(alone, "node", "left")
+    of_part = lambda n, i: n - F.coalesce(F.col("alone")[i], F.lit(0))
+    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, n: s + n)
+    return every.select("node", total("all").alias("size"), F.transform("all", of_part).alias("parts")).withColumn("shared", total("parts"))
 
 
 def _pairs(heads: DataFrame, members: DataFrame, percent: int, label: bool = False) -> DataFrame:
     """Distinct pairs (u < v) of a bucket's heads with its members (of another label), as far
     as what they can share may suffice for a link."""
     h = heads.select("key", F.col("node").alias("x"), *[F.col(c).alias(f"{c}_x") for c in heads.columns if c not in ("key", "node")])
-    may = (100 + percent) * F.least("shared", "shared_x") >= percent * (F.col("size") + F.col("size_x"))
-    may = may & (F.col("x") != F.col("node"))
-    both = h.join(members, "key").filter(may & (F.col("label") != F.col("label_x")) if label else may)
+    need = percent * (F.col("size") + F.col("size_x"))
+    common = F.aggregate(F.zip_with("parts", "parts_x", lambda a, b: F.least(a, b)), F.lit(0).cast("long"), lambda s, n: s + n)
+    may = (F.col("x") != F.col("node")) & ((100 + percent) * F.least("shared", "shared_x") >= need)
+    may = may & (F.col("label") != F.col("label_x")) if label else may
+    both = h.join(members, "key").filter(F.when(may, (100 + percent) * common >= need).otherwise(False))
     return both.select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
 
 
