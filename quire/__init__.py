@@ -37,11 +37,10 @@ __all__ = [
     "catalogue_datasets", "register_schema", "conform", "schema_violations",
 ]
 
-from quire.operators.catalogue_merge import compact_catalogue
 from quire.operators.maintain import compact_dataset, partition_counts, sweep_orphans
 from quire.plans.lineage import lineage_closure, lineage_edges
 from quire.sources.listing import exists_report
-from quire.sources.storage import PathStorage
+from quire.sources.storage import PathStorage, session
 from quire.streaming.publish_stream import publish_stream
 
 
@@ -53,7 +52,8 @@ class Catalogue:
     ``{"error": ..., "error_type": ...}``.
     """
 
-    def __init__(self, spark, base: str | None = None, format: str = "parquet"):
+    def __init__(self, spark=None, base: str | None = None, format: str = "parquet"):
+        spark = session(spark)
         self.ctx = Context(spark, base, format) if base else Context.scratch(spark, "catalogue", format=format)
 
     def save(self, df, dataset_name, dataset_description, schema_id=None, tags=None) -> dict:
@@ -73,6 +73,6 @@ class Catalogue:
 
 
 __all__ += [
-    "Catalogue", "PathStorage", "compact_catalogue", "compact_dataset", "partition_counts",
+    "Catalogue", "PathStorage", "compact_dataset", "partition_counts",
     "sweep_orphans", "lineage_closure", "lineage_edges", "exists_report", "publish_stream",
 ]

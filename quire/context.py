@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import tempfile
-import threading
 import uuid
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -16,12 +15,16 @@ SUPPORTED_FORMATS = ("parquet", "orc", "delta")
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    A folder of our own is set only when the session has none (local tests).
+    A session in one process that names none gets a folder of its own (tests); a
+    cluster must name one, as executors cannot see a machine-local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="quire-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     elif spark.sparkContext.getCheckpointDir() is None:
@@ -35,13 +38,11 @@ class Context:
 
     Layout under ``base``::
 
-        <base>/<dataset_id>/Processed/commit_id=<commit_id>/...   data
-        <base>/_catalogue/log/<entry_id>/entry.parquet            catalogue entries
-        <base>/_catalogue/merged/<generation>/part-*.parquet      merged entries
-
-    ``auto_merge_entries``: merge pending catalogue entries into a Parquet
-    generation once this many have accumulated (off by default; see
-    :func:`quire.operators.catalogue_merge.maybe_merge`).
+        <base>/<dataset_id>/Processed/commit_id=<commit>.<attempt>/...  data of one attempt
+        <base>/<dataset_id>/Replaced/commit_id=<commit>.<attempt>/...   partition values that it replaces
+        <base>/_catalogue/log/<dataset_id>/<version>.parquet            commits, numbered
+        <base>/_catalogue/schemas/<schema_id>.parquet                   registered schemas
+        <base>/_catalogue/started/<attempt>.parquet                     attempts under way
 
     ``hooks`` maps a step name (``"write"``, ``"register"``, ``"rollback"``) to a
     callable run just before that step; tests use it to inject failures.
@@ -51,10 +52,6 @@ class Context:
     base: str
     format: str = "parquet"
     hooks: dict = field(default_factory=dict)
-    auto_merge_entries: int | None = None
-    max_generations: int = 8
-    _clock_lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
-    _last_ts: datetime | None = field(default=None, repr=False)
 
     def __post_init__(self):
         if not isinstance(self.spark, SparkSession):
@@ -81,8 +78,15 @@ class Context:
         return f"{self.catalogue_dir}/log"
 
     @property
-    def merged_dir(self) -> str:
-        return f"{self.catalogue_dir}/merged"
+    def schemas_dir(self) -> str:
+        return f"{self.catalogue_dir}/schemas"
+
+    @property
+    def started_dir(self) -> str:
+        return f"{self.catalogue_dir}/started"
+
+    def log_of(self, dataset_id: str) -> str:
+        return f"{self.log_dir}/{dataset_id}"
 
     def dataset_root(self, dataset_id: str) -> str:
         return f"{self.base}/{dataset_id}"
@@ -90,17 +94,16 @@ class Context:
     def processed_dir(self, dataset_id: str) -> str:
         return f"{self.dataset_root(dataset_id)}/Processed"
 
-    def commit_dir(self, dataset_id: str, commit_id: str) -> str:
-        return f"{self.processed_dir(dataset_id)}/commit_id={commit_id}"
+    def replaced_dir(self, dataset_id: str) -> str:
+        return f"{self.dataset_root(dataset_id)}/Replaced"
+
+    def commit_dir(self, dataset_id: str, folder: str) -> str:
+        """Where an attempt's data lies; ``folder`` is ``<commit>.<attempt>``."""
+        return f"{self.processed_dir(dataset_id)}/commit_id={folder}"
 
     def now(self) -> datetime:
-        """Strictly increasing, timezone-aware UTC clock for commit order in this process."""
-        with self._clock_lock:
-            ts = datetime.now(timezone.utc)
-            if self._last_ts is not None and ts <= self._last_ts:
-                ts = self._last_ts + timedelta(microseconds=1)
-            self._last_ts = ts
-            return ts
+        """The time noted with a commit; the order of commits is that of their versions."""
+        return datetime.now(timezone.utc)
 
     def run_hook(self, step: str, **info) -> None:
         fn = self.hooks.get(step)

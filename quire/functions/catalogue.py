@@ -2,7 +2,7 @@
 
 ``datasets``  (dataset_id, name, description, schema_id, folder, format,
                partition_by, tags, created_at)
-``commits``   (dataset_id, commit_id, mode, schema_id, n_rows, committed_at)
+``commits``   (dataset_id, version, commit_id, mode, schema_id, n_rows, committed_at)
 ``schemas``   (schema_id, ordinal, column_name, data_type, nullable)
 ``lineage``   (dataset_id, commit_id, input_dataset_id)
 ``tags``      (dataset_id, name, tag_key, tag_value)
@@ -16,85 +16,39 @@ from pyspark.sql import DataFrame, functions as F
 
 from quire.context import Context
 from quire.plans import visibility
-from quire.sources.catalogue_log import raw_log
+from quire.sources.catalogue_log import read_log, schema_table, dataset_log
 
-DATASET_ATTRS = [
-    "mode",
-    "name",
-    "description",
-    "schema_id",
-    "folder",
-    "format",
-    "partition_by",
-    "tags",
-]
-
-
-COMMIT_FACTS = [
-    "dataset_id", "commit_id", "mode", "schema_id", "n_rows", "n_removed",
-    "replace_where", "committed_at",
-]
-
-
-def commit_log(ctx: Context) -> DataFrame:
-    """Commit entries as stored: an entry may appear twice while a catalogue
-    merge is under way, so callers either use duplicate-proof aggregates
-    (``max``, ``max_by``, ``min``) or :func:`commit_facts`."""
-    return raw_log(ctx).filter(F.col("kind") == "commit")
-
-
-def commit_facts(ctx: Context) -> DataFrame:
-    """One row per commit, narrow columns only. Duplicated entries are exact
-    copies, so ``distinct`` removes them with a hash aggregate."""
-    return commit_log(ctx).select(*COMMIT_FACTS).distinct()
+ATTRS = ["mode", "name", "description", "schema_id", "folder", "format", "partition_by", "tags", "created_at"]
 
 
 def commits(ctx: Context) -> DataFrame:
-    return commit_facts(ctx).select(
-        "dataset_id", "commit_id", "mode", "schema_id", "n_rows", "committed_at"
-    )
+    return read_log(ctx).select("dataset_id", "version", "commit_id", "mode", "schema_id", "n_rows", "committed_at")
 
 
 def history(ctx: Context, dataset_id: str | None = None) -> DataFrame:
     """Commits with their ``version`` and whether they are live now."""
-    c = commit_log(ctx)
-    if dataset_id is not None:
-        c = c.filter(F.col("dataset_id") == dataset_id)
-    c = c.select(*COMMIT_FACTS).distinct()
-    live_ids = visibility.live(c).select("commit_id", F.lit(True).alias("live"))
-    return (
-        visibility.with_versions(c)
-        .join(live_ids, "commit_id", "left")
-        .withColumn("live", F.coalesce("live", F.lit(False)))
+    log = read_log(ctx) if dataset_id is None else dataset_log(ctx, dataset_id)
+    return visibility.with_live(log).select(
+        "dataset_id", "commit_id", "mode", "schema_id", "n_rows", "total_rows", "committed_at", "version", "live"
     )
 
 
 def datasets(ctx: Context) -> DataFrame:
-    """Datasets whose last commit is not a tombstone, with the attributes given
-    at their last commit."""
-    last = visibility.latest(commit_log(ctx), DATASET_ATTRS)
+    """Datasets whose last commit is not a deletion, with the attributes of that commit."""
+    last = visibility.latest(read_log(ctx), ATTRS)
     return last.filter(F.col("mode") != "delete").select(
-        "dataset_id", "name", "description", "schema_id", "folder", "format",
-        "partition_by", "tags", "created_at",
+        "dataset_id", "name", "description", "schema_id", "folder", "format", "partition_by", "tags", "created_at"
     )
 
 
 def schemas(ctx: Context) -> DataFrame:
-    return (
-        raw_log(ctx)
-        .filter(F.col("schema_id").isNotNull())
-        .select("schema_id", F.explode("columns").alias("c"))
-        .select("schema_id", "c.*")
-        .distinct()
-    )
+    return schema_table(ctx).select("schema_id", F.explode("columns").alias("c")).select("schema_id", "c.*")
 
 
 def lineage(ctx: Context) -> DataFrame:
-    return (
-        commit_log(ctx)
-        .select("dataset_id", "commit_id", F.explode("inputs").alias("input_dataset_id"))
-        .distinct()
-    )
+    """Inputs of the live commits."""
+    live = visibility.with_live(read_log(ctx)).filter("live")
+    return live.select("dataset_id", "commit_id", F.explode("inputs").alias("input_dataset_id")).distinct()
 
 
 def tags(ctx: Context) -> DataFrame:
@@ -106,44 +60,12 @@ def tags(ctx: Context) -> DataFrame:
 
 
 def catalogue_datasets(ctx: Context) -> DataFrame:
-    """Datasets with row counts taken from the commit entries, not the data.
-
-    One partial aggregate per dataset gives its last attributes and its reset
-    point; the commit facts (one row per commit) are joined to it, filtered to
-    live commits and summed per dataset, again with a partial aggregate. No
-    shuffle is keyed by a dataset alone before a map-side combine.
-    """
-    key = visibility.order_key()
-    packed = F.struct(*[F.col(a) for a in DATASET_ATTRS])
-    per_ds = (
-        commit_log(ctx)
-        .groupBy("dataset_id")
-        .agg(
-            F.max_by(packed, key).alias("_last"),
-            F.min("committed_at").alias("created_at"),
-            F.max(F.when(F.col("mode").isin(*visibility.RESETS), key)).alias("_reset_key"),
-        )
-        .filter(F.col("_last.mode") != "delete")
-    )
-    sums = (
-        commit_facts(ctx)
-        .join(per_ds.select("dataset_id", "_reset_key"), "dataset_id")
-        .filter((key >= F.col("_reset_key")) & (F.col("mode") != "delete"))
-        .groupBy("dataset_id")
-        .agg(
-            F.sum(F.col("n_rows") - F.coalesce("n_removed", F.lit(0))).alias("n_rows"),
-            F.count(F.lit(1)).alias("n_live_commits"),
-            F.max("committed_at").alias("last_commit_at"),
-        )
-    )
-    return per_ds.join(sums, "dataset_id").select(
-        "dataset_id",
-        F.col("_last.name").alias("dataset_name"),
-        F.col("_last.description").alias("description"),
-        "n_rows",
-        "n_live_commits",
-        "created_at",
-        "last_commit_at",
+    """Datasets with row counts from their last commit, which carries the total: one scan of
+    the log and one partial aggregate."""
+    last = visibility.latest(read_log(ctx), [*ATTRS, "total_rows", "n_live", "committed_at"])
+    return last.filter(F.col("mode") != "delete").select(
+        "dataset_id", F.col("name").alias("dataset_name"), "description", F.col("total_rows").alias("n_rows"),
+        F.col("n_live").alias("n_live_commits"), "created_at", F.col("committed_at").alias("last_commit_at"),
     )
 
 

@@ -4,28 +4,34 @@ from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, DecimalType, MapType, StructField, StructType
 
 from quire.context import Context
 from quire.errors import SchemaMismatchError
-from quire.sources.catalogue_log import entry, raw_log, write_entries
+from quire.sources import filesystem as fsys
+from quire.sources.catalogue_log import SCHEMA_TABLE, decode, encode
 
 SCHEMA_NAMESPACE = uuid.UUID("6f1c1f7e-3d55-4c8e-9a53-0c1b2d4e5f60")
 
-# Type changes a registered schema accepts without loss
-# ("actual->expected"), as Spark's up-cast allows them.
+# Type changes that a registered schema accepts, none of which can change a value
+# ("actual->expected"); decimals widen as long as no digit is lost.
 SAFE_WIDENINGS = [
     "tinyint->smallint", "tinyint->int", "tinyint->bigint", "tinyint->float", "tinyint->double",
     "smallint->int", "smallint->bigint", "smallint->float", "smallint->double",
-    "int->bigint", "int->float", "int->double",
-    "bigint->float", "bigint->double",
-    "float->double",
-    "date->timestamp", "date->timestamp_ntz",
+    "int->bigint", "int->double", "float->double", "date->timestamp_ntz",
 ]
 
 
+def widens(actual: DataType, expected: DataType) -> bool:
+    """Whether every value of ``actual`` is one of ``expected``."""
+    if isinstance(actual, DecimalType) and isinstance(expected, DecimalType):
+        return expected.scale >= actual.scale and expected.precision - expected.scale >= actual.precision - actual.scale
+    return f"{canonical(actual)}->{canonical(expected)}" in SAFE_WIDENINGS
+
+
 def as_nullable(dt: DataType) -> DataType:
     """The same type with every level nullable (T11: registered columns are nullable)."""
     if isinstance(dt, StructType):
@@ -67,86 +73,83 @@ def to_struct(schema: StructType | str) -> StructType:
     raise TypeError("schema must be a StructType or a DDL string")
 
 
+def _schema_path(ctx: Context, schema_id: str) -> str:
+    return f"{ctx.schemas_dir}/{quote(schema_id, safe='')}.parquet"
+
+
+def ensure_schema(ctx: Context, schema: StructType, schema_id: str) -> None:
+    """Store ``schema`` under its id; an id that stands for another schema is an error."""
+    st = as_nullable(schema)
+    row = {"schema_id": schema_id, "schema_json": st.json(), "columns": [
+        dict(zip(("ordinal", "column_name", "data_type", "nullable"), c)) for c in column_rows(st)]}
+    path = _schema_path(ctx, schema_id)
+    if fsys.exists(ctx.spark, path) or not fsys.create_new(ctx.spark, path, encode([row], SCHEMA_TABLE)):
+        if lookup_schema(ctx, schema_id) != st:
+            raise SchemaMismatchError(f"schema id {schema_id} stands for another schema")
+
+
 def register_schema(ctx: Context, schema: StructType | str, schema_id: str | None = None) -> str:
-    """Register a schema (all columns nullable); returns its id."""
+    """Register a schema (all columns nullable); returns its id. An id keeps its schema."""
     st = as_nullable(to_struct(schema))
     if not st.fields:
         raise ValueError("a schema needs at least one column")
-    sid = schema_id or schema_id_of(st)
-    if not isinstance(sid, str):
-        sid = str(sid)
-    write_entries(
-        ctx,
-        [entry(entry_id=sid, kind="schema", schema_id=sid, schema_json=st.json(), columns=column_rows(st))],
-        folder_id=f"schema-{uuid.uuid4().hex}",
-    )
+    sid = str(schema_id or schema_id_of(st))
+    ensure_schema(ctx, st, sid)
     return sid
 
 
 def lookup_schema(ctx: Context, schema_id: str) -> StructType:
-    rows = (
-        raw_log(ctx)
-        .filter((F.col("schema_id") == str(schema_id)) & F.col("schema_json").isNotNull())
-        .select("schema_json")
-        .limit(1)
-        .collect()
-    )
-    if not rows:
+    path = _schema_path(ctx, str(schema_id))
+    if not fsys.exists(ctx.spark, path):
         raise SchemaMismatchError(f"unknown schema id {schema_id}")
-    return StructType.fromJson(json.loads(rows[0][0]))
-
-
-def _column_frame(ctx: Context, schema: StructType, side: str) -> DataFrame:
-    rows = [(f.name.lower(), f.name, f.dataType.simpleString(), canonical(f.dataType)) for f in schema.fields]
-    return ctx.spark.createDataFrame(
-        rows, f"key string, {side}_name string, {side}_type string, {side}_canon string"
-    )
-
-
-def violations_of(ctx: Context, actual: StructType, expected: StructType) -> DataFrame:
-    """(column_name, problem, expected_type, actual_type) for a frame schema
-    against a registered one: ``missing``, ``extra`` or ``type``; safe widenings
-    and nested field order are not problems."""
-    e = _column_frame(ctx, expected, "expected")
-    a = _column_frame(ctx, actual, "actual")
-    safe = F.array(*[F.lit(s) for s in SAFE_WIDENINGS])
-    j = e.join(a, "key", "full_outer")
-    problem = (
-        F.when(F.col("actual_name").isNull(), F.lit("missing"))
-        .when(F.col("expected_name").isNull(), F.lit("extra"))
-        .when(
-            (F.col("expected_canon") != F.col("actual_canon"))
-            & ~F.array_contains(safe, F.concat_ws("->", "actual_canon", "expected_canon")),
-            F.lit("type"),
-        )
-    )
-    return (
-        j.select(
-            F.coalesce("expected_name", "actual_name").alias("column_name"),
-            problem.alias("problem"),
-            F.when(F.col("expected_name").isNotNull(), F.col("expected_type")).alias("expected_type"),
-            F.when(F.col("actual_name").isNotNull(), F.col("actual_type")).alias("actual_type"),
-        )
-        .filter(F.col("problem").isNotNull())
-    )
+    return StructType.fromJson(json.loads(decode(fsys.read_bytes(ctx.spark, path))[0]["schema_json"]))
 
 
-def schema_violations(ctx: Context, df: DataFrame, schema_id: str) -> DataFrame:
-    return violations_of(ctx, df.schema, lookup_schema(ctx, schema_id))
+def problems(actual: StructType, expected: StructType) -> list[tuple]:
+    """(column, problem, expected type, actual type) for a frame schema against a
+    registered one: ``missing``, ``extra`` or ``type``. Widenings without loss and nested
+    field order are no problem."""
+    have = {f.name.lower(): f for f in actual.fields}
+    want = {f.name.lower(): f for f in expected.fields}
+    out = []
+    for k, e in want.items():
+        a = have.get(k)
+        if a is None:
+            out.append((e.name, "missing", e.dataType.simpleString(), None))
+        elif canonical(a.dataType) != canonical(e.dataType) and not widens(a.dataType, e.dataType):
+            out.append((e.name, "type", e.dataType.simpleString(), a.dataType.simpleString()))
+    return out + [(a.name, "extra", None, a.dataType.simpleString()) for k, a in have.items() if k not in want]
 
 
-def blocking(ctx: Context, actual: StructType, expected: StructType) -> list[tuple]:
+def schema_violations(ctx: Context, df: DataFrame, schema_id: str) -> DataFrame:
+    """(column_name, problem, expected_type, actual_type, n_values): columns that do not fit, and how
+    many values of theirs stand in the way: of a column with another type those that don't
+    convert, of an extra column those that would be lost. One scan of ``df``, of these columns only."""
+    found = problems(df.schema, lookup_schema(ctx, schema_id))
+    rows = ctx.spark.createDataFrame(found, "column_name string, problem string, expected_type string, actual_type string")
+    counts = []
+    for name, problem, expected, _ in found:
+        c = F.col(f"`{name}`")
+        if problem == "missing":
+            continue
+        bad = c.isNotNull() if problem == "extra" else c.isNotNull() & c.try_cast(expected).isNull()
+        counts.append(F.struct(F.lit(name).alias("column_name"), F.count(F.when(bad, 1)).alias("n_values")))
+    if not counts:
+        return rows.withColumn("n_values", F.lit(None).cast("long"))
+    values = df.agg(F.array(*counts).alias("v")).select(F.explode("v").alias("v")).select("v.*")
+    return rows.join(values, "column_name", "left")
+
+
+def blocking(actual: StructType, expected: StructType) -> list[tuple]:
     """Problems that forbid publishing under ``expected``: extra columns (``to``
-    would drop them silently) and types that are not safe widenings."""
-    rows = violations_of(ctx, actual, expected).filter(F.col("problem") != "missing").collect()
-    return [tuple(r) for r in rows]
+    would drop them silently) and types that do not widen."""
+    return [p for p in problems(actual, expected) if p[1] != "missing"]
 
 
 def conform(ctx: Context, df: DataFrame, schema_id: str) -> DataFrame:
     """``df`` reshaped to a registered schema: columns reordered by name (also
-    inside structs), safe widenings applied, missing columns null."""
+    inside structs), widenings applied, missing columns null."""
     target = lookup_schema(ctx, schema_id)
-    bad = blocking(ctx, df.schema, target)
-    if bad:
+    if bad := blocking(df.schema, target):
         raise SchemaMismatchError(f"frame does not conform to schema {schema_id}: {bad}")
     return df.to(target)

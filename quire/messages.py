@@ -17,6 +17,4 @@ EMPTY_PATH = "path cannot be empty"
 WRITE_FAILED = "Failed to write data to storage at {path}: {error}"
 READ_FAILED = "Failed to read data from {path}: {error}"
 DELETE_FAILED = "Failed to delete: {error}"
-NOTHING_TO_DELETE = "Path does not exist, nothing to delete: %s"
-PROBE_FAILED = "Error checking path existence: %s"
 REGISTER_FAILED = "Failed to create data catalog entry. correlation-id: {correlation_id}"

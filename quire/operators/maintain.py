@@ -1,4 +1,4 @@
-"""Maintenance: orphan sweep, dataset compaction, catalogue merge, partition counts."""
+"""Maintenance: sweep of unfinished attempts, dataset compaction, partition counts."""
 
 from __future__ import annotations
 
@@ -10,17 +10,15 @@ from pyspark.sql import DataFrame, functions as F
 from quire.context import Context
 from quire.errors import DatasetNotFoundError
 from quire.functions import checks
-from quire.functions.catalogue import commit_log
-from quire.operators.catalogue_merge import compact_catalogue  # noqa: F401 (public here too)
-from quire.operators.publish import publish
-from quire.plans import visibility
+from quire.operators.publish import CommitPlan, _folder_name, commit, remove_before
 from quire.sources import filesystem as fsys
-from quire.sources.datasets import dataset_state, read_commits
+from quire.sources.catalogue_log import read_log, started
+from quire.sources.datasets import dataset_state, read_state
 from quire.sources.listing import files_under, norm
 
 SWEEP_SCHEMA = (
-    "folder string, dataset_id string, commit_id string, modified timestamp, "
-    "has_files boolean, n_files bigint, bytes bigint, deleted boolean"
+    "folder string, dataset_id string, commit_id string, started_at timestamp, n_files bigint, bytes bigint, "
+    "has_files boolean, deleted boolean"
 )
 
 
@@ -36,56 +34,53 @@ def _cutoff(older_than) -> datetime:
 
 
 def sweep_orphans(ctx: Context, older_than, dry_run: bool = True) -> DataFrame:
-    """Commit folders nobody can read: no catalogue entry (a crashed or failed
-    publish, T2) or a dataset whose last commit is a tombstone. Only folders last
-    modified before the cutoff are taken, so publishes under way are safe --
-    provided the cutoff is longer than the longest publish (a large write may
-    not touch its commit folder's time until the job commits).
-
-    The folder glob also returns empty folders, which a Spark listing hides
-    (T20); file counts and bytes come from one ``binaryFile`` listing.
+    """Folders nobody can read: of attempts that neither committed nor were undone (T2), and of
+    deleted datasets whose removal failed. Columns: folder, dataset_id, commit_id, started_at,
+    n_files, bytes, has_files, deleted.
+
+    Every attempt leaves a mark before it writes and takes it away when it is done, so the sweep
+    reads only marks: one anti-join with the commits, whatever the store's size. Attempts begun
+    after the cutoff are left alone; it should be longer than the longest publish. Only the deletions run on
+    the driver, one call for each crashed attempt.
     """
     spark = ctx.spark
-    found = [
-        e for e in fsys.glob(spark, f"{ctx.base}/*/Processed/commit_id=*") if e.is_dir
-    ]
-    rows = []
-    for e in found:
-        p = e.path.rstrip("/")
-        cid = p.rsplit("commit_id=", 1)[1]
-        ds = p.rsplit("/Processed/", 1)[0].rsplit("/", 1)[1]
-        rows.append((p, ds, cid, datetime.fromtimestamp(e.modified_ms / 1000, tz=timezone.utc)))
-    folders = spark.createDataFrame(rows, "folder string, dataset_id string, commit_id string, modified timestamp")
-
-    c = commit_log(ctx).select("dataset_id", "commit_id", "committed_at", "mode")
-    known = c.select("commit_id").distinct()
-    dead = (
-        visibility.latest(c, ["mode"]).filter(F.col("mode") == "delete").select("dataset_id")
-    )
-    orphans = folders.join(known, "commit_id", "left_anti").unionByName(
-        folders.join(dead, "dataset_id", "left_semi")
-    ).distinct()
-    cut = _cutoff(older_than)
-    cand = orphans.filter(F.col("modified") < F.lit(cut)).withColumn("root", norm(F.col("folder")))
-    picked = cand.select("folder", "dataset_id", "commit_id", "modified", "root").collect()
-    roots = [r["folder"] for r in picked]
-    sizes = {}
-    if roots:
-        # one parallel listing of the candidates; each file is keyed by the
-        # commit folder in its own path (no join needed)
-        folder_of = F.regexp_extract(norm(F.col("path")), r"^(.*/Processed/commit_id=[^/]+)/", 1)
-        listed = (
-            files_under(ctx, roots)
-            .select(folder_of.alias("root"), "length")
-            .groupBy("root")
-            .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
-        )
-        sizes = {r["root"]: (r["n_files"], r["bytes"]) for r in listed.collect()}
-    deleted = fsys.each(lambda r: fsys.delete(spark, r["folder"]), picked) if not dry_run else [False] * len(picked)
-    out = []
-    for r, gone in zip(picked, deleted):
-        n, b = sizes.get(r["root"], (0, 0))
-        out.append((r["folder"], r["dataset_id"], r["commit_id"], r["modified"], n > 0, int(n), int(b or 0), bool(gone)))
+    cut = int(_cutoff(older_than).timestamp() * 1_000_000)
+    marks = started(ctx).filter(F.unix_micros("started_at") < cut)
+    done = read_log(ctx).filter(F.col("data_folder").isNotNull()).select(
+        F.concat("folder", F.lit("/Processed/commit_id="), "data_folder").alias("folder"))
+    # a mark whose attempt did commit only lost its own removal
+    left = marks.join(done, "folder", "left_anti").select("folder", "dataset_id", "commit_id", "started_at").collect()
+    there = [r["folder"] for r in left if fsys.exists(spark, r["folder"])]
+    # files by the marked folder in their own path
+    under = norm(F.col("path"))
+    rows = files_under(ctx, there).select(under.alias("path"), "length")
+    marked = spark.createDataFrame([(r["folder"], fsys.qualify(spark, r["folder"])) for r in left], "folder string, q string")
+    sizes = rows.withColumn("commit_root", F.regexp_extract("path", r"^(.*/Processed/commit_id=[^/]+)/", 1)).withColumn(
+        "dataset_root", F.regexp_extract("path", r"^(.*)/Processed/commit_id=[^/]+/", 1))
+    sizes = sizes.select(F.explode(F.array("commit_root", "dataset_root")).alias("q"), "length")
+    sizes = sizes.groupBy("q").agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+    sizes = marked.join(sizes, norm(marked["q"]) == sizes["q"]).select("folder", "n_files", "bytes").collect()
+    size_of = {r["folder"]: (r["n_files"], r["bytes"]) for r in sizes}
+
+    def remove(r) -> bool:
+        root = ctx.dataset_root(r["dataset_id"])
+        if r["folder"] == root:
+            st = dataset_state(ctx, r["dataset_id"])
+            gone = remove_before(ctx, r["dataset_id"], st.version if st and not st.exists else 0)
+            name = r["commit_id"]
+        else:
+            name = r["folder"].rsplit("commit_id=", 1)[1]
+            fsys.delete(spark, r["folder"])
+            fsys.delete(spark, f"{ctx.replaced_dir(r['dataset_id'])}/commit_id={name}")
+            for above in (ctx.replaced_dir(r["dataset_id"]), ctx.processed_dir(r["dataset_id"]), root):
+                fsys.delete_if_empty(spark, above)
+            gone = True
+        if gone:
+            fsys.delete(spark, f"{ctx.started_dir}/{name}.parquet")
+        return gone
+
+    deleted = fsys.each(remove, left) if not dry_run else [False] * len(left)
+    out = [(*r, *size_of.get(r["folder"], (0, 0)), r["folder"] in size_of, gone) for r, gone in zip(left, deleted)]
     return spark.createDataFrame(out, SWEEP_SCHEMA)
 
 
@@ -97,41 +92,40 @@ def partition_counts(ctx: Context, dataset_id: str) -> DataFrame:
     if st is None or not st.exists:
         raise DatasetNotFoundError(f"no live dataset {ds}")
     parts = st.partition_by
-    df = read_commits(ctx, ds, st.live, st.schema, st.attrs["format"] or ctx.format, with_file=True)
+    df = read_state(ctx, st, with_file=True)
     per_file = df.groupBy(*parts, "_file").agg(F.count(F.lit(1)).alias("_n"))
     return per_file.groupBy(*parts).agg(
         F.sum("_n").alias("n_rows"), F.count(F.lit(1)).alias("n_files")
     )
 
 
-def compact_dataset(ctx: Context, dataset_id: str, files: int | None = None, salt: int = 8) -> dict:
-    """Rewrite the live rows of a dataset as one overwrite commit with fewer
-    files; older commits stay for reads by version.
+def compact_dataset(ctx: Context, dataset_id: str, files: int | None = None) -> dict:
+    """Rewrite the live rows of a dataset as one commit with fewer files; older
+    commits stay for reads by version. The commit names the version that it read: rows appended
+    meanwhile stay live beside it; any other change meanwhile refuses the compaction.
 
     ``files=None``: no shuffle. Spark packs small files into read splits of
     ``spark.sql.files.maxPartitionBytes``, one output file per split (and
-    partition value). ``files=n``: a shuffle into ``n`` tasks; for partitioned
-    data the key is the partition columns plus a content-hash salt, so one hot
-    partition value is spread over ``salt`` tasks and a re-run task gets the same rows.
+    partition value). ``files=n``: a rebalancing shuffle by the partition columns, which Spark
+    splits by measured bytes, so a hot partition value becomes several tasks.
     """
     ds = checks.check_dataset_id(dataset_id)
     st = dataset_state(ctx, ds)
     if st is None or not st.exists:
         raise DatasetNotFoundError(f"no live dataset {ds}")
     parts = st.partition_by
-    fmt = st.attrs["format"] or ctx.format
-    df = read_commits(ctx, ds, st.live, st.schema, fmt)
+    df = read_state(ctx, st)
     if files is not None:
         if not isinstance(files, int) or files < 1:
             raise ValueError("files must be a positive int or None")
-        if parts:
-            bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salt))
-            df = df.repartition(files, *[F.col(f"`{c}`") for c in parts], bucket)
-        else:
-            df = df.repartition(files)
+        df = df.hint("rebalance", files, *[F.col(f"`{c}`") for c in parts]) if parts else df.repartition(files)
     elif parts:
-        df = df.sortWithinPartitions(*parts)
-    return publish(
-        ctx, df, st.attrs["name"], st.attrs["description"], tags=st.attrs["tags"],
-        dataset_id=ds, mode="overwrite", partition_by=parts or None, inputs=[],
-    )
+        df = df.sortWithinPartitions(*[F.col(f"`{c}`") for c in parts])
+    cid = str(uuid.uuid4())
+    folder = _folder_name(cid)
+    return commit(ctx, CommitPlan(
+        dataset_id=ds, commit_id=cid, requested="compact", mode="compact", frame=df, name=st.attrs["name"],
+        description=st.attrs["description"], tags=dict(st.attrs["tags"] or {}), partition_by=parts, schema=st.schema,
+        schema_id=st.attrs["schema_id"], inputs=[], data_folder=folder, folder=ctx.commit_dir(ds, folder),
+        fmt=st.attrs["format"] or ctx.format, options={}, state=st, snapshot=st.version,
+    ))

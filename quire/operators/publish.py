@@ -1,9 +1,11 @@
 """Publishing frames as commits of catalogued datasets.
 
-A publish is: checks (raised) -> data written by one Spark job into a fresh
-``commit_id=<id>`` folder, with the row count observed in the same pass ->
-one catalogue entry written (the commit point). A failure after the checks
-removes what this commit wrote and is reported as an outcome dict, never raised.
+A publish is: checks (raised) -> data written by one Spark job into a folder of this
+attempt alone, with the row count observed in the same pass -> one numbered log entry,
+created only if its number is free (the commit point). Where another commit took the number, the
+new state is looked at again: the mode's rule must still hold, and then the next number is tried. A
+failure after the checks removes what this attempt wrote, nothing else, and is
+reported as an outcome dict, never raised.
 """
 
 from __future__ import annotations
@@ -11,8 +13,6 @@ from __future__ import annotations
 import logging
 import re
 import uuid
-from datetime import date, datetime
-from decimal import Decimal
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -23,36 +23,28 @@ from pyspark.sql.types import StringType, StructField, StructType
 from quire import messages as msg
 from quire.context import Context
 from quire.errors import (
-    DatasetExistsError,
-    DatasetNotFoundError,
-    PublishError,
-    QuireError,
-    RegistrationError,
-    SchemaMismatchError,
+    DatasetExistsError, DatasetNotFoundError, PublishError, QuireError, RegistrationError, SchemaMismatchError,
 )
 from quire.functions import checks
-from quire.operators.catalogue_merge import maybe_merge
 from quire.functions.schemas import (
-    SAFE_WIDENINGS,
-    as_nullable,
-    blocking,
-    canonical,
-    column_rows,
-    lookup_schema,
-    schema_id_of,
+    as_nullable, blocking, canonical, ensure_schema, lookup_schema, schema_id_of, widens,
 )
 from quire.sources import filesystem as fsys
-from quire.sources.catalogue_log import entry, raw_log, write_entries
-from quire.sources.datasets import DatasetState, dataset_state, read_commits, state_and_probe, states_and_probes
+from quire.sources.catalogue_log import STARTED, dataset_log, encode, entry_path
+from quire.sources.datasets import ZONE, DatasetState, dataset_state, read_state
 
 log = logging.getLogger(__name__)
 
+ATTEMPT_NAMESPACE = uuid.UUID("2d6c9a54-7c0e-4b57-9a7a-4f0a5f1f6c11")
+_TRIES = 1000  # numbers tried for one commit before giving up
+
 
 @dataclass
 class CommitPlan:
     dataset_id: str
     commit_id: str
-    mode: str  # effective: overwrite | append | replace
+    requested: str  # the mode asked for
+    mode: str  # effective: overwrite | append | replace | compact
     frame: DataFrame
     name: str
     description: str
@@ -61,15 +53,20 @@ class CommitPlan:
     schema: StructType
     schema_id: str
     inputs: list[str]
+    data_folder: str  # <commit>.<attempt>
     folder: str
     fmt: str
     options: dict
-    new_dataset: bool
+    state: DatasetState | None  # as of planning, and then as last looked at
     replace_where: str | None = None
-    n_removed: int = 0
+    partitions_where: str | None = None  # a replaced slice given by partition columns
+    replaces_partitions: bool = False
+    create: bool = False
+    skip_empty: bool = False
     metrics: list[Column] = field(default_factory=list)
     checks: list[Callable[[dict], str | None]] = field(default_factory=list)
     n_rows: int | None = None
+    snapshot: int = 0  # of a compaction: the version that it read
 
 
 def _first_line(e: BaseException) -> str:
@@ -79,24 +76,15 @@ def _first_line(e: BaseException) -> str:
 
 def failure(err: BaseException, dataset_id=None, commit_id=None, message: str | None = None) -> dict:
     return {
-        "dataset_id": dataset_id,
-        "commit_id": commit_id,
-        "accepted": False,
-        "status": "failed",
-        "error": message or str(err),
-        "error_type": type(err).__name__,
+        "dataset_id": dataset_id, "commit_id": commit_id, "accepted": False, "status": "failed",
+        "error": message or str(err), "error_type": type(err).__name__,
     }
 
 
-def success(plan: CommitPlan) -> dict:
+def success(plan: CommitPlan, version: int) -> dict:
     return {
-        "dataset_id": plan.dataset_id,
-        "commit_id": plan.commit_id,
-        "accepted": True,
-        "status": "committed",
-        "mode": plan.mode,
-        "n_rows": plan.n_rows,
-        "schema_id": plan.schema_id,
+        "dataset_id": plan.dataset_id, "commit_id": plan.commit_id, "accepted": True, "status": "committed",
+        "mode": plan.mode, "version": version, "n_rows": plan.n_rows, "schema_id": plan.schema_id,
     }
 
 
@@ -104,39 +92,41 @@ def _norm_path(p: str) -> str:
     return re.sub(r"^file:/+", "/", p)
 
 
-def inputs_from_files(ctx: Context, df: DataFrame) -> list[str]:
-    """Datasets of this catalogue that ``df`` reads, from ``df.inputFiles()``
-    (T14: empty for frames not read from files; callers may declare inputs)."""
-    try:
-        files = df.inputFiles()
-    except Exception:  # noqa: BLE001 - frames without a file scan
-        return []
+def inputs_of(ctx: Context, df: DataFrame) -> list[str]:
+    """Datasets of this catalogue that ``df`` reads, from the root paths of its file scans
+    (T14: none for frames not read from files; callers may declare inputs)."""
     base = re.escape(_norm_path(fsys.qualify(ctx.spark, ctx.base)))
-    pat = re.compile(base + r"/([0-9a-fA-F-]{36})/Processed/")
-    return sorted({m.group(1) for f in files if (m := pat.match(_norm_path(f)))})
+    pattern = re.compile(base + r"/([0-9a-fA-F-]{36})/Processed(/|$)")
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation" or leaf.relation().getClass().getSimpleName() != "HadoopFsRelation":
+            continue
+        roots = leaf.relation().location().rootPaths()
+        for k in range(roots.size()):
+            if m := pattern.match(_norm_path(roots.apply(k).toString())):
+                found.add(m.group(1))
+    return sorted(found)
 
 
-def committed_outcome(ctx: Context, commit_id: str) -> dict | None:
-    """The stored outcome of a commit id that already has an entry (replays)."""
+def prior_outcome(ctx: Context, dataset_id: str, commit_id: str, requested: str) -> dict | None:
+    """The stored outcome of a commit id that the dataset's log has already (a replay). The
+    same id for another kind of commit is an error."""
     rows = (
-        raw_log(ctx)
-        .filter((F.col("kind") == "commit") & (F.col("entry_id") == commit_id))
-        .select("dataset_id", "commit_id", "mode", "n_rows", "schema_id")
-        .limit(1)
-        .collect()
+        dataset_log(ctx, dataset_id).filter(F.col("commit_id") == commit_id)
+        .select("mode", "version", "n_rows", "schema_id").collect()
     )
     if not rows:
         return None
     r = rows[0]
+    kinds = {"append": ("append", "overwrite"), "overwrite": ("overwrite", "replace"), "error": ("overwrite",), "ignore": ("overwrite",)}
+    if r["mode"] not in kinds.get(requested, (requested,)):
+        err = PublishError(f"commit id {commit_id} belongs to a commit of mode {r['mode']}", commit_id)
+        return failure(err, dataset_id, commit_id)
     return {
-        "dataset_id": r["dataset_id"],
-        "commit_id": r["commit_id"],
-        "accepted": True,
-        "status": "committed",
-        "mode": r["mode"],
-        "n_rows": r["n_rows"],
-        "schema_id": r["schema_id"],
-        "replayed": True,
+        "dataset_id": dataset_id, "commit_id": commit_id, "accepted": True, "status": "committed", "mode": r["mode"],
+        "version": r["version"], "n_rows": r["n_rows"], "schema_id": r["schema_id"], "replayed": True,
     }
 
 
@@ -159,10 +149,9 @@ def fit_append(frame: DataFrame, current: StructType, merge: bool) -> tuple[Data
             added.append(StructField(f.name, as_nullable(f.dataType), True))
             cols.append(F.col(f"`{f.name}`"))
             continue
-        a, e = canonical(f.dataType), canonical(cur.dataType)
-        if a == e:
+        if canonical(f.dataType) == canonical(cur.dataType):
             cols.append(F.col(f"`{f.name}`").alias(cur.name))
-        elif f"{a}->{e}" in SAFE_WIDENINGS:
+        elif widens(f.dataType, cur.dataType):
             cols.append(F.col(f"`{f.name}`").cast(cur.dataType).alias(cur.name))
         else:
             raise SchemaMismatchError(
@@ -171,37 +160,6 @@ def fit_append(frame: DataFrame, current: StructType, merge: bool) -> tuple[Data
     return frame.select(*cols), StructType(list(current.fields) + added)
 
 
-def sql_literal(v) -> str:
-    """A Python value from a Spark row as a Spark SQL literal."""
-    if v is None:
-        return "NULL"
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, float) and (v != v or v in (float("inf"), float("-inf"))):
-        return f"CAST('{v}' AS DOUBLE)"
-    if isinstance(v, (int, float, Decimal)):
-        return repr(v) if not isinstance(v, Decimal) else f"{v}BD"
-    if isinstance(v, datetime):
-        kw = "TIMESTAMP_NTZ" if v.tzinfo is None else "TIMESTAMP"
-        return f"{kw} '{v.isoformat(sep=' ')}'"
-    if isinstance(v, date):
-        return f"DATE '{v.isoformat()}'"
-    if isinstance(v, str):
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    raise TypeError(f"cannot express partition value {v!r} as a literal")
-
-
-def partitions_predicate(parts: list[str], values: list) -> str:
-    """Null-safe SQL predicate matching exactly the given partition tuples."""
-    if not values:
-        return "FALSE"
-    terms = []
-    for row in values:
-        conj = " AND ".join(f"`{c}` <=> {sql_literal(row[c])}" for c in parts)
-        terms.append(f"({conj})")
-    return " OR ".join(terms)
-
-
 def guard_partition_values(frame: DataFrame, parts: list[str]) -> DataFrame:
     """An empty string would be stored as the null partition (T6): fail the
     write instead of changing the value."""
@@ -218,6 +176,23 @@ def guard_partition_values(frame: DataFrame, parts: list[str]) -> DataFrame:
     return frame
 
 
+def _folder_name(commit_id: str) -> str:
+    """Each attempt writes to a folder of its own, also one that repeats a commit id."""
+    return f"{commit_id}.{uuid.uuid4().hex[:12]}"
+
+
+def _refusal(plan_mode: str, dataset_id: str, commit_id: str | None, state: DatasetState | None, create: bool) -> dict | None:
+    """What the mode says to the dataset's state; ``None`` when the commit may go on."""
+    live = state is not None and state.exists
+    if live and plan_mode == "error":
+        return failure(DatasetExistsError(f"dataset {dataset_id} already has data"), dataset_id, None)
+    if live and plan_mode == "ignore":
+        return {"dataset_id": dataset_id, "commit_id": None, "accepted": False, "status": "ignored", "n_rows": 0}
+    if not live and (plan_mode in ("replace", "compact") or plan_mode == "append" and not create):
+        return failure(DatasetNotFoundError(f"no live dataset {dataset_id}"), dataset_id, commit_id)
+    return None
+
+
 def prepare(
     ctx: Context,
     df: DataFrame,
@@ -230,12 +205,11 @@ def prepare(
     partition_by=None,
     inputs=None,
     commit_id=None,
+    create: bool = False,
     options: dict | None = None,
-    prefetched: tuple | None = None,
 ) -> CommitPlan | dict:
     """Checks (raised) and the commit plan; an outcome dict when nothing is to
-    be written (refused, ignored, replayed). ``prefetched`` is ``(state,
-    prior)`` when the caller looked the dataset up already (batches)."""
+    be written (refused, ignored, replayed)."""
     checks.check_frame(df)
     checks.check_name(name)
     checks.check_description(description)
@@ -255,26 +229,17 @@ def prepare(
         raise ValueError("dataset_id is required for append")
     checks.check_columns(df, parts)
 
-    state: DatasetState | None = None
-    if ds:
-        # one catalogue job: the dataset's state and, for a given commit id,
-        # whether that commit exists already (a replay)
-        state, prior = prefetched if prefetched is not None else state_and_probe(ctx, ds, probe_commit=cid)
-        if prior is not None:
-            return prior
-    elif cid is not None:
-        prior = committed_outcome(ctx, cid)
-        if prior is not None:
-            return prior
-    cid = cid or str(uuid.uuid4())
-
+    if ds is None and cid is not None:
+        # a new dataset under a commit id: a replay must find the same dataset
+        ds = str(uuid.uuid5(ATTEMPT_NAMESPACE, f"{ctx.base}#{cid}"))
+    if ds is not None and cid is not None and (prior := prior_outcome(ctx, ds, cid, mode)):
+        return prior
+    state = dataset_state(ctx, ds) if ds else None
+    cid, ds = cid or str(uuid.uuid4()), ds or str(uuid.uuid4())
+    if refused := _refusal(mode, ds, cid, state, create):
+        return refused
     live = state is not None and state.exists
-    ds = ds or str(uuid.uuid4())
-    if live and mode == "error":
-        return failure(DatasetExistsError(f"dataset {ds} already has data"), ds, None)
-    if live and mode == "ignore":
-        return {"dataset_id": ds, "commit_id": None, "accepted": False, "status": "ignored", "n_rows": 0}
-    effective = "append" if (live and mode == "append") else "overwrite"
+    effective = "append" if live and mode == "append" else "overwrite"
     if dynamic and live and mode == "overwrite" and (parts or state.partition_by):
         effective = "replace"
 
@@ -282,11 +247,9 @@ def prepare(
     try:
         if schema_id is not None:
             target = as_nullable(lookup_schema(ctx, str(schema_id)))
-            bad = blocking(ctx, df.schema, target)
-            if bad:
+            if bad := blocking(df.schema, target):
                 raise SchemaMismatchError(f"frame does not conform to schema {schema_id}: {bad}")
-            frame = df.to(target)
-            schema, sid = target, str(schema_id)
+            frame, schema, sid = df.to(target), target, str(schema_id)
         else:
             schema, sid = as_nullable(df.schema), None
         if effective in ("append", "replace"):
@@ -299,69 +262,54 @@ def prepare(
             missing = [c for c in parts if c not in frame.columns]
             if missing:
                 raise SchemaMismatchError(f"partition columns missing from the frame: {missing}")
+            given = schema
             frame, schema = fit_append(frame, state.schema, merge)
-            if schema_id is None:
-                sid = schema_id_of(schema)
-        elif sid is None:
-            sid = schema_id_of(schema)
+            # an id only ever means its schema: the dataset's stays unless its columns change
+            if schema == state.schema:
+                sid = state.attrs["schema_id"]
+            elif schema != given:
+                sid = None
+        sid = sid or schema_id_of(schema)
     except SchemaMismatchError as e:
         return failure(e, ds, cid)
 
-    plan = CommitPlan(
-        dataset_id=ds,
-        commit_id=cid,
-        mode=effective,
-        frame=guard_partition_values(frame, parts),
-        name=name,
-        description=description,
+    folder = _folder_name(cid)
+    return CommitPlan(
+        dataset_id=ds, commit_id=cid, requested=mode, mode=effective,
+        frame=guard_partition_values(frame, parts), name=name, description=description,
         tags=checks.normalise_tags(tags)
         if tags is not None or state is None
         else dict(state.attrs.get("tags") or {}),
-        partition_by=parts,
-        schema=schema,
-        schema_id=sid,
-        inputs=list(inputs) if inputs is not None else inputs_from_files(ctx, df),
-        folder=ctx.commit_dir(ds, cid),
+        partition_by=parts, schema=schema, schema_id=sid,
+        inputs=list(inputs) if inputs is not None else inputs_of(ctx, df),
+        data_folder=folder, folder=ctx.commit_dir(ds, folder),
         # commits of one dataset share its format; a reset may choose anew
         fmt=(state.attrs.get("format") or ctx.format) if effective in ("append", "replace") else ctx.format,
-        options=opts,
-        new_dataset=state is None,
+        options=opts, state=state, create=create, replaces_partitions=effective == "replace",
     )
-    if effective == "replace":
-        dynamic_overwrite(ctx, plan, state)
-    return plan
-
-
-def dynamic_overwrite(ctx: Context, plan: CommitPlan, state: DatasetState) -> None:
-    """Spark's ``partitionOverwriteMode=dynamic`` as a replace commit: the
-    partition values written are collected by the write's own observation
-    (one pass) and become the replace predicate, so older commits lose exactly
-    those partitions, pruned at the scan."""
-    parts = plan.partition_by
-    fmt = state.attrs["format"] or ctx.format
-    plan.metrics.append(F.collect_set(F.struct(*[F.col(f"`{c}`") for c in parts])).alias("_written"))
-
-    def finish(values: dict) -> str | None:
-        written = values.get("_written") or []
-        plan.replace_where = partitions_predicate(parts, written)
-        old = read_commits(ctx, plan.dataset_id, state.live, state.schema, fmt)
-        plan.n_removed = old.filter(F.coalesce(F.expr(plan.replace_where), F.lit(False))).count()
-        return None
 
-    plan.checks.append(finish)
+
+def _marker(ctx: Context, plan: CommitPlan) -> str:
+    return f"{ctx.started_dir}/{plan.data_folder}.parquet"
+
+
+def undo(ctx: Context, plan: CommitPlan) -> None:
+    """Removes what this attempt wrote: its data, its replaced values, its mark. Folders
+    above go only if nothing is left in them."""
+    spark = ctx.spark
+    fsys.delete(spark, plan.folder)
+    fsys.delete(spark, f"{ctx.replaced_dir(plan.dataset_id)}/commit_id={plan.data_folder}")
+    for above in (ctx.replaced_dir(plan.dataset_id), ctx.processed_dir(plan.dataset_id), ctx.dataset_root(plan.dataset_id)):
+        fsys.delete_if_empty(spark, above)
+    fsys.delete(spark, _marker(ctx, plan))
 
 
-def rollback(ctx: Context, plan: CommitPlan, err: QuireError, entry_folder: str | None = None) -> dict:
-    """Undo in reverse write order: entry folder, commit folder, and the dataset
-    root when this commit created it. Reports the first error and, if the undo
-    failed too, that error as well."""
+def rollback(ctx: Context, plan: CommitPlan, err: QuireError) -> dict:
+    """Undo of a failed attempt. Reports the first error and, if the undo failed too,
+    that error as well; then the attempt's mark stays for ``sweep_orphans``."""
     try:
         ctx.run_hook("rollback", plan=plan)
-        if entry_folder:
-            fsys.delete(ctx.spark, entry_folder)
-        fsys.delete(ctx.spark, plan.folder)
-        if plan.new_dataset:
-            fsys.delete(ctx.spark, ctx.dataset_root(plan.dataset_id))
+        undo(ctx, plan)
     except Exception as rb:  # noqa: BLE001
         log.error("rollback of commit %s failed: %s", plan.commit_id, rb)
         return failure(err, plan.dataset_id, plan.commit_id, f"{err}; rollback failed: {_first_line(rb)}")
@@ -369,16 +317,16 @@ def rollback(ctx: Context, plan: CommitPlan, err: QuireError, entry_folder: str
 
 
 def write_commit(ctx: Context, plan: CommitPlan) -> dict | None:
-    """The data write: one Spark job into the commit folder. ``None`` on
+    """The data write: one Spark job into the attempt's folder. ``None`` on
     success (``plan.n_rows`` set), else the failure outcome after rollback."""
-    obs = Observation(f"quire-{plan.commit_id}-{uuid.uuid4().hex[:8]}")
-    frame = plan.frame.observe(obs, F.count(F.lit(1)).alias("n_rows"), *plan.metrics)
-    writer = frame.write.format(plan.fmt).mode("overwrite")
-    if plan.options:
-        writer = writer.options(**plan.options)
-    if plan.partition_by:
-        writer = writer.partitionBy(*plan.partition_by)
     try:
+        mark = {"folder": plan.folder, "dataset_id": plan.dataset_id, "commit_id": plan.commit_id, "started_at": ctx.now()}
+        fsys.create_new(ctx.spark, _marker(ctx, plan), encode([mark], STARTED))
+        obs = Observation(f"quire-{plan.data_folder}")
+        frame = plan.frame.observe(obs, F.count(F.lit(1)).alias("n_rows"), *plan.metrics)
+        writer = frame.write.format(plan.fmt).mode("errorifexists").options(**ZONE, **plan.options)
+        if plan.partition_by:
+            writer = writer.partitionBy(*plan.partition_by)
         ctx.run_hook("write", plan=plan)
         writer.save(plan.folder)
     except Exception as e:  # noqa: BLE001
@@ -396,51 +344,109 @@ def write_commit(ctx: Context, plan: CommitPlan) -> dict | None:
     return None
 
 
-def entry_row(ctx: Context, plan: CommitPlan) -> tuple:
-    return entry(
-        entry_id=plan.commit_id,
-        kind="commit",
-        dataset_id=plan.dataset_id,
-        commit_id=plan.commit_id,
-        mode=plan.mode,
-        committed_at=ctx.now(),
-        n_rows=plan.n_rows,
-        n_removed=plan.n_removed,
-        replace_where=plan.replace_where,
-        name=plan.name,
-        description=plan.description,
-        folder=ctx.dataset_root(plan.dataset_id),
-        format=plan.fmt,
-        partition_by=plan.partition_by,
-        tags=plan.tags,
-        schema_id=plan.schema_id,
-        schema_json=plan.schema.json(),
-        columns=column_rows(plan.schema),
-        inputs=plan.inputs,
+def _replaced_values(ctx: Context, plan: CommitPlan) -> int:
+    """Writes the partition values that the commit replaces, as typed columns of a small
+    table, and returns how many live rows they hold now. Only partition columns are scanned."""
+    parts = [F.col(f"`{p}`") for p in plan.partition_by]
+    old = read_state(ctx, plan.state).select(*parts).groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
+    own = (
+        ctx.spark.read.format(plan.fmt).schema(plan.schema).options(**ZONE).load(plan.folder)
+        .select(*parts).distinct().withColumn("_own", F.lit(True))
     )
+    same = F.lit(True)
+    for p in plan.partition_by:
+        same = same & F.col(f"o.`{p}`").eqNullSafe(F.col(f"w.`{p}`"))
+    both = old.alias("o").join(own.alias("w"), same, "full_outer")
+    both = both.select(*[F.coalesce(F.col(f"o.`{p}`"), F.col(f"w.`{p}`")).alias(p) for p in plan.partition_by], "_n", "_own")
+    hit = F.coalesce(F.col("_own"), F.lit(False))
+    if plan.partitions_where:
+        hit = hit | F.coalesce(F.expr(plan.partitions_where), F.lit(False))
+    obs = Observation(f"replaced-{uuid.uuid4().hex}")
+    gone = both.filter(hit).observe(obs, F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
+    target = f"{ctx.replaced_dir(plan.dataset_id)}/commit_id={plan.data_folder}"
+    gone.select(*parts).write.mode("overwrite").options(**ZONE).parquet(target)
+    return int(obs.get["n"])
+
+
+def _entry(ctx: Context, plan: CommitPlan, n_removed: int) -> dict:
+    """The log row of the commit after ``plan.state``."""
+    st, now = plan.state, ctx.now()
+    version = (st.version if st else 0) + 1
+    carried = []
+    if plan.mode in ("append", "replace"):
+        reset, n_live, total = st.reset_version, st.n_live + 1, st.total_rows
+        total = None if total is None else total - n_removed + plan.n_rows
+    elif plan.mode == "compact":
+        later = [c for c in st.live if c.version > plan.snapshot]
+        carried = [{k: getattr(c, k) for k in ("version", "commit_id", "data_folder", "mode")} for c in later]
+        reset, n_live, total = version, 1 + len(later), st.total_rows
+    else:
+        reset, n_live, total = version, 1, plan.n_rows
+    fresh = st is None or not st.exists
+    return {
+        "dataset_id": plan.dataset_id, "version": version, "reset_version": reset, "carried": carried,
+        "commit_id": plan.commit_id, "data_folder": plan.data_folder, "mode": plan.mode, "committed_at": now,
+        "created_at": now if fresh else st.created_at, "n_rows": plan.n_rows, "total_rows": total, "n_live": n_live,
+        "replaced": plan.data_folder if plan.replaces_partitions else None, "replace_where": plan.replace_where,
+        "replace_zone": ctx.spark.conf.get("spark.sql.session.timeZone") if plan.replace_where else None,
+        "name": plan.name, "description": plan.description, "folder": ctx.dataset_root(plan.dataset_id),
+        "format": plan.fmt, "partition_by": plan.partition_by, "tags": plan.tags, "schema_id": plan.schema_id,
+        "schema_json": plan.schema.json(), "inputs": plan.inputs,
+    }
 
 
-def register(ctx: Context, plans: Sequence[CommitPlan]) -> dict[str, dict]:
-    """One catalogue entry file for all ``plans`` (one job). Returns outcomes by
-    commit id; on failure every plan is rolled back."""
-    if not plans:
-        return {}
-    folder_id = plans[0].commit_id if len(plans) == 1 else f"batch-{uuid.uuid4().hex}"
-    entry_folder = f"{ctx.log_dir}/{folder_id}"
+def _still_valid(ctx: Context, plan: CommitPlan, base: DatasetState | None) -> dict | None:
+    """The mode's rule against the state as it is now; an outcome when it no longer holds."""
+    st = plan.state
+    if prior := prior_outcome(ctx, plan.dataset_id, plan.commit_id, plan.requested):
+        return prior
+    if refused := _refusal(plan.mode if plan.mode in ("append", "replace", "compact") else plan.requested, plan.dataset_id, plan.commit_id, st, False):
+        return refused
+    if plan.mode in ("append", "replace", "compact"):
+        kept = ("schema_json", "partition_by", "format")
+        if any(st.attrs[k] != base.attrs[k] for k in kept):
+            return failure(SchemaMismatchError("the dataset's schema or layout changed while this commit was written"), plan.dataset_id, plan.commit_id)
+    if plan.mode == "compact":
+        if st.reset_version != base.reset_version or any(c.mode != "append" for c in st.live if c.version > base.version):
+            return failure(PublishError("the dataset was changed while it was compacted", plan.commit_id), plan.dataset_id, plan.commit_id)
+    return None
+
+
+def register(ctx: Context, plan: CommitPlan) -> dict:
+    """The commit: the entry with the next free number. Undoes the attempt where the commit
+    cannot be made."""
+    base = plan.state
     try:
-        ctx.run_hook("register", plans=list(plans))
-        write_entries(ctx, [entry_row(ctx, p) for p in plans], folder_id)
+        ctx.run_hook("register", plans=[plan])
+        ensure_schema(ctx, plan.schema, plan.schema_id)
+        for _ in range(_TRIES):
+            n_removed = 0
+            if plan.replaces_partitions:
+                n_removed = _replaced_values(ctx, plan)
+            elif plan.replace_where:
+                n_removed = read_state(ctx, plan.state).filter(F.coalesce(F.expr(plan.replace_where), F.lit(False))).count()
+            row = _entry(ctx, plan, n_removed)
+            if fsys.create_new(ctx.spark, entry_path(ctx, plan.dataset_id, row["version"]), encode([row])):
+                fsys.delete(ctx.spark, _marker(ctx, plan))
+                return success(plan, row["version"])
+            plan.state = dataset_state(ctx, plan.dataset_id)
+            if outcome := _still_valid(ctx, plan, base):
+                undo(ctx, plan)
+                return outcome
+        raise QuireError(f"no free version after {_TRIES} tries")
     except Exception as e:  # noqa: BLE001
-        out = {}
-        for p in plans:
-            err = RegistrationError(
-                msg.REGISTER_FAILED.format(correlation_id=p.commit_id) + f": {_first_line(e)}",
-                p.commit_id,
-            )
-            out[p.commit_id] = rollback(ctx, p, err, entry_folder)
-        return out
-    maybe_merge(ctx)
-    return {p.commit_id: success(p) for p in plans}
+        text = msg.REGISTER_FAILED.format(correlation_id=plan.commit_id) + f": {_first_line(e)}"
+        return rollback(ctx, plan, RegistrationError(text, plan.commit_id))
+
+
+def commit(ctx: Context, plan: CommitPlan) -> dict:
+    failed = write_commit(ctx, plan)
+    if failed is not None:
+        return failed
+    if plan.skip_empty and plan.n_rows == 0:
+        undo(ctx, plan)
+        return {"dataset_id": plan.dataset_id, "commit_id": None, "accepted": True, "status": "empty", "n_rows": 0}
+    return register(ctx, plan)
 
 
 def publish(
@@ -455,25 +461,21 @@ def publish(
     partition_by=None,
     inputs=None,
     commit_id=None,
+    create: bool = False,
     **options,
 ) -> dict:
     """Publish ``df`` as a commit. Without ``dataset_id`` a new dataset is made.
 
     Modes on an existing dataset: ``overwrite`` replaces what readers see,
     ``append`` adds rows, ``error`` refuses (outcome ``DatasetExistsError``),
-    ``ignore`` does nothing. A ``commit_id`` that already has an entry writes
-    nothing and returns the stored outcome, so retries count once.
+    ``ignore`` does nothing. An append to a dataset that is not there, or no longer, is
+    refused (``DatasetNotFoundError``) unless ``create`` is given. A ``commit_id`` that the
+    dataset has already writes nothing and returns the stored outcome, so retries count once.
     """
     plan = prepare(
-        ctx, df, name, description, schema_id, tags, dataset_id, mode,
-        partition_by, inputs, commit_id, options,
+        ctx, df, name, description, schema_id, tags, dataset_id, mode, partition_by, inputs, commit_id, create, options,
     )
-    if isinstance(plan, dict):
-        return plan
-    failed = write_commit(ctx, plan)
-    if failed is not None:
-        return failed
-    return register(ctx, [plan])[plan.commit_id]
+    return plan if isinstance(plan, dict) else commit(ctx, plan)
 
 
 OUTCOME_SCHEMA = (
@@ -525,55 +527,26 @@ def publish_many(ctx: Context, specs: Sequence[dict], parallelism: int = 4) -> D
     ``description``, ...). Bad arguments are reported, not raised. Several
     specs for one dataset behave as if published one after another: they run
     in successive waves (plain appends to a live dataset commute and share a
-    wave). Per wave: one catalogue lookup for all its datasets, concurrent data
-    writes, one entry file.
+    wave). The specs of a wave run ``parallelism`` at a time.
     """
     outcomes: dict[int, dict] = {}
-    known = ("schema_id", "tags", "dataset_id", "mode", "partition_by", "inputs", "commit_id")
-    all_ids = [ds for ds, _ in map(_spec_ids, specs) if ds]
-    all_probes = [cid for ds, cid in map(_spec_ids, specs) if ds and cid]
-    first = states_and_probes(ctx, sorted(set(all_ids)), sorted(set(all_probes))) if all_ids else ({}, {})
-    live_before = {ds for ds, st in first[0].items() if st.exists}
-    for n, wave in enumerate(_waves(specs, live_before)):
-        if n == 0:
-            states, priors = first
-        else:
-            ids = sorted({ds for ds, _ in (_spec_ids(specs[i - 1]) for i in wave) if ds})
-            probes = sorted({cid for ds, cid in (_spec_ids(specs[i - 1]) for i in wave) if ds and cid})
-            states, priors = states_and_probes(ctx, ids, probes) if ids else ({}, {})
+    ids = sorted({ds for ds, _ in map(_spec_ids, specs) if ds})
+    states = dict(zip(ids, fsys.each(lambda ds: dataset_state(ctx, ds), ids)))
+    live_before = {ds for ds, st in states.items() if st is not None and st.exists}
 
-        plans: dict[int, CommitPlan] = {}
-        for i in wave:
+    def one(i: int) -> dict:
+        try:
             spec = specs[i - 1]
-            try:
-                if not isinstance(spec, dict):
-                    raise TypeError("a spec must be a dict of publish arguments")
-                s = dict(spec)
-                args = {k: s.pop(k, None) for k in ("df", "name", "description")}
-                kw = {k: s.pop(k) for k in known if k in s}
-                kw.setdefault("mode", "overwrite")
-                ds = checks.check_dataset_id(kw.get("dataset_id"))
-                cid = checks.check_commit_id(kw.get("commit_id"))
-                pre = (states.get(ds), priors.get(cid) if cid else None) if ds else None
-                p = prepare(ctx, args["df"], args["name"], args["description"], options=s, prefetched=pre, **kw)
-            except (TypeError, ValueError) as e:
-                outcomes[i] = failure(e)
-                continue
-            if isinstance(p, dict):
-                outcomes[i] = p
-            else:
-                plans[i] = p
-
+            if not isinstance(spec, dict):
+                raise TypeError("a spec must be a dict of publish arguments")
+            args = dict(spec)
+            return publish(ctx, args.pop("df", None), args.pop("name", None), args.pop("description", None), **args)
+        except (TypeError, ValueError) as e:
+            return failure(e)
+
+    for wave in _waves(specs, live_before):
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            written = dict(zip(plans, pool.map(lambda p: write_commit(ctx, p), plans.values())))
-        good = [plans[i] for i, r in written.items() if r is None]
-        for i, r in written.items():
-            if r is not None:
-                outcomes[i] = r
-        registered = register(ctx, good)
-        for i, p in plans.items():
-            if written[i] is None:
-                outcomes[i] = registered[p.commit_id]
+            outcomes |= dict(zip(wave, pool.map(one, wave)))
 
     rows = []
     for i in range(1, len(specs) + 1):
@@ -596,13 +569,25 @@ def publish_many(ctx: Context, specs: Sequence[dict], parallelism: int = 4) -> D
     return ctx.spark.createDataFrame(rows, OUTCOME_SCHEMA)
 
 
+_UNSTABLE = re.compile(r"current_(?:timestamp|date|time)\(|localtimestamp\(|\bnow\(|scalar-subquery#|exists#|\blist#", re.IGNORECASE)
+
+
+def _check_predicate(df: DataFrame, where: str) -> list[str]:
+    """Columns of a predicate that means the same at every read; others are refused."""
+    plan = df.filter(F.expr(where))._jdf.queryExecution().analyzed()
+    if not plan.deterministic() or _UNSTABLE.search(plan.toString()):
+        raise ValueError(f"a replaced slice must not depend on time, chance or other tables: {where!r}")
+    refs = plan.expressions().apply(0).references().toSeq()
+    return [refs.apply(i).name() for i in range(refs.size())]
+
+
 def replace_partition(ctx: Context, df: DataFrame, dataset_id, where: str, commit_id=None, **options) -> dict:
     """Replace the rows matching the SQL predicate ``where`` with ``df``.
 
-    Nothing old is rewritten: the new commit holds only ``df``; readers hide
-    older rows matching ``where`` (pruned at the scan when ``where`` is on
-    partition columns). Every new row must match ``where``; this is checked in
-    the same pass as the write.
+    Nothing old is rewritten: the new commit holds only ``df``. A predicate on partition
+    columns alone is resolved to the partition values it holds for now, which are stored as typed columns;
+    any other is stored as it is and hides older rows at every read, so it must not depend on time, chance or
+    other tables. Every new row must match ``where``; this is checked in the same pass as the write.
     """
     checks.check_frame(df)
     ds = checks.check_dataset_id(dataset_id)
@@ -611,83 +596,84 @@ def replace_partition(ctx: Context, df: DataFrame, dataset_id, where: str, commi
     if not isinstance(where, str) or not where.strip():
         raise TypeError("where must be a non-empty SQL predicate")
     cid = checks.check_commit_id(commit_id)
-    if cid is not None:
-        prior = committed_outcome(ctx, cid)
-        if prior is not None:
-            return prior
-    cid = cid or str(uuid.uuid4())
     opts = checks.clean_options(options)
     merge = opts.pop("mergeSchema", "false") == "true"
     checks.check_columns(df, [])
+    if cid is not None and (prior := prior_outcome(ctx, ds, cid, "replace")):
+        return prior
+    cid = cid or str(uuid.uuid4())
     state = dataset_state(ctx, ds)
-    if state is None or not state.exists:
-        return failure(DatasetNotFoundError(f"no live dataset {ds}"), ds, None)
+    if refused := _refusal("replace", ds, cid, state, False):
+        return refused
     try:
         frame, schema = fit_append(df, state.schema, merge)
+        missing = [c for c in state.partition_by if c not in frame.columns]
+        if missing:
+            raise SchemaMismatchError(f"partition columns missing from the frame: {missing}")
     except SchemaMismatchError as e:
         return failure(e, ds, cid)
-    fmt = state.attrs["format"] or ctx.format
+    used = _check_predicate(ctx.spark.createDataFrame([], state.schema), where)
+    by_partition = bool(used) and set(used) <= set(state.partition_by)
     pred = F.coalesce(F.expr(where), F.lit(False))
-    current = read_commits(ctx, ds, state.live, state.schema, fmt)
-    n_removed = current.filter(pred).count()
-    plan = CommitPlan(
-        dataset_id=ds,
-        commit_id=cid,
-        mode="replace",
+    folder = _folder_name(cid)
+    return commit(ctx, CommitPlan(
+        dataset_id=ds, commit_id=cid, requested="replace", mode="replace",
         frame=guard_partition_values(frame, state.partition_by),
-        name=state.attrs["name"],
-        description=state.attrs["description"],
-        tags=dict(state.attrs["tags"] or {}),
-        partition_by=state.partition_by,
-        schema=schema,
-        schema_id=schema_id_of(schema),
-        inputs=inputs_from_files(ctx, df),
-        folder=ctx.commit_dir(ds, cid),
-        fmt=fmt,
-        options=opts,
-        new_dataset=False,
-        replace_where=where,
-        n_removed=n_removed,
+        name=state.attrs["name"], description=state.attrs["description"], tags=dict(state.attrs["tags"] or {}),
+        partition_by=state.partition_by, schema=schema,
+        schema_id=state.attrs["schema_id"] if schema == state.schema else schema_id_of(schema),
+        inputs=inputs_of(ctx, df), data_folder=folder, folder=ctx.commit_dir(ds, folder),
+        fmt=state.attrs["format"] or ctx.format, options=opts, state=state,
+        replaces_partitions=by_partition, partitions_where=where if by_partition else None,
+        replace_where=None if by_partition else where,
         metrics=[F.sum(F.when(~pred, 1).otherwise(0)).alias("n_outside")],
         checks=[
-            lambda v: f"{v['n_outside']} new rows do not match {where!r}"
-            if (v.get("n_outside") or 0) > 0
-            else None
+            lambda v: f"{v['n_outside']} new rows do not match {where!r}" if (v.get("n_outside") or 0) > 0 else None
         ],
-    )
-    failed = write_commit(ctx, plan)
-    if failed is not None:
-        return failed
-    return register(ctx, [plan])[plan.commit_id]
+    ))
 
 
 def delete_dataset(ctx: Context, dataset_id) -> dict:
-    """Tombstone first (readers stop seeing the dataset at once), then remove the
-    folder. A failed folder delete leaves files that ``sweep_orphans`` removes."""
+    """A deletion is a commit: readers stop seeing the dataset at once. Then the folders of the
+    commits before it go, and no others. What cannot be removed is left to ``sweep_orphans``."""
     ds = checks.check_dataset_id(dataset_id)
     if ds is None:
         raise TypeError("dataset_id must be a UUID")
-    state = dataset_state(ctx, ds)
-    if state is None or not state.exists:
-        return failure(DatasetNotFoundError(f"no live dataset {ds}"), ds, None)
     cid = str(uuid.uuid4())
-    a = state.attrs
-    write_entries(
-        ctx,
-        [
-            entry(
-                entry_id=cid, kind="commit", dataset_id=ds, commit_id=cid, mode="delete",
-                committed_at=ctx.now(), n_rows=0, n_removed=0, name=a["name"],
-                description=a["description"], folder=a["folder"], format=a["format"],
-                partition_by=a["partition_by"], tags=a["tags"], schema_id=a["schema_id"],
-                schema_json=a["schema_json"], inputs=[],
-            )
-        ],
-        cid,
-    )
+    for _ in range(_TRIES):
+        state = dataset_state(ctx, ds)
+        if state is None or not state.exists:
+            return failure(DatasetNotFoundError(f"no live dataset {ds}"), ds, None)
+        a, version = state.attrs, state.version + 1
+        row = {
+            "dataset_id": ds, "version": version, "reset_version": version, "commit_id": cid, "mode": "delete",
+            "committed_at": ctx.now(), "created_at": state.created_at, "n_rows": 0, "total_rows": 0, "n_live": 0,
+            "inputs": [], **{k: a[k] for k in a},
+        }
+        if fsys.create_new(ctx.spark, entry_path(ctx, ds, version), encode([row])):
+            break
+    else:
+        return failure(QuireError(f"no free version after {_TRIES} tries"), ds, cid)
+    mark = f"{ctx.started_dir}/{cid}.parquet"
+    row = {"folder": ctx.dataset_root(ds), "dataset_id": ds, "commit_id": cid, "started_at": ctx.now()}
+    fsys.create_new(ctx.spark, mark, encode([row], STARTED))
+    removed = remove_before(ctx, ds, version)
+    if removed:
+        fsys.delete(ctx.spark, mark)
+    return {"dataset_id": ds, "commit_id": cid, "accepted": True, "status": "deleted", "folder_removed": removed}
+
+
+def remove_before(ctx: Context, dataset_id: str, version: int) -> bool:
+    """Removes the data of a deleted dataset's commits before ``version``."""
+    spark = ctx.spark
     try:
-        removed = fsys.delete(ctx.spark, ctx.dataset_root(ds))
+        rows = dataset_log(ctx, dataset_id).filter((F.col("version") < version) & F.col("data_folder").isNotNull())
+        names = [r[0] for r in rows.select("data_folder").toLocalIterator()]
+        fsys.each(lambda n: fsys.delete(spark, ctx.commit_dir(dataset_id, n)), names)
+        fsys.each(lambda n: fsys.delete(spark, f"{ctx.replaced_dir(dataset_id)}/commit_id={n}"), names)
+        for above in (ctx.replaced_dir(dataset_id), ctx.processed_dir(dataset_id), ctx.dataset_root(dataset_id)):
+            fsys.delete_if_empty(spark, above)
+        return not fsys.exists(spark, ctx.dataset_root(dataset_id))
     except Exception as e:  # noqa: BLE001
-        log.warning("dataset %s is deleted from the catalogue; folder delete failed: %s", ds, e)
-        removed = False
-    return {"dataset_id": ds, "commit_id": cid, "accepted": True, "status": "deleted", "folder_removed": removed}
+        log.warning("dataset %s is deleted from the catalogue; its folders are left: %s", dataset_id, e)
+        return False

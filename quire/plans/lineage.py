@@ -9,7 +9,7 @@ from quire.functions.catalogue import datasets, lineage
 
 
 def edges(ctx: Context) -> DataFrame:
-    """(input_dataset_id, dataset_id) between live datasets, distinct."""
+    """(input_dataset_id, dataset_id) between live datasets, by their live commits, distinct."""
     live = datasets(ctx).select("dataset_id")
     return (
         lineage(ctx)
@@ -62,7 +62,7 @@ def lineage_closure(ctx: Context, dataset_id: str, direction: str = "down", max_
         )
         if nxt.isEmpty():
             break
-        reached = reached.unionByName(nxt).checkpoint()
+        reached = reached.unionByName(nxt)  # a union of checkpointed rounds
         frontier = nxt.select("node")
     names = datasets(ctx).select(F.col("dataset_id").alias("node"), F.col("name").alias("dataset_name"))
     return (

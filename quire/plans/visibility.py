@@ -1,88 +1,35 @@
 """Which commits a reader sees.
 
-Per dataset, commits are ordered by ``(committed_at, commit_id)``. A commit is
-live when no later commit is an overwrite or a tombstone; tombstones are never
-live themselves. ``replace`` commits keep older commits live but hide their rows
-that match the replace predicate (applied by the reader).
+A dataset's commits are ordered by version. Its last commit names the version at which
+what is live begins (``reset_version``): the last overwrite, compaction or deletion.
+Commits from there on are live, and so are the earlier ones that a compaction carried on; a
+deletion is never live. Replacements leave older commits live and hide rows of theirs.
 
-All rules are aggregations or joins keyed by ``dataset_id``; the reset point is a
-partial (map-side) ``max`` so a dataset holding most commits is not gathered
-into one task before the aggregation.
+The last commit of each dataset is a partial aggregate, so a dataset that holds most
+commits is not gathered into one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-RESETS = ("overwrite", "delete")
+from quire.sources.catalogue_log import CARRIED_TYPE  # noqa: F401 - the type of ``carried``
 
 
-def order_key() -> F.Column:
-    return F.struct(F.col("committed_at"), F.col("commit_id"))
+def latest(log: DataFrame, attrs: list[str]) -> DataFrame:
+    """One row per dataset: ``attrs`` of its last commit."""
+    return log.groupBy("dataset_id").agg(
+        F.max_by(F.struct(*[F.col(a) for a in attrs]), F.col("version")).alias("_last")
+    ).select("dataset_id", "_last.*")
 
 
-ORDER = ["dataset_id", "committed_at", "commit_id"]
-
-
-def with_versions(commits: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Adds ``version``: 1-based position of each commit in its dataset.
-
-    ``commits`` must hold one row per commit. A plain window partitioned by
-    dataset would sort a dataset's whole history in one task; instead the rows
-    are range-partitioned on ``(dataset_id, committed_at, commit_id)`` (a long
-    history spreads over several tasks), numbered within each (partition,
-    dataset) group, and shifted by the counts of the same dataset in earlier
-    partitions -- a small table with at most one row per partition and dataset.
-    """
-    ranged = (
-        commits.repartitionByRange(partitions, *ORDER) if partitions else commits.repartitionByRange(*ORDER)
-    ).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn(
-        "_idx",
-        F.row_number().over(Window.partitionBy("_pid", "dataset_id").orderBy("committed_at", "commit_id")),
-    )
-    before = Window.partitionBy("dataset_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        local.groupBy("_pid", "dataset_id")
-        .agg(F.max("_idx").alias("_n"))
-        .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .select("_pid", "dataset_id", "_off")
-    )
-    return (
-        local.join(offsets, ["_pid", "dataset_id"])
-        .withColumn("version", (F.col("_off") + F.col("_idx")).cast("int"))
-        .drop("_pid", "_idx", "_off")
-    )
-
-
-def live(commits: DataFrame) -> DataFrame:
-    """Live rows of ``commits`` (any columns, needs dataset_id, commit_id,
-    committed_at, mode). The reset point per dataset is a small aggregate;
-    AQE broadcasts it when its runtime size allows, else shuffles both sides
-    (and splits a skewed dataset partition)."""
-    resets = (
-        commits.filter(F.col("mode").isin(*RESETS))
-        .groupBy("dataset_id")
-        .agg(F.max(order_key()).alias("_reset_key"))
-    )
-    return (
-        commits.join(resets, "dataset_id")
-        .filter(order_key() >= F.col("_reset_key"))
-        .filter(F.col("mode") != "delete")
-        .drop("_reset_key")
-    )
-
-
-def latest(commits: DataFrame, attrs: list[str]) -> DataFrame:
-    """One row per dataset: ``attrs`` of its last commit and its first commit
-    time. ``max_by``/``min`` aggregate partially per map task and do not mind
-    duplicated entries."""
-    packed = F.struct(*[F.col(a) for a in attrs])
-    return (
-        commits.groupBy("dataset_id")
-        .agg(
-            F.max_by(packed, order_key()).alias("_last"),
-            F.min("committed_at").alias("created_at"),
-        )
-        .select("dataset_id", "created_at", "_last.*")
+def with_live(log: DataFrame) -> DataFrame:
+    """``log`` with ``live``: whether readers see the commit now."""
+    resets = latest(log, ["reset_version"]).withColumnRenamed("reset_version", "_reset")
+    c = log.join(resets, "dataset_id")
+    carried = (
+        c.filter((F.col("version") == F.col("_reset")) & (F.size(F.coalesce("carried", F.array())) > 0))
+        .select("dataset_id", F.explode("carried.version").alias("version"), F.lit(True).alias("_carried"))
     )
+    live: Column = ((F.col("version") >= F.col("_reset")) & (F.col("mode") != "delete")) | F.coalesce("_carried", F.lit(False))
+    return c.join(carried, ["dataset_id", "version"], "left").withColumn("live", live).drop("_reset", "_carried")

@@ -9,12 +9,12 @@ SQL over the plain tables.
 from __future__ import annotations
 
 import uuid
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quire.context import Context
-from quire.functions.catalogue import catalogue_datasets, datasets, schemas, search, tags
+from quire.functions.catalogue import catalogue_datasets, datasets, history, schemas, search, tags
 from quire.functions.schemas import register_schema, schema_violations
 from quire.operators.maintain import compact_dataset, partition_counts, sweep_orphans
 from quire.operators.publish import delete_dataset, publish, publish_many, replace_partition
@@ -23,6 +23,7 @@ from quire.sources import filesystem as fsys
 from quire.sources.catalogue_log import read_log
 from quire.sources.datasets import read_dataset
 from quire.sources.listing import exists_report, files_under
+from quire.sources.storage import PathStorage
 from quire.streaming.publish_stream import publish_stream
 
 # Fixed values of the fixtures: the split instant of `events` and the segment
@@ -161,28 +162,34 @@ def delete_dataset_query(spark, sf_dir):
 
 
 def rollback_failed_publish(spark, sf_dir):
+    """A publish that fails at registering, while another one commits to the same new
+    dataset: what is left is the other's commit and data, nothing of the first."""
     ctx = _ctx(spark, "w13")
+    region, ds = _table(spark, sf_dir, "region"), str(uuid.uuid4())
 
     def refuse(**_):
+        ctx.hooks.clear()
+        _ok(publish(ctx, region, "region", "regions", dataset_id=ds))
         raise ConnectionError("catalogue unreachable")
 
     ctx.hooks["register"] = refuse
-    out = publish(ctx, _table(spark, sf_dir, "region"), "region", "regions")
-    ds = out["dataset_id"]
-    root = ctx.dataset_root(ds)
-    files = files_under(ctx, [root] if fsys.exists(spark, root) else [])
-    left = read_log(ctx).filter(F.col("dataset_id") == ds)
-    both = files.select(F.lit(1).alias("f"), F.lit(0).alias("c")).unionByName(
-        left.select(F.lit(0).alias("f"), F.lit(1).alias("c"))
-    )
+    out = publish(ctx, region, "region", "regions", dataset_id=ds)
+    own = f"commit_id={out['commit_id']}"
+    files = files_under(ctx, [ctx.dataset_root(ds)]).filter(F.col("path").contains(own))
+    log = read_log(ctx).filter(F.col("dataset_id") == ds)
+    both = files.select(F.lit(1).alias("f"), F.lit(0).alias("c"), F.lit(0).alias("r")).unionByName(
+        log.select(F.lit(0).alias("f"), (F.col("commit_id") == out["commit_id"]).cast("int").alias("c"), F.lit(0).alias("r"))
+    ).unionByName(read_dataset(ctx, ds).select(F.lit(0).alias("f"), F.lit(0).alias("c"), F.lit(1).alias("r")))
     return both.agg(
         F.coalesce(F.sum("f"), F.lit(0)).cast("bigint").alias("files_left"),
         F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("catalogue_rows_left"),
+        F.sum("r").cast("bigint").alias("rows_of_the_other"),
     ).select(
         F.lit("region").alias("dataset_name"),
         F.lit(out["error_type"]).alias("error_type"),
         "files_left",
         "catalogue_rows_left",
+        "rows_of_the_other",
     )
 
 
@@ -194,17 +201,25 @@ def catalogue_datasets_query(spark, sf_dir):
 
 
 def sweep_orphans_query(spark, sf_dir):
+    """Two publishers that die: one after its data was written, one before. The rows of
+    the dataset that did commit are counted beside what the sweep takes."""
     ctx = _ctx(spark, "w15")
-    _ok(publish(ctx, _table(spark, sf_dir, "nation"), "nation", "nations"))
-    stray1 = ctx.commit_dir(str(uuid.uuid4()), str(uuid.uuid4()))
-    _table(spark, sf_dir, "region").write.parquet(stray1)  # data written, never registered
-    stray2 = ctx.commit_dir(str(uuid.uuid4()), str(uuid.uuid4()))
-    fsys.mkdirs(spark, stray2)  # the empty folder a failed write leaves
+    ds = _ok(publish(ctx, _table(spark, sf_dir, "nation"), "nation", "nations"))["dataset_id"]
+
+    def die(**_):
+        raise ConnectionError("driver lost")
+
+    commits = {}
+    for step, label in (("register", "stray1"), ("write", "stray2")):
+        ctx.hooks = {step: die, "rollback": die}
+        commits[publish(ctx, _table(spark, sf_dir, "region"), "region", "regions")["commit_id"]] = label
+    ctx.hooks = {}
     swept = sweep_orphans(ctx, older_than=timedelta(seconds=-60), dry_run=False)
-    label = F.when(F.col("commit_id") == stray1.rsplit("=", 1)[1], "stray1").when(
-        F.col("commit_id") == stray2.rsplit("=", 1)[1], "stray2"
+    label = F.create_map(*[F.lit(x) for kv in commits.items() for x in kv])[F.col("commit_id")]
+    kept = read_dataset(ctx, ds).agg(F.count(F.lit(1)).alias("n_rows"))
+    return swept.select(label.alias("folder"), "has_files", F.lit(None).cast("bigint").alias("n_rows")).unionByName(
+        kept.select(F.lit("kept").alias("folder"), F.lit(True).alias("has_files"), "n_rows")
     )
-    return swept.select(label.alias("folder"), "has_files")
 
 
 def _tagged_catalogue(spark, sf_dir, label):
@@ -218,9 +233,7 @@ def _tagged_catalogue(spark, sf_dir, label):
 
 def catalogue_tags(spark, sf_dir):
     ctx = _tagged_catalogue(spark, sf_dir, "w16")
-    return tags(ctx).filter(F.col("name") == "orders").select(
-        F.col("name").alias("dataset_name"), "tag_key", "tag_value"
-    )
+    return tags(ctx).select(F.col("name").alias("dataset_name"), "tag_key", "tag_value")
 
 
 def search_datasets(spark, sf_dir):
@@ -250,17 +263,23 @@ def schema_inferred(spark, sf_dir):
 
 
 def schema_conform(spark, sf_dir):
+    """Published and appended to under one schema id; reads have its columns and types."""
     ctx = _ctx(spark, "w19")
     sid = register_schema(ctx, "n_name string, n_regionkey bigint, n_nationkey int")
-    out = _ok(publish(ctx, _table(spark, sf_dir, "nation"), "nation", "nations", schema_id=sid))
+    low, high = _split(_table(spark, sf_dir, "nation"), F.col("n_nationkey") < 12)
+    out = _ok(publish(ctx, low, "nation", "nations", schema_id=sid))
+    more = _ok(publish(ctx, high, "nation", "nations", schema_id=sid, dataset_id=out["dataset_id"], mode="append"))
+    assert more["schema_id"] == out["schema_id"] == sid, more
     return read_dataset(ctx, out["dataset_id"])
 
 
 def schema_violations_query(spark, sf_dir):
+    """A published dataset against a registered schema: columns that do not fit and their values in the way."""
     ctx = _ctx(spark, "w20")
-    sid = register_schema(ctx, "n_nationkey bigint, n_name string, n_comment string")
-    frame = _table(spark, sf_dir, "nation").withColumn("n_nationkey", F.col("n_nationkey").cast("string"))
-    return schema_violations(ctx, frame, sid)
+    sid = register_schema(ctx, "c_custkey bigint, c_name string, c_acctbal int, c_comment string, c_nationkey int")
+    key = F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("n"), F.col("c_nationkey"))).otherwise(F.col("c_nationkey").cast("string"))
+    out = _ok(publish(ctx, _table(spark, sf_dir, "customer").withColumn("c_nationkey", key), "customer", "customers"))
+    return schema_violations(ctx, read_dataset(ctx, out["dataset_id"]), sid)
 
 
 def publish_many_query(spark, sf_dir):
@@ -281,17 +300,31 @@ def publish_many_query(spark, sf_dir):
     return publish_many(ctx, specs).select("spec_no", "accepted", "error_type")
 
 
+def _lineage(spark, sf_dir, label):
+    """customer and nation -> by_nation -> summary; summary's earlier source was overwritten."""
+    ctx = _ctx(spark, label)
+    c = _ok(publish(ctx, _table(spark, sf_dir, "customer"), "customer", "customers"))["dataset_id"]
+    n = _ok(publish(ctx, _table(spark, sf_dir, "nation"), "nation", "nations"))["dataset_id"]
+    joined = read_dataset(ctx, c).join(read_dataset(ctx, n), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = _ok(publish(ctx, joined, "by_nation", "customers with their nation"))["dataset_id"]
+    old = _ok(publish(ctx, read_dataset(ctx, n).select("n_name"), "summary", "names"))["dataset_id"]
+    counts = read_dataset(ctx, j).groupBy("n_name").agg(F.count(F.lit(1)).alias("n_customers"))
+    _ok(publish(ctx, counts, "summary", "customers per nation", dataset_id=old))
+    return ctx, old
+
+
 def lineage_edges_query(spark, sf_dir):
-    ctx = _ctx(spark, "w22")
-    c = _ok(publish(ctx, _table(spark, sf_dir, "customer"), "customer", "customers"))
-    n = _ok(publish(ctx, _table(spark, sf_dir, "nation"), "nation", "nations"))
-    joined = read_dataset(ctx, c["dataset_id"]).join(
-        read_dataset(ctx, n["dataset_id"]), F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    _ok(publish(ctx, joined, "customer_by_nation", "customers with their nation"))
+    ctx, _ = _lineage(spark, sf_dir, "w22")
     return lineage_edges(ctx).select("input_name", "output_name")
 
 
+def lineage_upstream(spark, sf_dir):
+    """All sources of a dataset with their distance and row counts."""
+    ctx, ds = _lineage(spark, sf_dir, "w22u")
+    rows = catalogue_datasets(ctx).select("dataset_id", "n_rows")
+    return lineage_closure(ctx, ds, "up").join(rows, "dataset_id").select("dataset_name", "distance", "n_rows")
+
+
 def lineage_closure_query(spark, sf_dir):
     ctx = _ctx(spark, "w23")
     src = {"a": "region", "b": "nation", "c": "customer", "x": "supplier", "y": "part"}
@@ -306,33 +339,102 @@ def lineage_closure_query(spark, sf_dir):
 
 
 def publish_stream_query(spark, sf_dir):
+    """Two files, one a micro-batch: the first commit creates the dataset, the second appends."""
     ctx = _ctx(spark, "x1")
-    sample = _table(spark, sf_dir, "events")
-    sdf = spark.readStream.schema(sample.schema).option("maxFilesPerTrigger", 1).parquet(
-        f"{sf_dir.rstrip('/')}/events*.parquet"
-    )
+    events = _table(spark, sf_dir, "events")
+    early, late = _split(events, F.col("ts") < F.lit(EVENTS_SPLIT).cast("timestamp_ntz"))
+    source = f"{ctx.base}/_source"
+    for part in (early, late):
+        part.coalesce(1).write.mode("append").parquet(source)
+    sdf = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
     ds = str(uuid.uuid4())
     q = publish_stream(ctx, sdf, ds, f"{ctx.base}/_streams/events", "events", "event stream")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    assert history(ctx, ds).count() == 2
     return read_dataset(ctx, ds)
 
 
+def _in_pieces(spark, sf_dir, ctx):
+    """``part`` as four commits of one dataset."""
+    rest, ds = _table(spark, sf_dir, "part"), None
+    for bound in (10, 25, 40, None):
+        piece, rest = _split(rest, F.col("p_size") < bound) if bound else (rest, None)
+        ds = _ok(publish(ctx, piece, "part", "parts", dataset_id=ds, mode="append" if ds else "overwrite"))["dataset_id"]
+    return ds
+
+
 def compact_dataset_query(spark, sf_dir):
     ctx = _ctx(spark, "x2")
-    part = _table(spark, sf_dir, "part")
-    rest = part
-    first = None
-    for bound in (10, 25, 40):
-        piece, rest = _split(rest, F.col("p_size") < bound)
-        if first is None:
-            first = _ok(publish(ctx, piece, "part", "parts"))
-        else:
-            _ok(publish(ctx, piece, "part", "parts", dataset_id=first["dataset_id"], mode="append"))
-    _ok(publish(ctx, rest, "part", "parts", dataset_id=first["dataset_id"], mode="append"))
-    _ok(compact_dataset(ctx, first["dataset_id"], files=2))
-    return read_dataset(ctx, first["dataset_id"])
+    ds = _in_pieces(spark, sf_dir, ctx)
+    _ok(compact_dataset(ctx, ds))
+    return read_dataset(ctx, ds)
+
+
+def compact_during_append(spark, sf_dir):
+    """Rows appended while a compaction is under way stay."""
+    ctx = _ctx(spark, "x3")
+    ds = _in_pieces(spark, sf_dir, ctx)
+
+    def meanwhile(**_):
+        ctx.hooks.clear()
+        _ok(publish(ctx, _table(spark, sf_dir, "part").filter("p_size >= 40"), "part", "parts", dataset_id=ds, mode="append"))
+
+    ctx.hooks["register"] = meanwhile
+    _ok(compact_dataset(ctx, ds))
+    return read_dataset(ctx, ds)
+
+
+def history_query(spark, sf_dir):
+    """Versions of a dataset with rows, totals and what is live."""
+    ctx = _ctx(spark, "h1")
+    ds = _events_in_two(spark, sf_dir, ctx)
+    _ok(publish(ctx, _table(spark, sf_dir, "region"), "events", "regions now", dataset_id=ds))
+    return history(ctx, ds).select(F.col("version").cast("int").alias("version"), "mode", "n_rows", "total_rows", "live")
+
+
+def append_replayed(spark, sf_dir):
+    """An append that is repeated under its commit id counts once; the same id on another
+    dataset is another commit."""
+    ctx = _ctx(spark, "h2")
+    nation, region = _table(spark, sf_dir, "nation"), _table(spark, sf_dir, "region")
+    ids = {n: _ok(publish(ctx, df, n, n))["dataset_id"] for n, df in (("nation", nation), ("region", region))}
+    for _ in range(2):
+        for n, df in (("nation", nation), ("region", region)):
+            _ok(publish(ctx, df, n, n, dataset_id=ids[n], mode="append", commit_id="day-1"))
+    return catalogue_datasets(ctx).select("dataset_name", "n_rows")
+
+
+def read_as_of(spark, sf_dir):
+    ctx = _ctx(spark, "h3")
+    ds = _events_in_two(spark, sf_dir, ctx)
+    noon = datetime.now(timezone.utc)
+    _ok(publish(ctx, _table(spark, sf_dir, "events").limit(0), "events", "emptied", dataset_id=ds))
+    return read_dataset(ctx, ds, as_of=noon)
+
+
+def dynamic_overwrite(spark, sf_dir):
+    """A slice replaced through writer options, partitioned by a timestamp."""
+    ctx = _ctx(spark, "s9")
+    day = F.to_timestamp(F.date_trunc("day", F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")))
+    ev = _table(spark, sf_dir, "events").withColumn("day", day)
+    ds = _ok(publish(ctx, ev, "events", "by day", partition_by="day"))["dataset_id"]
+    late = ev.filter(F.col("ts") >= F.lit(EVENTS_SPLIT).cast("timestamp_ntz")).withColumn("value", F.lit(0.0))
+    _ok(publish(ctx, late, "events", "by day", dataset_id=ds, mode="overwrite", partitionOverwriteMode="dynamic"))
+    return read_dataset(ctx, ds).drop("day")
+
+
+def path_write_append_read(spark, sf_dir):
+    """A table at a path: written, appended to, checked, read."""
+    store, path = PathStorage(spark), f"{Context.scratch(spark, 'path').base}/orders"
+    orders = _table(spark, sf_dir, "orders")
+    early, late = _split(orders, F.col("o_orderkey") % 3 == 0)
+    assert not store.check_path_exists(path)
+    store.write(early, path, partition_by="o_orderstatus")
+    store.append(late, path)
+    assert store.check_path_exists(path)
+    return store.read(path)
 
 
 QUERIES = {
@@ -361,6 +463,13 @@ QUERIES = {
     "lineage_closure": lineage_closure_query,
     "publish_stream": publish_stream_query,
     "compact_dataset": compact_dataset_query,
+    "compact_during_append": compact_during_append,
+    "history": history_query,
+    "append_replayed": append_replayed,
+    "read_as_of": read_as_of,
+    "dynamic_overwrite": dynamic_overwrite,
+    "lineage_upstream": lineage_upstream,
+    "path_write_append_read": path_write_append_read,
 }
 
 ORACLE_SQL = {
@@ -390,17 +499,20 @@ ORACLE_SQL = {
     ),
     "delete_dataset": "SELECT 'nation' AS dataset_name, count(*) AS n_rows FROM nation",
     "rollback_failed_publish": (
-        "SELECT 'region' AS dataset_name, 'RegistrationError' AS error_type, "
-        "CAST(0 AS BIGINT) AS files_left, CAST(0 AS BIGINT) AS catalogue_rows_left"
+        "SELECT 'region' AS dataset_name, 'RegistrationError' AS error_type, CAST(0 AS BIGINT) AS files_left, "
+        "CAST(0 AS BIGINT) AS catalogue_rows_left, count(*) AS rows_of_the_other FROM region"
     ),
     "catalogue_datasets": (
         "SELECT 'nation' AS dataset_name, count(*) AS n_rows FROM nation UNION ALL "
         "SELECT 'region', count(*) FROM region UNION ALL SELECT 'orders', count(*) FROM orders"
     ),
-    "sweep_orphans": "SELECT * FROM (VALUES ('stray1',TRUE), ('stray2',FALSE)) t(folder, has_files)",
+    "sweep_orphans": (
+        "SELECT * FROM (VALUES ('stray1',TRUE,NULL::BIGINT), ('stray2',FALSE,NULL)) t(folder, has_files, n_rows) "
+        "UNION ALL SELECT 'kept', TRUE, count(*) FROM nation"
+    ),
     "catalogue_tags": (
         "SELECT * FROM (VALUES ('orders','domain','sales'), ('orders','tier','gold'), "
-        "('orders','tier','pii')) t(dataset_name, tag_key, tag_value)"
+        "('orders','tier','pii'), ('nation','domain','geo')) t(dataset_name, tag_key, tag_value)"
     ),
     "search_datasets": (
         "SELECT * FROM (VALUES ('domain=sales','orders'), ('tier=pii','orders'), "
@@ -414,18 +526,44 @@ ORACLE_SQL = {
     ),
     "schema_conform": "SELECT n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey, n_nationkey FROM nation",
     "schema_violations": (
-        "SELECT * FROM (VALUES ('n_comment','missing','string',NULL), ('n_regionkey','extra',NULL,'int'), "
-        "('n_nationkey','type','bigint','string')) t(column_name, problem, expected_type, actual_type)"
+        "SELECT 'c_comment' AS column_name, 'missing' AS problem, 'string' AS expected_type, "
+        "NULL::VARCHAR AS actual_type, NULL::BIGINT AS n_values "
+        "UNION ALL SELECT 'c_mktsegment', 'extra', NULL, 'string', count(c_mktsegment) FROM customer "
+        "UNION ALL SELECT 'c_acctbal', 'type', 'int', 'double', "
+        "count(*) FILTER (abs(c_acctbal) >= 2147483648) FROM customer "
+        "UNION ALL SELECT 'c_nationkey', 'type', 'int', 'string', count(*) FILTER (c_nationkey % 2 = 0) FROM customer"
     ),
     "publish_many": (
         "SELECT * FROM (VALUES (1,TRUE,NULL), (2,FALSE,'TypeError'), (3,FALSE,'TypeError'), "
         "(4,FALSE,'PublishError'), (5,TRUE,NULL)) t(spec_no, accepted, error_type)"
     ),
     "lineage_edges": (
-        "SELECT * FROM (VALUES ('customer','customer_by_nation'), ('nation','customer_by_nation')) "
+        "SELECT * FROM (VALUES ('customer','by_nation'), ('nation','by_nation'), ('by_nation','summary')) "
         "t(input_name, output_name)"
     ),
     "lineage_closure": "SELECT * FROM (VALUES ('b',1), ('c',2)) t(dataset_name, distance)",
     "publish_stream": "SELECT * FROM events",
     "compact_dataset": "SELECT * FROM part",
+    "compact_during_append": "SELECT * FROM part UNION ALL SELECT * FROM part WHERE p_size >= 40",
+    "history": (
+        "WITH e AS (SELECT count(*) FILTER (ts < TIMESTAMP '2024-01-16 00:00:00') AS a, count(*) AS n FROM events) "
+        "SELECT 1 AS version, 'overwrite' AS mode, a AS n_rows, a AS total_rows, FALSE AS live FROM e "
+        "UNION ALL SELECT 2, 'append', n - a, n, FALSE FROM e "
+        "UNION ALL SELECT 3, 'overwrite', count(*), count(*), TRUE FROM region"
+    ),
+    "append_replayed": (
+        "SELECT 'nation' AS dataset_name, 2 * count(*) AS n_rows FROM nation "
+        "UNION ALL SELECT 'region', 2 * count(*) FROM region"
+    ),
+    "read_as_of": "SELECT * FROM events",
+    "dynamic_overwrite": (
+        "SELECT * REPLACE (CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN CAST(0 AS DOUBLE) ELSE value END AS value) "
+        "FROM events"
+    ),
+    "lineage_upstream": (
+        "SELECT 'by_nation' AS dataset_name, 1 AS distance, count(*) AS n_rows "
+        "FROM customer JOIN nation ON c_nationkey = n_nationkey "
+        "UNION ALL SELECT 'customer', 2, count(*) FROM customer UNION ALL SELECT 'nation', 2, count(*) FROM nation"
+    ),
+    "path_write_append_read": "SELECT * FROM orders",
 }

@@ -1,153 +1,126 @@
-"""The catalogue as a log of small Parquet entries, read with Spark.
-
-Every publish writes exactly one entry folder, after its data. An entry row holds
-the commit, the dataset attributes at that commit, the schema and the declared
-inputs. A commit is visible once its entry file exists, so no reader ever sees a
-half-registered publish. The public tables ``datasets``, ``commits``,
-``schemas``, ``lineage`` and ``tags`` are projections of this log
-(see :mod:`quire.functions.catalogue`).
+"""The catalogue as numbered commits, one folder for each dataset.
+
+``log/<dataset_id>/<version>.parquet`` holds one commit: its data folder, the dataset's
+attributes as of then, and the version at which what readers see begins. A file is created only if its
+number is free, so of two writers one gets it and the other looks again: the order of
+commits is that of their numbers, whatever the writers' clocks say. A file may hold several
+rows, for logs that were put together; it is named after its last version.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
-    ArrayType,
-    BooleanType,
-    IntegerType,
-    LongType,
-    MapType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
+    ArrayType, BooleanType, IntegerType, LongType, MapType, StringType, StructField, StructType, TimestampType,
 )
 
 from quire.context import Context
 from quire.sources import filesystem as fsys
 
-COLUMN_TYPE = StructType(
-    [
-        StructField("ordinal", IntegerType()),
-        StructField("column_name", StringType()),
-        StructField("data_type", StringType()),
-        StructField("nullable", BooleanType()),
-    ]
-)
 
-LOG_SCHEMA = StructType(
-    [
-        StructField("entry_id", StringType()),
-        StructField("kind", StringType()),  # 'commit' | 'schema'
-        StructField("dataset_id", StringType()),
-        StructField("commit_id", StringType()),
-        StructField("mode", StringType()),  # 'overwrite' | 'append' | 'replace' | 'delete'
-        StructField("committed_at", TimestampType()),
-        StructField("n_rows", LongType()),
-        StructField("n_removed", LongType()),
-        StructField("replace_where", StringType()),
-        StructField("name", StringType()),
-        StructField("description", StringType()),
-        StructField("folder", StringType()),
-        StructField("format", StringType()),
-        StructField("partition_by", ArrayType(StringType())),
-        StructField("tags", MapType(StringType(), ArrayType(StringType()))),
-        StructField("schema_id", StringType()),
-        StructField("schema_json", StringType()),
-        StructField("columns", ArrayType(COLUMN_TYPE)),
-        StructField("inputs", ArrayType(StringType())),
-    ]
+def _struct(**fields) -> StructType:
+    return StructType([StructField(k, t) for k, t in fields.items()])
+
+
+COLUMN_TYPE = _struct(ordinal=IntegerType(), column_name=StringType(), data_type=StringType(), nullable=BooleanType())
+CARRIED_TYPE = _struct(version=LongType(), commit_id=StringType(), data_folder=StringType(), mode=StringType())
+
+LOG_SCHEMA = _struct(
+    dataset_id=StringType(),
+    version=LongType(),
+    reset_version=LongType(),  # commits from here on are live, unless this one is a deletion
+    carried=ArrayType(CARRIED_TYPE),  # of a compaction: earlier commits that stay live
+    commit_id=StringType(),
+    data_folder=StringType(),
+    mode=StringType(),  # overwrite | append | replace | compact | delete
+    committed_at=TimestampType(),
+    created_at=TimestampType(),
+    n_rows=LongType(),
+    total_rows=LongType(),  # of the dataset after this commit
+    n_live=LongType(),
+    replaced=StringType(),  # of a replacement: folder of the partition values that it replaces
+    replace_where=StringType(),  # or a predicate on rows
+    replace_zone=StringType(),  # session zone in which the predicate was given
+    name=StringType(),
+    description=StringType(),
+    folder=StringType(),
+    format=StringType(),
+    partition_by=ArrayType(StringType()),
+    tags=MapType(StringType(), ArrayType(StringType())),
+    schema_id=StringType(),
+    schema_json=StringType(),
+    inputs=ArrayType(StringType()),
 )
-
-LOG_FIELDS = [f.name for f in LOG_SCHEMA.fields]
-
-
-def entry(**values) -> tuple:
-    """A log row as a tuple in schema order; absent fields are null."""
-    unknown = set(values) - set(LOG_FIELDS)
-    if unknown:
-        raise KeyError(f"unknown log fields {sorted(unknown)}")
-    return tuple(values.get(f) for f in LOG_FIELDS)
-
-
-ARROW_SCHEMA = to_arrow_schema(LOG_SCHEMA)
-
-
-def _record(row: tuple) -> dict:
-    rec = dict(zip(LOG_FIELDS, row))
-    if rec.get("columns") is not None:
-        names = COLUMN_TYPE.fieldNames()
-        rec["columns"] = [dict(zip(names, c)) if isinstance(c, (list, tuple)) else c for c in rec["columns"]]
-    if rec.get("tags") is not None:
-        rec["tags"] = [(str(k), list(v)) for k, v in rec["tags"].items()]
-    ts = rec.get("committed_at")
-    if isinstance(ts, datetime) and ts.tzinfo is None:
-        rec["committed_at"] = ts.replace(tzinfo=timezone.utc)
-    return rec
-
-
-def encode(rows: Sequence[tuple]) -> bytes:
-    """Log rows as the bytes of one small Parquet file."""
-    table = pa.Table.from_pylist([_record(r) for r in rows], schema=ARROW_SCHEMA)
+SCHEMA_TABLE = _struct(schema_id=StringType(), schema_json=StringType(), columns=ArrayType(COLUMN_TYPE))
+STARTED = _struct(folder=StringType(), dataset_id=StringType(), commit_id=StringType(), started_at=TimestampType())
+
+
+def encode(rows: Sequence[dict], schema: StructType = LOG_SCHEMA) -> bytes:
+    """Rows as the bytes of one small Parquet file; absent fields are null."""
+    known = set(schema.fieldNames())
+    out = []
+    for row in rows:
+        if unknown := set(row) - known:
+            raise KeyError(f"unknown fields {sorted(unknown)}")
+        row = {k: row.get(k) for k in known}
+        if row.get("tags") is not None:
+            row["tags"] = [(str(k), list(v)) for k, v in row["tags"].items()]
+        for k, v in row.items():
+            if isinstance(v, datetime) and v.tzinfo is None:
+                row[k] = v.replace(tzinfo=timezone.utc)
+        out.append(row)
     buf = pa.BufferOutputStream()
-    pq.write_table(table, buf, compression="zstd")
+    pq.write_table(pa.Table.from_pylist(out, schema=to_arrow_schema(schema)), buf, compression="zstd")
     return buf.getvalue().to_pybytes()
 
 
-def write_entries(ctx: Context, rows: Sequence[tuple], folder_id: str | None = None) -> str:
-    """Write log rows as one Parquet file in a new folder; returns the folder.
+def decode(data: bytes) -> list[dict]:
+    rows = pq.read_table(pa.BufferReader(data)).to_pylist()
+    for r in rows:
+        if r.get("tags") is not None:
+            r["tags"] = dict(r["tags"])
+    return rows
 
-    The file is metadata only (one row per commit), encoded on the driver and
-    written the way table formats write their commit logs: under a hidden
-    name, then renamed, so it appears whole. Its appearance is the commit
-    point. One folder per write, so concurrent writers never conflict (T4).
-    """
-    folder = f"{ctx.log_dir}/{folder_id or uuid.uuid4().hex}"
-    fsys.write_bytes_atomic(ctx.spark, f"{folder}/entry.parquet", encode(rows))
-    return folder
 
+def entry_path(ctx: Context, dataset_id: str, version: int) -> str:
+    return f"{ctx.log_of(dataset_id)}/{version:012d}.parquet"
 
-def _reader(ctx: Context):
-    return ctx.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true")
 
+def last_entry(ctx: Context, dataset_id: str) -> dict | None:
+    """The dataset's last commit: one listing of its folder and one small file."""
+    names = fsys.names_in(ctx.spark, ctx.log_of(dataset_id))
+    if not names:
+        return None
+    rows = decode(fsys.read_bytes(ctx.spark, f"{ctx.log_of(dataset_id)}/{names[-1]}"))
+    return max(rows, key=lambda r: r["version"])
 
-def _has_entries(ctx: Context) -> bool:
-    """Whether any entry folder exists (none right after a merge)."""
-    return bool(fsys.glob(ctx.spark, f"{ctx.log_dir}/*"))
 
+def _table(ctx: Context, path: str, schema: StructType) -> DataFrame:
+    if not fsys.exists(ctx.spark, path):
+        return ctx.spark.createDataFrame([], schema)
+    return ctx.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
-def _has_merged(ctx: Context) -> bool:
-    return bool(fsys.glob(ctx.spark, f"{ctx.merged_dir}/*"))
 
+def dataset_log(ctx: Context, dataset_id: str) -> DataFrame:
+    """All commits of one dataset."""
+    return _table(ctx, ctx.log_of(dataset_id), LOG_SCHEMA)
 
-def raw_log(ctx: Context) -> DataFrame:
-    """Log rows as stored: new entries plus the merged generations, in one
-    Parquet scan. An entry may appear twice while a merge runs.
 
-    Merged generations are range-partitioned and sorted by ``dataset_id``, so
-    a lookup of one dataset skips files and row groups by their statistics.
-    """
-    roots = [d for d, ok in ((ctx.log_dir, _has_entries(ctx)), (ctx.merged_dir, _has_merged(ctx))) if ok]
-    if not roots:
-        return ctx.spark.createDataFrame([], LOG_SCHEMA)
-    return _reader(ctx).parquet(*roots)
+def read_log(ctx: Context) -> DataFrame:
+    """All commits of all datasets."""
+    return _table(ctx, ctx.log_dir, LOG_SCHEMA)
 
 
-def read_log(ctx: Context) -> DataFrame:
-    """All log rows, each entry once."""
-    return raw_log(ctx).dropDuplicates(["kind", "entry_id"])
+def schema_table(ctx: Context) -> DataFrame:
+    return _table(ctx, ctx.schemas_dir, SCHEMA_TABLE)
 
 
-def log_files(ctx: Context) -> DataFrame:
-    """(path) of every visible entry file not yet merged."""
-    if not _has_entries(ctx):
-        return ctx.spark.createDataFrame([], "path string")
-    return _reader(ctx).parquet(ctx.log_dir).select(F.col("_metadata.file_path").alias("path")).distinct()
+def started(ctx: Context) -> DataFrame:
+    """Attempts that have begun and neither committed nor been undone."""
+    return _table(ctx, ctx.started_dir, STARTED)

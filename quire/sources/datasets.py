@@ -4,35 +4,34 @@ from __future__ import annotations
 
 import json
 import logging
+import re
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quire.context import Context
-from quire.errors import DatasetNotFoundError
-from quire.plans import visibility
-from quire.sources.catalogue_log import raw_log
+from quire.errors import DatasetNotFoundError, QuireError
+from quire.sources.catalogue_log import dataset_log, last_entry
 
 log = logging.getLogger(__name__)
 
-# Up to this many datasets per lookup the live filter is an OR of literal
-# bounds (pushed to the scan); above it, a join to the bounds.
-MAX_OR_TERMS = 200
-
-ATTRS = [
-    "name", "description", "schema_id", "schema_json", "folder", "format",
-    "partition_by", "tags",
-]
+ATTRS = ["name", "description", "schema_id", "schema_json", "folder", "format", "partition_by", "tags"]
+_LIVE = ["version", "commit_id", "mode", "data_folder", "replaced", "replace_where", "replace_zone"]
+#: Partition values are written and read in this zone, whatever the session's.
+ZONE = {"timeZone": "UTC"}
 
 
 @dataclass
 class LiveCommit:
+    version: int
     commit_id: str
     mode: str
-    committed_at: int  # epoch microseconds
-    replace_where: str | None
+    data_folder: str
+    replaced: str | None = None
+    replace_where: str | None = None
+    replace_zone: str | None = None
 
 
 @dataclass
@@ -40,14 +39,18 @@ class DatasetState:
     """What a reader or writer needs to know about one dataset at one version."""
 
     dataset_id: str
-    deleted: bool
+    version: int
+    reset_version: int
     last_mode: str
+    total_rows: int | None
+    n_live: int
+    created_at: datetime
     live: list[LiveCommit] = field(default_factory=list)
     attrs: dict = field(default_factory=dict)
 
     @property
     def exists(self) -> bool:
-        return not self.deleted and bool(self.live)
+        return self.last_mode != "delete"
 
     @property
     def schema(self) -> StructType:
@@ -58,148 +61,55 @@ class DatasetState:
         return list(self.attrs.get("partition_by") or [])
 
 
-def dataset_state(
-    ctx: Context, dataset_id: str, version: int | None = None, as_of=None
-) -> DatasetState | None:
-    return state_and_probe(ctx, dataset_id, version, as_of)[0]
-
-
-def state_and_probe(
-    ctx: Context, dataset_id: str, version: int | None = None, as_of=None, probe_commit: str | None = None
-) -> tuple[DatasetState | None, dict | None]:
-    """State of one dataset and, for ``probe_commit``, its stored outcome."""
-    states, priors = states_and_probes(ctx, [dataset_id], [probe_commit] if probe_commit else [], version, as_of)
-    return states.get(dataset_id), priors.get(probe_commit) if probe_commit else None
-
+def _utc(ts):
+    if isinstance(ts, str):
+        ts = datetime.fromisoformat(ts)
+    if not isinstance(ts, datetime):
+        raise TypeError("as_of must be a datetime or an ISO-8601 string")
+    return ts if ts.tzinfo else ts.replace(tzinfo=timezone.utc)
 
-def states_and_probes(
-    ctx: Context,
-    dataset_ids: list[str],
-    probe_commits: list[str] = (),
-    version: int | None = None,
-    as_of=None,
-) -> tuple[dict[str, DatasetState], dict[str, dict]]:
-    """Live commits (as of ``version``/``as_of``) and last attributes of the
-    given datasets, and the stored outcome of any of ``probe_commits`` that
-    exists already (replays), in one catalogue job.
 
-    The reset point and the last attributes of each dataset are partial
-    aggregates (``max``, ``max_by``), so a dataset with a very long commit
-    history is combined map-side, never gathered into one task; the commit
-    rows are joined back to them and filtered to the live ones. Only a read by
-    version number ranks commits, with one ordered window per dataset. Only
-    live commit ids and one row of attributes per dataset reach the driver: the
-    folder lists a reader needs.
-    """
-    mine = F.col("dataset_id").isin(list(dataset_ids))
-    probe = F.col("entry_id").isin(list(probe_commits)) if probe_commits else F.lit(False)
-    c = raw_log(ctx).filter((F.col("kind") == "commit") & (mine | probe))
+def _at(ctx: Context, dataset_id: str, version: int | None, as_of) -> dict | None:
+    """The commit that was the last one at a version or an instant. As of an instant: the
+    highest version committed by then, and all before it."""
+    rows = dataset_log(ctx, dataset_id)
     if as_of is not None:
-        c = c.filter(F.col("committed_at") <= F.lit(_utc(as_of)))
-    if version is not None:
-        # the commit that is version N: rank the distinct commits, keep N and earlier
-        facts = c.filter(mine).select("dataset_id", "committed_at", "commit_id").distinct()
-        upto = visibility.with_versions(facts).filter(F.col("version") <= int(version)).select("commit_id")
-        c = c.join(upto, "commit_id", "left_semi")
-    key = visibility.order_key()
-    # job 1: per dataset, partial aggregates only (map-side combined)
-    per_ds = (
-        c.filter(mine)
-        .groupBy("dataset_id")
-        .agg(
-            F.max(F.when(F.col("mode").isin(*visibility.RESETS), key)).alias("_reset_key"),
-            F.max_by(F.struct(F.col("mode"), *[F.col(a) for a in ATTRS]), key).alias("_last"),
-        )
-        .withColumn("_reset_us", F.unix_micros("_reset_key.committed_at"))
-        .collect()
+        # compared as a number, so no session zone comes in
+        us = int(_utc(as_of).timestamp() * 1_000_000)
+        top = rows.filter(F.unix_micros("committed_at") <= us).agg(F.max("version")).first()[0]
+        if top is None:
+            return None
+        version = min(top, version) if version is not None else top
+    rows = rows.filter(F.col("version") <= int(version))
+    found = rows.agg(F.max_by(F.struct(*[F.col(c) for c in rows.columns]), F.col("version")).alias("r")).first()["r"]
+    return found.asDict(recursive=True) if found is not None else None
+
+
+def dataset_state(ctx: Context, dataset_id: str, version: int | None = None, as_of=None) -> DatasetState | None:
+    """Live commits and attributes of a dataset: its last commit, read from one small file,
+    says where the live commits begin; one Spark job over the dataset's own log folder gets them."""
+    last = last_entry(ctx, dataset_id) if version is None and as_of is None else _at(ctx, dataset_id, version, as_of)
+    if last is None:
+        return None
+    st = DatasetState(
+        dataset_id, last["version"], last["reset_version"], last["mode"], last["total_rows"], last["n_live"],
+        last["created_at"], attrs={a: last[a] for a in ATTRS},
     )
-    states: dict[str, DatasetState] = {}
-    resets = []
-    for r in per_ds:
-        last = r["_last"]
-        states[r["dataset_id"]] = DatasetState(
-            dataset_id=r["dataset_id"],
-            deleted=last["mode"] == "delete",
-            last_mode=last["mode"],
-            attrs={a: last[a] for a in ATTRS},
-        )
-        if r["_reset_key"] is not None:
-            # epoch microseconds: no round trip through local Python datetimes
-            resets.append((r["dataset_id"], int(r["_reset_us"]), r["_reset_key"]["commit_id"]))
-
-    # job 2: the live commit rows (at or after each reset) and probed commits,
-    # a filter on the scan (committed_at bounds reach the Parquet statistics)
-    live_cond = F.lit(False)
-    if len(resets) <= MAX_OR_TERMS:
-        for ds, us, cid in resets:
-            ts = F.timestamp_micros(F.lit(us))  # folded to a literal: pushed to the scan
-            live_cond = live_cond | (
-                (F.col("dataset_id") == ds)
-                & (F.col("committed_at") >= ts)
-                & ((F.col("committed_at") > ts) | (F.col("commit_id") >= F.lit(cid)))
-            )
-        picked = c.filter(((live_cond & (F.col("mode") != "delete"))) | probe)
+    if last["mode"] == "delete":
+        return st
+    if last["version"] == last["reset_version"]:
+        rows, reset = [last], last
     else:
-        keys = ctx.spark.createDataFrame(resets, "dataset_id string, _rus bigint, _rcid string").select(
-            "dataset_id", F.timestamp_micros("_rus").alias("_rts"), "_rcid"
-        )
-        after = (F.col("committed_at") > F.col("_rts")) | (
-            (F.col("committed_at") == F.col("_rts")) & (F.col("commit_id") >= F.col("_rcid"))
-        )
-        picked = c.join(keys, "dataset_id", "left").filter(
-            (F.col("_rts").isNotNull() & after & (F.col("mode") != "delete")) | probe
-        )
-    rows = picked.select(
-        "dataset_id", "commit_id", "mode", "committed_at", "replace_where", "n_rows", "schema_id",
-        F.unix_micros("committed_at").alias("_us"),
-        probe.alias("_is_probe"),
-        (F.col("dataset_id").isin(list(dataset_ids)) & (F.col("mode") != "delete")).alias("_is_mine"),
-    ).collect()
-
-    priors = {
-        r["commit_id"]: {
-            "dataset_id": r["dataset_id"], "commit_id": r["commit_id"], "accepted": True,
-            "status": "committed", "mode": r["mode"], "n_rows": r["n_rows"],
-            "schema_id": r["schema_id"], "replayed": True,
-        }
-        for r in rows
-        if r["_is_probe"]
-    }
-    reset_of = {ds: (ts, cid) for ds, ts, cid in resets}
-    seen = set()
-    for r in rows:
-        ds = r["dataset_id"]
-        if not r["_is_mine"] or ds not in states or (ds, r["commit_id"]) in seen:
-            continue
-        # a probed row of this dataset may predate the reset: keep live ones only
-        if ds not in reset_of or (r["_us"], r["commit_id"]) < reset_of[ds]:
-            continue
-        seen.add((ds, r["commit_id"]))
-        states[ds].live.append(LiveCommit(r["commit_id"], r["mode"], r["_us"], r["replace_where"]))
-    for st in states.values():
-        st.live.sort(key=lambda x: (x.committed_at, x.commit_id))
-    return states, priors
+        found = dataset_log(ctx, dataset_id).filter(F.col("version").between(last["reset_version"], last["version"]))
+        rows = [r.asDict(recursive=True) for r in found.select(*_LIVE, "carried").collect()]
+        reset = min(rows, key=lambda r: r["version"])
+    st.live = [LiveCommit(**{k: r[k] for k in _LIVE}) for r in rows]
+    st.live += [LiveCommit(c["version"], c["commit_id"], c["mode"], c["data_folder"]) for c in reset["carried"] or []]
+    st.live.sort(key=lambda c: c.version)
+    return st
 
 
-def segments(live: list[LiveCommit]) -> list[tuple[list[str], list[str]]]:
-    """Split live commits at replace commits.
-
-    Returns ``(commit_ids, predicates)`` pairs: rows of these commits are visible
-    only where none of the later replace predicates holds.
-    """
-    out: list[tuple[list[str], list[str]]] = []
-    cur: list[str] = []
-    for c in live:
-        if c.mode == "replace" and cur:
-            out.append((cur, []))
-            cur = []
-        cur.append(c.commit_id)
-        if c.mode == "replace":
-            for ids, preds in out:
-                preds.append(c.replace_where)
-    if cur:
-        out.append((cur, []))
-    return out
+_ZONED = re.compile(r"timestamp|to_date|date_format|hour\(", re.IGNORECASE)
 
 
 def read_commits(
@@ -208,6 +118,7 @@ def read_commits(
     live: list[LiveCommit],
     schema: StructType,
     fmt: str = "parquet",
+    partition_by: list[str] | None = None,
     with_file: bool = False,
     **options,
 ) -> DataFrame:
@@ -216,6 +127,10 @@ def read_commits(
     Partition values are typed by the registered schema (T5), columns come back
     in registered order (T7), and commit folders are read with ``basePath`` so
     ``commit_id`` is a partition column (T9), pruned like any other.
+
+    All commits are one scan, however many replacements there were: the partition values that
+    they replaced lie in tables of their own, and one join tells for each row's
+    partition the last version that replaced it.
     """
     spark = ctx.spark
     names = [f.name for f in schema.fields]
@@ -223,59 +138,57 @@ def read_commits(
     if not live:
         empty = spark.createDataFrame([], schema)
         return empty.withColumn("_file", F.lit(None).cast("string")) if with_file else empty
-    processed = ctx.processed_dir(dataset_id)
-    parts = []
-    for ids, preds in segments(live):
-        if fmt == "delta":
-            frames = [
-                spark.read.format("delta").options(**opts).load(ctx.commit_dir(dataset_id, i))
-                for i in ids
-            ]
-            df = frames[0]
-            for f in frames[1:]:
-                df = df.unionByName(f, allowMissingColumns=True)
-            have = set(df.columns)
-            df = df.select(
-                *[c for c in df.columns],
-                *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in have],
-            )
-        else:
-            read_schema = StructType(
-                list(schema.fields) + [StructField("commit_id", StringType())]
-            )
-            df = (
-                spark.read.format(fmt)
-                .schema(read_schema)
-                .options(**opts)
-                .option("basePath", processed)
-                .load([ctx.commit_dir(dataset_id, i) for i in ids])
-            )
-        for p in preds:
-            df = df.filter(~F.coalesce(F.expr(p), F.lit(False)))
-        extra = [F.col("_metadata.file_path").alias("_file")] if with_file else []
-        parts.append(df.select(*names, *extra))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-# Above this many live commits a read names very many folders; compaction
-# (``compact_dataset``) folds them into one commit.
-MANY_COMMITS = 1000
+    folders = [ctx.commit_dir(dataset_id, c.data_folder) for c in live]
+    if fmt == "delta":
+        df = None
+        for c, f in zip(live, folders):
+            part = spark.read.format("delta").options(**opts).load(f).withColumn("commit_id", F.lit(c.data_folder))
+            df = part if df is None else df.unionByName(part, allowMissingColumns=True)
+        have = set(df.columns)
+        df = df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in have])
+    else:
+        df = (
+            spark.read.format(fmt)
+            .schema(StructType([*schema.fields, StructField("commit_id", StringType())]))
+            .options(**ZONE, **opts)
+            .option("basePath", ctx.processed_dir(dataset_id))
+            .load(folders)
+        )
+    extra = []
+    if with_file:
+        df, extra = df.withColumn("_file", F.col("_metadata.file_path")), ["_file"]
+    tables = [c for c in live if c.replaced]
+    wheres = [c for c in live if c.replace_where]
+    if tables or wheres:
+        versions = spark.createDataFrame([(c.data_folder, c.version) for c in live], "commit_id string, _version long")
+        df = df.join(versions, "commit_id")
+    if tables:
+        parts = partition_by or []
+        types = {f.name: f for f in schema.fields}
+        gone = (
+            spark.read.schema(StructType([*(types[p] for p in parts), StructField("commit_id", StringType())]))
+            .options(**ZONE).option("basePath", ctx.replaced_dir(dataset_id))
+            .parquet(*[f"{ctx.replaced_dir(dataset_id)}/commit_id={c.replaced}" for c in tables])
+        )
+        gone = gone.join(versions, "commit_id").groupBy(*[F.col(f"`{p}`") for p in parts]).agg(F.max("_version").alias("_gone"))
+        gone = gone.select(*[F.col(f"`{p}`").alias(f"_gone_{i}") for i, p in enumerate(parts)], "_gone")
+        same = F.lit(True)
+        for i, p in enumerate(parts):
+            same = same & F.col(f"`{p}`").eqNullSafe(F.col(f"_gone_{i}"))
+        df = df.join(gone, same, "left").filter(F.col("_gone").isNull() | (F.col("_version") >= F.col("_gone")))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for c in wheres:
+        if c.replace_zone != zone and _ZONED.search(c.replace_where):
+            raise QuireError(f"set spark.sql.session.timeZone to {c.replace_zone}: version {c.version} replaced {c.replace_where!r} in it")
+        df = df.filter(~((F.col("_version") < c.version) & F.coalesce(F.expr(c.replace_where), F.lit(False))))
+    return df.select(*[F.col(f"`{n}`") for n in names], *extra)
 
 
-def _utc(ts):
-    if isinstance(ts, str):
-        ts = datetime.fromisoformat(ts)
-    if not isinstance(ts, datetime):
-        raise TypeError("as_of must be a datetime or an ISO-8601 string")
-    return ts if ts.tzinfo else ts.replace(tzinfo=timezone.utc)
+def read_state(ctx: Context, st: DatasetState, **options) -> DataFrame:
+    return read_commits(ctx, st.dataset_id, st.live, st.schema, st.attrs["format"] or ctx.format, st.partition_by, **options)
 
 
-def read_dataset(
-    ctx: Context, dataset_id: str, version: int | None = None, as_of=None, **options
-) -> DataFrame:
+def read_dataset(ctx: Context, dataset_id: str, version: int | None = None, as_of=None, **options) -> DataFrame:
     """Dataset by id; as of ``version`` (1-based commit number) or of the
     instant ``as_of`` (datetime or ISO string, UTC when naive) when given."""
     if not isinstance(dataset_id, str) or not dataset_id:
@@ -287,6 +200,4 @@ def read_dataset(
         what = f"version {version} of " if version is not None else ""
         what += f"dataset as of {as_of} " if as_of is not None else "dataset "
         raise DatasetNotFoundError(f"no live {what}{dataset_id}")
-    if len(st.live) > MANY_COMMITS:
-        log.warning("dataset %s has %d live commits; compact_dataset would fold them", dataset_id, len(st.live))
-    return read_commits(ctx, dataset_id, st.live, st.schema, st.attrs["format"] or ctx.format, **options)
+    return read_state(ctx, st, **options)

@@ -1,15 +1,17 @@
 """Folder operations through Hadoop's FileSystem, as a PySpark user reaches it.
 
-Only metadata calls run here (exists, mkdirs, delete, glob); file contents are
-always read and written by Spark jobs.
+Metadata calls, and the small files of the catalogue; data is always read and
+written by Spark jobs.
 """
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -40,51 +42,73 @@ def mkdirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
-def delete(spark: SparkSession, path: str) -> bool:
-    """Recursive delete; ``False`` when there was nothing to delete."""
+def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
+    """``False`` when there was nothing to delete."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return False
-    return bool(fs.delete(p, True))
+    return bool(fs.delete(p, recursive))
 
 
-@dataclass(frozen=True)
-class Entry:
-    path: str
-    is_dir: bool
-    modified_ms: int
-    length: int
+def delete_if_empty(spark: SparkSession, path: str) -> bool:
+    """Removes a folder that holds nothing; one with entries stays."""
+    fs, p = _fs(spark, path)
+    try:
+        return bool(fs.exists(p) and not list(fs.listStatus(p)) and fs.delete(p, False))
+    except Py4JJavaError:  # something was put there meanwhile
+        return False
 
 
-def glob(spark: SparkSession, pattern: str) -> list[Entry]:
-    """``FileSystem.globStatus``; unlike a Spark file listing it also returns
-    empty folders and folders holding only hidden files."""
-    fs, p = _fs(spark, pattern)
-    st = fs.globStatus(p)
-    if st is None:
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, hidden ones left out; none when there is no such folder."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
         return []
-    out = []
-    for s in st:
-        is_dir = bool(s.isDirectory())
-        out.append(Entry(s.getPath().toString(), is_dir, int(s.getModificationTime()), 0 if is_dir else int(s.getLen())))
-    return out
+    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(p)) if n[:1] not in "_.")
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """A small file whole."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(_jvm(spark).org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
 
+_NEW_FILE = threading.Lock()
 
-def write_bytes_atomic(spark: SparkSession, path: str, data: bytes) -> None:
-    """Write a small metadata file so it appears complete or not at all: a
-    hidden temporary name in the same folder, then a rename. Fails if ``path``
-    exists already."""
+
+def create_new(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Write a small file that appears whole, unless ``path`` exists: then nothing
+    changes and the answer is False.
+
+    The file is written under a hidden name and renamed without overwriting, which
+    HDFS and object stores with atomic rename decide for one of two writers. On a
+    local disk the check and the rename are two steps, so writers of one process take a lock.
+    """
     jvm = _jvm(spark)
     fs, final = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(final.getParent(), f"_tmp-{final.getName()}")
+    tmp = jvm.org.apache.hadoop.fs.Path(final.getParent(), f"_tmp-{uuid.uuid4().hex}")
     out = fs.create(tmp, False)
     try:
         out.write(bytearray(data))
     finally:
         out.close()
-    if not fs.rename(tmp, final):
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    flags = spark.sparkContext._gateway.new_array(options, 1)
+    flags[0] = options.NONE
+    try:
+        with _NEW_FILE:
+            files.rename(fs.makeQualified(tmp), fs.makeQualified(final), flags)
+        return True
+    except Py4JJavaError:
         fs.delete(tmp, False)
-        raise OSError(f"could not publish {path}")
+        if fs.exists(final):
+            return False
+        raise
 
 
 # Metadata calls per path are round trips to the storage service; a few run at

@@ -15,10 +15,6 @@ from quire.context import Context
 from quire.functions.catalogue import datasets
 from quire.sources import filesystem as fsys
 
-# Paths given by the caller are a driver-side list; joins on them broadcast
-# below this many entries and shuffle above it.
-BROADCAST_PATHS = 100_000
-
 
 def norm(col: F.Column) -> F.Column:
     """``file:/x``, ``file:///x`` and ``/x`` compare equal; no trailing slash."""
@@ -58,8 +54,6 @@ def per_root(ctx: Context, roots: Sequence[str], roots_df: DataFrame) -> DataFra
         F.explode(ancestors(norm(F.col("path")))).alias("root"), "length"
     )
     keys = roots_df.select("root").distinct()
-    if len(roots) <= BROADCAST_PATHS:
-        keys = F.broadcast(keys)
     return (
         anc.join(keys, "root")
         .groupBy("root")

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quire.context import Context
 from quire.functions import checks
-from quire.operators.publish import publish
+from quire.operators.publish import commit, prepare
 
 STREAM_NAMESPACE = uuid.UUID("0b8f4c1e-9a7d-4e2b-8c3f-5d6e7f809a1b")
 
@@ -44,13 +44,16 @@ def publish_stream(
     checks.check_description(description)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        out = publish(
+        plan = prepare(
             ctx, batch, name, description, tags=tags, dataset_id=ds, mode="append",
-            partition_by=partition_by, inputs=[],
-            commit_id=batch_commit_id(checkpoint, batch_id), **options,
+            partition_by=partition_by, inputs=[], commit_id=batch_commit_id(checkpoint, batch_id),
+            create=True, options=options,
         )
+        if isinstance(plan, dict):
+            out = plan
+        else:
+            plan.skip_empty = True  # known from the write itself: the source is read once
+            out = commit(ctx, plan)
         if not out.get("accepted"):
             # fail the batch so Spark retries it with the same batch id
             raise RuntimeError(f"micro-batch {batch_id} not committed: {out.get('error')}")

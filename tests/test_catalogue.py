@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from quire import (
     catalogue_datasets,
-    compact_catalogue,
     compact_dataset,
     datasets,
     exists_report,
+    history,
     lineage_closure,
     lineage_edges,
     partition_counts,
@@ -26,7 +26,6 @@ from quire import (
     tags,
 )
 from quire.sources import filesystem as fsys
-from quire.sources.catalogue_log import log_files
 
 
 def names(df, col="name"):
@@ -57,11 +56,12 @@ def test_schemas_and_violations(ctx, tables, spark):
     assert got == [(1, "r_regionkey", "int"), (2, "r_name", "string")]
     sid = register_schema(ctx, "n_nationkey bigint, n_name string, n_comment string")
     frame = tables("nation").withColumn("n_nationkey", F.col("n_nationkey").cast("string"))
+    frame = frame.withColumn("n_nationkey", F.when(F.col("n_nationkey") == "7", "seven").otherwise(F.col("n_nationkey")))
     v = sorted(tuple(r) for r in schema_violations(ctx, frame, sid).collect())
     assert v == [
-        ("n_comment", "missing", "string", None),
-        ("n_nationkey", "type", "bigint", "string"),
-        ("n_regionkey", "extra", None, "int"),
+        ("n_comment", "missing", "string", None, None),
+        ("n_nationkey", "type", "bigint", "string", 1),
+        ("n_regionkey", "extra", None, "int", 25),
     ]
     # a widening is not a violation
     assert schema_violations(ctx, tables("nation").select("n_nationkey", "n_name"), sid).filter("problem = 'type'").count() == 0
@@ -86,20 +86,40 @@ def test_exists_report(ctx, tables):
 
 
 def test_sweep_orphans(ctx, tables):
-    publish(ctx, tables("nation"), "nation", "n")
-    stray1 = ctx.commit_dir(str(uuid.uuid4()), "s1")
-    tables("region").write.parquet(stray1)
-    stray2 = ctx.commit_dir(str(uuid.uuid4()), "s2")
-    fsys.mkdirs(ctx.spark, stray2)
+    kept = publish(ctx, tables("nation"), "nation", "n")["dataset_id"]
+
+    def die(**_):
+        raise ConnectionError("driver lost")
+
+    lost = {}
+    for step in ("register", "write"):
+        ctx.hooks = {step: die, "rollback": die}
+        lost[step] = publish(ctx, tables("region"), "r", "r")
+    # an attempt under way in a live dataset
+    ctx.hooks = {"register": die, "rollback": die}
+    appended = publish(ctx, tables("nation"), "n", "n", dataset_id=kept, mode="append")
+    ctx.hooks = {}
     # a cutoff in the past protects fresh folders
     assert sweep_orphans(ctx, older_than=timedelta(hours=1)).count() == 0
     dry = {r["commit_id"]: r for r in sweep_orphans(ctx, older_than=timedelta(seconds=-60)).collect()}
-    assert set(dry) == {"s1", "s2"} and dry["s1"]["has_files"] and not dry["s2"]["has_files"]
-    assert not any(r["deleted"] for r in dry.values())
-    done = sweep_orphans(ctx, older_than=timedelta(seconds=-60), dry_run=False).collect()
-    assert all(r["deleted"] for r in done)
-    assert not fsys.exists(ctx.spark, stray1) and not fsys.exists(ctx.spark, stray2)
-    assert catalogue_datasets(ctx).count() == 1
+    assert set(dry) == {lost["register"]["commit_id"], lost["write"]["commit_id"], appended["commit_id"]}
+    assert dry[lost["register"]["commit_id"]]["has_files"] and not dry[lost["write"]["commit_id"]]["has_files"]
+    assert dry[lost["register"]["commit_id"]]["bytes"] > 0 and not any(r["deleted"] for r in dry.values())
+    assert all(r["deleted"] for r in sweep_orphans(ctx, older_than=timedelta(seconds=-60), dry_run=False).collect())
+    assert not any(fsys.exists(ctx.spark, r["folder"]) for r in dry.values())
+    assert sweep_orphans(ctx, older_than=timedelta(seconds=-60)).count() == 0
+    assert catalogue_datasets(ctx).count() == 1 and read_dataset(ctx, kept).count() == 25
+
+
+def test_sweep_finishes_a_deletion(ctx, tables, monkeypatch):
+    from quire import delete_dataset
+    from quire.operators import publish as pub
+
+    ds = publish(ctx, tables("region"), "r", "r")["dataset_id"]
+    monkeypatch.setattr(pub, "remove_before", lambda *a: False)
+    assert not delete_dataset(ctx, ds)["folder_removed"] and fsys.exists(ctx.spark, ctx.dataset_root(ds))
+    assert sweep_orphans(ctx, older_than=timedelta(seconds=-60), dry_run=False).first()["deleted"]
+    assert not fsys.exists(ctx.spark, ctx.dataset_root(ds))
 
 
 def test_partition_counts(ctx, tables):
@@ -154,21 +174,50 @@ def test_compaction(ctx, tables):
     out = compact_dataset(ctx, ds, files=1)
     assert out["accepted"] and out["n_rows"] == part.count()
     assert read_dataset(ctx, ds).exceptAll(part).count() == 0
-    n_before = log_files(ctx).count()
-    assert compact_catalogue(ctx)["merged_files"] == n_before
-    assert log_files(ctx).count() == 0
-    assert read_dataset(ctx, ds).count() == part.count()
-    assert catalogue_datasets(ctx).count() == 1
-    # new entries after a merge, then a second merge folds the generation in
+    assert [(r["mode"], r["live"]) for r in history(ctx, ds).orderBy("version").collect()] == [
+        ("overwrite", False), ("append", False), ("compact", True)]
     publish(ctx, part.limit(3), "part", "p", dataset_id=ds, mode="append")
     assert read_dataset(ctx, ds).count() == part.count() + 3
-    second = compact_catalogue(ctx, files=2)
-    assert second["merged_files"] == 1 and second["merged_generations"] == 1
-    assert read_dataset(ctx, ds).count() == part.count() + 3
     assert read_dataset(ctx, ds, version=1).count() == part.filter("p_size < 20").count()
     assert catalogue_datasets(ctx).collect()[0]["n_rows"] == part.count() + 3
 
 
+def test_compaction_beside_other_commits(ctx, spark):
+    df = spark.createDataFrame([(1,)], ["x"])
+    ds = publish(ctx, df, "n", "d")["dataset_id"]
+
+    def during(mode):
+        def hook(**_):
+            ctx.hooks.clear()
+            assert publish(ctx, df, "n", "d", dataset_id=ds, mode=mode)["accepted"]
+        return hook
+
+    ctx.hooks["register"] = during("append")
+    assert compact_dataset(ctx, ds)["accepted"]
+    assert read_dataset(ctx, ds).count() == 2
+    publish(ctx, df, "n", "d", dataset_id=ds, mode="append")
+    assert read_dataset(ctx, ds).count() == 3 and catalogue_datasets(ctx).first()["n_rows"] == 3
+    assert [r["live"] for r in history(ctx, ds).orderBy("version").collect()] == [False, True, True, True]
+    ctx.hooks["register"] = during("overwrite")
+    assert compact_dataset(ctx, ds)["error_type"] == "PublishError"
+    assert read_dataset(ctx, ds).count() == 1
+
+
+def test_long_histories(ctx, spark):
+    """20,000 replacements and 100,000 appends, each dataset's log as one file of many rows."""
+    from quire.sources.catalogue_log import encode, entry_path
+
+    for n, mode in ((20_000, "replace"), (100_000, "append")):
+        ds = str(uuid.uuid4())
+        rows = [{"dataset_id": ds, "version": v, "reset_version": 1, "mode": "overwrite" if v == 1 else mode,
+                 "commit_id": f"c{v}", "data_folder": f"c{v}.a", "n_rows": 1, "total_rows": v} for v in range(1, n + 1)]
+        assert fsys.create_new(spark, entry_path(ctx, ds, n), encode(rows))
+        h = history(ctx, ds)
+        got = h.selectExpr("count(*)", "count(distinct version)", "max(version)", "sum(cast(live as int))").first()
+        assert tuple(got) == (n, n, n, n)
+        assert h.filter("concat('c', version) <> commit_id").count() == 0
+
+
 def test_stream_commits_once_per_batch(ctx, spark, tables):
     ev = tables("events")
     src = f"{ctx.base}/stream-src"
@@ -189,22 +238,6 @@ def test_stream_commits_once_per_batch(ctx, spark, tables):
     assert read_dataset(ctx, ds).count() == ev.count()
 
 
-def test_auto_merge_keeps_entries_bounded(spark, tables):
-    from quire import Context
-    from quire.sources import filesystem as fsys
-
-    ctx = Context.scratch(spark, "automerge", auto_merge_entries=3, max_generations=2)
-    nation = tables("nation")
-    ds = publish(ctx, nation, "n", "d")["dataset_id"]
-    for _ in range(7):
-        publish(ctx, nation, "n", "d", dataset_id=ds, mode="append", inputs=[])
-    assert len(fsys.glob(spark, f"{ctx.log_dir}/*")) < 3
-    assert len(fsys.glob(spark, f"{ctx.merged_dir}/*")) <= 2
-    assert read_dataset(ctx, ds).count() == 8 * 25
-    assert catalogue_datasets(ctx).collect()[0]["n_rows"] == 8 * 25
-    assert sorted(r["version"] for r in __import__("quire").history(ctx, ds).collect()) == list(range(1, 9))
-
-
 def test_publish_many_same_dataset_in_order(ctx, spark, tables):
     ds = str(uuid.uuid4())
     region, nation = tables("region"), tables("nation")
@@ -239,29 +272,6 @@ def test_publish_many_waves():
     assert _waves(specs, {a}) == [[1, 2, 3, 6], [4, 7], [5]]
 
 
-def test_exists_report_without_broadcast(ctx, tables, monkeypatch):
-    from quire.sources import listing
-
-    monkeypatch.setattr(listing, "BROADCAST_PATHS", 0)
-    pub = publish(ctx, tables("nation"), "nation", "n")
-    rep = exists_report(ctx, [ctx.dataset_root(pub["dataset_id"]), f"{ctx.base}/nope"]).collect()
-    assert sorted((r["has_files"], r["is_dataset"]) for r in rep) == [(False, False), (True, True)]
-
-
-def test_batch_lookup_by_join(ctx, tables, monkeypatch):
-    from quire.sources import datasets as dsmod
-
-    monkeypatch.setattr(dsmod, "MAX_OR_TERMS", 0)
-    region = tables("region")
-    ids = [publish(ctx, region, f"r{i}", "d")["dataset_id"] for i in range(3)]
-    specs = [{"df": region, "name": f"r{i}", "description": "d", "dataset_id": ids[i], "mode": "append"} for i in range(3)]
-    specs.append({"df": region, "name": "r0", "description": "d", "dataset_id": ids[0], "mode": "error"})
-    out = {r["spec_no"]: r for r in publish_many(ctx, specs).collect()}
-    assert [out[i]["accepted"] for i in (1, 2, 3)] == [True, True, True]
-    assert out[4]["error_type"] == "DatasetExistsError"
-    assert all(read_dataset(ctx, d).count() == 2 * region.count() for d in ids)
-
-
 def test_compaction_without_shuffle_keeps_partitions(ctx, tables):
     orders = tables("orders")
     urgent = "coalesce(o_orderpriority IN ('1-URGENT', '2-HIGH'), false)"

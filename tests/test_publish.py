@@ -1,5 +1,7 @@
 """Publish, modes, failures and rollback on real Spark and real folders."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,7 +16,8 @@ from quire import (
     register_schema,
     replace_partition,
 )
-from quire.errors import DatasetNotFoundError
+from quire.errors import DatasetNotFoundError, SchemaMismatchError
+from quire.functions.schemas import lookup_schema
 from quire.sources import filesystem as fsys
 from quire.sources.catalogue_log import read_log
 from quire.sources.listing import files_under
@@ -60,11 +63,23 @@ def test_error_and_ignore_create_when_absent(ctx, spark):
     df = spark.createDataFrame([(1,)], ["x"])
     for mode in ("error", "ignore", "append"):
         ds = str(uuid.uuid4())
-        out = publish(ctx, df, "n", "d", dataset_id=ds, mode=mode)
+        out = publish(ctx, df, "n", "d", dataset_id=ds, mode=mode, create=mode == "append")
         assert out["accepted"], out
         assert read_dataset(ctx, ds).count() == 1
 
 
+def test_append_never_becomes_an_overwrite(ctx, spark):
+    import uuid
+
+    df = spark.createDataFrame([(1,)], ["x"])
+    ds = str(uuid.uuid4())
+    assert publish(ctx, df, "n", "d", dataset_id=ds, mode="append")["error_type"] == "DatasetNotFoundError"
+    ds = publish(ctx, df, "n", "d")["dataset_id"]
+    delete_dataset(ctx, ds)
+    assert publish(ctx, df, "n", "d", dataset_id=ds, mode="append")["error_type"] == "DatasetNotFoundError"
+    assert not fsys.exists(spark, ctx.dataset_root(ds))
+
+
 def test_same_name_makes_two_datasets(ctx, spark):
     df = spark.createDataFrame([(1,)], ["x"])
     a = publish(ctx, df, "same", "d")["dataset_id"]
@@ -205,12 +220,41 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-def test_replace_prunes_old_partitions(ctx, tables):
-    cust = tables("customer")
-    ds = publish(ctx, cust, "customer", "d", partition_by="c_mktsegment")["dataset_id"]
-    replace_partition(ctx, cust.filter("c_mktsegment = 'BUILDING'"), ds, "c_mktsegment = 'BUILDING'")
-    plan = _plan(read_dataset(ctx, ds))
-    assert "PartitionFilters: [NOT coalesce((c_mktsegment" in plan and "BUILDING" in plan
+def test_replacements_keep_the_plan(ctx, spark):
+    rows_ = [(k, 0) for k in range(12)]
+    ds = publish(ctx, spark.createDataFrame(rows_, "k int, step int"), "many", "d", partition_by="k")["dataset_id"]
+    sizes = []
+    for i in range(1, 8):
+        df = spark.createDataFrame([(i % 5, i)], "k int, step int")
+        assert replace_partition(ctx, df, ds, f"k = {i % 5}")["accepted"]
+        sizes.append(len(re.sub(r"Location.*|file:[^ ,]*", "", _plan(read_dataset(ctx, ds))).splitlines()))
+    assert sizes[-1] == sizes[1]
+    want = {k: 0 for k in range(12)} | {i % 5: i for i in range(1, 8)}
+    assert dict(rows(read_dataset(ctx, ds))) == want
+    assert catalogue_datasets(ctx).first()["n_rows"] == 12
+
+
+def test_unstable_predicates_are_refused(ctx, spark):
+    ds = publish(ctx, spark.sql("SELECT 1 AS k, current_timestamp() AS t"), "n", "d")["dataset_id"]
+    df = spark.sql("SELECT 1 AS k, current_timestamp() AS t").limit(0)
+    for where in ("t < current_timestamp()", "rand() < 2", "k IN (SELECT 1)", "t < now()"):
+        with pytest.raises(ValueError):
+            replace_partition(ctx, df, ds, where)
+
+
+def test_dynamic_overwrite_of_timestamps_in_any_zone(ctx, spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        df = spark.sql("SELECT timestamp_seconds(1700000000 + 3600 * id) AS t, id AS v FROM range(4)")
+        ds = publish(ctx, df, "z", "d", partition_by="t")["dataset_id"]
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        new = spark.sql("SELECT timestamp_seconds(1700000000) AS t, 99L AS v")
+        assert publish(ctx, new, "z", "d", dataset_id=ds, mode="overwrite", partitionOverwriteMode="dynamic")["accepted"]
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = read_dataset(ctx, ds).selectExpr("unix_seconds(t)", "v")
+        assert rows(got) == [(1700000000, 99), (1700003600, 1), (1700007200, 2), (1700010800, 3)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
 
 
 def test_read_pushes_filters_and_prunes_columns(ctx, tables):
@@ -298,16 +342,115 @@ def test_dynamic_partition_overwrite(ctx, spark):
     assert read_dataset(ctx, ds).count() == 3
 
 
-def test_sql_literals():
-    from datetime import date
+def test_late_clock_does_not_hide_an_append(ctx, spark, monkeypatch):
+    from datetime import datetime, timedelta, timezone
 
-    from quire.operators.publish import partitions_predicate, sql_literal
+    df = spark.createDataFrame([(1,)], ["x"])
+    ds = publish(ctx, df, "n", "d")["dataset_id"]
+    monkeypatch.setattr(type(ctx), "now", lambda self: datetime.now(timezone.utc) - timedelta(minutes=5))
+    assert publish(ctx, df, "n", "d", dataset_id=ds, mode="append")["accepted"]
+    assert read_dataset(ctx, ds).count() == 2
+
+
+def test_commit_ids_belong_to_their_dataset(ctx, spark):
+    df = spark.createDataFrame([(1,)], ["x"])
+    a, b = (publish(ctx, df, n, "d")["dataset_id"] for n in "ab")
+    for ds in (a, b, a, b):
+        assert publish(ctx, df, "n", "d", dataset_id=ds, mode="append", commit_id="day-1")["accepted"]
+    assert read_dataset(ctx, a).count() == read_dataset(ctx, b).count() == 2
+    wrong = publish(ctx, df, "n", "d", dataset_id=a, mode="overwrite", commit_id="day-1")
+    assert wrong["error_type"] == "PublishError" and read_dataset(ctx, a).count() == 2
+    one, two = (publish(ctx, df, "n", "d", commit_id="new-1") for _ in range(2))
+    assert two["replayed"] and one["dataset_id"] == two["dataset_id"]
+
+
+def test_a_loser_under_the_same_commit_id_removes_only_its_own(ctx, spark):
+    df = spark.createDataFrame([(1,), (2,)], ["x"])
+    ds = publish(ctx, df, "n", "d")["dataset_id"]
+
+    def other_driver(**_):
+        ctx.hooks.clear()
+        assert publish(ctx, df, "n", "d", dataset_id=ds, mode="append", commit_id="batch-1")["accepted"]
+
+    ctx.hooks["register"] = other_driver
+    out = publish(ctx, df, "n", "d", dataset_id=ds, mode="append", commit_id="batch-1")
+    assert out["replayed"] and read_dataset(ctx, ds).count() == 4
+
+
+def test_failed_first_publish_keeps_the_other_publisher(ctx, spark):
+    import uuid
 
-    assert sql_literal("a'b\\c") == "'a\\'b\\\\c'"
-    assert sql_literal(None) == "NULL" and sql_literal(True) == "TRUE"
-    assert sql_literal(date(2024, 1, 2)) == "DATE '2024-01-02'"
-    assert partitions_predicate(["k"], []) == "FALSE"
-    assert partitions_predicate(["k", "j"], [{"k": 1, "j": None}]) == "(`k` <=> 1 AND `j` <=> NULL)"
+    df, ds = spark.createDataFrame([(1,)], ["x"]), str(uuid.uuid4())
+
+    def other_then_fail(**_):
+        ctx.hooks.clear()
+        assert publish(ctx, df, "n", "d", dataset_id=ds)["accepted"]
+        raise ConnectionError("down")
+
+    ctx.hooks["register"] = other_then_fail
+    assert publish(ctx, df, "n", "d", dataset_id=ds)["error_type"] == "RegistrationError"
+    assert read_dataset(ctx, ds).count() == 1
+
+
+def test_modes_hold_at_the_commit(ctx, spark):
+    """Each publisher sees the dataset as it is when it takes its number."""
+    import uuid
+
+    df = spark.createDataFrame([(1,)], ["x"])
+    for mode, expect in (("error", "DatasetExistsError"), ("ignore", None)):
+        ds = str(uuid.uuid4())
+
+        def first(**_):
+            ctx.hooks.clear()
+            assert publish(ctx, df, "n", "d", dataset_id=ds)["accepted"]
+
+        ctx.hooks["register"] = first
+        out = publish(ctx, df, "n", "d", dataset_id=ds, mode=mode)
+        assert not out["accepted"] and out.get("error_type") == expect and read_dataset(ctx, ds).count() == 1
+    ds = publish(ctx, df, "n", "d")["dataset_id"]
+
+    def deleted(**_):
+        ctx.hooks.clear()
+        assert delete_dataset(ctx, ds)["accepted"]
+
+    ctx.hooks["register"] = deleted
+    assert publish(ctx, df, "n", "d", dataset_id=ds, mode="append")["error_type"] == "DatasetNotFoundError"
+    assert not fsys.exists(spark, ctx.dataset_root(ds))
+
+
+def test_schema_ids_keep_their_schema(ctx, spark):
+    sid = register_schema(ctx, "a int, b string", "mine")
+    assert register_schema(ctx, "a int, b string", "mine") == sid
+    with pytest.raises(SchemaMismatchError):
+        register_schema(ctx, "a int", "mine")
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    ds = publish(ctx, df, "n", "d", schema_id=sid)["dataset_id"]
+    assert publish(ctx, df, "n", "d", dataset_id=ds, mode="append")["schema_id"] == sid
+    wider = publish(ctx, df.withColumn("c", F.lit(1)), "n", "d", dataset_id=ds, mode="append", mergeSchema=True)
+    assert wider["accepted"] and wider["schema_id"] != sid
+    again = publish(ctx, df, "n", "d", schema_id=sid, dataset_id=ds, mode="append")
+    assert again["schema_id"] == wider["schema_id"]
+    assert lookup_schema(ctx, sid).fieldNames() == ["a", "b"]
+
+
+def test_only_widenings_without_loss(ctx, spark):
+    from pyspark.sql.types import DecimalType, DoubleType, IntegerType, LongType
+
+    from quire.functions.schemas import widens
+
+    assert not widens(LongType(), DoubleType()) and widens(IntegerType(), DoubleType())
+    assert widens(DecimalType(10, 2), DecimalType(12, 2)) and widens(DecimalType(10, 2), DecimalType(13, 4))
+    assert not widens(DecimalType(10, 2), DecimalType(11, 4))
+    sid = register_schema(ctx, "d decimal(12,2)")
+    assert publish(ctx, spark.sql("SELECT CAST(1.25 AS DECIMAL(10,2)) AS d"), "n", "d", schema_id=sid)["accepted"]
+    sid = register_schema(ctx, "x double")
+    assert publish(ctx, spark.range(1).selectExpr("id AS x"), "n", "d", schema_id=sid)["error_type"] == "SchemaMismatchError"
+
+
+def test_bad_predicate_columns_are_an_outcome(ctx, spark):
+    ds = publish(ctx, spark.createDataFrame([(1, 2)], "k int, v int"), "n", "d", partition_by="k")["dataset_id"]
+    out = replace_partition(ctx, spark.createDataFrame([(3,)], "v int"), ds, "k = 1")
+    assert out["error_type"] == "SchemaMismatchError"
 
 
 @pytest.mark.parametrize("step", ["write", "register"])

@@ -67,5 +67,30 @@ def test_probes_and_delete(store, spark, folder):
         store.delete("")
 
 
-def test_delta_absent_is_false_not_crash(spark, folder):
-    assert PathStorage(spark, format="delta").check_path_exists(folder) is False
+def test_a_failure_to_look_raises(store):
+    with pytest.raises(Exception, match="nosuchscheme"):
+        store.check_path_exists("nosuchscheme://host/path")
+
+
+def test_foreign_files_and_delete_forms(store, spark, folder):
+    spark.range(3).write.parquet(folder)
+    assert store.check_path_exists(folder) and store.read(folder).count() == 3
+    with pytest.raises(RuntimeError, match="another program"):
+        store.append(spark.range(2), folder)
+    assert store.write(spark.range(2), folder, mode="ignore")["status"] == "ignored"
+    with pytest.raises(RuntimeError, match="Failed to delete"):
+        store.delete(folder, recursive=False)
+    assert store.delete(folder, recursive=True) and not store.delete(folder, recursive=True)
+
+
+def test_append_is_checked_and_overwrite_keeps_readers(store, spark, folder):
+    store.write(spark.createDataFrame([(1,)], "x int"), folder)
+    with pytest.raises(RuntimeError, match="Failed to write data"):
+        store.append(spark.createDataFrame([("a",)], "x string"), folder)
+    before = store.read(folder)
+    store.write(spark.createDataFrame([(2,)], "x int"), folder)
+    assert before.collect()[0][0] == 1 and store.read(folder).collect()[0][0] == 2
+
+
+def test_active_session_is_used(spark, folder):
+    assert PathStorage().spark is spark

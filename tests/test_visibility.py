@@ -1,22 +1,19 @@
-"""The distributed version numbering equals a plain per-dataset row_number."""
-
-from pyspark.sql import Window, functions as F
+"""Which commits are live, over the whole log at once."""
 
 from quire.plans import visibility
+from quire.sources.catalogue_log import LOG_SCHEMA
+
 
+def test_live_commits(spark):
+    def row(ds, version, mode, reset, carried=None):
+        given = {"dataset_id": ds, "version": version, "mode": mode, "reset_version": reset, "carried": carried}
+        return tuple(given.get(f) for f in LOG_SCHEMA.fieldNames())
 
-def test_versions_match_row_number_across_partitions(spark):
-    # one dataset holds most commits, as a long streaming history would
-    commits = spark.range(6000).select(
-        F.when(F.col("id") < 4000, F.lit("hot")).otherwise(F.concat(F.lit("d"), (F.col("id") % 7).cast("string"))).alias("dataset_id"),
-        F.timestamp_micros(F.lit(1_700_000_000_000_000) + (F.col("id") * 7919) % 100_003).alias("committed_at"),
-        F.col("id").cast("string").alias("commit_id"),
-    )
-    got = visibility.with_versions(commits, partitions=7).select("commit_id", "version")
-    w = Window.partitionBy("dataset_id").orderBy("committed_at", "commit_id")
-    want = commits.select("commit_id", F.row_number().over(w).alias("version"))
-    assert got.count() == 6000
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    # the hot dataset really was split over several tasks
-    ranged = commits.repartitionByRange(7, *visibility.ORDER).withColumn("p", F.spark_partition_id())
-    assert ranged.filter("dataset_id = 'hot'").select("p").distinct().count() > 1
+    rows = [row("a", 1, "overwrite", 1), row("a", 2, "append", 1), row("a", 3, "overwrite", 3), row("a", 4, "replace", 3)]
+    rows += [row("b", 1, "overwrite", 1), row("b", 2, "delete", 2)]
+    rows += [row("c", 1, "overwrite", 1), row("c", 2, "append", 1), row("c", 3, "append", 1),
+             row("c", 4, "compact", 4, [(3, "x", "x.1", "append")]), row("c", 5, "append", 4)]
+    log = spark.createDataFrame(rows, LOG_SCHEMA).repartition(3)
+    live = {(r["dataset_id"], r["version"]) for r in visibility.with_live(log).filter("live").collect()}
+    assert live == {("a", 3), ("a", 4), ("c", 3), ("c", 4), ("c", 5)}
+    assert visibility.with_live(log).count() == len(rows)
