@@ -22,13 +22,15 @@ from pyspark.sql import SparkSession, functions as F  # noqa: E402
 from quire import (  # noqa: E402
     Context,
     catalogue_datasets,
-    compact_catalogue,
+    compact_dataset,
     publish,
     publish_many,
     read_dataset,
+    replace_partition,
     sweep_orphans,
 )
 from quire.sources import filesystem as fsys  # noqa: E402
+from quire.sources.catalogue_log import STARTED, encode, entry_path  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -135,36 +137,50 @@ def main():
     q["w3_read_by_id_100_commits"] = median_time(lambda: scan_action(read_dataset(ctx, first)), name="w3_read_by_id_100_commits")
     n_commits = len(slices)
 
-    # W14: catalogue listing as one catalogue grows to 10, 100, 1000 datasets
-    # (each batch of 100 publishes registers with one entry file)
+    # replacement of a partition, and reading after it; compaction of the 100 commits
+    rep = publish(ctx, orders, "orders", "orders", partition_by="o_orderstatus")["dataset_id"]
+    slice_ = orders.filter("o_orderstatus = 'F'")
+    q["w9_replace_partition"] = median_time(
+        lambda: replace_partition(ctx, slice_, rep, "o_orderstatus = 'F'"), name="w9_replace_partition"
+    )
+    q["w9_read_after_replacements"] = median_time(lambda: scan_action(read_dataset(ctx, rep)))
+    q["x2_compact_100_commits"] = median_time(lambda: compact_dataset(ctx, first), runs=1, warmup=0)
+
+    # one log entry for each publish, as users make them: append, read and listing as
+    # the catalogue grows
     cctx = Context.scratch(spark, "bench-cat")
-    have = 0
-    for n in (10, 100, 1000):
-        while have < n:
-            step = min(100, n - have)
-            publish_many(
-                cctx,
-                [{"df": nation, "name": f"nation_{have + j}", "description": "nations"} for j in range(step)],
-                parallelism=2 * CPUS,
-            ).collect()
-            have += step
+    mine = publish(cctx, nation, "mine", "nations", inputs=[])["dataset_id"]
+    have = 1
+
+    def other(i):
+        ds = str(uuid.uuid4())
+        row = {"dataset_id": ds, "version": 1, "reset_version": 1, "mode": "overwrite", "commit_id": f"c{i}",
+               "data_folder": f"c{i}.a", "n_rows": 25, "total_rows": 25, "n_live": 1, "name": f"nation_{i}", "tags": {}}
+        fsys.create_new(spark, entry_path(cctx, ds, 1), encode([row]))
+
+    for n in (10, 1000, 5000):
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(other, range(have, n)))
+        have = n
+        q[f"w3_append_{n}_entries"] = median_time(
+            lambda: publish(cctx, nation, "mine", "nations", dataset_id=mine, mode="append", inputs=[]), name=f"w3_append_{n}_entries"
+        )
+        q[f"w1_read_{n}_entries"] = median_time(lambda: read_dataset(cctx, mine).count())
         q[f"w14_list_catalogue_{n}"] = median_time(lambda: catalogue_datasets(cctx).collect(), name=f"w14_list_catalogue_{n}")
-    compact_catalogue(cctx)
-    q["w14_list_catalogue_1000_merged"] = median_time(lambda: catalogue_datasets(cctx).collect())
 
-    # W15: sweep with 1000 orphan folders (a tenth of them with files)
+    # W15: sweep of 1000 unfinished attempts (a tenth of them with files)
     sctx = Context.scratch(spark, "bench-sweep")
     publish(sctx, nation, "nation", "nations")
 
-    def make_orphan(i):
-        d = sctx.commit_dir(str(uuid.uuid4()), f"orphan{i}")
-        fsys.mkdirs(spark, d)
-        return d
+    def crash(i):
+        ds, name = str(uuid.uuid4()), f"c{i}.a"
+        row = {"folder": sctx.commit_dir(ds, name), "dataset_id": ds, "commit_id": f"c{i}", "started_at": sctx.now()}
+        fsys.create_new(spark, f"{sctx.started_dir}/{name}.parquet", encode([row], STARTED))
+        return row["folder"]
 
-    with ThreadPoolExecutor(8) as pool:
-        orphans = list(pool.map(make_orphan, range(1000)))
-    for d in orphans[:100]:
-        spark.createDataFrame([(1,)], "x int").write.mode("overwrite").parquet(d)
+    with ThreadPoolExecutor(16) as pool:
+        for d in list(pool.map(crash, range(1000)))[:100]:
+            spark.createDataFrame([(1,)], "x int").coalesce(1).write.parquet(d)
     q["w15_sweep_1000_dry_run"] = median_time(
         lambda: sweep_orphans(sctx, older_than=-60).collect(), runs=max(1, RUNS // 2), name="w15_sweep_1000_dry_run"
     )

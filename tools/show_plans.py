@@ -15,7 +15,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from pyspark.sql import SparkSession, functions as F  # noqa: E402
 
 import quire as q  # noqa: E402
-from quire.sources.catalogue_log import raw_log  # noqa: E402
+from quire.sources.catalogue_log import dataset_log  # noqa: E402
 
 
 def plan(df) -> str:
@@ -37,7 +37,7 @@ def plan(df) -> str:
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false")
+             .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.ui.enabled", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     ctx = q.Context.scratch(spark, "plans")
@@ -50,11 +50,11 @@ def main():
     sections = [
         ("Read by id: filter on a data column and a partition column, two columns projected",
          q.read_dataset(ctx, ds).filter("o_totalprice > 1000 AND o_orderstatus = 'F'").select("o_orderkey", "o_totalprice")),
-        ("Read after a replace: the older commit loses the replaced partition at the scan",
+        ("Read after a replacement: one scan, and one join with the replaced partition values",
          q.read_dataset(ctx, cs).filter("c_nationkey = 3").select("c_custkey", "c_acctbal")),
         ("Catalogue listing with row counts (W14)", q.catalogue_datasets(ctx)),
         ("Lookup of one dataset's commits (first step of every read)",
-         raw_log(ctx).filter((F.col("kind") == "commit") & (F.col("dataset_id") == ds)).select("commit_id", "mode")),
+         dataset_log(ctx, ds).filter("version >= 1").select("version", "commit_id", "mode")),
         ("Partition counts (W7)", q.partition_counts(ctx, ds)),
     ]
     print("# Physical plans\n")
