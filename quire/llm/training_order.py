@@ -25,7 +25,7 @@ from quire.llm.common import mix64
 
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-LENGTH, SLOTS = 2048, 8192
+LENGTH, SLOTS = 2048, 4096
 GUARD = "end\n"
 _ROUNDS = 6
 
@@ -103,7 +103,7 @@ def _pieces(tokens: DataFrame, base: dict[int, int], feistel: Feistel, length: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        pack = zstandard.ZstdCompressor(level=3).compress
+        pack = zstandard.ZstdCompressor(level=9).compress
         for batch in batches:
             part, start, n = (batch.column(k).to_numpy() for k in (0, 1, 2))
             if not len(part):
@@ -170,7 +170,7 @@ def write_training_order(
     end tokens. An empty table writes no shard.
     """
     spark = docs.sparkSession
-    tokenised(docs, ranks_file, pattern).write.option("compression", "zstd").parquet(f"{path}/tokens")
+    tokenised(docs, ranks_file, pattern).write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}).parquet(f"{path}/tokens")
     tokens = spark.read.parquet(f"{path}/tokens")
     sums = tokens.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()  # a row per scan task
     base, total = {}, 0
