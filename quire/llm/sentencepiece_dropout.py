@@ -28,7 +28,7 @@ from quire.llm.common import byte_values, runs_of
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Words kept in memory with their pieces, for each variant and Python worker.
-CACHED_WORDS = 100_000
+CACHED_WORDS = 60_000
 _ROWS = 1 << 15  # words that advance together
 _MASK, _NONE, _ODD = (1 << 64) - 1, 1 << 62, 0x9E3779B97F4A7C15
 _CHUNK = re.compile(r" *[^ ]+| +")
@@ -37,7 +37,7 @@ _CHUNK = re.compile(r" *[^ ]+| +")
 class _PairTable:
     """Merged piece of two neighbouring pieces, by open addressing in numpy arrays."""
 
-    _FACTOR, _BITS = np.uint64(0x9E3779B97F4A7C15), 21
+    _FACTOR, _BITS = np.uint64(0x9E3779B97F4A7C15), 16
 
     def __init__(self, pairs: dict[int, int]):
         while 4 * len(pairs) > 1 << self._BITS:
