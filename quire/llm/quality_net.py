@@ -29,7 +29,8 @@ _FAN_IN = 64  # partial tables that one task adds up
 
 @dataclass(frozen=True)
 class Settings:
-    """``max_train`` bounds the labelled rows that the driver holds (chosen by hash of the id)."""
+    """``max_train`` bounds the labelled rows that the driver holds: the expected size of a sample
+    by hash of the id."""
 
     buckets: int = 1 << 15
     dims: int = 64
@@ -194,8 +195,12 @@ class Net:
 
 
 def train(rows: DataFrame, s: Settings) -> Net | None:
-    """A network from at most ``max_train`` rows of (doc_id, x, y); None without any row."""
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(s.max_train).collect()
+    """A network from the rows of (doc_id, x, y), or, where they are more than ``max_train``,
+    from those whose hash falls under that share; None without any row."""
+    n = rows.count()
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    # sorted here, as the order of rows must not depend on partitions
+    sample = sorted(rows.filter(place * n < F.lit(s.max_train << 30)).collect(), key=lambda r: (r["doc_id"], bytes(r["x"])))
     if not sample:
         return None
     x = np.array([np.frombuffer(r["x"], np.float32) for r in sample], np.float64)
