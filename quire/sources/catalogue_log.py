@@ -101,10 +101,24 @@ def last_entry(ctx: Context, dataset_id: str) -> dict | None:
     return max(rows, key=lambda r: r["version"])
 
 
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_LISTERS = 64  # tasks that list a log of many folders; Spark's default is one for each folder
+
+
 def _table(ctx: Context, path: str, schema: StructType) -> DataFrame:
-    if not fsys.exists(ctx.spark, path):
-        return ctx.spark.createDataFrame([], schema)
-    return ctx.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    spark = ctx.spark
+    if not fsys.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    # files are listed here and now, so the setting holds for this listing alone
+    before = spark.conf.get(_LISTING, None)
+    spark.conf.set(_LISTING, str(_LISTERS))
+    try:
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_LISTING)
+        else:
+            spark.conf.set(_LISTING, before)
 
 
 def dataset_log(ctx: Context, dataset_id: str) -> DataFrame:
