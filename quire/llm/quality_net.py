@@ -79,7 +79,7 @@ def word_table(docs: DataFrame, s: Settings = Settings()) -> np.ndarray:
         for batch in batches:
             part = batch.column(1)[0].as_py() if batch.num_rows else part
             texts = byte_values(batch.column(0))
-            for lo, hi in runs(texts):
+            for lo, hi in runs(texts, 1 << 20):
                 t, n = _tokens(texts[lo:hi], s.buckets)
                 counts += np.bincount(t, minlength=s.buckets)
                 _context_sums(t, np.repeat(np.arange(hi - lo), n), s, places, signs, sums)
