@@ -327,7 +327,7 @@ def encode(
         m = load(model_file, dropout, seed, variants)
         for batch in batches:
             sizes = [len(t) for t in byte_values(batch.column(1))]
-            for lo, hi in runs_of(sizes, 4 << 20):
+            for lo, hi in runs_of(sizes, 1 << 20):
                 part = batch.slice(lo, hi - lo)
                 keys = [0 if k is None else xxhash.xxh32_intdigest(str(k)) for k in part.column(0).to_pylist()]
                 ids = m.encode_many([t or "" for t in part.column(1).to_pylist()], keys)
