@@ -293,7 +293,7 @@ def publish_many_query(spark, sf_dir):
     specs = [
         {"df": _table(spark, sf_dir, "region"), "name": "region", "description": "regions"},
         {"df": nation, "name": "", "description": "no name"},
-        {"df": nation, "name": "nation", "description": "bad tags", "tags": "tags: test"},
+        {"df": nation, "name": "nation", "description": "bad tags", "tags": "domain=geo"},
         {"df": raising, "name": "nation", "description": "raises midway"},
         {"df": nation, "name": "nation", "description": "nations"},
     ]

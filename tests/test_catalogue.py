@@ -158,7 +158,7 @@ def test_publish_many(ctx, tables):
     specs = [
         {"df": tables("region"), "name": "region", "description": "r"},
         {"df": nation, "name": "", "description": "no name"},
-        {"df": nation, "name": "nation", "description": "d", "tags": "tags: test"},
+        {"df": nation, "name": "nation", "description": "d", "tags": "domain=geo"},
         {"df": raising, "name": "nation", "description": "raises"},
         {"df": nation, "name": "nation", "description": "n"},
     ]
