@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quire.llm.common import bit_filter, byte_values, hash_words, in_filter, mix64, odd_constants, windows, written
+from quire.llm.common import bit_filter, byte_values, hash_words, in_filter, odd_constants, windows, written
 
 NGRAM, STRETCH = 4, 6
 MATCH, MISMATCH, GAP = 2, -1, -1
