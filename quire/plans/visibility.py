@@ -13,8 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quire.sources.catalogue_log import CARRIED_TYPE  # noqa: F401 - the type of ``carried``
-
 
 def latest(log: DataFrame, attrs: list[str]) -> DataFrame:
     """One row per dataset: ``attrs`` of its last commit."""

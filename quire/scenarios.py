@@ -19,7 +19,6 @@ from quire.functions.schemas import register_schema, schema_violations
 from quire.operators.maintain import compact_dataset, partition_counts, sweep_orphans
 from quire.operators.publish import delete_dataset, publish, publish_many, replace_partition
 from quire.plans.lineage import lineage_closure, lineage_edges
-from quire.sources import filesystem as fsys
 from quire.sources.catalogue_log import read_log
 from quire.sources.datasets import read_dataset
 from quire.sources.listing import exists_report, files_under
