@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,27 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/quire-llm/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """Jobs run inside hand Python so many rows at a time; rows that carry sets or long
+    texts would else make batches of a hundred megabytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def written(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read again: later jobs
-    start there, also when an executor is lost."""
+    start there, also when an executor is lost. ``rows``: see ``batch_rows``."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    with batch_rows(spark, rows):
+        df.write.parquet(path)
     return spark.read.schema(StructType([f for f in df.schema])).parquet(path)
 
 

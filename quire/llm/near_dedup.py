@@ -28,6 +28,7 @@ SHINGLE, ROWS, MISS, SEED = 5, 8, 1e-6, 20_011
 #: Buckets up to this size are compared throughout at once: at most SMALL - 1 pairs a member.
 SMALL = 8
 PARTS = 64
+_BATCH = 1000  # rows with texts or sets that a Python worker gets at a time
 _RUN = 1 << 16  # shingles worked on at once: the working arrays stay in cache
 
 
@@ -225,7 +226,7 @@ def near_duplicates(
     linked with, and each row is returned. Other columns are ignored, whatever their
     names. An empty table gives an empty result.
     """
-    sig = written(signatures(docs, bands_for(percent, rows, miss), rows, seed), "sig")
+    sig = written(signatures(docs, bands_for(percent, rows, miss), rows, seed), "sig", _BATCH)
     known = sig.filter("n_shingles > 0 and doc_id is not null")
     # one representative for each distinct set: copies never meet in a bucket
     rep = known.groupBy("fp").agg(F.min(F.struct("doc_id", "bands")).alias("r"))
@@ -234,19 +235,19 @@ def near_duplicates(
         F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("top")
     ).filter("least < top").select("key")
     buckets = written(spread.join(sizes, "key"), "buckets")
-    sets = written(_sets_of(docs, buckets.select("node").distinct()), "sets")
+    sets = written(_sets_of(docs, buckets.select("node").distinct()), "sets", _BATCH)
     # a set with too much that no other candidate has cannot be linked
     able = _sharable(sets).filter(100 * F.col("shared") >= percent * F.col("size"))
     buckets = buckets.join(able, "node")
     sizes = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    buckets = written(buckets.join(sizes, "key"), "able")
+    buckets = written(buckets.join(sizes, "key"), "able", _BATCH)
 
     # small buckets are compared throughout, large ones from some leaders
     small, large = buckets.filter(F.col("n") <= SMALL).drop("n"), buckets.filter(F.col("n") > SMALL).drop("n")
     led = written(_leaders(large, SMALL), "leaders")
     heads = small.unionByName(large.join(led, ["key", "node"], "left_semi"))
     pairs = written(_pairs(heads, buckets.drop("n"), percent), "pairs")
-    links = written(_linked(pairs, sets, percent), "links")
+    links = written(_linked(pairs, sets, percent), "links", _BATCH)
     labels = written(connected_components(links), "labels")
     checked, fan = pairs, SMALL
     while True:
@@ -264,7 +265,7 @@ def near_duplicates(
         lab = lab.drop("main")
         more = _pairs(lab.join(new, ["key", "node"], "left_semi"), lab, percent, label=True)
         more = written(more.join(checked, ["u", "v"], "left_anti"), "pairs")
-        found = written(_linked(more, sets, percent), "links")
+        found = written(_linked(more, sets, percent), "links", _BATCH)
         checked = checked.unionByName(more)
         if not found.isEmpty():
             links = links.unionByName(found)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quire.llm.common import byte_values, runs, written
+from quire.llm.common import batch_rows, byte_values, runs, written
 
 TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
 _BLOCK = 256  # table rows that are added up together
@@ -103,7 +103,9 @@ def word_table(docs: DataFrame, s: Settings = Settings()) -> np.ndarray:
         slots = -(-slots // _FAN_IN)
         rows = rows.withColumn("slot", F.expr(f"cast(slot div {_FAN_IN} AS int)")).groupBy("block", "slot").applyInArrow(add, schema)
     table = np.zeros((s.buckets, s.dims + 1))
-    for r in rows.collect():  # buckets x dims numbers, whatever the corpus
+    with batch_rows(docs.sparkSession, 1000):
+        found = rows.collect()  # buckets x dims numbers, whatever the corpus
+    for r in found:
         table[r["block"] * _BLOCK : (r["block"] + 1) * _BLOCK] += np.frombuffer(r["sums"]).reshape(_BLOCK, -1)
     return table
 
@@ -222,7 +224,7 @@ def quality_scores(
     label the score is 0.5 and predicted 0. Other columns are ignored, whatever their
     names. An empty table gives an empty result.
     """
-    x = written(features(docs, word_table(docs, s), s), "features")
+    x = written(features(docs, word_table(docs, s), s), "features", 1000)
     y = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("double").alias("y")).dropna()
     y = y.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2).groupBy("doc_id").agg(F.avg("y").alias("y"))
     net = train(x.join(y, "doc_id"), s)

@@ -274,6 +274,9 @@ class DropoutModel:
         late.update(zip(new, self.segment_many(new, variant)))
         return late
 
+    def forget(self) -> None:
+        self.caches = [({}, {}) for _ in range(self.variants)]
+
     def encode(self, text: str, key: int) -> bytes:
         return self.encode_many([text], [key])[0]
 
@@ -338,6 +341,7 @@ def encode(
                      pa.array(n_bytes, pa.int64()), pa.array(ids, pa.binary())],
                     ["doc_id", "n_pieces", "n_byte_pieces", "ids"],
                 )
+        m.forget()  # the worker may go on with other work
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, n_pieces long, n_byte_pieces long, ids binary"
