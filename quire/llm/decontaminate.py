@@ -1,10 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: shared n-grams, then Smith-Waterman alignment.
 
 One scan of the documents finds the n-grams that the test items have too (a bitmap of fixed
-size, then an exact join) and cuts out the passages around them. Of every ``STRETCH`` neighbouring n-grams of an item the one that
-the fewest documents hold is a seed, so each stretch of an item has a seed, however common the item
-is. Passages that share a seed with an item are aligned with it word by word; local
-alignment forgives replaced, lost and added words.
+size, then an exact join) and cuts out the passages around them. Every passage and item that share an
+n-gram are a pair, whatever other documents hold. A bound on the score, by the words they share, passes over
+pairs that cannot be similar enough; the others are aligned word by word. Local alignment forgives
+replaced, lost and added words.
 """
 
 from __future__ import annotations
@@ -14,11 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from quire.llm.common import bit_filter, byte_values, hash_words, in_filter, odd_constants, windows, written
 
-NGRAM, STRETCH = 4, 6
+NGRAM = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 SIMILARITY = 0.4
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -123,9 +123,22 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarr
     return best, end
 
 
-def _aligned(pairs: DataFrame) -> DataFrame:
+def most(item: np.ndarray, passage: np.ndarray) -> int:
+    """No alignment of the two scores more. Of either side an alignment takes a run of words; each of
+    them that the other side lacks costs at least 1, any other gives at most a match."""
+    best = MATCH * len(item)
+    for a, b in ((item, passage), (passage, item)):
+        run = np.concatenate(([0], np.cumsum(np.where(np.isin(a, b), MATCH, max(MISMATCH, GAP)))))
+        best = min(best, int((run - np.minimum.accumulate(run)).max()))
+    return best
+
+
+def _aligned(pairs: DataFrame, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            x = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(5)]
+            y = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(3)]
+            batch = batch.filter(pa.array([most(a, b) / (MATCH * max(len(a), 1)) >= similarity for a, b in zip(x, y)], pa.bool_()))
             x = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(5)]
             y = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(3)]
             order = np.argsort([len(v) for v in y], kind="stable").tolist()
@@ -147,9 +160,7 @@ def _aligned(pairs: DataFrame) -> DataFrame:
     )
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, stretch: int = STRETCH
-) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, score, similarity, end_word for each pair of a document and a test item
     whose best local alignment reaches ``similarity`` (score by the item's best possible one).
 
@@ -161,19 +172,14 @@ def contaminated(
     items = written(_items(benchmark), "items")
     facts = items.agg(F.max("size"), F.collect_set("n")).first()  # at most NGRAM sizes
     margin, sizes = int(facts[0] or 0), sorted(facts[1])
-    of_item = items.select("item", F.posexplode("grams").alias("at", "gram"))
+    of_item = items.select("item", F.explode(F.array_distinct("grams")).alias("gram"))
     bits = bit_filter(of_item.select("gram").distinct(), F.col("gram"))
     passages = written(_passages(docs, bits, sizes or [NGRAM], margin).withColumn("passage", F.monotonically_increasing_id()), "passages")
-    hits = passages.select("passage", "row", F.explode("hits").alias("gram"))
-    shared = hits.select("row", "gram").distinct().groupBy("gram").agg(F.count("*").alias("df"))
-
-    ranked = of_item.join(shared, "gram")
-    ahead = Window.partitionBy("item").orderBy("at").rangeBetween(0, stretch - 1)
-    seeds = ranked.select("item", F.min(F.struct("df", "gram")).over(ahead)["gram"].alias("gram")).distinct()
-    pairs = hits.join(seeds, "gram").select("passage", "item").distinct()
+    hits = passages.select("passage", F.explode("hits").alias("gram"))
+    pairs = hits.join(of_item, "gram").select("passage", "item").distinct()
     pairs = pairs.join(passages.drop("hits"), "passage")
     pairs = pairs.join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
-    out = _aligned(pairs).filter(F.col("similarity") >= similarity)
+    out = _aligned(pairs, similarity).filter(F.col("similarity") >= similarity)
     best = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", "score", -F.col("end_word"))).alias("b"))
     return best.select("doc_id", "item_id", F.col("b.score").alias("score"), F.col("b.similarity").alias("similarity"),
                        (-F.col("b.col3")).alias("end_word"))

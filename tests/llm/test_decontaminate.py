@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from quire.llm.decontaminate import GAP, MATCH, MISMATCH, align, contaminated, word_hashes
+from quire.llm.decontaminate import GAP, MATCH, MISMATCH, align, contaminated, most, word_hashes
 
 
 def brute_score(a, b):
@@ -26,6 +26,24 @@ def test_alignment_as_brute_force():
         assert s == 0 or brute_score(a, b[: e + 1]) == s
 
 
+def test_bound_is_never_under_the_score():
+    rng = random.Random(6)
+    for _ in range(300):
+        a, b = ([rng.randrange(1, 30) for _ in range(rng.randrange(1, n))] for n in (25, 60))
+        assert brute_score(a, b) <= most(np.array(a, np.uint64), np.array(b, np.uint64)) <= MATCH * len(a)
+
+
+@pytest.mark.parametrize("every", [5, 6, 7, 8])
+def test_edited_copies_beside_exact_ones(spark, docs_of, every):
+    item = [f"w{k}" for k in range(48)]
+    edited = [f"new{k}" if (k + 1) % every == 0 or k == 47 else w for k, w in enumerate(item)]
+    around = [f"x{k}" for k in range(20)]
+    docs = [(k, " ".join(around + item + around)) for k in range(3)] + [(9, " ".join(around + edited + around))]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in contaminated(docs_of(docs), bench).collect()}
+    assert got == {0: 96, 1: 96, 2: 96, 9: brute_score(item, edited)}
+
+
 @pytest.fixture(scope="module")
 def made():
     rng = random.Random(8)
