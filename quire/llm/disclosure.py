@@ -25,7 +25,7 @@ PATTERNS = {
 }
 GUARDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 KINDS = [*PATTERNS, "term"]
-_TERM = r"\p{L}[\p{L}\p{N}]{2,}"
+_TERM = r"\p{L}[\p{L}\p{N}]*"
 _NEAR = 160  # code points on either side of a mention in which its context lies
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _SPAN = "struct<kind:int,start:int,end:int,label:string>"
@@ -52,26 +52,29 @@ def _valid(kind: str, s: Column) -> Column:
 
 
 def _matches(text: Column, pattern: Column) -> Column:
-    """All matches in order with their code point ranges, and the text around them."""
+    """All matches in order with their code point ranges."""
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
-    empty = F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>")
+    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
     step = lambda acc, i: F.struct(
         (acc["at"] + F.char_length(gaps[i]) + F.char_length(hits[i])).alias("at"),
         F.concat(acc["out"], F.array(F.struct(
             (acc["at"] + F.char_length(gaps[i])).alias("start"),
             (acc["at"] + F.char_length(gaps[i]) + F.char_length(hits[i])).alias("end"),
-            hits[i].alias("value"), F.right(gaps[i], F.lit(_NEAR)).alias("before"), F.left(gaps[i + 1], F.lit(_NEAR)).alias("after"),
+            hits[i].alias("value"),
         ))).alias("out"),
     )
     index = F.transform(hits, lambda _, i: i)
     return F.aggregate(index, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
 
 
-def _context(before: Column, after: Column, words: int) -> Column:
-    """The last words before and the first after; a word cut at the border is left out."""
+def _context(text: Column, start: Column, end: Column, words: int) -> Column:
+    """The last words before a mention and the first after it, whatever else the patterns match
+    there; a word cut at the border is left out."""
+    before = F.substring(text, F.greatest(start - _NEAR, F.lit(1)), F.least(start, F.lit(_NEAR + 1)))
+    after = F.substring(text, end + 1, F.lit(_NEAR + 1))
+    before = F.when(F.char_length(before) > _NEAR, F.regexp_replace(before, r"^[\p{L}\p{N}]+", "")).otherwise(before)
+    after = F.when(F.char_length(after) > _NEAR, F.regexp_replace(after, r"[\p{L}\p{N}]+$", "")).otherwise(after)
     b, a = (F.regexp_extract_all(F.lower(x), F.lit(_TERM), F.lit(0)) for x in (before, after))
-    b = F.when(F.char_length(before) >= _NEAR, F.slice(b, 2, F.greatest(F.size(b), F.lit(1)))).otherwise(b)
-    a = F.when(F.char_length(after) >= _NEAR, F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(a)
     return F.concat(F.slice(F.reverse(b), 1, words), F.slice(a, 1, words))
 
 
@@ -84,7 +87,7 @@ def _base(docs: DataFrame, words: int) -> DataFrame:
         return F.transform(hits, lambda m: F.struct(
             F.lit(k).alias("kind"), m["start"].alias("start"), m["end"].alias("end"),
             F.concat(F.lit(f"{kind}:"), F.lower(m["value"])).alias("entity"),
-            _context(m["before"], m["after"], words).alias("near"),
+            _context(t, m["start"], m["end"], words).alias("near"),
         ))
 
     none = F.array().cast("array<struct<kind:int,start:int,end:int,entity:string,near:array<string>>>")

@@ -54,6 +54,32 @@ def test_terms_that_disclose(docs_of):
     assert all(got[i].spans == [] and got[i].text == dict(rows)[i] for i in range(10, 60))
 
 
+def terms_of(docs_of, rows, n):
+    """What is replaced as a term in the first ``n`` rows; the others are 50 plain ones."""
+    rows = rows + [(i, f"i wrote of rain, born in the card mail of a day {i}") for i in range(100, 150)]
+    got = [r for r in sanitised(docs_of(rows)).collect() if r.doc_id < n]
+    return [{dict(rows)[r.doc_id][s.start : s.end] for s in r.spans if KINDS[s.kind] == "term"} for r in got]
+
+
+def test_context_reaches_over_other_matches(docs_of):
+    card = [(i, f"Zebrafish, born 1970, card 4111 1111 1111 1111 of day {i}") for i in range(4)]
+    assert terms_of(docs_of, card, 4) == [{"Zebrafish"}] * 4
+    # no address but the second stands in two documents
+    mails = [(i, f"quokka ann{i}@x.org bob@y.org of day {i}") for i in range(4)]
+    assert all("quokka" in t for t in terms_of(docs_of, mails, 4))
+
+
+def test_context_ends_at_whole_words(docs_of):
+    # the first word begins 162 code points before the mention, the last ends 159 after it
+    text = "zebrafish" + " " * 153 + "ann@x.org" + " " * 153 + "wombat"
+    assert terms_of(docs_of, [(i, text) for i in range(4)], 4) == [{"wombat"}] * 4
+
+
+def test_short_terms(docs_of):
+    rows = [(i, f"Li of day {i}: ann@x.org, 王芳") for i in range(4)]
+    assert terms_of(docs_of, rows, 4) == [{"Li", "王芳"}] * 4
+
+
 def test_odd_rows(docs_of, odd_rows):
     rows = odd_rows + [(20, "a@b.cd"), (20, "a@b.cd"), (None, "ip 10.0.0.1")]
     df = docs_of(rows)
