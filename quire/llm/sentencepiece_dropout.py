@@ -1,11 +1,13 @@
 """SentencePiece (BPE) encoding with seeded merge-dropout, and lossless decoding.
 
 Within a word, an agenda of candidate merges is worked off from the best score on.
-A candidate is skipped when a keyed hash of (seed, variant, word, place, merge) falls
-under the dropout rate, so a word has several segmentations; which variant an occurrence takes follows
-from the document's id and the word's number. The same seed always gives the same
+A candidate is skipped when a keyed hash of (seed, document's id, word's number, word, place, merge) falls
+under the dropout rate, so every occurrence of a word is cut on its own. The same seed always gives the same
 pieces, whatever the partitioning and however often a task is retried.
 
+What is kept in memory is a word's pieces without dropout and the merges that lead there: an
+occurrence that skips none of these merges has these pieces, the others are worked off.
+
 Pieces decode to the very text: white space runs, unknown characters and a literal
 U+2581 (always written as byte pieces) survive. Dropout 0 gives the library's own pieces.
 """
@@ -23,12 +25,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from quire.llm.common import byte_values, runs_of
+from quire.llm.common import byte_values, mix64, runs_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Words kept in memory with their pieces, for each variant and Python worker.
-CACHED_WORDS = 60_000
+#: Words kept in memory with their pieces and merges, for each Python worker.
+CACHED_WORDS = 100_000
 _ROWS = 1 << 15  # words that advance together
 _MASK, _NONE, _ODD = (1 << 64) - 1, 1 << 62, 0x9E3779B97F4A7C15
 _CHUNK = re.compile(r" *[^ ]+| +")
@@ -71,10 +73,10 @@ class _PairTable:
 class DropoutModel:
     """Vocabulary of a SentencePiece BPE model; segments, encodes and decodes."""
 
-    def __init__(self, model_file: str, dropout: float, seed: int, variants: int):
+    def __init__(self, model_file: str, dropout: float, seed: int, variants: int | None = None):
         import sentencepiece
 
-        if not 0 <= dropout < 1 or variants < 1:
+        if not 0 <= dropout < 1 or (variants is not None and variants < 1):
             raise ValueError("dropout must be in [0, 1) and variants at least 1")
         sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
         size = sp.vocab_size()
@@ -102,7 +104,7 @@ class DropoutModel:
         self.literal = array(self.code, [self.byte_ids[b] for b in SPACE.encode()]).tobytes()
         self.below = int(dropout * (1 << 32))
         self.seed, self.variants = seed, variants
-        self.caches: list[tuple[dict, dict]] = [({}, {}) for _ in range(variants)]  # of late, and before
+        self.caches: tuple[dict, dict] = ({}, {})  # of late, and before
         self.size, self.rank_of = size, np.zeros(size, np.int64)
         self.rank_of[words] = [self.rank[pieces[i]] >> 44 for i in words]
         self.id_of_char = np.full(0x110000, size, np.int32)  # ``size`` stands for characters without a piece
@@ -114,6 +116,12 @@ class DropoutModel:
             for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids
         })
 
+    def places(self, key: int, n: int) -> np.ndarray:
+        """What the cut of each of a document's ``n`` words hangs on."""
+        if self.variants:
+            return (np.arange(n, dtype=np.uint64) + np.uint64(key % self.variants)) % np.uint64(self.variants)
+        return mix64(np.arange(1, n + 1, dtype=np.uint64) | np.uint64(key << 32 & _MASK))
+
     def segment(self, word: str, variant: int) -> list[int]:
         """Piece ids of a word with its leading space, or of one after a line break
         (with the break). Spaces before the word's last run of non-spaces belong to it."""
@@ -125,44 +133,80 @@ class DropoutModel:
         return xxhash.xxh64_intdigest(text) ^ ((self.seed * 1009 + variant + 1) * _ODD & _MASK)
 
     def _agenda(self, text: str, variant: int) -> list[int]:
-        part = self._long(text, self._key(text, variant))
+        return self._ids(self._long(text, self._key(text, variant), self.below))
+
+    def _ids(self, part: list[str]) -> list[int]:
         ids = list(map(self.ids.get, part))
         if None in ids:
             ids = [x for p, i in zip(part, ids) for x in ([i] if i is not None else [self.byte_ids[b] for b in p.encode()])]
         return ids
 
-    def segment_many(self, words: list[str], variant: int) -> list[bytes]:
-        """``segment`` for many words: short ones advance together, a merge of each at a time."""
-        out: list = [None] * len(words)
+    def _by_width(self, words: list[str]) -> Iterator[tuple[int, list[int]]]:
+        """Numbers of words of about one length, and the length (0: long words)."""
         by_size: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             n = len(w) + (w[:1] != "\n")
             by_size.setdefault(8 if n <= 8 else 16 if n <= 16 else 32 if n <= 32 else 0, []).append(i)
-        for i in by_size.pop(0, []):
-            out[i] = array(self.code, self.segment(words[i], variant)).tobytes()
         for width, index in by_size.items():
             for lo in range(0, len(index), _ROWS):
-                rows = index[lo : lo + _ROWS]
-                texts = [w[1:] if w[:1] == "\n" else SPACE + w.replace(" ", SPACE) for w in map(words.__getitem__, rows)]
-                ids, counts, odd = self._together(texts, variant, width)
+                yield width, index[lo : lo + _ROWS]
+
+    @staticmethod
+    def _text(word: str) -> str:
+        return word[1:] if word[:1] == "\n" else SPACE + word.replace(" ", SPACE)
+
+    def segment_many(self, words: list[str], variant) -> list[bytes]:
+        """``segment`` for many words, with one variant or one for each: short words advance
+        together, a merge of each at a time."""
+        out: list = [None] * len(words)
+        variant = np.broadcast_to(np.asarray(variant, np.uint64), len(words))
+        for width, rows in self._by_width(words):
+            odd = np.ones(len(rows), bool)
+            if width:
+                texts = [self._text(words[i]) for i in rows]
+                key = np.fromiter(map(xxhash.xxh64_intdigest, texts), np.uint64, len(rows)) ^ self._salt(variant[rows])
+                ids, counts, odd, _ = self._together(texts, key, width)
+                raw, ends = ids.astype(self.dtype).tobytes(), (np.cumsum(counts) * self.dtype.itemsize).tolist()
+                for i, a, b in zip(rows, [0, *ends], ends):
+                    out[i] = self.line_break + raw[a:b] if words[i][:1] == "\n" else raw[a:b]
+            for k in np.flatnonzero(odd).tolist():
+                out[rows[k]] = array(self.code, self.segment(words[rows[k]], int(variant[rows[k]]))).tobytes()
+        return out
+
+    def _salt(self, variant: np.ndarray) -> np.ndarray:
+        return (variant + np.uint64((self.seed * 1009 + 1) & _MASK)) * np.uint64(_ODD)
+
+    def _plain(self, words: list[str]) -> list[tuple[bytes, bytes, int]]:
+        """Each word's pieces without dropout, the merges that lead there, and its hash."""
+        out: list = [None] * len(words)
+        for width, rows in self._by_width(words):
+            texts, odd = [self._text(words[i]) for i in rows], np.ones(len(rows), bool)
+            if width:
+                ids, counts, odd, (of, merges) = self._together(texts, None, width)
                 raw, ends = ids.astype(self.dtype).tobytes(), (np.cumsum(counts) * self.dtype.itemsize).tolist()
-                for i, a, b, o in zip(rows, [0, *ends], ends, odd.tolist()):
-                    if o:
-                        out[i] = array(self.code, self.segment(words[i], variant)).tobytes()
-                    else:
-                        out[i] = self.line_break + raw[a:b] if words[i][:1] == "\n" else raw[a:b]
+                steps = merges[np.argsort(of, kind="stable")].tobytes()
+                stops = (np.cumsum(np.bincount(of, minlength=len(rows))) * 8).tolist()
+                for i, t, a, b, c, d in zip(rows, texts, [0, *ends], ends, [0, *stops], stops):
+                    head = self.line_break if words[i][:1] == "\n" else b""
+                    out[i] = (head + raw[a:b], steps[c:d], xxhash.xxh64_intdigest(t))
+            for k in np.flatnonzero(odd).tolist():
+                taken: list[int] = []
+                ids = array(self.code, self._ids(self._long(texts[k], 0, 0, taken))).tobytes()
+                head = self.line_break if words[rows[k]][:1] == "\n" else b""
+                out[rows[k]] = (head + ids, np.array(taken, np.int64).tobytes(), xxhash.xxh64_intdigest(texts[k]))
         return out
 
-    def _together(self, texts: list[str], variant: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _together(self, texts: list[str], key: np.ndarray | None, width: int) -> tuple:
         """Pieces of all texts in a row, their number for each text, and which texts have
-        characters without a piece (their pieces are not valid)."""
+        characters without a piece (their pieces are not valid). Without ``key`` none is skipped. Last,
+        then, the merges and their texts."""
         n, none = len(texts), np.int64(_NONE >> 44)
         points = np.array(texts, f"<U{width}").view(np.uint32).reshape(n, width)
         size = np.fromiter(map(len, texts), np.int64, n)
         real = np.arange(width) < size[:, None]  # a text may hold U+0000, which pads as well
         part = np.where(real, self.id_of_char[points], self.size).astype(np.int64)
         odd = (real & (part == self.size)).any(axis=1)
-        key = np.fromiter(map(xxhash.xxh64_intdigest, texts), np.uint64, n) ^ np.uint64((self.seed * 1009 + variant + 1) * _ODD & _MASK)
+        merges = [(np.empty(0, np.int64), np.empty(0, np.int64))]
         merged = np.full((n, width), -1, np.int64)
         merged[:, :-1] = self.pairs.find((part[:, :-1] * (self.size + 1) + part[:, 1:]).ravel()).reshape(n, width - 1)
         rank = np.where(merged >= 0, self.rank_of[merged], none)
@@ -186,8 +230,10 @@ class DropoutModel:
             row, at, best = row[go], at[go], best[go]
             nxt = right[row, at]
             total = length[row, at] + length[row, nxt]
-            if self.below:
-                c = best << 44 ^ at << 12 ^ total
+            c = best << 44 ^ at << 12 ^ total
+            if key is None:
+                merges.append((row, c))
+            if self.below and key is not None:
                 skip = ((key[row] ^ c.astype(np.uint64)) * np.uint64(_ODD)) >> np.uint64(32) < np.uint64(self.below)
                 rank[row[skip], at[skip]] = none
                 r, i, j, total = row[~skip], at[~skip], nxt[~skip], total[~skip]
@@ -202,13 +248,14 @@ class DropoutModel:
             before = left[r, i]
             some = before >= 0
             renew(r[some], before[some], i[some])
-        return part[alive], alive.sum(axis=1), odd
+        return part[alive], alive.sum(axis=1), odd, tuple(map(np.concatenate, zip(*merges)))
 
-    def _long(self, text: str, key: int) -> list[str]:
-        """The agenda of a long word as a heap; candidates that a merge made void are passed over."""
+    def _long(self, text: str, key: int, below: int, taken: list[int] | None = None) -> list[str]:
+        """The agenda of a long word as a heap; candidates that a merge made void are passed over.
+        The merges are added to ``taken``."""
         part, n = list(text), len(text)
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank, below = self.rank, self.below
+        rank = self.rank
         agenda = []
         for i in range(n - 1):
             r = rank.get(part[i] + part[i + 1])
@@ -224,6 +271,8 @@ class DropoutModel:
                 continue  # one of the two has been merged meanwhile
             if ((key ^ c) * _ODD & _MASK) >> 32 < below:
                 continue
+            if taken is not None:
+                taken.append(c)
             a += part[j]
             part[i], part[j] = a, ""
             k = right[i] = right[j]
@@ -240,42 +289,54 @@ class DropoutModel:
         return [p for p in part if p]
 
     def encode_many(self, texts: list[str], keys: list[int]) -> list[bytes]:
-        """Little-endian piece ids of each text. ``keys`` (of the documents) pick the variants."""
-        v = self.variants
-        lists, needed = [], [set() for _ in range(v)]
-        for text, key in zip(texts, keys):
+        """Little-endian piece ids of each text. ``keys`` (of the documents) and the words' numbers
+        make the segmentations differ."""
+        lists = []
+        for text in texts:
             odd = SPACE in text or "  " in text or " \n" in text or text[:1] in (" ", "") or text[-1] == " "
             lists.append(None if odd else text.replace("\n", " \n").split(" "))
-            if not odd:
-                for r in range(v):
-                    needed[(key + r) % v].update(lists[-1][r::v])
-        found = [self._looked_up(need, k) for k, need in enumerate(needed)]
-        out = []
-        for text, key, words in zip(texts, keys, lists):
-            if words is None:
+        words = [w for ws in lists if ws for w in ws]
+        found = self._looked_up(set(words))
+        ids = [found[w][0] for w in words]
+        if self.below and words:
+            number: dict[str, int] = {}
+            which = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+            place = np.concatenate([self.places(k, len(ws)) for k, ws in zip(keys, lists) if ws])
+            merges = [found[w][1] for w in number]
+            key = np.fromiter((found[w][2] for w in number), np.uint64, len(number))[which] ^ self._salt(place)
+            n = np.fromiter(map(len, merges), np.int64, len(merges)) // 8
+            start, merges = (np.cumsum(n) - n)[which], np.frombuffer(b"".join(merges), np.uint64)
+            n = n[which]
+            at = np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)
+            owner = np.repeat(np.arange(len(words)), n)
+            skip = ((key[owner] ^ merges[at]) * np.uint64(_ODD)) >> np.uint64(32) < np.uint64(self.below)
+            other = np.flatnonzero(np.bincount(owner[skip], minlength=len(words))).tolist()
+            for i, x in zip(other, self.segment_many([words[i] for i in other], place[other])):
+                ids[i] = x
+        out, lo = [], 0
+        for text, key, ws in zip(texts, keys, lists):
+            if ws is None:
                 out.append(self._odd(text, key))
                 continue
-            ids = [b""] * len(words)
-            for r in range(v):
-                ids[r::v] = map(found[(key + r) % v].__getitem__, words[r::v])
-            out.append(b"".join(ids))
+            out.append(b"".join(ids[lo : lo + len(ws)]))
+            lo += len(ws)
         return out
 
-    def _looked_up(self, needed: set, variant: int) -> dict:
-        """Pieces by word, for at least the words needed."""
-        late, before = self.caches[variant]
+    def _looked_up(self, needed: set) -> dict:
+        """``_plain`` by word, for at least the words needed."""
+        late, before = self.caches
         if len(late) > CACHED_WORDS:
             late, before = {}, late
-            self.caches[variant] = (late, before)
+            self.caches = (late, before)
         needed.difference_update(late)
         for w in needed.intersection(before):
             late[w] = before[w]
         new = list(needed.difference(before))
-        late.update(zip(new, self.segment_many(new, variant)))
+        late.update(zip(new, self._plain(new)))
         return late
 
     def forget(self) -> None:
-        self.caches = [({}, {}) for _ in range(self.variants)]
+        self.caches = ({}, {})
 
     def encode(self, text: str, key: int) -> bytes:
         return self.encode_many([text], [key])[0]
@@ -285,19 +346,20 @@ class DropoutModel:
         if not text:
             return b""
         out, literal = [], False
+        places = iter(self.places(key, len(text) + 1).tolist())
         for run in text.split(SPACE):
             out.append(self.literal if literal else b"")
             for k, line in enumerate(run.split("\n")):
                 # after a line break or a literal U+2581 a word has no space of its own
                 if k or literal:
                     head, space, line = line.partition(" ")
-                    head = self._agenda(head, key % self.variants) if head else []
+                    head = self._agenda(head, next(places)) if head else []
                     out.append(array(self.code, [self.byte_ids[10]] * bool(k) + head).tobytes())
                     if not space:
                         continue
                 words = [c[1:] for c in _CHUNK.findall(" " + line)]
-                for r, w in enumerate(words):
-                    out.append(array(self.code, self._agenda(SPACE + w.replace(" ", SPACE), (key + r) % self.variants)).tobytes())
+                for w in words:
+                    out.append(array(self.code, self._agenda(SPACE + w.replace(" ", SPACE), next(places))).tobytes())
             literal = True
         return b"".join(out)
 
@@ -310,19 +372,20 @@ class DropoutModel:
 
 
 @lru_cache(maxsize=4)
-def load(model_file: str, dropout: float, seed: int, variants: int) -> DropoutModel:
+def load(model_file: str, dropout: float, seed: int, variants: int | None = None) -> DropoutModel:
     """One model for each Python worker and setting."""
     return DropoutModel(model_file, dropout, seed, variants)
 
 
 def encode(
-    docs: DataFrame, model_file: str = MODEL, dropout: float = 0.1, seed: int = 7, variants: int = 4
+    docs: DataFrame, model_file: str = MODEL, dropout: float = 0.1, seed: int = 7, variants: int | None = None
 ) -> DataFrame:
     """doc_id, n_pieces, n_byte_pieces, ids (binary, little-endian, 2 bytes an id, 4 for
     vocabularies over 65,536) of every row of ``docs`` (doc_id, text, ...).
 
+    Every occurrence of a word is cut on its own; ``variants`` bounds how many ways there are.
     Null and empty texts have no pieces (n_pieces 0, empty ids). A null doc_id is kept and
-    takes the variants of key 0. Repeated rows give equal results. Other columns are
+    counts as key 0. Repeated rows give equal results. Other columns are
     ignored, whatever their names. An empty table gives an empty result.
     """
 

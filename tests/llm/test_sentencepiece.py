@@ -46,6 +46,24 @@ def test_dropout_varies_and_repeats():
     assert len(a.encode(text, 1)) > len(DropoutModel(MODEL, 0.0, 5, 1).encode(text, 1))
 
 
+def test_every_occurrence_is_cut_on_its_own(docs_of):
+    text = " ".join(["internationalization"] * 400)
+    ids = [tuple(np.frombuffer(r.ids, "<u2").tolist()) for r in encode(docs_of([(1, text)]), dropout=0.3).collect()][0]
+    m = load(MODEL, 0.3, 7)
+    whole = [tuple(ids_of(m, m.segment_many(["internationalization"], p)[0])) for p in m.places(0, 400)]
+    assert len(set(whole)) > 40
+    starts = [k for k, i in enumerate(ids) if m.raw[i].startswith(b" ")]
+    assert len({ids[a:b] for a, b in zip(starts, [*starts[1:], len(ids)])}) > 40
+
+
+def test_kept_pieces_as_one_by_one():
+    m, rng = DropoutModel(MODEL, 0.2, 5), random.Random(3)
+    words = ["".join(rng.choices("theonrisat.,éß𝄞", k=rng.randrange(1, 40))) for _ in range(300)] + ["the", "and", "station"] * 200
+    for key in (0, 77, (1 << 32) - 1):
+        want = [i for w, p in zip(words, m.places(key, len(words)).tolist()) for i in m.segment(w, p)]
+        assert ids_of(m, m.encode(" ".join(words), key)) == want
+
+
 def test_share_of_skipped_merges():
     m = DropoutModel(MODEL, 0.1, 9, 1)
     words = [f"{a}{b}" for a in "abcdefghijklmnop" for b in ("he", "in", "on", "er", "at")]
