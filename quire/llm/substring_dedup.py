@@ -20,13 +20,15 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from quire.llm.common import batch_rows, byte_values, fresh_path, hash_words, odd_constants, runs, windows, written
 
 WORDS, PERIOD = 13, 7
 _PACK = 2 << 20  # bytes of text in a run
-_BUCKET = 32 << 20  # bytes of text behind a bucket
+_BUCKET = 8 << 20  # bytes of text behind a bucket
+_ROWS = 4  # runs that a Python worker gets at a time
 _GROUP = "run long, bucket long, bits binary"
 
 
@@ -90,20 +92,30 @@ def _bits(parts: list | None) -> np.ndarray:
 
 
 def _pack(docs: DataFrame) -> DataFrame:
-    """(run, n_bytes, ids, texts): documents in runs; a document is never cut."""
+    """(run, n_bytes, ids, sizes, texts): documents in runs, their texts compressed as one; a document is never cut."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             texts = byte_values(batch.column(1))
             for lo, hi in runs(texts, _PACK):
-                part = batch.slice(lo, hi - lo)
+                sizes = [len(t) for t in texts[lo:hi]]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([sum(map(len, texts[lo:hi]))], pa.int64()), pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
-                    pa.array([texts[lo:hi]], pa.list_(pa.binary())),
-                ], ["n_bytes", "ids", "texts"])
+                    pa.array([sum(sizes)], pa.int64()), pa.array([batch.column(0).slice(lo, hi - lo).to_pylist()], pa.list_(pa.int64())),
+                    pa.array([sizes], pa.list_(pa.int64())), pa.array([squeeze.compress(b"".join(texts[lo:hi]))], pa.binary()),
+                ], ["n_bytes", "ids", "sizes", "texts"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(pack, "n_bytes long, ids array<long>, texts array<binary>").withColumn("run", F.monotonically_increasing_id())
+    packed = rows.mapInArrow(pack, "n_bytes long, ids array<long>, sizes array<long>, texts binary")
+    return packed.withColumn("run", F.monotonically_increasing_id())
+
+
+def _unpack(sizes: list[int], texts: bytes) -> list[bytes]:
+    flat, out, at = zstandard.ZstdDecompressor().decompress(texts, max_output_size=max(1, sum(sizes))), [], 0
+    for n in sizes:
+        out.append(flat[at : at + n])
+        at += n
+    return out
 
 
 def _split(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -118,9 +130,9 @@ def _shared(table: pa.Table) -> pa.Table:
     ones = [np.frombuffer(b.as_buffer(), np.uint32) for b in table.column("once")]
     twos = [np.frombuffer(b.as_buffer(), np.uint32) for b in table.column("twice")]
     values, n = np.unique(np.concatenate(ones + twos), return_counts=True)
-    shared = values[n > 1]
+    many = (n > 1).astype(np.uint8)
     return pa.table({"run": table.column("run"), "bucket": table.column("bucket"),
-                     "bits": pa.array([np.isin(o, shared).astype(np.uint8).tobytes() for o in ones], pa.binary())})
+                     "bits": pa.array([many[np.searchsorted(values, o)].tobytes() for o in ones], pa.binary())})
 
 
 def _earlier(table: pa.Table) -> pa.Table:
@@ -165,14 +177,14 @@ def without_repeats(docs: DataFrame, words: int = WORDS, period: int = PERIOD) -
     path = fresh_path(spark, "runs")
     with batch_rows(spark, 1000):
         _pack(docs).write.option("parquet.block.size", str(16 << 20)).parquet(path)
-    packed = spark.read.schema("n_bytes long, ids array<long>, texts array<binary>, run long").parquet(path)
+    packed = spark.read.schema("n_bytes long, ids array<long>, sizes array<long>, texts binary, run long").parquet(path)
     total = packed.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(8, math.ceil(total / _BUCKET))
 
     def runs_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, _Run]]:
         for i in range(batch.num_rows):
-            ids, texts = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
-            yield i, batch.column(0)[i].as_py(), _Run(ids, texts, words, cover, period)
+            ids, sizes, texts = (batch.column(k)[i].as_py() for k in (1, 2, 3))
+            yield i, batch.column(0)[i].as_py(), _Run(ids, _unpack(sizes, texts), words, cover, period)
 
     def ask_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,7 +225,7 @@ def without_repeats(docs: DataFrame, words: int = WORDS, period: int = PERIOD) -
     def ask_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, run, r in runs_of(batch):
-                at = r.candidates(shared_of(r, batch.column(3)[i].as_py()))
+                at = r.candidates(shared_of(r, batch.column(4)[i].as_py()))
                 b, h, _, least = window_order(r, at)
                 out = [(run, k, h[lo:hi].tobytes(), least[lo:hi].tobytes()) for k, lo, hi in _split(b)]
                 if out:
@@ -223,11 +235,11 @@ def without_repeats(docs: DataFrame, words: int = WORDS, period: int = PERIOD) -
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, _, r in runs_of(batch):
-                at = r.candidates(shared_of(r, batch.column(3)[i].as_py()))
+                at = r.candidates(shared_of(r, batch.column(4)[i].as_py()))
                 _, _, number, least = window_order(r, at)
                 gone = at
                 if len(at):
-                    gone = at[(r.id_of[r.doc[at]] > least[number]) | _bits(batch.column(4)[i].as_py())[number]]
+                    gone = at[(r.id_of[r.doc[at]] > least[number]) | _bits(batch.column(5)[i].as_py())[number]]
                 edge = np.zeros(len(r.hashes) + 1, np.int64)
                 np.add.at(edge, gone, 1)
                 np.add.at(edge, gone + words, -1)
@@ -248,12 +260,12 @@ def without_repeats(docs: DataFrame, words: int = WORDS, period: int = PERIOD) -
                     columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
                     yield pa.RecordBatch.from_arrays([*columns[:4], columns[4].cast(pa.string())], ["doc_id", "n_words", "n_removed", "spans", "text"])
 
-    with batch_rows(spark, 4):
-        asked = written(packed.select("run", "ids", "texts").mapInArrow(ask_anchors, "run long, bucket long, once binary, twice binary"), "anchors")
-    found = written(_answers(asked.groupBy("bucket").applyInArrow(_shared, _GROUP), "shared"), "shared")
-    known = packed.select("run", "ids", "texts").join(found, "run", "left")
-    with batch_rows(spark, 4):
-        asked = written(known.mapInArrow(ask_windows, "run long, bucket long, hashes binary, least binary"), "windows")
-    gone = written(_answers(asked.groupBy("bucket").applyInArrow(_earlier, _GROUP), "gone"), "gone")
+    texts = packed.select("run", "ids", "sizes", "texts")
+    with batch_rows(spark, _ROWS):
+        asked = texts.mapInArrow(ask_anchors, "run long, bucket long, once binary, twice binary")
+        found = written(_answers(asked.groupBy("bucket").applyInArrow(_shared, _GROUP), "shared"), "shared")
+        known = texts.join(found, "run", "left")
+        asked = known.mapInArrow(ask_windows, "run long, bucket long, hashes binary, least binary")
+        gone = written(_answers(asked.groupBy("bucket").applyInArrow(_earlier, _GROUP), "gone"), "gone")
     kind = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, text string"
-    return written(known.join(gone, "run", "left").mapInArrow(cut, kind), "cut", 4)
+    return written(known.join(gone, "run", "left").mapInArrow(cut, kind), "cut", _ROWS)
