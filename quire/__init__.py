@@ -11,8 +11,8 @@ from quire.errors import (
     PublishError,
     QuireError,
     RegistrationError,
-    RollbackError,
     SchemaMismatchError,
+    VersionExpiredError,
 )
 from quire.functions.catalogue import (
     catalogue_datasets,
@@ -25,14 +25,19 @@ from quire.functions.catalogue import (
     tags,
 )
 from quire.functions.schemas import conform, register_schema, schema_violations
+from quire.operators.alter import drop_column, rename_column, widen_column
+from quire.operators.merge import merge_rows
 from quire.operators.publish import delete_dataset, publish, publish_many, replace_partition
+from quire.operators.retain import expire_versions
+from quire.sources.changes import read_changes
 from quire.sources.datasets import read_dataset
 
 __all__ = [
     "Context", "shared_dir",
-    "QuireError", "PublishError", "RegistrationError", "RollbackError",
-    "DatasetExistsError", "DatasetNotFoundError", "SchemaMismatchError",
-    "publish", "publish_many", "replace_partition", "delete_dataset", "read_dataset",
+    "QuireError", "PublishError", "RegistrationError",
+    "VersionExpiredError", "DatasetExistsError", "DatasetNotFoundError", "SchemaMismatchError",
+    "publish", "publish_many", "replace_partition", "merge_rows", "delete_dataset", "read_dataset", "read_changes",
+    "rename_column", "drop_column", "widen_column", "expire_versions",
     "datasets", "commits", "schemas", "lineage", "tags", "history", "search",
     "catalogue_datasets", "register_schema", "conform", "schema_violations",
 ]

@@ -40,6 +40,7 @@ class Context:
 
         <base>/<dataset_id>/Processed/commit_id=<commit>.<attempt>/...  data of one attempt
         <base>/<dataset_id>/Replaced/commit_id=<commit>.<attempt>/...   partition values that it replaces
+        <base>/<dataset_id>/Hidden/commit_id=<commit>.<attempt>/...     row positions that it hides
         <base>/_catalogue/log/<dataset_id>/<version>.parquet            commits, numbered
         <base>/_catalogue/schemas/<schema_id>.parquet                   registered schemas
         <base>/_catalogue/started/<attempt>.parquet                     attempts under way
@@ -97,6 +98,20 @@ class Context:
     def replaced_dir(self, dataset_id: str) -> str:
         return f"{self.dataset_root(dataset_id)}/Replaced"
 
+    def hidden_dir(self, dataset_id: str) -> str:
+        return f"{self.dataset_root(dataset_id)}/Hidden"
+
+    def attempt_dirs(self, dataset_id: str, folder: str) -> list[str]:
+        """All folders that one attempt may have written."""
+        return [f"{d}/commit_id={folder}" for d in self._kinds(dataset_id)]
+
+    def emptied_dirs(self, dataset_id: str) -> list[str]:
+        """Folders above those of attempts, to be removed when nothing is left in them."""
+        return [*self._kinds(dataset_id), self.dataset_root(dataset_id)]
+
+    def _kinds(self, dataset_id: str) -> list[str]:
+        return [self.processed_dir(dataset_id), self.replaced_dir(dataset_id), self.hidden_dir(dataset_id)]
+
     def commit_dir(self, dataset_id: str, folder: str) -> str:
         """Where an attempt's data lies; ``folder`` is ``<commit>.<attempt>``."""
         return f"{self.processed_dir(dataset_id)}/commit_id={folder}"

@@ -27,9 +27,9 @@ class DatasetNotFoundError(QuireError):
     """No live dataset (or version) with the given id."""
 
 
-class SchemaMismatchError(QuireError):
-    """The frame does not fit the dataset's or the registered schema."""
+class VersionExpiredError(DatasetNotFoundError):
+    """The version was there, and its data was given up by ``expire_versions``."""
 
 
-class RollbackError(QuireError):
-    """Removing the folder of a failed commit failed as well."""
+class SchemaMismatchError(QuireError):
+    """The frame does not fit the dataset's or the registered schema."""

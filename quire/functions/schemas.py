@@ -102,7 +102,7 @@ def lookup_schema(ctx: Context, schema_id: str) -> StructType:
     path = _schema_path(ctx, str(schema_id))
     if not fsys.exists(ctx.spark, path):
         raise SchemaMismatchError(f"unknown schema id {schema_id}")
-    return StructType.fromJson(json.loads(decode(fsys.read_bytes(ctx.spark, path))[0]["schema_json"]))
+    return StructType.fromJson(json.loads(decode(fsys.read_bytes(ctx.spark, path), SCHEMA_TABLE)[0]["schema_json"]))
 
 
 def problems(actual: StructType, expected: StructType) -> list[tuple]:

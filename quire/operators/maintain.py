@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 from quire.context import Context
 from quire.errors import DatasetNotFoundError
 from quire.functions import checks
-from quire.operators.publish import CommitPlan, _folder_name, commit, remove_before
+from quire.operators.publish import CommitPlan, _folder_name, commit, fence, remove_attempt, remove_before
 from quire.sources import filesystem as fsys
 from quire.sources.catalogue_log import read_log, started
-from quire.sources.datasets import dataset_state, read_state
-from quire.sources.listing import files_under, norm
+from quire.sources.datasets import dataset_state, read_state, visible
 
 SWEEP_SCHEMA = (
     "folder string, dataset_id string, commit_id string, started_at timestamp, n_files bigint, bytes bigint, "
@@ -40,8 +39,10 @@ def sweep_orphans(ctx: Context, older_than, dry_run: bool = True) -> DataFrame:
 
     Every attempt leaves a mark before it writes and takes it away when it is done, so the sweep
     reads only marks: one anti-join with the commits, whatever the store's size. Attempts begun
-    after the cutoff are left alone; it should be longer than the longest publish. Only the deletions run on
-    the driver, one call for each crashed attempt.
+    after the cutoff are left alone. One that is still at work is fenced first: the next number of its
+    dataset's log says that it may not commit, so either the attempt commits before, and its data stays, or its
+    publisher ends with an error. What the driver holds and does is a few calls for each crashed attempt: its files are
+    listed there, and removed there.
     """
     spark = ctx.spark
     cut = int(_cutoff(older_than).timestamp() * 1_000_000)
@@ -50,37 +51,35 @@ def sweep_orphans(ctx: Context, older_than, dry_run: bool = True) -> DataFrame:
         F.concat("folder", F.lit("/Processed/commit_id="), "data_folder").alias("folder"))
     # a mark whose attempt did commit only lost its own removal
     left = marks.join(done, "folder", "left_anti").select("folder", "dataset_id", "commit_id", "started_at").collect()
-    there = [r["folder"] for r in left if fsys.exists(spark, r["folder"])]
-    # files by the marked folder in their own path
-    under = norm(F.col("path"))
-    rows = files_under(ctx, there).select(under.alias("path"), "length")
-    marked = spark.createDataFrame([(r["folder"], fsys.qualify(spark, r["folder"])) for r in left], "folder string, q string")
-    sizes = rows.withColumn("commit_root", F.regexp_extract("path", r"^(.*/Processed/commit_id=[^/]+)/", 1)).withColumn(
-        "dataset_root", F.regexp_extract("path", r"^(.*)/Processed/commit_id=[^/]+/", 1))
-    sizes = sizes.select(F.explode(F.array("commit_root", "dataset_root")).alias("q"), "length")
-    sizes = sizes.groupBy("q").agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
-    sizes = marked.join(sizes, norm(marked["q"]) == sizes["q"]).select("folder", "n_files", "bytes").collect()
-    size_of = {r["folder"]: (r["n_files"], r["bytes"]) for r in sizes}
+    attempts: dict[str, list[str]] = {}
+    for r in left:
+        if r["folder"] != ctx.dataset_root(r["dataset_id"]):
+            attempts.setdefault(r["dataset_id"], []).append(r["folder"].rsplit("commit_id=", 1)[1])
+
+    def fence_all(item) -> set[str]:
+        return fence(ctx, *item)
+
+    sizes = fsys.each(lambda r: fsys.size_of(spark, r["folder"]) or (0, 0), left)
+    fenced = set().union(*fsys.each(fence_all, attempts.items())) if not dry_run else set()
 
     def remove(r) -> bool:
-        root = ctx.dataset_root(r["dataset_id"])
-        if r["folder"] == root:
-            st = dataset_state(ctx, r["dataset_id"])
-            gone = remove_before(ctx, r["dataset_id"], st.version if st and not st.exists else 0)
+        ds = r["dataset_id"]
+        if r["folder"] == ctx.dataset_root(ds):
+            st = dataset_state(ctx, ds)
+            gone = remove_before(ctx, ds, st.version if st and not st.exists else 0)
             name = r["commit_id"]
         else:
             name = r["folder"].rsplit("commit_id=", 1)[1]
-            fsys.delete(spark, r["folder"])
-            fsys.delete(spark, f"{ctx.replaced_dir(r['dataset_id'])}/commit_id={name}")
-            for above in (ctx.replaced_dir(r["dataset_id"]), ctx.processed_dir(r["dataset_id"]), root):
-                fsys.delete_if_empty(spark, above)
+            if name not in fenced:  # committed meanwhile
+                return False
+            remove_attempt(ctx, ds, name)
             gone = True
         if gone:
             fsys.delete(spark, f"{ctx.started_dir}/{name}.parquet")
         return gone
 
     deleted = fsys.each(remove, left) if not dry_run else [False] * len(left)
-    out = [(*r, *size_of.get(r["folder"], (0, 0)), r["folder"] in size_of, gone) for r, gone in zip(left, deleted)]
+    out = [(*r, *size, size[0] > 0, gone) for r, size, gone in zip(left, sizes, deleted)]
     return spark.createDataFrame(out, SWEEP_SCHEMA)
 
 
@@ -92,11 +91,10 @@ def partition_counts(ctx: Context, dataset_id: str) -> DataFrame:
     if st is None or not st.exists:
         raise DatasetNotFoundError(f"no live dataset {ds}")
     parts = st.partition_by
-    df = read_state(ctx, st, with_file=True)
-    per_file = df.groupBy(*parts, "_file").agg(F.count(F.lit(1)).alias("_n"))
-    return per_file.groupBy(*parts).agg(
-        F.sum("_n").alias("n_rows"), F.count(F.lit(1)).alias("n_files")
-    )
+    rows = visible(ctx, st, positions=True)
+    keys = [F.col(f"`{p}`") for p in parts]
+    per_file = rows.df.groupBy(*keys, rows.file).agg(F.count(F.lit(1)).alias(rows.row))
+    return per_file.groupBy(*keys).agg(F.sum(rows.row).alias("n_rows"), F.count(F.lit(1)).alias("n_files"))
 
 
 def compact_dataset(ctx: Context, dataset_id: str, files: int | None = None) -> dict:
@@ -126,6 +124,6 @@ def compact_dataset(ctx: Context, dataset_id: str, files: int | None = None) ->
     return commit(ctx, CommitPlan(
         dataset_id=ds, commit_id=cid, requested="compact", mode="compact", frame=df, name=st.attrs["name"],
         description=st.attrs["description"], tags=dict(st.attrs["tags"] or {}), partition_by=parts, schema=st.schema,
-        schema_id=st.attrs["schema_id"], inputs=[], data_folder=folder, folder=ctx.commit_dir(ds, folder),
+        schema_id=st.attrs["schema_id"], fields=st.fields, inputs=[], data_folder=folder, folder=ctx.commit_dir(ds, folder),
         fmt=st.attrs["format"] or ctx.format, options={}, state=st, snapshot=st.version,
     ))

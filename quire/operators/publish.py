@@ -26,12 +26,13 @@ from quire.errors import (
     DatasetExistsError, DatasetNotFoundError, PublishError, QuireError, RegistrationError, SchemaMismatchError,
 )
 from quire.functions import checks
+from quire.functions.fields import Fields
 from quire.functions.schemas import (
     as_nullable, blocking, canonical, ensure_schema, lookup_schema, schema_id_of, widens,
 )
 from quire.sources import filesystem as fsys
-from quire.sources.catalogue_log import STARTED, dataset_log, encode, entry_path
-from quire.sources.datasets import ZONE, DatasetState, dataset_state, read_state
+from quire.sources.catalogue_log import STARTED, dataset_log, encode, entry_path, note_version
+from quire.sources.datasets import ZONE, DatasetState, _unused, dataset_state, read_state
 
 log = logging.getLogger(__name__)
 
@@ -52,6 +53,7 @@ class CommitPlan:
     partition_by: list[str]
     schema: StructType
     schema_id: str
+    fields: Fields
     inputs: list[str]
     data_folder: str  # <commit>.<attempt>
     folder: str
@@ -60,7 +62,11 @@ class CommitPlan:
     state: DatasetState | None  # as of planning, and then as last looked at
     replace_where: str | None = None
     partitions_where: str | None = None  # a replaced slice given by partition columns
-    replaces_partitions: bool = False
+    hide: Callable[[Context, "CommitPlan"], int] | None = None  # hides rows of the state as it is now; how many
+    replaced: str | None = None  # folder of what ``hide`` wrote, and its number of rows
+    hidden: str | None = None
+    n_hiding: int | None = None
+    after_write: Callable[[Context, "CommitPlan"], str | None] | None = None  # a problem with what was written
     create: bool = False
     skip_empty: bool = False
     metrics: list[Column] = field(default_factory=list)
@@ -272,6 +278,11 @@ def prepare(
         sid = sid or schema_id_of(schema)
     except SchemaMismatchError as e:
         return failure(e, ds, cid)
+    if effective in ("append", "replace"):
+        fields = state.fields.extended(schema)
+    else:
+        known = state is not None and state.attrs["schema_json"] is not None
+        fields = state.fields.renewed(state.schema, schema) if known else Fields().extended(schema)
 
     folder = _folder_name(cid)
     return CommitPlan(
@@ -280,12 +291,12 @@ def prepare(
         tags=checks.normalise_tags(tags)
         if tags is not None or state is None
         else dict(state.attrs.get("tags") or {}),
-        partition_by=parts, schema=schema, schema_id=sid,
+        partition_by=parts, schema=schema, schema_id=sid, fields=fields,
         inputs=list(inputs) if inputs is not None else inputs_of(ctx, df),
         data_folder=folder, folder=ctx.commit_dir(ds, folder),
         # commits of one dataset share its format; a reset may choose anew
         fmt=(state.attrs.get("format") or ctx.format) if effective in ("append", "replace") else ctx.format,
-        options=opts, state=state, create=create, replaces_partitions=effective == "replace",
+        options=opts, state=state, create=create, hide=_replaced_values if effective == "replace" else None,
     )
 
 
@@ -293,15 +304,18 @@ def _marker(ctx: Context, plan: CommitPlan) -> str:
     return f"{ctx.started_dir}/{plan.data_folder}.parquet"
 
 
+def remove_attempt(ctx: Context, dataset_id: str, folder: str) -> None:
+    """Removes what one attempt wrote. Folders above go only if nothing is left in them."""
+    for d in ctx.attempt_dirs(dataset_id, folder):
+        fsys.delete(ctx.spark, d)
+    for above in ctx.emptied_dirs(dataset_id):
+        fsys.delete_if_empty(ctx.spark, above)
+
+
 def undo(ctx: Context, plan: CommitPlan) -> None:
-    """Removes what this attempt wrote: its data, its replaced values, its mark. Folders
-    above go only if nothing is left in them."""
-    spark = ctx.spark
-    fsys.delete(spark, plan.folder)
-    fsys.delete(spark, f"{ctx.replaced_dir(plan.dataset_id)}/commit_id={plan.data_folder}")
-    for above in (ctx.replaced_dir(plan.dataset_id), ctx.processed_dir(plan.dataset_id), ctx.dataset_root(plan.dataset_id)):
-        fsys.delete_if_empty(spark, above)
-    fsys.delete(spark, _marker(ctx, plan))
+    """Removes what this attempt wrote, and its mark."""
+    remove_attempt(ctx, plan.dataset_id, plan.data_folder)
+    fsys.delete(ctx.spark, _marker(ctx, plan))
 
 
 def rollback(ctx: Context, plan: CommitPlan, err: QuireError) -> dict:
@@ -324,6 +338,7 @@ def write_commit(ctx: Context, plan: CommitPlan) -> dict | None:
         fsys.create_new(ctx.spark, _marker(ctx, plan), encode([mark], STARTED))
         obs = Observation(f"quire-{plan.data_folder}")
         frame = plan.frame.observe(obs, F.count(F.lit(1)).alias("n_rows"), *plan.metrics)
+        frame = frame.select(*plan.fields.to_files(frame.schema))
         writer = frame.write.format(plan.fmt).mode("errorifexists").options(**ZONE, **plan.options)
         if plan.partition_by:
             writer = writer.partitionBy(*plan.partition_by)
@@ -339,33 +354,47 @@ def write_commit(ctx: Context, plan: CommitPlan) -> dict | None:
             problem = check(values)
             if problem:
                 return rollback(ctx, plan, PublishError(problem, plan.commit_id))
+        if plan.after_write and (problem := plan.after_write(ctx, plan)):
+            return rollback(ctx, plan, PublishError(problem, plan.commit_id))
     except Exception as e:  # noqa: BLE001 - nothing may stay behind unregistered
         return rollback(ctx, plan, PublishError(f"check after write failed: {_first_line(e)}", plan.commit_id))
     return None
 
 
+def written_rows(ctx: Context, plan: CommitPlan) -> DataFrame:
+    """What the attempt wrote, under the columns' names."""
+    df = ctx.spark.read.format(plan.fmt).schema(plan.fields.stored_schema(plan.schema)).options(**ZONE).load(plan.folder)
+    return df.select(*plan.fields.from_files(plan.schema))
+
+
 def _replaced_values(ctx: Context, plan: CommitPlan) -> int:
     """Writes the partition values that the commit replaces, as typed columns of a small
     table, and returns how many live rows they hold now. Only partition columns are scanned."""
-    parts = [F.col(f"`{p}`") for p in plan.partition_by]
-    old = read_state(ctx, plan.state).select(*parts).groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
-    own = (
-        ctx.spark.read.format(plan.fmt).schema(plan.schema).options(**ZONE).load(plan.folder)
-        .select(*parts).distinct().withColumn("_own", F.lit(True))
-    )
+    names = plan.partition_by
+    taken = {n.lower() for n in names}
+    rows, mine, n = (_unused(x, taken) for x in ("_n", "_own", "n"))
+    parts = [F.col(f"`{p}`") for p in names]
+    old = read_state(ctx, plan.state).select(*parts).groupBy(*parts).agg(F.count(F.lit(1)).alias(rows))
+    own = written_rows(ctx, plan).select(*parts).distinct().withColumn(mine, F.lit(True))
     same = F.lit(True)
-    for p in plan.partition_by:
+    for p in names:
         same = same & F.col(f"o.`{p}`").eqNullSafe(F.col(f"w.`{p}`"))
     both = old.alias("o").join(own.alias("w"), same, "full_outer")
-    both = both.select(*[F.coalesce(F.col(f"o.`{p}`"), F.col(f"w.`{p}`")).alias(p) for p in plan.partition_by], "_n", "_own")
-    hit = F.coalesce(F.col("_own"), F.lit(False))
+    both = both.select(*[F.coalesce(F.col(f"o.`{p}`"), F.col(f"w.`{p}`")).alias(p) for p in names], rows, mine)
+    hit = F.coalesce(F.col(mine), F.lit(False))
     if plan.partitions_where:
         hit = hit | F.coalesce(F.expr(plan.partitions_where), F.lit(False))
     obs = Observation(f"replaced-{uuid.uuid4().hex}")
-    gone = both.filter(hit).observe(obs, F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
+    gone = both.filter(hit).observe(obs, F.coalesce(F.sum(rows), F.lit(0)).alias(n), F.count(F.lit(1)).alias(mine))
     target = f"{ctx.replaced_dir(plan.dataset_id)}/commit_id={plan.data_folder}"
     gone.select(*parts).write.mode("overwrite").options(**ZONE).parquet(target)
-    return int(obs.get["n"])
+    plan.replaced, plan.n_hiding = plan.data_folder, int(obs.get[mine])
+    return int(obs.get[n])
+
+
+def _count_where(ctx: Context, plan: CommitPlan) -> int:
+    """Live rows that match the predicate now."""
+    return read_state(ctx, plan.state).filter(F.coalesce(F.expr(plan.replace_where), F.lit(False))).count()
 
 
 def _entry(ctx: Context, plan: CommitPlan, n_removed: int) -> dict:
@@ -373,7 +402,7 @@ def _entry(ctx: Context, plan: CommitPlan, n_removed: int) -> dict:
     st, now = plan.state, ctx.now()
     version = (st.version if st else 0) + 1
     carried = []
-    if plan.mode in ("append", "replace"):
+    if plan.mode in ("append", "replace", "merge"):
         reset, n_live, total = st.reset_version, st.n_live + 1, st.total_rows
         total = None if total is None else total - n_removed + plan.n_rows
     elif plan.mode == "compact":
@@ -387,7 +416,8 @@ def _entry(ctx: Context, plan: CommitPlan, n_removed: int) -> dict:
         "dataset_id": plan.dataset_id, "version": version, "reset_version": reset, "carried": carried,
         "commit_id": plan.commit_id, "data_folder": plan.data_folder, "mode": plan.mode, "committed_at": now,
         "created_at": now if fresh else st.created_at, "n_rows": plan.n_rows, "total_rows": total, "n_live": n_live,
-        "replaced": plan.data_folder if plan.replaces_partitions else None, "replace_where": plan.replace_where,
+        "replaced": plan.replaced, "n_replaced": plan.n_hiding if plan.replaced else None, "replace_where": plan.replace_where,
+        "hidden": plan.hidden, "n_hidden": plan.n_hiding if plan.hidden else None, "fields": plan.fields.text(),
         "replace_zone": ctx.spark.conf.get("spark.sql.session.timeZone") if plan.replace_where else None,
         "name": plan.name, "description": plan.description, "folder": ctx.dataset_root(plan.dataset_id),
         "format": plan.fmt, "partition_by": plan.partition_by, "tags": plan.tags, "schema_id": plan.schema_id,
@@ -395,15 +425,38 @@ def _entry(ctx: Context, plan: CommitPlan, n_removed: int) -> dict:
     }
 
 
+_CHANGES = ("append", "replace", "merge", "compact")  # commits that build on what is there
+
+
+def _join_created(plan: CommitPlan, st: DatasetState) -> dict | None:
+    """An append that meant to create its dataset, which came to life meanwhile, becomes an append to
+    it, if what it wrote has the dataset's columns and layout."""
+    old = {f.name: f.dataType for f in st.schema.fields}
+    same = all(
+        f.name in old and canonical(old[f.name]) == canonical(f.dataType)
+        and (plan.fields.ids[f.name], plan.fields.stored[f.name]) == (st.fields.ids[f.name], st.fields.stored[f.name])
+        for f in plan.schema.fields
+    )
+    if not same or plan.partition_by != st.partition_by or plan.fmt != st.format:
+        return failure(SchemaMismatchError("another writer created the dataset with another schema or layout meanwhile"), plan.dataset_id, plan.commit_id)
+    plan.mode, plan.schema, plan.schema_id, plan.fields = "append", st.schema, st.attrs["schema_id"], st.fields
+    return None
+
+
 def _still_valid(ctx: Context, plan: CommitPlan, base: DatasetState | None) -> dict | None:
     """The mode's rule against the state as it is now; an outcome when it no longer holds."""
     st = plan.state
+    since = dataset_log(ctx, plan.dataset_id).filter(F.col("version") > (base.version if base else 0))
+    if not since.filter(F.array_contains("fenced", plan.data_folder)).isEmpty():
+        return failure(PublishError("the attempt was swept as unfinished while it was at work", plan.commit_id), plan.dataset_id, plan.commit_id)
     if prior := prior_outcome(ctx, plan.dataset_id, plan.commit_id, plan.requested):
         return prior
-    if refused := _refusal(plan.mode if plan.mode in ("append", "replace", "compact") else plan.requested, plan.dataset_id, plan.commit_id, st, False):
+    if refused := _refusal(plan.mode if plan.mode in _CHANGES else plan.requested, plan.dataset_id, plan.commit_id, st, plan.mode == "overwrite"):
         return refused
-    if plan.mode in ("append", "replace", "compact"):
-        kept = ("schema_json", "partition_by", "format")
+    if plan.mode == "overwrite" and plan.requested == "append" and st.exists:
+        return _join_created(plan, st)
+    if plan.mode in _CHANGES and base is not None:
+        kept = ("schema_json", "partition_by", "format", "fields")
         if any(st.attrs[k] != base.attrs[k] for k in kept):
             return failure(SchemaMismatchError("the dataset's schema or layout changed while this commit was written"), plan.dataset_id, plan.commit_id)
     if plan.mode == "compact":
@@ -420,25 +473,63 @@ def register(ctx: Context, plan: CommitPlan) -> dict:
         ctx.run_hook("register", plans=[plan])
         ensure_schema(ctx, plan.schema, plan.schema_id)
         for _ in range(_TRIES):
-            n_removed = 0
-            if plan.replaces_partitions:
-                n_removed = _replaced_values(ctx, plan)
-            elif plan.replace_where:
-                n_removed = read_state(ctx, plan.state).filter(F.coalesce(F.expr(plan.replace_where), F.lit(False))).count()
+            n_removed = plan.hide(ctx, plan) if plan.hide else 0
             row = _entry(ctx, plan, n_removed)
             if fsys.create_new(ctx.spark, entry_path(ctx, plan.dataset_id, row["version"]), encode([row])):
                 fsys.delete(ctx.spark, _marker(ctx, plan))
+                note_version(ctx, plan.dataset_id, row["version"])
                 return success(plan, row["version"])
             plan.state = dataset_state(ctx, plan.dataset_id)
             if outcome := _still_valid(ctx, plan, base):
                 undo(ctx, plan)
                 return outcome
+            if plan.mode in _CHANGES and (base is None or not base.exists):  # it has joined what another created
+                base = plan.state
         raise QuireError(f"no free version after {_TRIES} tries")
     except Exception as e:  # noqa: BLE001
         text = msg.REGISTER_FAILED.format(correlation_id=plan.commit_id) + f": {_first_line(e)}"
         return rollback(ctx, plan, RegistrationError(text, plan.commit_id))
 
 
+def change_entry(ctx: Context, dataset_id: str, mode: str, change: Callable[[DatasetState | None], dict | None]) -> dict | None:
+    """A commit without data: ``change`` gets the state and gives the fields that differ from the last
+    commit's, or None for no commit. Made under the next free number; where another commit takes
+    it, ``change`` is asked again."""
+    for _ in range(_TRIES):
+        st = dataset_state(ctx, dataset_id)
+        differs = change(st)
+        if differs is None:
+            return None
+        version, now = (st.version if st else 0) + 1, ctx.now()
+        row = {
+            "dataset_id": dataset_id, "version": version, "commit_id": str(uuid.uuid4()), "mode": mode, "committed_at": now, "n_rows": 0,
+            "inputs": [], "folder": ctx.dataset_root(dataset_id),
+        }
+        if st is not None:
+            row |= {**st.attrs, "reset_version": st.reset_version, "created_at": st.created_at, "total_rows": st.total_rows, "n_live": st.n_live}
+        if st is None or not st.exists:  # stays without data
+            row |= {"mode": "delete", "reset_version": version, "total_rows": 0, "n_live": 0, "created_at": st.created_at if st else now}
+        row |= differs
+        if fsys.create_new(ctx.spark, entry_path(ctx, dataset_id, version), encode([row])):
+            note_version(ctx, dataset_id, version)
+            return row
+    raise QuireError(f"no free version after {_TRIES} tries")
+
+
+def fence(ctx: Context, dataset_id: str, folders: list[str]) -> set[str]:
+    """Keeps unfinished attempts from committing: each commit takes the next number of the log, and an attempt
+    that finds its number taken looks for its own name here. Those that have committed already
+    are left out of the answer."""
+    def change(_st) -> dict | None:
+        done = {r[0] for r in dataset_log(ctx, dataset_id).filter(F.col("data_folder").isin(folders)).select("data_folder").collect()}
+        left[:] = [f for f in folders if f not in done]
+        return {"fenced": left} if left else None
+
+    left: list[str] = []
+    change_entry(ctx, dataset_id, "fence", change)
+    return set(left)
+
+
 def commit(ctx: Context, plan: CommitPlan) -> dict:
     failed = write_commit(ctx, plan)
     if failed is not None:
@@ -572,11 +663,11 @@ def publish_many(ctx: Context, specs: Sequence[dict], parallelism: int = 4) -> D
 _UNSTABLE = re.compile(r"current_(?:timestamp|date|time)\(|localtimestamp\(|\bnow\(|scalar-subquery#|exists#|\blist#", re.IGNORECASE)
 
 
-def _check_predicate(df: DataFrame, where: str) -> list[str]:
+def referenced(df: DataFrame, where: str) -> list[str]:
     """Columns of a predicate that means the same at every read; others are refused."""
     plan = df.filter(F.expr(where))._jdf.queryExecution().analyzed()
-    if not plan.deterministic() or _UNSTABLE.search(plan.toString()):
-        raise ValueError(f"a replaced slice must not depend on time, chance or other tables: {where!r}")
+    if not plan.deterministic() or _UNSTABLE.search(plan.expressions().apply(0).toString()):
+        raise ValueError(f"a predicate must not depend on time, chance or other tables: {where!r}")
     refs = plan.expressions().apply(0).references().toSeq()
     return [refs.apply(i).name() for i in range(refs.size())]
 
@@ -612,7 +703,7 @@ def replace_partition(ctx: Context, df: DataFrame, dataset_id, where: str, commi
             raise SchemaMismatchError(f"partition columns missing from the frame: {missing}")
     except SchemaMismatchError as e:
         return failure(e, ds, cid)
-    used = _check_predicate(ctx.spark.createDataFrame([], state.schema), where)
+    used = referenced(ctx.spark.createDataFrame([], state.schema), where)
     by_partition = bool(used) and set(used) <= set(state.partition_by)
     pred = F.coalesce(F.expr(where), F.lit(False))
     folder = _folder_name(cid)
@@ -621,10 +712,10 @@ def replace_partition(ctx: Context, df: DataFrame, dataset_id, where: str, commi
         frame=guard_partition_values(frame, state.partition_by),
         name=state.attrs["name"], description=state.attrs["description"], tags=dict(state.attrs["tags"] or {}),
         partition_by=state.partition_by, schema=schema,
-        schema_id=state.attrs["schema_id"] if schema == state.schema else schema_id_of(schema),
+        schema_id=state.attrs["schema_id"] if schema == state.schema else schema_id_of(schema), fields=state.fields.extended(schema),
         inputs=inputs_of(ctx, df), data_folder=folder, folder=ctx.commit_dir(ds, folder),
         fmt=state.attrs["format"] or ctx.format, options=opts, state=state,
-        replaces_partitions=by_partition, partitions_where=where if by_partition else None,
+        hide=_replaced_values if by_partition else _count_where, partitions_where=where if by_partition else None,
         replace_where=None if by_partition else where,
         metrics=[F.sum(F.when(~pred, 1).otherwise(0)).alias("n_outside")],
         checks=[
@@ -639,21 +730,15 @@ def delete_dataset(ctx: Context, dataset_id) -> dict:
     ds = checks.check_dataset_id(dataset_id)
     if ds is None:
         raise TypeError("dataset_id must be a UUID")
-    cid = str(uuid.uuid4())
-    for _ in range(_TRIES):
-        state = dataset_state(ctx, ds)
-        if state is None or not state.exists:
-            return failure(DatasetNotFoundError(f"no live dataset {ds}"), ds, None)
-        a, version = state.attrs, state.version + 1
-        row = {
-            "dataset_id": ds, "version": version, "reset_version": version, "commit_id": cid, "mode": "delete",
-            "committed_at": ctx.now(), "created_at": state.created_at, "n_rows": 0, "total_rows": 0, "n_live": 0,
-            "inputs": [], **{k: a[k] for k in a},
-        }
-        if fsys.create_new(ctx.spark, entry_path(ctx, ds, version), encode([row])):
-            break
-    else:
-        return failure(QuireError(f"no free version after {_TRIES} tries"), ds, cid)
+    def change(st: DatasetState | None) -> dict | None:
+        if st is None or not st.exists:
+            return None
+        return {"reset_version": st.version + 1, "total_rows": 0, "n_live": 0}
+
+    row = change_entry(ctx, ds, "delete", change)
+    if row is None:
+        return failure(DatasetNotFoundError(f"no live dataset {ds}"), ds, None)
+    cid, version = row["commit_id"], row["version"]
     mark = f"{ctx.started_dir}/{cid}.parquet"
     row = {"folder": ctx.dataset_root(ds), "dataset_id": ds, "commit_id": cid, "started_at": ctx.now()}
     fsys.create_new(ctx.spark, mark, encode([row], STARTED))
@@ -669,9 +754,8 @@ def remove_before(ctx: Context, dataset_id: str, version: int) -> bool:
     try:
         rows = dataset_log(ctx, dataset_id).filter((F.col("version") < version) & F.col("data_folder").isNotNull())
         names = [r[0] for r in rows.select("data_folder").toLocalIterator()]
-        fsys.each(lambda n: fsys.delete(spark, ctx.commit_dir(dataset_id, n)), names)
-        fsys.each(lambda n: fsys.delete(spark, f"{ctx.replaced_dir(dataset_id)}/commit_id={n}"), names)
-        for above in (ctx.replaced_dir(dataset_id), ctx.processed_dir(dataset_id), ctx.dataset_root(dataset_id)):
+        fsys.each(lambda n: [fsys.delete(spark, d) for d in ctx.attempt_dirs(dataset_id, n)], names)
+        for above in ctx.emptied_dirs(dataset_id):
             fsys.delete_if_empty(spark, above)
         return not fsys.exists(spark, ctx.dataset_root(dataset_id))
     except Exception as e:  # noqa: BLE001

@@ -9,6 +9,7 @@ rows, for logs that were put together; it is named after its last version.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -38,7 +39,7 @@ LOG_SCHEMA = _struct(
     carried=ArrayType(CARRIED_TYPE),  # of a compaction: earlier commits that stay live
     commit_id=StringType(),
     data_folder=StringType(),
-    mode=StringType(),  # overwrite | append | replace | compact | delete
+    mode=StringType(),  # overwrite | append | replace | merge | compact | delete, without data: alter | expire | fence
     committed_at=TimestampType(),
     created_at=TimestampType(),
     n_rows=LongType(),
@@ -56,6 +57,12 @@ LOG_SCHEMA = _struct(
     schema_id=StringType(),
     schema_json=StringType(),
     inputs=ArrayType(StringType()),
+    n_replaced=LongType(),  # partition values in ``replaced``
+    hidden=StringType(),  # of a merge: folder of the row positions that it hides
+    n_hidden=LongType(),
+    fields=StringType(),  # ids and stored names of the columns
+    fenced=ArrayType(StringType()),  # attempts that may no longer commit
+    expired_before=LongType(),  # versions before this one can no longer be read
 )
 SCHEMA_TABLE = _struct(schema_id=StringType(), schema_json=StringType(), columns=ArrayType(COLUMN_TYPE))
 STARTED = _struct(folder=StringType(), dataset_id=StringType(), commit_id=StringType(), started_at=TimestampType())
@@ -80,8 +87,10 @@ def encode(rows: Sequence[dict], schema: StructType = LOG_SCHEMA) -> bytes:
     return buf.getvalue().to_pybytes()
 
 
-def decode(data: bytes) -> list[dict]:
-    rows = pq.read_table(pa.BufferReader(data)).to_pylist()
+def decode(data: bytes, schema: StructType = LOG_SCHEMA) -> list[dict]:
+    """Rows of a small file; fields that it does not have are null."""
+    absent = dict.fromkeys(schema.fieldNames())
+    rows = [absent | r for r in pq.read_table(pa.BufferReader(data)).to_pylist()]
     for r in rows:
         if r.get("tags") is not None:
             r["tags"] = dict(r["tags"])
@@ -92,16 +101,59 @@ def entry_path(ctx: Context, dataset_id: str, version: int) -> str:
     return f"{ctx.log_of(dataset_id)}/{version:012d}.parquet"
 
 
+_HINT = "_at"  # holds a version that is there; the last one is at or behind it
+_HINT_STEP = 16
+
+
+def note_version(ctx: Context, dataset_id: str, version: int) -> None:
+    """Leaves a hint where the log's end is, now and then. Nothing depends on it but the time of a lookup."""
+    if version % _HINT_STEP == 0:
+        fsys.put_bytes(ctx.spark, f"{ctx.log_of(dataset_id)}/{_HINT}", str(version).encode())
+
+
+def _hinted(ctx: Context, dataset_id: str) -> int:
+    data = fsys.read_bytes_if(ctx.spark, f"{ctx.log_of(dataset_id)}/{_HINT}")
+    return int(data) if data and data.isdigit() else 0
+
+
+def last_version(ctx: Context, dataset_id: str) -> int:
+    """The highest version number of a dataset's log, 0 without one. Numbers follow one another, so from a number
+    known to be there the last is found by doubling and bisection; a log that was put together
+    from elsewhere, which may not have every number, is listed."""
+    there = lambda v: fsys.exists(ctx.spark, entry_path(ctx, dataset_id, v))
+    low = _hinted(ctx, dataset_id)
+    if not low or not there(low):
+        names = fsys.names_in(ctx.spark, ctx.log_of(dataset_id))
+        return int(names[-1].split(".")[0]) if names else 0
+    step = 1
+    while there(low + step):
+        low, step = low + step, step * 2
+    high = low + step  # not there; numbers below it are looked for between
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (mid, high) if there(mid) else (low, mid)
+    return low
+
+
+def entries(ctx: Context, dataset_id: str, versions: Sequence[int]) -> list[dict] | None:
+    """These commits, read one small file each; ``None`` when one has no file of its own."""
+    files = fsys.each(lambda v: fsys.read_bytes_if(ctx.spark, entry_path(ctx, dataset_id, v)), versions)
+    if any(f is None for f in files):
+        return None
+    rows = [decode(f) for f in files]
+    return [r for rs in rows for r in rs] if all(len(rs) == 1 for rs in rows) else None
+
+
 def last_entry(ctx: Context, dataset_id: str) -> dict | None:
-    """The dataset's last commit: one listing of its folder and one small file."""
-    names = fsys.names_in(ctx.spark, ctx.log_of(dataset_id))
-    if not names:
+    """The dataset's last commit: a few existence checks and one small file."""
+    version = last_version(ctx, dataset_id)
+    if not version:
         return None
-    rows = decode(fsys.read_bytes(ctx.spark, f"{ctx.log_of(dataset_id)}/{names[-1]}"))
-    return max(rows, key=lambda r: r["version"])
+    return max(decode(fsys.read_bytes(ctx.spark, entry_path(ctx, dataset_id, version))), key=lambda r: r["version"])
 
 
 _LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_ONE_LISTING = threading.Lock()
 _LISTERS = 64  # tasks that list a log of many folders; Spark's default is one for each folder
 
 
@@ -109,16 +161,18 @@ def _table(ctx: Context, path: str, schema: StructType) -> DataFrame:
     spark = ctx.spark
     if not fsys.exists(spark, path):
         return spark.createDataFrame([], schema)
-    # files are listed here and now, so the setting holds for this listing alone
-    before = spark.conf.get(_LISTING, None)
-    spark.conf.set(_LISTING, str(_LISTERS))
-    try:
-        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_LISTING)
-        else:
-            spark.conf.set(_LISTING, before)
+    # files are listed here and now, so the setting holds for this listing alone; one thread at a time, so that
+    # none takes another's value for the session's
+    with _ONE_LISTING:
+        before = spark.conf.get(_LISTING, None)
+        spark.conf.set(_LISTING, str(_LISTERS))
+        try:
+            return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+        finally:
+            if before is None:
+                spark.conf.unset(_LISTING)
+            else:
+                spark.conf.set(_LISTING, before)
 
 
 def dataset_log(ctx: Context, dataset_id: str) -> DataFrame:

@@ -59,12 +59,12 @@ def delete_if_empty(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def names_in(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder, hidden ones left out; none when there is no such folder."""
+def names_in(spark: SparkSession, path: str, hidden: bool = False) -> list[str]:
+    """Names in a folder, hidden ones left out unless asked for; none when there is no such folder."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(p)) if n[:1] not in "_.")
+    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(p)) if hidden or n[:1] not in "_.")
 
 
 def read_bytes(spark: SparkSession, path: str) -> bytes:
@@ -77,6 +77,47 @@ def read_bytes(spark: SparkSession, path: str) -> bytes:
         stream.close()
 
 
+def read_bytes_if(spark: SparkSession, path: str) -> bytes | None:
+    """A small file whole, or None when it is not there."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    try:
+        return read_bytes(spark, path)
+    except Py4JJavaError:  # gone meanwhile
+        if fs.exists(p):
+            raise
+        return None
+
+
+def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Writes or replaces a small file; readers may meet it half written."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
+def size_of(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """(files, bytes) of the data files below a folder, hidden names left out; None when it is not there."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    n = size = 0
+    todo = [p]
+    while todo:
+        for s in fs.listStatus(todo.pop()):
+            if s.getPath().getName()[:1] in "_.":
+                continue
+            if s.isDirectory():
+                todo.append(s.getPath())
+            else:
+                n, size = n + 1, size + s.getLen()
+    return n, size
+
+
 _NEW_FILE = threading.Lock()
 
 
