@@ -31,12 +31,13 @@ from quire.operators.publish import delete_dataset, publish, publish_many, repla
 from quire.operators.retain import expire_versions
 from quire.sources.changes import read_changes
 from quire.sources.datasets import read_dataset
+from quire.sources.skipping import read_where
 
 __all__ = [
     "Context", "shared_dir",
     "QuireError", "PublishError", "RegistrationError",
     "VersionExpiredError", "DatasetExistsError", "DatasetNotFoundError", "SchemaMismatchError",
-    "publish", "publish_many", "replace_partition", "merge_rows", "delete_dataset", "read_dataset", "read_changes",
+    "publish", "publish_many", "replace_partition", "merge_rows", "delete_dataset", "read_dataset", "read_where", "read_changes",
     "rename_column", "drop_column", "widen_column", "expire_versions",
     "datasets", "commits", "schemas", "lineage", "tags", "history", "search",
     "catalogue_datasets", "register_schema", "conform", "schema_violations",

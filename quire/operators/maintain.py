@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from quire.context import Context
 from quire.errors import DatasetNotFoundError
@@ -97,7 +98,40 @@ def partition_counts(ctx: Context, dataset_id: str) -> DataFrame:
     return per_file.groupBy(*keys).agg(F.sum(rows.row).alias("n_rows"), F.count(F.lit(1)).alias("n_files"))
 
 
-def compact_dataset(ctx: Context, dataset_id: str, files: int | None = None) -> dict:
+_RANKS = 256  # ranges of a column's values in a clustering key
+_TARGET = 128 << 20  # bytes of a file when their number is not given
+
+
+def _number(column: Column, kind: DataType) -> Column:
+    """A number in the order of the column's values; of a string, its first seven bytes."""
+    if isinstance(kind, StringType):
+        head = F.rpad(F.hex(F.encode(F.substring(column, 1, 7), "UTF-8")), 14, "0")
+        return F.conv(F.substring(head, 1, 14), 16, 10).cast("double")
+    if isinstance(kind, DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, TimestampNTZType):
+        return F.unix_micros(F.to_timestamp_ltz(column.cast("string"))).cast("double")
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(column).cast("double")
+    return column.cast("double")
+
+
+def z_order(df: DataFrame, names: list[str]) -> Column:
+    """A key that keeps rows near that are near in all of these columns: the columns' ranks among
+    256 ranges of equal counts, bits interleaved. The ranges' bounds come from one aggregate; nulls come first."""
+    numbers = [_number(F.col(f"`{n}`"), df.schema[n].dataType) for n in names]
+    shares = [i / _RANKS for i in range(1, _RANKS)]
+    bounds = df.agg(*[F.percentile_approx(c, shares, 2000).alias(f"b{i}") for i, c in enumerate(numbers)]).first()
+    key = F.lit(0).cast("long")
+    for j, (c, b) in enumerate(zip(numbers, bounds)):
+        steps = F.array(*[F.lit(float(x)) for x in sorted(set(b or []))]) if b else F.array().cast("array<double>")
+        rank = F.when(c.isNull(), 0).otherwise(F.size(F.filter(steps, lambda x: x <= c))).cast("long")
+        for bit in range(8):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), bit * len(names) + j))
+    return key
+
+
+def compact_dataset(ctx: Context, dataset_id: str, files: int | None = None, cluster_by=None) -> dict:
     """Rewrite the live rows of a dataset as one commit with fewer files; older
     commits stay for reads by version. The commit names the version that it read: rows appended
     meanwhile stay live beside it; any other change meanwhile refuses the compaction.
@@ -106,24 +140,42 @@ def compact_dataset(ctx: Context, dataset_id: str, files: int | None = None) ->
     ``spark.sql.files.maxPartitionBytes``, one output file per split (and
     partition value). ``files=n``: a rebalancing shuffle by the partition columns, which Spark
     splits by measured bytes, so a hot partition value becomes several tasks.
+
+    ``cluster_by``: up to seven columns; rows near in all of them come to lie in the same files (Z-order), so that a
+    filter on any of them meets few files. One range shuffle by the partition columns and the
+    key; ``files`` by default from the size of the data.
     """
     ds = checks.check_dataset_id(dataset_id)
     st = dataset_state(ctx, ds)
     if st is None or not st.exists:
         raise DatasetNotFoundError(f"no live dataset {ds}")
+    if files is not None and (not isinstance(files, int) or files < 1):
+        raise ValueError("files must be a positive int or None")
+    near = [cluster_by] if isinstance(cluster_by, str) else list(cluster_by or [])
+    kinds = {f.name: f.dataType for f in st.schema.fields}
+    plain = (NumericType, StringType, DateType, TimestampType, TimestampNTZType)
+    if bad := [c for c in near if not isinstance(kinds.get(c), plain)]:
+        raise ValueError(f"cannot cluster by {bad}: unknown, or not of numbers, strings, dates or timestamps")
+    if len(near) > 7:
+        raise ValueError("cluster by seven columns at most")
     parts = st.partition_by
     df = read_state(ctx, st)
-    if files is not None:
-        if not isinstance(files, int) or files < 1:
-            raise ValueError("files must be a positive int or None")
-        df = df.hint("rebalance", files, *[F.col(f"`{c}`") for c in parts]) if parts else df.repartition(files)
+    columns = [F.col(f"`{c}`") for c in parts]
+    if near:
+        if files is None:
+            sizes = fsys.each(lambda c: fsys.size_of(ctx.spark, ctx.commit_dir(ds, c.data_folder)) or (0, 0), st.live)
+            files = max(1, sum(b for _, b in sizes) // _TARGET)
+        order = [*columns, z_order(df, near)]
+        df = df.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    elif files is not None:
+        df = df.hint("rebalance", files, *columns) if parts else df.repartition(files)
     elif parts:
-        df = df.sortWithinPartitions(*[F.col(f"`{c}`") for c in parts])
+        df = df.sortWithinPartitions(*columns)
     cid = str(uuid.uuid4())
     folder = _folder_name(cid)
     return commit(ctx, CommitPlan(
         dataset_id=ds, commit_id=cid, requested="compact", mode="compact", frame=df, name=st.attrs["name"],
         description=st.attrs["description"], tags=dict(st.attrs["tags"] or {}), partition_by=parts, schema=st.schema,
         schema_id=st.attrs["schema_id"], fields=st.fields, inputs=[], data_folder=folder, folder=ctx.commit_dir(ds, folder),
-        fmt=st.attrs["format"] or ctx.format, options={}, state=st, snapshot=st.version,
+        fmt=st.attrs["format"] or ctx.format, options={}, state=st, snapshot=st.version, skip_by=st.skip_by,
     ))

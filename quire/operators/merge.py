@@ -110,5 +110,5 @@ def merge_rows(ctx: Context, df: DataFrame, dataset_id, on, delete_where: str |
         name=state.attrs["name"], description=state.attrs["description"], tags=dict(state.attrs["tags"] or {}),
         partition_by=state.partition_by, schema=schema, schema_id=state.attrs["schema_id"], fields=state.fields,
         inputs=inputs_of(ctx, df), data_folder=folder, folder=ctx.commit_dir(ds, folder), fmt="parquet", options=opts, state=state,
-        hide=hide, after_write=one_row_a_key,
+        hide=hide, after_write=one_row_a_key, skip_by=state.skip_by,
     ))

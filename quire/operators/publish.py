@@ -33,6 +33,7 @@ from quire.functions.schemas import (
 from quire.sources import filesystem as fsys
 from quire.sources.catalogue_log import STARTED, dataset_log, encode, entry_path, note_version
 from quire.sources.datasets import ZONE, DatasetState, _unused, dataset_state, read_state
+from quire.sources.skipping import check_skip_by, write_stats
 
 log = logging.getLogger(__name__)
 
@@ -67,6 +68,8 @@ class CommitPlan:
     hidden: str | None = None
     n_hiding: int | None = None
     after_write: Callable[[Context, "CommitPlan"], str | None] | None = None  # a problem with what was written
+    skip_by: list[str] = field(default_factory=list)  # columns to keep statistics of
+    stats: bool = False  # whether they are written
     create: bool = False
     skip_empty: bool = False
     metrics: list[Column] = field(default_factory=list)
@@ -213,6 +216,7 @@ def prepare(
     commit_id=None,
     create: bool = False,
     options: dict | None = None,
+    skip_by=None,
 ) -> CommitPlan | dict:
     """Checks (raised) and the commit plan; an outcome dict when nothing is to
     be written (refused, ignored, replayed)."""
@@ -284,9 +288,14 @@ def prepare(
         known = state is not None and state.attrs["schema_json"] is not None
         fields = state.fields.renewed(state.schema, schema) if known else Fields().extended(schema)
 
+    if skip_by is not None:
+        skips = check_skip_by(skip_by, schema)
+    else:
+        skips = [n for n in (state.skip_by if live else []) if n in schema.fieldNames()]
+
     folder = _folder_name(cid)
     return CommitPlan(
-        dataset_id=ds, commit_id=cid, requested=mode, mode=effective,
+        dataset_id=ds, commit_id=cid, requested=mode, mode=effective, skip_by=skips,
         frame=guard_partition_values(frame, parts), name=name, description=description,
         tags=checks.normalise_tags(tags)
         if tags is not None or state is None
@@ -354,6 +363,9 @@ def write_commit(ctx: Context, plan: CommitPlan) -> dict | None:
             problem = check(values)
             if problem:
                 return rollback(ctx, plan, PublishError(problem, plan.commit_id))
+        if plan.skip_by and plan.fmt == "parquet" and plan.n_rows:
+            write_stats(ctx, plan.dataset_id, plan.data_folder, plan.fields, plan.schema, plan.skip_by, plan.fmt)
+            plan.stats = True
         if plan.after_write and (problem := plan.after_write(ctx, plan)):
             return rollback(ctx, plan, PublishError(problem, plan.commit_id))
     except Exception as e:  # noqa: BLE001 - nothing may stay behind unregistered
@@ -407,7 +419,7 @@ def _entry(ctx: Context, plan: CommitPlan, n_removed: int) -> dict:
         total = None if total is None else total - n_removed + plan.n_rows
     elif plan.mode == "compact":
         later = [c for c in st.live if c.version > plan.snapshot]
-        carried = [{k: getattr(c, k) for k in ("version", "commit_id", "data_folder", "mode")} for c in later]
+        carried = [{k: getattr(c, k) for k in ("version", "commit_id", "data_folder", "mode", "stats")} for c in later]
         reset, n_live, total = version, 1 + len(later), st.total_rows
     else:
         reset, n_live, total = version, 1, plan.n_rows
@@ -418,6 +430,7 @@ def _entry(ctx: Context, plan: CommitPlan, n_removed: int) -> dict:
         "created_at": now if fresh else st.created_at, "n_rows": plan.n_rows, "total_rows": total, "n_live": n_live,
         "replaced": plan.replaced, "n_replaced": plan.n_hiding if plan.replaced else None, "replace_where": plan.replace_where,
         "hidden": plan.hidden, "n_hidden": plan.n_hiding if plan.hidden else None, "fields": plan.fields.text(),
+        "stats": plan.stats, "skip_by": [plan.fields.ids[n] for n in plan.skip_by if n in plan.fields.ids],
         "replace_zone": ctx.spark.conf.get("spark.sql.session.timeZone") if plan.replace_where else None,
         "name": plan.name, "description": plan.description, "folder": ctx.dataset_root(plan.dataset_id),
         "format": plan.fmt, "partition_by": plan.partition_by, "tags": plan.tags, "schema_id": plan.schema_id,
@@ -553,6 +566,7 @@ def publish(
     inputs=None,
     commit_id=None,
     create: bool = False,
+    skip_by=None,
     **options,
 ) -> dict:
     """Publish ``df`` as a commit. Without ``dataset_id`` a new dataset is made.
@@ -562,9 +576,11 @@ def publish(
     ``ignore`` does nothing. An append to a dataset that is not there, or no longer, is
     refused (``DatasetNotFoundError``) unless ``create`` is given. A ``commit_id`` that the
     dataset has already writes nothing and returns the stored outcome, so retries count once.
+    ``skip_by``: columns of which this and later commits keep statistics, for ``read_where``; by
+    default those of the dataset.
     """
     plan = prepare(
-        ctx, df, name, description, schema_id, tags, dataset_id, mode, partition_by, inputs, commit_id, create, options,
+        ctx, df, name, description, schema_id, tags, dataset_id, mode, partition_by, inputs, commit_id, create, options, skip_by,
     )
     return plan if isinstance(plan, dict) else commit(ctx, plan)
 
@@ -713,7 +729,7 @@ def replace_partition(ctx: Context, df: DataFrame, dataset_id, where: str, commi
         name=state.attrs["name"], description=state.attrs["description"], tags=dict(state.attrs["tags"] or {}),
         partition_by=state.partition_by, schema=schema,
         schema_id=state.attrs["schema_id"] if schema == state.schema else schema_id_of(schema), fields=state.fields.extended(schema),
-        inputs=inputs_of(ctx, df), data_folder=folder, folder=ctx.commit_dir(ds, folder),
+        inputs=inputs_of(ctx, df), data_folder=folder, folder=ctx.commit_dir(ds, folder), skip_by=state.skip_by,
         fmt=state.attrs["format"] or ctx.format, options=opts, state=state,
         hide=_replaced_values if by_partition else _count_where, partitions_where=where if by_partition else None,
         replace_where=None if by_partition else where,

@@ -30,7 +30,7 @@ def _struct(**fields) -> StructType:
 
 
 COLUMN_TYPE = _struct(ordinal=IntegerType(), column_name=StringType(), data_type=StringType(), nullable=BooleanType())
-CARRIED_TYPE = _struct(version=LongType(), commit_id=StringType(), data_folder=StringType(), mode=StringType())
+CARRIED_TYPE = _struct(version=LongType(), commit_id=StringType(), data_folder=StringType(), mode=StringType(), stats=BooleanType())
 
 LOG_SCHEMA = _struct(
     dataset_id=StringType(),
@@ -60,6 +60,8 @@ LOG_SCHEMA = _struct(
     n_replaced=LongType(),  # partition values in ``replaced``
     hidden=StringType(),  # of a merge: folder of the row positions that it hides
     n_hidden=LongType(),
+    stats=BooleanType(),  # whether its files have statistics
+    skip_by=ArrayType(IntegerType()),  # ids of the columns that commits keep statistics of
     fields=StringType(),  # ids and stored names of the columns
     fenced=ArrayType(StringType()),  # attempts that may no longer commit
     expired_before=LongType(),  # versions before this one can no longer be read

@@ -18,9 +18,9 @@ from quire.sources.catalogue_log import dataset_log, entries, last_entry
 
 log = logging.getLogger(__name__)
 
-ATTRS = ["name", "description", "schema_id", "schema_json", "folder", "format", "partition_by", "tags", "fields"]
+ATTRS = ["name", "description", "schema_id", "schema_json", "folder", "format", "partition_by", "tags", "fields", "skip_by"]
 _LIVE = [
-    "version", "commit_id", "mode", "data_folder", "replaced", "n_replaced", "replace_where", "replace_zone", "hidden", "n_hidden",
+    "version", "commit_id", "mode", "data_folder", "replaced", "n_replaced", "replace_where", "replace_zone", "hidden", "n_hidden", "stats",
 ]
 #: Partition values are written and read in this zone, whatever the session's.
 ZONE = {"timeZone": "UTC"}
@@ -42,6 +42,7 @@ class LiveCommit:
     replace_zone: str | None = None
     hidden: str | None = None
     n_hidden: int | None = None
+    stats: bool | None = None
 
     @property
     def hides(self) -> bool:
@@ -78,6 +79,12 @@ class DatasetState:
     def format(self) -> str | None:
         return self.attrs["format"]
 
+    @property
+    def skip_by(self) -> list[str]:
+        """Columns that commits keep statistics of, as far as they are still there."""
+        chosen = set(self.attrs.get("skip_by") or [])
+        return [n for n, i in self.fields.ids.items() if i in chosen and n in self.schema.fieldNames()]
+
     @property
     def partition_by(self) -> list[str]:
         return list(self.attrs.get("partition_by") or [])
@@ -135,7 +142,7 @@ def dataset_state(ctx: Context, dataset_id: str, version: int | None = None, as_
         rows = [r.asDict(recursive=True) for r in found.select(*_LIVE, "carried").collect()]
     reset = min(rows, key=lambda r: r["version"])
     st.live = [LiveCommit(**{k: r[k] for k in _LIVE}) for r in rows if r["data_folder"]]
-    st.live += [LiveCommit(c["version"], c["commit_id"], c["mode"], c["data_folder"]) for c in reset["carried"] or []]
+    st.live += [LiveCommit(c["version"], c["commit_id"], c["mode"], c["data_folder"], stats=c.get("stats")) for c in reset["carried"] or []]
     st.live.sort(key=lambda c: c.version)
     return st
 
@@ -167,14 +174,15 @@ class Rows:
     numbers and replaced partition values are broadcast, so rows are not shuffled by them.
     """
 
-    def __init__(self, ctx: Context, st: DatasetState, live: list[LiveCommit], positions: bool = False, **options):
+    def __init__(self, ctx: Context, st: DatasetState, live: list[LiveCommit], positions: bool = False, only: dict[str, list[str]] | None = None, **options):
         self.ctx, self.st, self.live = ctx, st, live
         stored, fmt = st.fields.stored_schema(st.schema), st.format or ctx.format
         taken = {n.lower() for n in (*stored.fieldNames(), *st.schema.fieldNames(), "commit_id")}
         self.file, self.row, self.version = (_unused(n, taken) for n in ("_file", "_row", "_version"))
         self.taken = taken
         spark, opts = ctx.spark, {k: str(v) for k, v in options.items() if v is not None}
-        folders = [ctx.commit_dir(st.dataset_id, c.data_folder) for c in live]
+        folders = [ctx.commit_dir(st.dataset_id, c.data_folder) for c in live if c.data_folder not in (only or {})]
+        folders += [f for c in live for f in (only or {}).get(c.data_folder, [])]  # of some commits only these files
         if fmt == "delta":
             df = None
             for c, f in zip(live, folders):

@@ -7,7 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from quire.scenarios import ORACLE_SQL, QUERIES
+from quire import scenarios, scenarios_rows
+
+QUERIES = scenarios.QUERIES | scenarios_rows.QUERIES
+ORACLE_SQL = scenarios.ORACLE_SQL | scenarios_rows.ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
