@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -291,35 +292,39 @@ class DropoutModel:
     def encode_many(self, texts: list[str], keys: list[int]) -> list[bytes]:
         """Little-endian piece ids of each text. ``keys`` (of the documents) and the words' numbers
         make the segmentations differ."""
-        lists = []
-        for text in texts:
-            odd = SPACE in text or "  " in text or " \n" in text or text[:1] in (" ", "") or text[-1] == " "
-            lists.append(None if odd else text.replace("\n", " \n").split(" "))
-        words = [w for ws in lists if ws for w in ws]
+        odd = [SPACE in t or "  " in t or " \n" in t or t[:1] in (" ", "") or t[-1] == " " for t in texts]
+        plain = pa.array([t for t, o in zip(texts, odd) if not o], pa.string())
+        lists = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+        coded = lists.flatten().dictionary_encode()
+        words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        sizes = np.diff(lists.offsets.to_numpy()).tolist()
         found = self._looked_up(set(words))
-        ids = [found[w][0] for w in words]
+        known = [found[w] for w in words]
+        ids = np.empty(len(known), object)
+        ids[:] = [k[0] for k in known]
+        ids = ids[which]
         if self.below and words:
-            number: dict[str, int] = {}
-            which = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
-            place = np.concatenate([self.places(k, len(ws)) for k, ws in zip(keys, lists) if ws])
-            merges = [found[w][1] for w in number]
-            key = np.fromiter((found[w][2] for w in number), np.uint64, len(number))[which] ^ self._salt(place)
+            own = [k for k, o in zip(keys, odd) if not o]
+            place = np.concatenate([self.places(k, n) for k, n in zip(own, sizes)])
+            merges = [k[1] for k in known]
+            key = np.fromiter((k[2] for k in known), np.uint64, len(known))[which] ^ self._salt(place)
             n = np.fromiter(map(len, merges), np.int64, len(merges)) // 8
             start, merges = (np.cumsum(n) - n)[which], np.frombuffer(b"".join(merges), np.uint64)
             n = n[which]
             at = np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)
-            owner = np.repeat(np.arange(len(words)), n)
+            owner = np.repeat(np.arange(len(which)), n)
             skip = ((key[owner] ^ merges[at]) * np.uint64(_ODD)) >> np.uint64(32) < np.uint64(self.below)
-            other = np.flatnonzero(np.bincount(owner[skip], minlength=len(words))).tolist()
-            for i, x in zip(other, self.segment_many([words[i] for i in other], place[other])):
-                ids[i] = x
-        out, lo = [], 0
-        for text, key, ws in zip(texts, keys, lists):
-            if ws is None:
+            other = np.flatnonzero(np.bincount(owner[skip], minlength=len(which)))
+            if len(other):
+                ids[other] = self.segment_many([words[k] for k in which[other].tolist()], place[other])
+        out, lo, ids, sizes = [], 0, ids.tolist(), iter(sizes)
+        for text, key, o in zip(texts, keys, odd):
+            if o:
                 out.append(self._odd(text, key))
                 continue
-            out.append(b"".join(ids[lo : lo + len(ws)]))
-            lo += len(ws)
+            hi = lo + next(sizes)
+            out.append(b"".join(ids[lo:hi]))
+            lo = hi
         return out
 
     def _looked_up(self, needed: set) -> dict:
