@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,24 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def released(task: Callable) -> Callable:
+    """A task's function that at its end hands back the memory it used: Python workers wait for
+    other tasks, and what they keep is missing to these."""
+
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/quire-llm/{label}-{uuid.uuid4().hex[:12]}"
 

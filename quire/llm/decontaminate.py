@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quire.llm.common import bit_filter, byte_values, hash_words, in_filter, odd_constants, windows, written
+from quire.llm.common import bit_filter, byte_values, hash_words, in_filter, odd_constants, released, windows, written
 
 NGRAM = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -40,6 +40,7 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
 def _items(benchmark: DataFrame) -> DataFrame:
     """item_id, words (hashes), n, and the item's n-grams in order."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = [word_hashes(t) for t in byte_values(batch.column(1))]
@@ -60,6 +61,7 @@ def _passages(docs: DataFrame, bits: np.ndarray, sizes: list[int], margin: int)
     """doc_id, row, first (word number), words, hits: the parts of each document around n-grams
     that the bitmap knows. Parts closer than ``margin`` words are one."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, size = [], 0
@@ -134,6 +136,7 @@ def most(item: np.ndarray, passage: np.ndarray) -> int:
 
 
 def _aligned(pairs: DataFrame, similarity: float) -> DataFrame:
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(5)]

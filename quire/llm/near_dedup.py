@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from quire.llm.common import (
-    bit_filter, byte_values, hash_words, in_filter, mix64, odd_constants, windows, written,
+    bit_filter, byte_values, hash_words, in_filter, mix64, odd_constants, released, windows, written,
 )
 from quire.llm.components import connected_components
 
@@ -89,6 +89,7 @@ def _band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def signatures(docs: DataFrame, bands: int, rows: int = ROWS, seed: int = SEED) -> DataFrame:
     """doc_id, n_shingles, fp (128-bit fingerprint of the set) and the band keys."""
 
+    @released
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), byte_values(batch.column(1))
@@ -116,6 +117,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     bitmap of fixed size, then an exact join."""
     bits = bit_filter(nodes, F.xxhash64(F.col("node").cast("long")))
 
+    @released
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(in_filter(bits, batch.column(2).to_numpy())))
@@ -133,6 +135,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (u, v) with 100 * |intersection| >= percent * |union|, on full sets."""
 
+    @released
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -158,6 +161,7 @@ def _sharable(sets: DataFrame) -> DataFrame:
     and these by part of the hash space. Two sets share no more than the lesser number
     of each part, added up."""
 
+    @released
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
@@ -175,6 +179,7 @@ def _sharable(sets: DataFrame) -> DataFrame:
     # what an id with several sets holds alone cannot be told apart by set: its sets keep all
     alone = alone.join(sets.groupBy("node").agg(F.count("*").alias("k")).filter("k > 1"), "node", "left_anti")
 
+    @released
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [np.frombuffer(v.as_buffer(), np.uint64) & np.uint64(PARTS - 1) for v in batch.column(1)]

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quire.llm.common import batch_rows, byte_values, runs, written
+from quire.llm.common import batch_rows, byte_values, released, runs, written
 
 TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
 _BLOCK = 256  # table rows that are added up together
@@ -73,6 +73,7 @@ def word_table(docs: DataFrame, s: Settings = Settings()) -> np.ndarray:
     """buckets x (dims + 1): context sums, and in the last column the tokens' counts, over
     all texts. Partial tables are added up in a tree, block by block."""
 
+    @released
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = _index_vectors(s)
         sums, counts, part = np.zeros(s.buckets * s.dims), np.zeros(s.buckets), None
@@ -126,6 +127,7 @@ def features(docs: DataFrame, table: np.ndarray, s: Settings) -> DataFrame:
     vectors, weights = word_vectors(table, s)
     shared = docs.sparkSession.sparkContext.broadcast((vectors, weights))  # buckets x dims float32
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, w = shared.value
         for batch in batches:
@@ -229,6 +231,7 @@ def quality_scores(
     y = y.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2).groupBy("doc_id").agg(F.avg("y").alias("y"))
     net = train(x.join(y, "doc_id"), s)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = np.array([np.frombuffer(v.as_buffer(), np.float32) for v in batch.column(1)], np.float64)

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from quire.llm.common import byte_values, mix64, runs_of
+from quire.llm.common import byte_values, mix64, released, runs_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -394,6 +394,7 @@ def encode(
     ignored, whatever their names. An empty table gives an empty result.
     """
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load(model_file, dropout, seed, variants)
         for batch in batches:
@@ -422,6 +423,7 @@ def decode(encoded: DataFrame, model_file: str = MODEL) -> DataFrame:
     schema = encoded.select(*kept).schema.add("text", "string")
     at = kept.index("ids")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load(model_file, 0.0, 0, 1)
         for batch in batches:

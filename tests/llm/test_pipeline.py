@@ -39,7 +39,7 @@ def test_sql(spark, con, name):
 
 
 def test_names():
-    assert sorted(int(q[2:].split("_")[0]) for q in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in registry.QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark):
