@@ -1,57 +1,20 @@
 """Query ``op10_chat_windows`` and its SQL."""
 
-import hashlib
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import functions as F
 
 from quire.llm.chat_windows import BUDGET, HISTORY, chat_windows, read_turns
-from quire.llm.common import WORD, byte_values, table, written
+from quire.llm.common import WORD, table, written
 
 _PROBE = "</s>[INST] ok [/INST]"
-_BLOCK = 256  # windows of a conversation that are joined to a row
-_KINDS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-
-
-def digests(rows: DataFrame) -> DataFrame:
-    """A row for each conversation of ``rows`` (conv_id, window, n, chars, said, loss), which pass in order
-    of windows: no conversation is held as a whole."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, out = None, []
-
-        def closed() -> tuple:
-            return now[0], now[1], now[2].hexdigest(), now[3], now[4].hexdigest(), now[5]
-
-        def batch_of(done: list) -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], [x.split()[0] for x in _KINDS.split(", ")])
-
-        for batch in batches:
-            plain = [batch.column(k).to_pylist() for k in range(4)]
-            for conv, n, chars, size, said, loss in zip(*plain, byte_values(batch.column(4)), byte_values(batch.column(5))):
-                if now is None or now[0] != conv:
-                    if now is not None:
-                        out.append(closed())
-                    now = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                now[1], now[3], now[5] = now[1] + n, now[3] + size, now[5] + chars
-                now[2].update(said)
-                now[4].update(loss)
-            if len(out) > 1000:
-                yield batch_of(out)
-                out = []
-        if now is not None:
-            yield batch_of([*out, closed()])
-
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "window")
-    return rows.select(
-        F.col("conv_id").cast("long"), F.col("n").cast("long"), F.col("chars").cast("long"), F.char_length("loss").cast("long"), "said", "loss"
-    ).mapInArrow(run, _KINDS)
+_BLOCK = 256  # windows of a conversation that are joined before it is put together
 
 
 def op10_chat_windows(spark, sf_dir):
-    """All conversations and one made of control strings, formatted, written and read back."""
+    """All conversations and one made of control strings, formatted, written and read back.
+
+    The digests are of one text for each conversation, and no native function hashes a text in parts: the query, not the
+    operator, puts the said and the target texts of a conversation together in one row, at most Spark's 2 GB a string.
+    """
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -63,14 +26,19 @@ def op10_chat_windows(spark, sf_dir):
         "conv_id", "window", F.size("turns").alias("n"), F.array_join(said, "").alias("said"),
         F.array_join("targets", "").alias("loss"), F.char_length("text").alias("chars"),
     )
+
     def joined(rows, *key):
         both = F.sort_array(F.collect_list(F.struct("window", "said", "loss")))
         rows = rows.groupBy(*key).agg(both.alias("b"), F.sum("n").alias("n"), F.sum("chars").alias("chars"))
         text = lambda f: F.array_join(F.transform("b", lambda x: x[f]), "")
         return rows.select("conv_id", F.col("b")[0]["window"].alias("window"), "n", "chars", text("said").alias("said"), text("loss").alias("loss"))
 
-    rows = joined(part, "conv_id", F.floor(F.col("window") / _BLOCK))
-    return written(digests(rows), "digests", rows=16)
+    rows = joined(joined(part, "conv_id", F.floor(F.col("window") / _BLOCK)), "conv_id")
+    return rows.select(
+        "conv_id", F.col("n").cast("long").alias("n_turns"), F.sha2(F.encode("said", "UTF-8"), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2(F.encode("loss", "UTF-8"), 256).alias("loss_sha256"),
+        F.col("chars").cast("long").alias("formatted_chars"),
+    )
 
 
 QUERIES = {"op10_chat_windows": op10_chat_windows}

@@ -6,7 +6,6 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from quire.llm.chat_windows import chat_windows, escape, read_turns, unescape
-from quire.llm.queries_chat import digests
 
 MARKS = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[TURN]", "[:]", "[/TURN]", "\\", "\\l", "<", "[", "é", "\n", " ok "]
 
@@ -106,15 +105,3 @@ def test_escape(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("e", escape(F.col("t"))).withColumn("u", unescape(F.col("e")))
     for r in df.collect():
         assert r.u == r.t and not any(m in r.e for m in MARKS[:9])
-
-
-def test_digests_hold_no_conversation_as_a_whole(spark):
-    rows = [(c, w, 2, 10 * w, f"said é{c} {w}\n", f"loß{w}") for c in (1, 2, None) for w in range(40)]
-    random.Random(1).shuffle(rows)
-    out = digests(spark.createDataFrame(rows, "conv_id long, window long, n long, chars long, said string, loss string").repartition(3))
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Aggregate" not in plan and "collect_list" not in plan
-    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
-    loss = "".join(f"loß{w}" for w in range(40))
-    assert {tuple(r) for r in out.collect()} == {
-        (c, 80, sha("".join(f"said é{c} {w}\n" for w in range(40))), len(loss), sha(loss), 7800) for c in (1, 2, None)}
