@@ -48,6 +48,7 @@ from quire.plans.lineage import lineage_closure, lineage_edges
 from quire.sources.listing import exists_report
 from quire.sources.storage import PathStorage, session
 from quire.streaming.publish_stream import publish_stream
+from quire.streaming.read_stream import stream_changes
 
 
 class Catalogue:
@@ -80,5 +81,5 @@ class Catalogue:
 
 __all__ += [
     "Catalogue", "PathStorage", "compact_dataset", "partition_counts",
-    "sweep_orphans", "lineage_closure", "lineage_edges", "exists_report", "publish_stream",
+    "sweep_orphans", "lineage_closure", "lineage_edges", "exists_report", "publish_stream", "stream_changes",
 ]

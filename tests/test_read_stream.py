@@ -1,0 +1,84 @@
+"""A dataset as a stream's source: the copy equals the dataset, over restarts and failures."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from quire import compact_dataset, merge_rows, publish, read_dataset, rename_column, replace_partition, stream_changes
+
+KIND = "k long, p string, v string"
+COPY = "0f4b6a0e-51c5-4f53-8a3a-6f6a6d1f9b44"
+
+
+def _rows(df):
+    return Counter(map(tuple, df.collect()))
+
+
+def _frame(spark, rows, kind=KIND):
+    return spark.createDataFrame(rows, kind)
+
+
+def _run(ctx, ds, seen, fail=None, **kw):
+    def sink(df, low, high, batch):
+        out = publish(ctx, df, "copy", "changes", dataset_id=COPY, mode="append", create=True, commit_id=f"batch-{batch}", mergeSchema=True)
+        assert out["accepted"], out
+        seen.append((low, high))
+        if fail and len(seen) == fail:
+            raise RuntimeError("sink lost after its commit")
+
+    q = stream_changes(ctx, ds, f"{ctx.base}/_streams/copy", sink, versions_per_batch=1, **kw)
+    try:
+        q.awaitTermination()
+    except Exception as e:  # noqa: BLE001
+        return e
+    return None
+
+
+def _copied(ctx, names):
+    log = read_dataset(ctx, COPY)
+    sign = F.when(F.col("_change") == "added", 1).otherwise(-1)
+    net = log.groupBy(*names).agg(F.sum(sign).alias("n"))
+    return Counter({tuple(r)[:-1]: r["n"] for r in net.collect() if r["n"]})
+
+
+def test_copy_equals_the_dataset_after_restarts(ctx, spark):
+    ds = publish(ctx, _frame(spark, [(i, "ab"[i % 2], "v") for i in range(6)]), "s", "src", partition_by="p")["dataset_id"]
+    steps = [
+        lambda: publish(ctx, _frame(spark, [(9, "a", "w"), (9, "a", "w")]), "s", "src", dataset_id=ds, mode="append"),
+        lambda: replace_partition(ctx, _frame(spark, [(0, "a", "v"), (2, "a", "new")]), ds, "p = 'a'"),
+        lambda: compact_dataset(ctx, ds),
+        lambda: merge_rows(ctx, _frame(spark, [(1, "b", "m"), (7, "c", "m")]), ds, "k"),
+        lambda: publish(ctx, _frame(spark, [(1, "b", "m"), (70, "c", "o")]), "s", "src", dataset_id=ds, partition_by="p"),
+    ]
+    seen = []
+    for k, step in enumerate(steps):
+        assert step()["accepted"]
+        if k % 2 == 0:
+            assert _run(ctx, ds, seen) is None
+            assert _copied(ctx, ["k", "p", "v"]) == _rows(read_dataset(ctx, ds))
+    assert [b for _, b in seen] == sorted({b for _, b in seen}) and seen[-1][1] == 6
+    assert all(x[1] <= y[0] for x, y in zip(seen, seen[1:]))
+
+
+def test_a_batch_that_failed_comes_again_and_counts_once(ctx, spark):
+    ds = publish(ctx, _frame(spark, [(1, "a", "x")]), "s", "src")["dataset_id"]
+    publish(ctx, _frame(spark, [(2, "a", "y")]), "s", "src", dataset_id=ds, mode="append")
+    seen = []
+    assert _run(ctx, ds, seen, fail=2) is not None
+    assert _run(ctx, ds, seen) is None
+    assert _rows(read_dataset(ctx, COPY).drop("_change")) == _rows(read_dataset(ctx, ds))
+    assert _run(ctx, ds, seen) is None and len(seen) == 3
+
+
+def test_start_later_and_arguments(ctx, spark):
+    ds = publish(ctx, _frame(spark, [(1, "a", "x")]), "s", "src")["dataset_id"]
+    publish(ctx, _frame(spark, [(2, "a", "y")]), "s", "src", dataset_id=ds, mode="append")
+    rename_column(ctx, ds, "v", "w")
+    seen = []
+    assert _run(ctx, ds, seen, start_version=1) is None
+    assert [tuple(r) for r in read_dataset(ctx, COPY).collect()] == [(2, "a", "y", "added")]
+    with pytest.raises(Exception):
+        stream_changes(ctx, COPY[:-1] + "9", "x", print)
+    with pytest.raises(ValueError):
+        stream_changes(ctx, ds, "x", print, start_version=-1)
