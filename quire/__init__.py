@@ -44,6 +44,9 @@ __all__ = [
 ]
 
 from quire.operators.maintain import compact_dataset, partition_counts, sweep_orphans
+from quire.functions.profiles import included_columns, key_columns, profile, profile_commits
+from quire.functions.ranking import ranked_search, write_index
+from quire.plans.column_lineage import column_lineage
 from quire.plans.lineage import lineage_closure, lineage_edges
 from quire.sources.listing import exists_report
 from quire.sources.storage import PathStorage, session
@@ -81,5 +84,6 @@ class Catalogue:
 
 __all__ += [
     "Catalogue", "PathStorage", "compact_dataset", "partition_counts",
-    "sweep_orphans", "lineage_closure", "lineage_edges", "exists_report", "publish_stream", "stream_changes",
+    "sweep_orphans", "ranked_search", "write_index", "profile", "profile_commits", "key_columns",
+    "included_columns", "column_lineage", "lineage_closure", "lineage_edges", "exists_report", "publish_stream", "stream_changes",
 ]

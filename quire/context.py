@@ -42,6 +42,7 @@ class Context:
         <base>/<dataset_id>/Replaced/commit_id=<commit>.<attempt>/...   partition values that it replaces
         <base>/<dataset_id>/Hidden/commit_id=<commit>.<attempt>/...     row positions that it hides
         <base>/<dataset_id>/Stats/commit_id=<commit>.<attempt>/...      statistics of its files
+        <base>/<dataset_id>/Profiles/commit_id=<commit>.<attempt>/...   sketches of its columns
         <base>/_catalogue/log/<dataset_id>/<version>.parquet            commits, numbered
         <base>/_catalogue/schemas/<schema_id>.parquet                   registered schemas
         <base>/_catalogue/started/<attempt>.parquet                     attempts under way
@@ -105,6 +106,9 @@ class Context:
     def stats_dir(self, dataset_id: str) -> str:
         return f"{self.dataset_root(dataset_id)}/Stats"
 
+    def profiles_dir(self, dataset_id: str) -> str:
+        return f"{self.dataset_root(dataset_id)}/Profiles"
+
     def attempt_dirs(self, dataset_id: str, folder: str) -> list[str]:
         """All folders that one attempt may have written."""
         return [f"{d}/commit_id={folder}" for d in self._kinds(dataset_id)]
@@ -114,7 +118,7 @@ class Context:
         return [*self._kinds(dataset_id), self.dataset_root(dataset_id)]
 
     def _kinds(self, dataset_id: str) -> list[str]:
-        return [self.processed_dir(dataset_id), self.replaced_dir(dataset_id), self.hidden_dir(dataset_id), self.stats_dir(dataset_id)]
+        return [self.processed_dir(dataset_id), self.replaced_dir(dataset_id), self.hidden_dir(dataset_id), self.stats_dir(dataset_id), self.profiles_dir(dataset_id)]
 
     def commit_dir(self, dataset_id: str, folder: str) -> str:
         """Where an attempt's data lies; ``folder`` is ``<commit>.<attempt>``."""
