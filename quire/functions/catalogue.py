@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quire.context import Context
 from quire.plans import visibility
-from quire.sources.catalogue_log import read_log, schema_table, dataset_log
+from quire.sources.catalogue_log import dataset_log, latest_log, read_log, schema_table
 
 ATTRS = ["mode", "name", "description", "schema_id", "folder", "format", "partition_by", "tags", "created_at"]
 
@@ -35,7 +35,7 @@ def history(ctx: Context, dataset_id: str | None = None) -> DataFrame:
 
 def datasets(ctx: Context) -> DataFrame:
     """Datasets whose last commit is not a deletion, with the attributes of that commit."""
-    last = visibility.latest(read_log(ctx), ATTRS)
+    last = visibility.latest(latest_log(ctx), ATTRS)
     return last.filter(F.col("mode") != "delete").select(
         "dataset_id", "name", "description", "schema_id", "folder", "format", "partition_by", "tags", "created_at"
     )
@@ -61,8 +61,8 @@ def tags(ctx: Context) -> DataFrame:
 
 def catalogue_datasets(ctx: Context) -> DataFrame:
     """Datasets with row counts from their last commit, which carries the total: one scan of
-    the log and one partial aggregate."""
-    last = visibility.latest(read_log(ctx), [*ATTRS, "total_rows", "n_live", "committed_at"])
+    the last entries and one partial aggregate."""
+    last = visibility.latest(latest_log(ctx), [*ATTRS, "total_rows", "n_live", "committed_at"])
     return last.filter(F.col("mode") != "delete").select(
         "dataset_id", F.col("name").alias("dataset_name"), "description", F.col("total_rows").alias("n_rows"),
         F.col("n_live").alias("n_live_commits"), "created_at", F.col("committed_at").alias("last_commit_at"),

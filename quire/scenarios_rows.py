@@ -8,16 +8,20 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from quire.functions.catalogue import catalogue_datasets
+from quire.functions.profiles import key_columns, profile
+from quire.functions.ranking import ranked_search
 from quire.operators.alter import drop_column, rename_column, widen_column
 from quire.operators.maintain import compact_dataset, sweep_orphans
 from quire.operators.merge import merge_rows
 from quire.operators.publish import publish, replace_partition
 from quire.operators.retain import expire_versions
+from quire.plans.column_lineage import column_lineage
 from quire.scenarios import SEGMENT, _ctx, _ok, _split, _table
 from quire.sources.changes import read_changes
 from quire.sources.datasets import dataset_state, read_dataset
 from quire.sources.skipping import files_matching, read_where
 from quire.sources.storage import PathStorage
+from quire.streaming.read_stream import stream_changes
 
 LATE = "1997-01-01"  # orders from here on come as a second commit
 FEW = 40  # percent of the files that a clustered layout may leave to read
@@ -177,7 +181,79 @@ def path_after_failed_write(spark, sf_dir):
     return store.read(path)
 
 
+def stream_changes_query(spark, sf_dir):
+    """A copy of the orders kept by a stream of their changes, over commits of all kinds and a restart."""
+    ctx = _ctx(spark, "m10")
+    ds, copy = _orders(spark, sf_dir, ctx), str(uuid.uuid4())
+    orders = _table(spark, sf_dir, "orders")
+
+    def sink(changes, _low, _high, batch):
+        _ok(publish(ctx, changes, "copy", "changes of the orders", dataset_id=copy, mode="append", create=True, commit_id=f"batch-{batch}"))
+
+    def follow():
+        q = stream_changes(ctx, ds, f"{ctx.base}/_streams/copy", sink)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+    follow()
+    free = orders.filter("o_orderkey % 3 = 0").withColumn("o_totalprice", F.lit(0.0).cast(orders.schema["o_totalprice"].dataType))
+    _ok(merge_rows(ctx, free, ds, "o_orderkey"))
+    _ok(compact_dataset(ctx, ds))
+    _ok(replace_partition(ctx, orders.filter("o_orderkey % 10 = 1").limit(0), ds, "o_orderkey % 10 = 1"))
+    follow()
+    names = orders.columns
+    sign = F.when(F.col("_change") == "added", 1).otherwise(-1)
+    net = read_dataset(ctx, copy).groupBy(*names).agg(F.sum(sign).alias("n")).filter("n > 0")
+    return net.select(*names, F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int"))).alias("each")).drop("each")
+
+
+def ranked_search_query(spark, sf_dir):
+    """A dataset for each market segment, described by its nations: scores for the words of some nations' names."""
+    ctx = _ctx(spark, "m11")
+    cust, nation = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation")
+    named = cust.filter("c_custkey % 7 = 0").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 nations
+    about = named.groupBy("c_mktsegment").agg(F.concat_ws(" ", F.sort_array(F.collect_list("n_name"))).alias("text"))
+    for r in about.collect():  # a dataset each; there are five segments
+        part = cust.filter(F.col("c_mktsegment") == r["c_mktsegment"]).select("c_custkey", "c_name")
+        _ok(publish(ctx, part, r["c_mktsegment"], r["text"], tags={"kind": ["segment"]}))
+    words = " ".join(r[0] for r in nation.filter("n_nationkey < 4").select("n_name").collect())
+    found = ranked_search(ctx, f"{words} segment custkey")
+    return found.select(F.col("name").alias("segment"), F.round("score", 6).alias("score"))
+
+
+def column_lineage_query(spark, sf_dir):
+    """Where the columns of a joined and aggregated frame come from, with the rows of each source."""
+    ctx = _ctx(spark, "m12")
+    ids = {n: _ok(publish(ctx, _table(spark, sf_dir, n), n, n))["dataset_id"] for n in ("customer", "orders")}
+    cust, orders = (read_dataset(ctx, ids[n]) for n in ("customer", "orders"))
+    frame = cust.join(orders, F.col("c_custkey") == F.col("o_custkey")).groupBy("c_mktsegment").agg(
+        F.sum(F.col("o_totalprice") - F.col("c_acctbal")).alias("net"), F.max("o_orderdate").alias("last"))
+    edges = column_lineage(ctx, frame)
+    sizes = catalogue_datasets(ctx).select(F.col("dataset_id").alias("input_dataset_id"), "dataset_name", "n_rows")
+    return edges.join(sizes, "input_dataset_id").select("column_name", "dataset_name", "input_column", "how", "n_rows")
+
+
+def profile_dataset(spark, sf_dir):
+    """Line items in three commits, profiled from their sketches: counts, whether estimates keep their bounds, keys."""
+    ctx = _ctx(spark, "m13")
+    lines, ds = _table(spark, sf_dir, "lineitem").withColumn("id", F.concat_ws("-", "l_orderkey", "l_linenumber", F.monotonically_increasing_id())), None
+    lines = lines.withColumn("l_tax", F.when(F.col("l_quantity") > 5, F.col("l_tax")))
+    for k in range(3):
+        ds = _ok(publish(ctx, lines.filter(F.col("l_orderkey") % 3 == k), "lineitem", "lines", dataset_id=ds, mode="append" if ds else "overwrite"))["dataset_id"]
+    exact = read_dataset(ctx, ds).agg(*[F.countDistinct(c).alias(c) for c in lines.columns])
+    exact = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in lines.columns])).alias("x")).select("x.*")
+    keys = key_columns(ctx, ds)
+    out = profile(ctx, ds).join(exact, "column_name")
+    near = F.abs(F.col("n_distinct") - F.col("n")) <= F.greatest(0.05 * F.col("n"), F.lit(1))
+    return out.select("column_name", "n_rows", "n_nulls", near.alias("near"), F.col("column_name").isin(keys).alias("is_key"))
+
+
 QUERIES = {
+    "stream_changes": stream_changes_query,
+    "ranked_search": ranked_search_query,
+    "column_lineage": column_lineage_query,
+    "profile_dataset": profile_dataset,
     "merge_rows": merge_rows_query,
     "read_changes": read_changes_query,
     "alter_columns": alter_columns,
@@ -202,7 +278,35 @@ c AS (
   SELECT '1-5', 'removed', c_custkey FROM (FROM v1 EXCEPT ALL FROM v5))
 SELECT versions, kind, count(*) AS n_rows, sum(c_custkey)::BIGINT AS keys FROM c GROUP BY versions, kind"""
 
+_RANKED = r"""
+WITH about AS (SELECT c_mktsegment AS segment, string_agg(n_name, ' ') AS text FROM customer JOIN nation ON c_nationkey = n_nationkey
+               WHERE c_custkey % 7 = 0 GROUP BY c_mktsegment),
+docs AS (SELECT segment, regexp_extract_all(lower(segment || ' ' || text || ' kind segment c_custkey c_name'), '[\p{L}\p{N}]+') AS terms FROM about),
+sizes AS (SELECT count(*) AS n, avg(len(terms)) AS mean FROM docs),
+tf AS (SELECT segment, len(terms) AS length, term, count(*) AS tf FROM (SELECT segment, terms, unnest(terms) AS term FROM docs) GROUP BY ALL),
+words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(string_agg(n_name, ' ') || ' segment custkey'), '[\p{L}\p{N}]+')) AS term
+          FROM nation WHERE n_nationkey < 4),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
+SELECT segment, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))), 6) AS score
+FROM tf JOIN words USING (term) JOIN df USING (term), sizes GROUP BY segment"""
+
 ORACLE_SQL = {
+    "stream_changes": (
+        "SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_totalprice END AS o_totalprice) FROM orders WHERE o_orderkey % 10 <> 1"
+    ),
+    "ranked_search": _RANKED,
+    "column_lineage": (
+        "WITH c AS (SELECT count(*) AS n FROM customer), o AS (SELECT count(*) AS n FROM orders) "
+        "SELECT 'c_mktsegment' AS column_name, 'customer' AS dataset_name, 'c_mktsegment' AS input_column, 'direct' AS how, n AS n_rows FROM c "
+        "UNION ALL SELECT 'net', 'customer', 'c_acctbal', 'derived', n FROM c UNION ALL SELECT 'net', 'orders', 'o_totalprice', 'derived', n FROM o "
+        "UNION ALL SELECT 'last', 'orders', 'o_orderdate', 'derived', n FROM o"
+    ),
+    "profile_dataset": (
+        "SELECT unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', "
+        "'l_returnflag', 'l_linestatus', 'l_shipdate', 'id']) AS column_name, count(*) AS n_rows, "
+        "unnest([0, 0, 0, 0, 0, 0, 0, count(*) FILTER (l_quantity <= 5), 0, 0, 0, 0]) AS n_nulls, TRUE AS near, "
+        "unnest([FALSE, FALSE, FALSE, FALSE, FALSE, FALSE, FALSE, FALSE, FALSE, FALSE, FALSE, TRUE]) AS is_key FROM lineitem"
+    ),
     "merge_rows": (
         "WITH a AS (SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_totalprice END AS o_totalprice) FROM orders "
         "WHERE o_orderkey % 6 <> 0) "
