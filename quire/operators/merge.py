@@ -11,14 +11,14 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quire.context import Context
 from quire.errors import SchemaMismatchError
 from quire.functions import checks
 from quire.operators.publish import (
-    CommitPlan, _folder_name, _refusal, commit, failure, fit_append, guard_partition_values, inputs_of, prior_outcome, referenced,
-    written_rows,
+    CommitPlan, _folder_name, _refusal, commit, failure, fit_append, guard_partition_values, hide_places, inputs_of, prior_outcome,
+    referenced, written_rows,
 )
 from quire.sources.datasets import _unused, dataset_state, visible
 
@@ -96,13 +96,7 @@ def merge_rows(ctx: Context, df: DataFrame, dataset_id, on, delete_where: str |
         mine = mine.select(*[F.col(f"`{k}`").alias(a) for k, a in names.items()])
         same: Column = reduce(lambda a, b: a & b, [F.col(f"`{k}`") == F.col(a) for k, a in names.items()])
         places = old.df.select(*[F.col(f"`{k}`") for k in keys], old.file, old.row).join(mine, same, "left_semi")
-        places = places.select(F.col(old.file).alias("file"), F.col(old.row).alias("row"))
-        obs = Observation(f"hidden-{uuid.uuid4().hex}")
-        target = f"{ctx.hidden_dir(plan.dataset_id)}/commit_id={plan.data_folder}"
-        places = places.hint("rebalance").observe(obs, F.count(F.lit(1)).alias("n"))  # few files, of measured sizes
-        places.write.mode("overwrite").parquet(target)
-        plan.hidden, plan.n_hiding = plan.data_folder, int(obs.get["n"])
-        return plan.n_hiding
+        return hide_places(ctx, plan, places.select(F.col(old.file).alias("file"), F.col(old.row).alias("row")))
 
     folder = _folder_name(cid)
     return commit(ctx, CommitPlan(

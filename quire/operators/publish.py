@@ -32,7 +32,7 @@ from quire.functions.schemas import (
 )
 from quire.sources import filesystem as fsys
 from quire.sources.catalogue_log import STARTED, dataset_log, encode, entry_path, note_version
-from quire.sources.datasets import ZONE, DatasetState, _unused, dataset_state, read_state
+from quire.sources.datasets import BROADCAST_ROWS, ZONE, DatasetState, _unused, dataset_state, read_state, visible
 from quire.sources.skipping import check_skip_by, write_stats
 
 log = logging.getLogger(__name__)
@@ -61,7 +61,8 @@ class CommitPlan:
     fmt: str
     options: dict
     state: DatasetState | None  # as of planning, and then as last looked at
-    replace_where: str | None = None
+    where: str | None = None  # a replaced slice given by other columns
+    replace_where: str | None = None  # it, where it is stored as it is
     partitions_where: str | None = None  # a replaced slice given by partition columns
     hide: Callable[[Context, "CommitPlan"], int] | None = None  # hides rows of the state as it is now; how many
     replaced: str | None = None  # folder of what ``hide`` wrote, and its number of rows
@@ -404,9 +405,30 @@ def _replaced_values(ctx: Context, plan: CommitPlan) -> int:
     return int(obs.get[n])
 
 
-def _count_where(ctx: Context, plan: CommitPlan) -> int:
-    """Live rows that match the predicate now."""
-    return read_state(ctx, plan.state).filter(F.coalesce(F.expr(plan.replace_where), F.lit(False))).count()
+def hide_places(ctx: Context, plan: CommitPlan, places: DataFrame) -> int:
+    """Writes the places (file, row) of rows that the commit hides; returns how many there are."""
+    obs = Observation(f"hidden-{uuid.uuid4().hex}")
+    target = f"{ctx.hidden_dir(plan.dataset_id)}/commit_id={plan.data_folder}"
+    rows = places.hint("rebalance").observe(obs, F.count(F.lit(1)).alias("n"))  # few files, of measured sizes
+    rows.write.mode("overwrite").parquet(target)
+    plan.hidden, plan.n_hiding = plan.data_folder, int(obs.get["n"])
+    return plan.n_hiding
+
+
+def _hide_where(ctx: Context, plan: CommitPlan) -> int:
+    """Hides the live rows that match the predicate now: by their places if they are few, so that reads do not get a filter
+    for each replacement; else by the predicate itself."""
+    hit = F.coalesce(F.expr(plan.where), F.lit(False))
+    plan.hidden = plan.replace_where = None
+    if plan.fmt != "parquet":
+        plan.replace_where = plan.where
+        return read_state(ctx, plan.state).filter(hit).count()
+    old = visible(ctx, plan.state, positions=True)
+    n = hide_places(ctx, plan, old.df.filter(hit).select(F.col(old.file).alias("file"), F.col(old.row).alias("row")))
+    if n > BROADCAST_ROWS:
+        fsys.delete(ctx.spark, f"{ctx.hidden_dir(plan.dataset_id)}/commit_id={plan.data_folder}")
+        plan.hidden, plan.replace_where = None, plan.where
+    return n
 
 
 def _entry(ctx: Context, plan: CommitPlan, n_removed: int) -> dict:
@@ -692,9 +714,9 @@ def replace_partition(ctx: Context, df: DataFrame, dataset_id, where: str, commi
     """Replace the rows matching the SQL predicate ``where`` with ``df``.
 
     Nothing old is rewritten: the new commit holds only ``df``. A predicate on partition
-    columns alone is resolved to the partition values it holds for now, which are stored as typed columns;
-    any other is stored as it is and hides older rows at every read, so it must not depend on time, chance or
-    other tables. Every new row must match ``where``; this is checked in the same pass as the write.
+    columns alone is resolved to the partition values it holds for now, which are stored as typed columns; any other
+    to the places of the rows it holds for. Only where these are very many it is stored as it is and hides older rows at
+    every read. It must not depend on time, chance or other tables. Every new row must match ``where``; this is checked in the same pass as the write.
     """
     checks.check_frame(df)
     ds = checks.check_dataset_id(dataset_id)
@@ -731,8 +753,8 @@ def replace_partition(ctx: Context, df: DataFrame, dataset_id, where: str, commi
         schema_id=state.attrs["schema_id"] if schema == state.schema else schema_id_of(schema), fields=state.fields.extended(schema),
         inputs=inputs_of(ctx, df), data_folder=folder, folder=ctx.commit_dir(ds, folder), skip_by=state.skip_by,
         fmt=state.attrs["format"] or ctx.format, options=opts, state=state,
-        hide=_replaced_values if by_partition else _count_where, partitions_where=where if by_partition else None,
-        replace_where=None if by_partition else where,
+        hide=_replaced_values if by_partition else _hide_where, partitions_where=where if by_partition else None,
+        where=None if by_partition else where,
         metrics=[F.sum(F.when(~pred, 1).otherwise(0)).alias("n_outside")],
         checks=[
             lambda v: f"{v['n_outside']} new rows do not match {where!r}" if (v.get("n_outside") or 0) > 0 else None

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quire import (
     compact_dataset, drop_column, merge_rows, publish, read_dataset, rename_column, replace_partition, widen_column,
 )
-from quire.operators import alter
+from quire.operators import alter, publish as publish_module
 from quire.sources.datasets import dataset_state
 
 
@@ -78,19 +78,23 @@ def test_merge_and_replacement_after_a_rename(ctx, spark, made):
     src = spark.createDataFrame([(4, "merged", 1)], "k int, b string, p int")
     assert merge_rows(ctx, src, made, "k")["accepted"]
     assert replace_partition(ctx, src.withColumn("p", F.lit(2)), made, "p = 2")["accepted"]
-    want = Counter([(i, f"t{i}", i % 3) for i in range(9) if i % 3 != 2 and i != 4] + [(4, "merged", 1), (4, "merged", 2)])
+    assert replace_partition(ctx, src.filter("k = 0"), made, "k = 0")["accepted"]
+    assert rename_column(ctx, made, "k", "key")["accepted"]  # places do not name columns
+    want = Counter([(i, f"t{i}", i % 3) for i in range(9) if i % 3 != 2 and i not in (0, 4)] + [(4, "merged", 1), (4, "merged", 2)])
     assert _rows(read_dataset(ctx, made)) == want
 
 
-def test_refusals(ctx, spark, made):
+def test_refusals(ctx, spark, made, monkeypatch):
     for out in (
         rename_column(ctx, made, "p", "q"), drop_column(ctx, made, "p"), rename_column(ctx, made, "a", "B"), drop_column(ctx, made, "zz"),
         rename_column(ctx, made, "a", "commit_id"), widen_column(ctx, made, "a", "string"), widen_column(ctx, made, "b", "int"),
     ):
         assert out["error_type"] == "SchemaMismatchError", out
     assert drop_column(ctx, made, "a")["accepted"] and not drop_column(ctx, made, "b")["accepted"]
+    monkeypatch.setattr(publish_module, "BROADCAST_ROWS", 0)  # the predicate is stored as it is
     replace_partition(ctx, spark.createDataFrame([("t1", 1)], "b string, p int"), made, "b = 't1'")
     assert "compact" in rename_column(ctx, made, "b", "c")["error"]
+    assert read_dataset(ctx, made).count() == 9
     assert rename_column(ctx, "0f4b6a0e-51c5-4f53-8a3a-6f6a6d1f9b21", "a", "b")["error_type"] == "DatasetNotFoundError"
     with pytest.raises(TypeError):
         drop_column(ctx, "no id", "a")

@@ -169,3 +169,21 @@ def test_any_column_names(ctx, spark):
 def test_reads_after_a_merge_do_not_shuffle_data(ctx, spark, made):
     merge_rows(ctx, _frame(spark, [(1, "b", "new")]), made, "k")
     assert _shuffles_above_scan(read_dataset(ctx, made), "v") == []
+
+
+def test_predicate_replacements_keep_the_plan_small(ctx, spark, monkeypatch):
+    from quire.operators import publish as pub
+
+    df = _frame(spark, [(i, "a", f"v{i}") for i in range(20)])
+    many = publish(ctx, df, "m", "places")["dataset_id"]
+    for k in range(12):
+        assert replace_partition(ctx, _frame(spark, [(k, "b", "new")]), many, f"k = {k}")["accepted"]
+    want = Counter([(i, "b", "new") if i < 12 else (i, "a", f"v{i}") for i in range(20)])
+    got = read_dataset(ctx, many)
+    assert _rows(got) == want and dsmod.dataset_state(ctx, many).total_rows == 20
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    monkeypatch.setattr(pub, "BROADCAST_ROWS", 1)
+    assert replace_partition(ctx, _frame(spark, [(1, "c", "new")]), many, "part = 'c' or k < 5")["accepted"]
+    want = Counter({r: n for r, n in want.items() if r[0] >= 5}) + Counter([(1, "c", "new")])
+    assert _rows(read_dataset(ctx, many)) == want
+    assert dsmod.dataset_state(ctx, many).live[-1].replace_where and dsmod.dataset_state(ctx, many).total_rows == 16
