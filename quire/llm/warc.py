@@ -108,7 +108,9 @@ def write_warc(
     held = p.filter(large).groupBy("sha1").agg(
         F.max(F.struct("page_id", "url")).alias("last"), F.min("page_id").alias("least")
     ).filter("last.page_id > least").select("sha1", F.col("last.page_id").alias("last"), F.col("last.url").alias("last_url"))
-    p = p.join(held, "sha1", "left")
+    # payloads that can be no copies meet nothing, each under a key of its own
+    key = F.when(large, F.col("sha1")).otherwise(F.concat(F.lit("-"), F.coalesce(F.col("page_id").cast("string"), F.col("url"), F.lit(""))))
+    p = p.withColumn("key", key).join(held.withColumnRenamed("sha1", "key"), "key", "left")
     again = large & (F.col("page_id") < F.col("last"))
     p = p.select(
         F.monotonically_increasing_id().alias("number"), "page_id", "url", "html", "sha1",
@@ -172,7 +174,8 @@ _FIELDS = {
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the archives under ``path`` (plain or gzip): its fields as strings,
-    segment, total and block. Archives are parsed file by file as a stream."""
+    segment, total and block. An archive is read whole, 2 GB at most as Spark stores it, and its records are
+    handed on a few megabytes at a time; ``write_warc`` makes one archive a task."""
     schema = ", ".join(f"{c} string" for c in _FIELDS) + ", segment long, total long, block binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +209,7 @@ def reassembled(records: DataFrame) -> DataFrame:
 
     Only segmented records are shuffled, by the origin's identifier. A record with a missing or
     repeated segment, or of another total length than stated, fails the job: an archive is
-    read whole or not at all.
+    read whole or not at all. A record is one row, with 2 GB at most.
     """
     whole = records.filter("segment is null").drop("origin", "segment", "total")
     parts = records.filter("segment is not null")
@@ -216,7 +219,8 @@ def reassembled(records: DataFrame) -> DataFrame:
         F.max(F.when(F.col("segment") == 1, first)).alias("h"),
         F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("s"), F.max("total").alias("total"),
     )
-    block = F.aggregate("s", F.lit(b"").cast("binary"), lambda acc, x: F.concat(acc, x["block"]))
+    # bytes put together in one pass; as strings, which Spark takes as they are
+    block = F.array_join(F.transform("s", lambda x: x["block"].cast("string")), "").cast("binary")
     numbers = F.transform("s", lambda x: x["segment"])
     g = g.withColumn("block", block).withColumn("ok", (numbers == F.sequence(F.lit(1), F.size("s").cast("long")))
                                                 & (F.octet_length("block") == F.col("total")) & F.col("h").isNotNull())
