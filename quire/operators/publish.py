@@ -435,19 +435,20 @@ def _entry(ctx: Context, plan: CommitPlan, n_removed: int) -> dict:
     """The log row of the commit after ``plan.state``."""
     st, now = plan.state, ctx.now()
     version = (st.version if st else 0) + 1
-    carried = []
+    carried, later = [], []
     if plan.mode in ("append", "replace", "merge"):
         reset, n_live, total = st.reset_version, st.n_live + 1, st.total_rows
         total = None if total is None else total - n_removed + plan.n_rows
     elif plan.mode == "compact":
         later = [c for c in st.live if c.version > plan.snapshot]
-        carried = [{k: getattr(c, k) for k in ("version", "commit_id", "data_folder", "mode", "stats")} for c in later]
+        carried = [{k: getattr(c, k) for k in ("version", "commit_id", "data_folder", "mode")} for c in later]
         reset, n_live, total = version, 1 + len(later), st.total_rows
     else:
         reset, n_live, total = version, 1, plan.n_rows
     fresh = st is None or not st.exists
     return {
         "dataset_id": plan.dataset_id, "version": version, "reset_version": reset, "carried": carried,
+        "carried_stats": [c.data_folder for c in later if c.stats],
         "commit_id": plan.commit_id, "data_folder": plan.data_folder, "mode": plan.mode, "committed_at": now,
         "created_at": now if fresh else st.created_at, "n_rows": plan.n_rows, "total_rows": total, "n_live": n_live,
         "replaced": plan.replaced, "n_replaced": plan.n_hiding if plan.replaced else None, "replace_where": plan.replace_where,

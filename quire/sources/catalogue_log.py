@@ -31,7 +31,7 @@ def _struct(**fields) -> StructType:
 
 
 COLUMN_TYPE = _struct(ordinal=IntegerType(), column_name=StringType(), data_type=StringType(), nullable=BooleanType())
-CARRIED_TYPE = _struct(version=LongType(), commit_id=StringType(), data_folder=StringType(), mode=StringType(), stats=BooleanType())
+CARRIED_TYPE = _struct(version=LongType(), commit_id=StringType(), data_folder=StringType(), mode=StringType())
 
 LOG_SCHEMA = _struct(
     dataset_id=StringType(),
@@ -62,6 +62,7 @@ LOG_SCHEMA = _struct(
     hidden=StringType(),  # of a merge: folder of the row positions that it hides
     n_hidden=LongType(),
     stats=BooleanType(),  # whether its files have statistics
+    carried_stats=ArrayType(StringType()),  # folders of carried commits that have them
     skip_by=ArrayType(IntegerType()),  # ids of the columns that commits keep statistics of
     fields=StringType(),  # ids and stored names of the columns
     fenced=ArrayType(StringType()),  # attempts that may no longer commit

@@ -139,10 +139,13 @@ def dataset_state(ctx: Context, dataset_id: str, version: int | None = None, as_
         rows.append(last)
     if rows is None:
         found = dataset_log(ctx, dataset_id).filter(F.col("version").between(first, top))
-        rows = [r.asDict(recursive=True) for r in found.select(*_LIVE, "carried").collect()]
+        rows = [r.asDict(recursive=True) for r in found.select(*_LIVE, "carried", "carried_stats").collect()]
     reset = min(rows, key=lambda r: r["version"])
     st.live = [LiveCommit(**{k: r[k] for k in _LIVE}) for r in rows if r["data_folder"]]
-    st.live += [LiveCommit(c["version"], c["commit_id"], c["mode"], c["data_folder"], stats=c.get("stats")) for c in reset["carried"] or []]
+    known = set(reset["carried_stats"] or [])
+    st.live += [
+        LiveCommit(c["version"], c["commit_id"], c["mode"], c["data_folder"], stats=c["data_folder"] in known) for c in reset["carried"] or []
+    ]
     st.live.sort(key=lambda c: c.version)
     return st
 
