@@ -23,14 +23,17 @@ from quire import (  # noqa: E402
     Context,
     catalogue_datasets,
     compact_dataset,
+    merge_rows,
     publish,
     publish_many,
+    read_changes,
     read_dataset,
+    read_where,
     replace_partition,
     sweep_orphans,
 )
 from quire.sources import filesystem as fsys  # noqa: E402
-from quire.sources.catalogue_log import STARTED, encode, entry_path  # noqa: E402
+from quire.sources.catalogue_log import STARTED, encode, entry_path, last_entry, note_version  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -144,6 +147,16 @@ def main():
         lambda: replace_partition(ctx, slice_, rep, "o_orderstatus = 'F'"), name="w9_replace_partition"
     )
     q["w9_read_after_replacements"] = median_time(lambda: scan_action(read_dataset(ctx, rep)))
+
+    # a merge of one row in a hundred, and reading after ten of them; changes; a read through statistics
+    merged = publish(ctx, orders, "orders", "orders", skip_by=["o_orderkey"])["dataset_id"]
+    few = orders.filter("o_orderkey % 100 = 0")
+    q["s9_merge_rows"] = median_time(lambda: merge_rows(ctx, few, merged, "o_orderkey"), name="s9_merge_rows")
+    q["s9_read_after_merges"] = median_time(lambda: scan_action(read_dataset(ctx, merged)), name="s9_read_after_merges")
+    q["plain_read_orders"] = median_time(lambda: scan_action(orders))
+    q["r3_read_changes"] = median_time(lambda: scan_action(read_changes(ctx, merged, 1)), name="r3_read_changes")
+    q["r2_read_where_key"] = median_time(lambda: read_where(ctx, merged, {"o_orderkey": 7}).count(), name="r2_read_where_key")
+
     q["x2_compact_100_commits"] = median_time(lambda: compact_dataset(ctx, first), runs=1, warmup=0)
 
     # one log entry for each publish, as users make them: append, read and listing as
@@ -168,6 +181,21 @@ def main():
         q[f"w1_read_{n}_entries"] = median_time(lambda: read_dataset(cctx, mine).count())
         q[f"w14_list_catalogue_{n}"] = median_time(lambda: catalogue_datasets(cctx).collect(), name=f"w14_list_catalogue_{n}")
 
+    # a lookup in a log of 10 and of 2000 commits
+    lctx = Context.scratch(spark, "bench-log")
+    for n in (10, 2000):
+        ds = str(uuid.uuid4())
+
+        def entry(v, ds=ds):
+            row = {"dataset_id": ds, "version": v, "reset_version": v, "mode": "overwrite", "commit_id": f"c{v}", "data_folder": f"c{v}.a",
+                   "n_rows": 1, "total_rows": 1, "n_live": 1, "name": "log", "tags": {}}
+            fsys.put_bytes(spark, entry_path(lctx, ds, v), encode([row]))
+
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(entry, range(1, n + 1)))
+        note_version(lctx, ds, n - n % 16)
+        q[f"c1_lookup_{n}_commits"] = median_time(lambda: last_entry(lctx, ds))  # noqa: B023
+
     # W15: sweep of 1000 unfinished attempts (a tenth of them with files)
     sctx = Context.scratch(spark, "bench-sweep")
     publish(sctx, nation, "nation", "nations")
@@ -198,6 +226,7 @@ def main():
             "publish_lineitem": round(q["w1_publish_lineitem"] / q["plain_write_lineitem"], 3),
             "publish_orders_partitioned": round(q["w6_publish_orders_partitioned"] / q["plain_write_orders_partitioned"], 3),
             "read_1_commit": round(q["w1_read_by_id_1_commit"] / q["plain_read_lineitem"], 3),
+            "read_after_merges": round(q["s9_read_after_merges"] / q["plain_read_orders"], 3),
             "read_100_commits": round(q["w3_read_by_id_100_commits"] / q["plain_read_lineitem"], 3),
         },
         "commits_in_w3_dataset": n_commits,
