@@ -242,7 +242,7 @@ def near_duplicates(
     buckets = written(spread.join(sizes, "key"), "buckets")
     sets = written(_sets_of(docs, buckets.select("node").distinct()), "sets", _BATCH)
     # a set with too much that no other candidate has cannot be linked
-    able = _sharable(sets).filter(100 * F.col("shared") >= percent * F.col("size"))
+    able = written(_sharable(sets).filter(100 * F.col("shared") >= percent * F.col("size")), "sizes", _BATCH)
     buckets = buckets.join(able, "node")
     sizes = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = written(buckets.join(sizes, "key"), "able", _BATCH)
@@ -255,9 +255,12 @@ def near_duplicates(
     links = written(_linked(pairs, sets, percent), "links", _BATCH)
     labels = written(connected_components(links), "labels")
     checked, fan = pairs, SMALL
+    # a row for each member, not for each of its buckets: labels are joined to it in every round
+    member = written(large.groupBy("node").agg(F.collect_set("key").alias("keys")), "members")
     while True:
         # members of large buckets that are in another component than most, and led by none yet
-        lab = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        lab = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        lab = lab.select(F.explode("keys").alias("key"), "node", "label")
         counts = lab.groupBy("key", "label").agg(F.count("*").alias("n"))
         main = counts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("m"), F.count("*").alias("k"))
         lab = written(lab.join(main.filter("k > 1").select("key", F.col("m.label").alias("main")), "key"), "open")
@@ -267,7 +270,7 @@ def near_duplicates(
         if new.isEmpty():
             break
         led = led.unionByName(new)
-        lab = lab.drop("main")
+        lab = lab.drop("main").join(able, "node")
         more = _pairs(lab.join(new, ["key", "node"], "left_semi"), lab, percent, label=True)
         more = written(more.join(checked, ["u", "v"], "left_anti"), "pairs")
         found = written(_linked(more, sets, percent), "links", _BATCH)

@@ -101,3 +101,21 @@ def test_connected_components(spark):
     want = components({n: 0 for e in edges for n in e}, edges)
     assert all(want[n] == got.get(n, n) for n in want)
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_labels_meet_each_member_once(docs_of, monkeypatch):
+    """Members of many large buckets are joined with their labels as one row, not as one for each bucket."""
+    from quire.llm import near_dedup
+
+    seen, write = {}, near_dedup.written
+
+    def note(df, label, *rest):
+        return seen.setdefault(label, []).append(out := write(df, label, *rest)) or out
+
+    monkeypatch.setattr(near_dedup, "written", note)
+    rows = copies(seed=3, groups=2, size=40)
+    got = near_duplicates(docs_of(rows), percent=80).collect()
+    members = seen["members"][0]
+    assert 0 < members.count() == members.select("node").distinct().count() <= len(rows)
+    assert members.selectExpr("max(size(keys)) AS n").first()["n"] > 1
+    assert {r.doc_id: r.component_id for r in got} == brute(rows, 80)
