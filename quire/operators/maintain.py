@@ -116,6 +116,19 @@ def _number(column: Column, kind: DataType) -> Column:
     return column.cast("double")
 
 
+def _rank(number: Column, steps: list[float]) -> Column:
+    """How many of the ascending ``steps`` (fewer than 256) are at most ``number``: a binary search for each row."""
+    if not steps:
+        return F.lit(0)
+    rising = F.array(*[F.lit(float(x)) for x in steps])
+
+    def further(at: Column, width: Column) -> Column:
+        # past the end nothing is added; get() is null there
+        return at + F.when(F.get(rising, at + width - 1) <= number, width).otherwise(F.lit(0))
+
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(7, -1, -1)]), F.lit(0), further)
+
+
 def z_order(df: DataFrame, names: list[str]) -> Column:
     """A key that keeps rows near that are near in all of these columns: the columns' ranks among
     256 ranges of equal counts, bits interleaved. The ranges' bounds come from one aggregate; nulls come first."""
@@ -124,8 +137,7 @@ def z_order(df: DataFrame, names: list[str]) -> Column:
     bounds = df.agg(*[F.percentile_approx(c, shares, 2000).alias(f"b{i}") for i, c in enumerate(numbers)]).first()
     key = F.lit(0).cast("long")
     for j, (c, b) in enumerate(zip(numbers, bounds)):
-        steps = F.array(*[F.lit(float(x)) for x in sorted(set(b or []))]) if b else F.array().cast("array<double>")
-        rank = F.when(c.isNull(), 0).otherwise(F.size(F.filter(steps, lambda x: x <= c))).cast("long")
+        rank = F.when(c.isNull(), 0).otherwise(_rank(c, sorted(set(b or [])))).cast("long")
         for bit in range(8):
             key = key.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), bit * len(names) + j))
     return key
@@ -165,8 +177,9 @@ def compact_dataset(ctx: Context, dataset_id: str, files: int | None = None, clu
         if files is None:
             sizes = fsys.each(lambda c: fsys.size_of(ctx.spark, ctx.commit_dir(ds, c.data_folder)) or (0, 0), st.live)
             files = max(1, sum(b for _, b in sizes) // _TARGET)
-        order = [*columns, z_order(df, near)]
-        df = df.repartitionByRange(files, *order).sortWithinPartitions(*order)
+        place = f"_place_{uuid.uuid4().hex}"  # a column, so that the range bounds, the shuffle and the sort share it
+        order = [*columns, F.col(place)]
+        df = df.withColumn(place, z_order(df, near)).repartitionByRange(files, *order).sortWithinPartitions(*order).drop(place)
     elif files is not None:
         df = df.hint("rebalance", files, *columns) if parts else df.repartition(files)
     elif parts:

@@ -124,3 +124,17 @@ def test_arguments(ctx, spark, made):
         read_where(ctx, made, {"nope": 1})
     with pytest.raises(ValueError):
         read_where(ctx, made, {"k": (1, 2, 3)})
+
+
+def test_ranks_by_binary_search(spark):
+    """Eight steps a row, whatever the number of bounds, with the counts of a comparison with each."""
+    from pyspark.sql import functions as F
+    from quire.operators.maintain import _rank
+
+    values = [float("-inf"), -3.5, -0.0, 0.0, 1.0, 1.5, 254.0, 255.0, 1e300, float("inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for n in (0, 1, 2, 7, 128, 254, 255):
+        steps = [i / 2 - 3 for i in range(n)]
+        for r in df.select("x", _rank(F.col("x"), steps).alias("rank")).filter("x is not null").collect():
+            assert r["rank"] == sum(not r["x"] < s for s in steps)  # NaN is the largest
+    assert "filter" not in str(_rank(F.col("x"), [1.0, 2.0]))
