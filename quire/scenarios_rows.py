@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from quire.functions.catalogue import catalogue_datasets
-from quire.functions.profiles import key_columns, profile
+from quire.functions.profiles import distinct_counts, key_columns, profile
 from quire.functions.ranking import ranked_search
 from quire.operators.alter import drop_column, rename_column, widen_column
 from quire.operators.maintain import compact_dataset, sweep_orphans
@@ -241,8 +241,7 @@ def profile_dataset(spark, sf_dir):
     lines = lines.withColumn("l_tax", F.when(F.col("l_quantity") > 5, F.col("l_tax")))
     for k in range(3):
         ds = _ok(publish(ctx, lines.filter(F.col("l_orderkey") % 3 == k), "lineitem", "lines", dataset_id=ds, mode="append" if ds else "overwrite"))["dataset_id"]
-    exact = read_dataset(ctx, ds).agg(*[F.countDistinct(c).alias(c) for c in lines.columns])
-    exact = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in lines.columns])).alias("x")).select("x.*")
+    exact = distinct_counts(ctx, ds)
     keys = key_columns(ctx, ds)
     out = profile(ctx, ds).join(exact, "column_name")
     near = F.abs(F.col("n_distinct") - F.col("n")) <= F.greatest(0.05 * F.col("n"), F.lit(1))
