@@ -24,6 +24,7 @@ from quire.llm.common import batch_rows, byte_values, released, runs, written
 
 TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
 _BLOCK = 256  # table rows that are added up together
+_COUNTED = 4 << 20  # bytes of text between two additions to a task's whole table
 _FAN_IN = 64  # partial tables that one task adds up
 
 
@@ -80,7 +81,7 @@ def word_table(docs: DataFrame, s: Settings = Settings()) -> np.ndarray:
         for batch in batches:
             part = batch.column(1)[0].as_py() if batch.num_rows else part
             texts = byte_values(batch.column(0))
-            for lo, hi in runs(texts, 1 << 20):
+            for lo, hi in runs(texts, _COUNTED):
                 t, n = _tokens(texts[lo:hi], s.buckets)
                 counts += np.bincount(t, minlength=s.buckets)
                 _context_sums(t, np.repeat(np.arange(hi - lo), n), s, places, signs, sums)
@@ -142,8 +143,11 @@ def features(docs: DataFrame, table: np.ndarray, s: Settings) -> DataFrame:
                     weight = w[t][:, None]
                     x = v[t]
                     total = np.add.reduceat(weight, starts, axis=0)
-                    mean = np.add.reduceat(x * weight, starts, axis=0) / total
-                    square = np.add.reduceat(x * x * weight, starts, axis=0) / total
+                    weighted = x * weight
+                    mean = np.add.reduceat(weighted, starts, axis=0) / total
+                    np.multiply(x, x, out=weighted)
+                    weighted *= weight
+                    square = np.add.reduceat(weighted, starts, axis=0) / total
                     out[full, : 2 * s.dims] = np.hstack((mean, np.sqrt(np.maximum(square - mean * mean, 0))))
                     doc = np.repeat(np.arange(hi - lo), n)
                     for gap in (1, 2):

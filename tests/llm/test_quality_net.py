@@ -86,3 +86,14 @@ def test_odd_rows(spark, docs_of, odd_rows):
     none = quality_scores(docs_of(odd_rows), labels.limit(0), s=SMALL).collect()
     assert {(r.score, r.predicted) for r in none} == {(0.5, 0)}
     assert quality_scores(docs_of([]), labels, s=SMALL).collect() == []
+
+
+def test_tables_do_not_hang_on_the_runs(docs_of, monkeypatch):
+    """The whole table is added to once for some megabytes of text; the counts are the same by shorter runs."""
+    from quire.llm import quality_net
+
+    assert quality_net._COUNTED >= 4 << 20
+    df = docs_of([(i, f"one two{i % 7} three, four {i}") for i in range(300)])
+    want = quality_net.word_table(df)
+    monkeypatch.setattr(quality_net, "_COUNTED", 100)
+    assert want[:, -1].sum() > 0 and (quality_net.word_table(df) == want).all()
