@@ -94,3 +94,49 @@ def test_held_out_text_is_better_than_by_words_alone(docs_of):
     got = [r for r in scores(docs_of(made(n=600)), order=3).collect() if r.held_out]
     two = [r for r in scores(docs_of(made(n=600)), order=2).collect() if r.held_out]
     assert sum(r.score for r in got) > 0.8 * sum(r.base_score for r in got) and sum(r.score for r in two) > sum(r.base_score for r in two)
+
+
+def textbook(rows):
+    """Witten-Bell by the recursion, with all bigrams and trigrams of the training documents."""
+    _, _, p1 = base(rows)
+    c = Counter()
+    for i, t in rows:
+        if i is None or zlib.crc32(str(i).encode()) % 5 != 1:
+            w = tokens(t)
+            for n in (2, 3):
+                c.update(tuple(w[k : k + n]) for k in range(len(w) - n + 1))
+    total, kinds = Counter(), Counter()
+    for g, k in c.items():
+        total[g[:-1]] += k
+        kinds[g[:-1]] += 1
+
+    def p(g):
+        if len(g) == 1:
+            return 10 ** p1(g[0])
+        low, head = p(g[1:]), g[:-1]
+        return (c[g] + kinds[head] * low) / (total[head] + kinds[head]) if total[head] else low
+
+    def score(t):
+        w = tokens(t)
+        return sum(math.log10(p(tuple(w[max(0, k - 2) : k + 1]))) for k in range(len(w)))
+
+    return score
+
+
+def test_scores_are_those_of_all_ngrams(docs_of, odd_rows):
+    """Nothing, some and all of the n-grams in the trie: none is dropped."""
+    rows = made() + odd_rows
+    want = textbook(rows)
+    for setting, most in (({"entries": 1, "words": 1}, 1e-9), ({"entries": 60, "words": 30}, 0.05), ({}, 0.05)):
+        got = sorted((str(r.doc_id), round(r.n_tokens), r.score) for r in scores(docs_of(rows), **setting).collect())
+        exact = sorted((str(i), len(tokens(t)), want(t)) for i, t in rows)
+        assert [g[:2] for g in got] == [e[:2] for e in exact]
+        assert all(abs(g[2] - e[2]) <= 1e-9 + most * abs(e[2]) for g, e in zip(got, exact)), setting
+
+
+def test_a_rare_continuation_counts(docs_of):
+    """A pair beyond the table raises the score: its words are as frequent as the others."""
+    rows = [(i, f"a{k} b{k}") for k in range(40) for i in (10 * k, 10 * k + 2)]
+    pair = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 5 == 1)
+    got = [r.score for r in scores(docs_of(rows + [(pair, "a1 b1"), (pair, "a1 b2")]), entries=4, words=4).collect() if r.doc_id == pair]
+    assert max(got) > min(got) + 0.5
