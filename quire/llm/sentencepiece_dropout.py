@@ -159,19 +159,34 @@ class DropoutModel:
     def segment_many(self, words: list[str], variant) -> list[bytes]:
         """``segment`` for many words, with one variant or one for each: short words advance
         together, a merge of each at a time."""
-        out: list = [None] * len(words)
         variant = np.broadcast_to(np.asarray(variant, np.uint64), len(words))
-        for width, rows in self._by_width(words):
-            odd = np.ones(len(rows), bool)
-            if width:
-                texts = [self._text(words[i]) for i in rows]
-                key = np.fromiter(map(xxhash.xxh64_intdigest, texts), np.uint64, len(rows)) ^ self._salt(variant[rows])
-                ids, counts, odd, _ = self._together(texts, key, width)
+        key = np.fromiter((xxhash.xxh64_intdigest(self._text(w)) for w in words), np.uint64, len(words)) ^ self._salt(variant)
+        return self._occurrences(words, np.arange(len(words)), key)
+
+    def _occurrences(self, words: list[str], which: np.ndarray, key: np.ndarray) -> list[bytes]:
+        """Pieces of occurrences of words: the number of each one's word, and its key. What does not hang on the key is
+        found once for a word."""
+        out: list = [None] * len(which)
+        size = np.zeros(len(words), np.int64)
+        used = np.unique(which)
+        size[used] = [len(words[k]) + (words[k][:1] != "\n") for k in used.tolist()]
+        size = size[which]
+        for least, width in ((0, 8), (9, 16), (17, 32)):
+            index = np.flatnonzero((size >= least) & (size <= width))
+            for lo in range(0, len(index), _ROWS):
+                rows = index[lo : lo + _ROWS]
+                own, of = np.unique(which[rows], return_inverse=True)
+                own = [words[k] for k in own.tolist()]
+                ids, counts, odd, _ = self._together([self._text(w) for w in own], key[rows], width, of)
                 raw, ends = ids.astype(self.dtype).tobytes(), (np.cumsum(counts) * self.dtype.itemsize).tolist()
-                for i, a, b in zip(rows, [0, *ends], ends):
-                    out[i] = self.line_break + raw[a:b] if words[i][:1] == "\n" else raw[a:b]
-            for k in np.flatnonzero(odd).tolist():
-                out[rows[k]] = array(self.code, self.segment(words[rows[k]], int(variant[rows[k]]))).tobytes()
+                head = [self.line_break if w[:1] == "\n" else b"" for w in own]
+                for i, k, o, a, b in zip(rows.tolist(), of.tolist(), odd.tolist(), [0, *ends], ends):
+                    if not o:
+                        out[i] = head[k] + raw[a:b]
+        for i in [i for i, x in enumerate(out) if x is None]:
+            word = words[which[i]]
+            head = self.line_break if word[:1] == "\n" else b""
+            out[i] = head + array(self.code, self._ids(self._long(self._text(word), int(key[i]), self.below))).tobytes()
         return out
 
     def _salt(self, variant: np.ndarray) -> np.ndarray:
@@ -197,8 +212,8 @@ class DropoutModel:
                 out[rows[k]] = (head + ids, np.array(taken, np.int64).tobytes(), xxhash.xxh64_intdigest(texts[k]))
         return out
 
-    def _together(self, texts: list[str], key: np.ndarray | None, width: int) -> tuple:
-        """Pieces of all texts in a row, their number for each text, and which texts have
+    def _together(self, texts: list[str], key: np.ndarray | None, width: int, of: np.ndarray | None = None) -> tuple:
+        """Pieces of all texts (of one for each number in ``of``) in a row, their number for each text, and which texts have
         characters without a piece (their pieces are not valid). Without ``key`` none is skipped. Last,
         then, the merges and their texts."""
         n, none = len(texts), np.int64(_NONE >> 44)
@@ -207,10 +222,12 @@ class DropoutModel:
         real = np.arange(width) < size[:, None]  # a text may hold U+0000, which pads as well
         part = np.where(real, self.id_of_char[points], self.size).astype(np.int64)
         odd = (real & (part == self.size)).any(axis=1)
-        merges = [(np.empty(0, np.int64), np.empty(0, np.int64))]
-        merged = np.full((n, width), -1, np.int64)
+        merged = np.full((n, width), -1, np.int32)
         merged[:, :-1] = self.pairs.find((part[:, :-1] * (self.size + 1) + part[:, 1:]).ravel()).reshape(n, width - 1)
-        rank = np.where(merged >= 0, self.rank_of[merged], none)
+        rank = np.where(merged >= 0, self.rank_of[merged], none).astype(np.int32)  # narrow: the least is looked for each time
+        if of is not None:
+            n, real, part, odd, merged, rank = len(of), real[of], part[of], odd[of], merged[of], rank[of]
+        merges = [(np.empty(0, np.int64), np.empty(0, np.int64))]
         alive, length = real.copy(), np.ones((n, width), np.int64)
         right, left = np.tile(np.arange(1, width + 1), (n, 1)), np.tile(np.arange(-1, width - 1), (n, 1))
         row = np.flatnonzero(~odd)
@@ -226,7 +243,7 @@ class DropoutModel:
         while len(row):
             open_ = rank[row]
             at = open_.argmin(axis=1)
-            best = open_[np.arange(len(row)), at]
+            best = open_[np.arange(len(row)), at].astype(np.int64)
             go = best < none
             row, at, best = row[go], at[go], best[go]
             nxt = right[row, at]
@@ -311,12 +328,16 @@ class DropoutModel:
             n = np.fromiter(map(len, merges), np.int64, len(merges)) // 8
             start, merges = (np.cumsum(n) - n)[which], np.frombuffer(b"".join(merges), np.uint64)
             n = n[which]
-            at = np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)
-            owner = np.repeat(np.arange(len(which)), n)
-            skip = ((key[owner] ^ merges[at]) * np.uint64(_ODD)) >> np.uint64(32) < np.uint64(self.below)
-            other = np.flatnonzero(np.bincount(owner[skip], minlength=len(which)))
+            ends = np.cumsum(n)
+            at = np.repeat(start - (ends - n), n)
+            at += np.arange(len(at))
+            drawn = np.repeat(key, n)
+            drawn ^= merges[at]
+            drawn *= np.uint64(_ODD)
+            skip = np.flatnonzero(drawn < np.uint64(self.below << 32))
+            other = np.unique(np.searchsorted(ends, skip, "right"))
             if len(other):
-                ids[other] = self.segment_many([words[k] for k in which[other].tolist()], place[other])
+                ids[other] = self._occurrences(words, which[other], key[other])
         out, lo, ids, sizes = [], 0, ids.tolist(), iter(sizes)
         for text, key, o in zip(texts, keys, odd):
             if o:
@@ -399,7 +420,7 @@ def encode(
         m = load(model_file, dropout, seed, variants)
         for batch in batches:
             sizes = [len(t) for t in byte_values(batch.column(1))]
-            for lo, hi in runs_of(sizes, 1 << 20):
+            for lo, hi in runs_of(sizes, 2 << 20):
                 part = batch.slice(lo, hi - lo)
                 keys = [0 if k is None else xxhash.xxh32_intdigest(str(k)) for k in part.column(0).to_pylist()]
                 ids = m.encode_many([t or "" for t in part.column(1).to_pylist()], keys)
