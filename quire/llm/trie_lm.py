@@ -266,6 +266,7 @@ def _replies(asked: DataFrame, tokens: int, entries: int, width: int, name: str)
     """For each run what its buckets replied; the frequent n-grams (hash of the context and of the word, count); the hashes
     of common and of frequent contexts, sorted, with the kinds of their followers."""
     replies = written(asked.groupBy("bucket").applyInArrow(_counting(tokens, entries, width), _REPLY), "counts")
+    _forget(asked.sparkSession)
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -426,7 +427,6 @@ def model(docs: DataFrame, table: Table, order: int = ORDER, entries: int = ENTR
 
         with batch_rows(spark, _ROWS):
             replied, grams, kinds = _replies(found.mapInArrow(ask, _ASKED), table.tokens, entries, width, f"replies{n}")
-        _forget(spark)
         found = found.join(replied, "run", "left")
         shared = replace(shared, kinds=[*shared.kinds, kinds])
         at = _place(kinds[0], node)
