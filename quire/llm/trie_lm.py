@@ -32,7 +32,9 @@ import zstandard
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
-from quire.llm.common import batch_rows, byte_values, fresh_path, hash_words, mix64, odd_constants, put_file, released, runs, written
+from quire.llm.common import (
+    batch_rows, byte_values, dealt, hash_words, mix64, odd_constants, put_file, released, runs, shuffles_freed, written,
+)
 from quire.llm.elias_fano import Trie, write_trie
 
 END = b"\x20"  # the end token; no word is a space
@@ -149,11 +151,6 @@ def _gram(head: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix64(head * _PARTS[0] + _low(word, 6) * _PARTS[1])
 
 
-def _forget(spark) -> None:
-    """Has Spark delete the shuffle files of jobs that have ended, which else waits until the driver's memory is short."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def _joined(parts: list, kind=np.int64) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, kind)
 
@@ -265,8 +262,8 @@ def _counting(tokens: int, entries: int, width: int):
 def _replies(asked: DataFrame, tokens: int, entries: int, width: int, name: str) -> tuple[DataFrame, np.ndarray, tuple]:
     """For each run what its buckets replied; the frequent n-grams (hash of the context and of the word, count); the hashes
     of common and of frequent contexts, sorted, with the kinds of their followers."""
-    replies = written(asked.groupBy("bucket").applyInArrow(_counting(tokens, entries, width), _REPLY), "counts")
-    _forget(asked.sparkSession)
+    with shuffles_freed(asked.sparkSession):  # asked n-grams and runs that have met replies
+        replies = written(asked.groupBy("bucket").applyInArrow(_counting(tokens, entries, width), _REPLY), "counts")
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -395,10 +392,7 @@ def _level(key: np.ndarray, c: np.ndarray, above_keys: np.ndarray, above_counts:
 def model(docs: DataFrame, table: Table, order: int = ORDER, entries: int = ENTRIES) -> Model:
     """Counts all n-grams of the training documents and makes the trie of the frequent ones."""
     spark = docs.sparkSession
-    path = fresh_path(spark, "runs")
-    with batch_rows(spark, 4000):
-        _pack(docs).write.option("parquet.block.size", str(16 << 20)).parquet(path)
-    packed = spark.read.schema("n_bytes long, ids array<long>, sizes array<long>, words binary, tokens binary, run long").parquet(path)
+    packed = dealt(_pack(docs), "run", "runs", 4000)
     total = packed.agg(F.sum("n_bytes")).first()[0] or 0
     found = packed.select("run", "ids", "sizes", "words", "tokens")
     hashes = hash_words(list(table.ids))  # by place
@@ -526,8 +520,9 @@ def scores(docs: DataFrame, order: int = ORDER, entries: int = ENTRIES, words: i
         raise ValueError("order must be 2 or 3")
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    table = frequent(written(word_counts(d), "words"), entries, min(words, 1 << _SHIFT - 1))
-    _forget(spark)
+    with shuffles_freed(spark):
+        vocabulary = written(word_counts(d), "words")
+    table = frequent(vocabulary, entries, min(words, 1 << _SHIFT - 1))
     m = model(d, table, order, entries)
     name = put_file(spark, "trie", m.data)
     few = Table({}, table.counts, table.n_trie, table.tokens, table.distinct)
@@ -554,7 +549,7 @@ def scores(docs: DataFrame, order: int = ORDER, entries: int = ENTRIES, words: i
                 )
 
     kind = "doc_id long, n_tokens long, n_known long, base_score double, score double"
-    with batch_rows(spark, _ROWS):
+    with batch_rows(spark, _ROWS), shuffles_freed(spark):
         out = written(m.runs.mapInArrow(score, kind), "scored")
     return out.select(
         "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known",

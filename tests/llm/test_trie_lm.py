@@ -140,3 +140,20 @@ def test_a_rare_continuation_counts(docs_of):
     pair = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 5 == 1)
     got = [r.score for r in scores(docs_of(rows + [(pair, "a1 b1"), (pair, "a1 b2")]), entries=4, words=4).collect() if r.doc_id == pair]
     assert max(got) > min(got) + 0.5
+
+
+def test_runs_stay_where_they_are(spark, docs_of):
+    """Only replies are shuffled for the joins with the runs, and the catalogue keeps nothing of them."""
+    from quire.llm.trie_lm import frequent, model, word_counts
+
+    df, before = docs_of(made()).select("doc_id", "text"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = model(df, frequent(word_counts(df), 60, 30), 3, 60)
+        plan = m.runs._jdf.queryExecution().sparkPlan().toString()
+        whole = m.runs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 2 and whole.count("Exchange hashpartitioning(run") == 2, whole
+    assert not [t.name for t in spark.catalog.listTables("default") if t.name.startswith("quire_runs")]
+    assert sorted(i for r in m.runs.select("ids").collect() for i in r.ids) == [i for i, _ in made()]
