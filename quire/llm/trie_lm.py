@@ -170,7 +170,7 @@ def _pack(docs: DataFrame) -> DataFrame:
                     pa.array([sum(map(len, texts[lo:hi]))], pa.int64()),
                     pa.array([batch.column(0).slice(lo, hi - lo).to_pylist()], pa.list_(pa.int64())),
                     pa.array([list(map(len, lists))], pa.list_(pa.int64())),
-                    pa.array([hash_words(coded.dictionary.to_pylist()).tobytes()], pa.binary()),
+                    pa.array([hash_words(coded.dictionary.to_numpy(zero_copy_only=False).tolist()).tobytes()], pa.binary()),
                     pa.array([_planes(coded.indices.to_numpy())], pa.binary()),
                 ], ["n_bytes", "ids", "sizes", "words", "tokens"])
 
@@ -178,20 +178,40 @@ def _pack(docs: DataFrame) -> DataFrame:
     return packed.withColumn("run", F.monotonically_increasing_id())
 
 
+def _distinct(head: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of two numbers below 2**31, sorted, and for each place which of them it has."""
+    n = len(head)
+    places, bits = n.bit_length(), int(word.max(initial=0)).bit_length()
+    key = head << bits | word
+    if int(key.max(initial=0)).bit_length() + places < 64:  # sorted with their places, faster than places by pairs
+        key = np.sort(key << places | np.arange(n))
+        at, key = key & ((1 << places) - 1), key >> places
+    else:
+        at = np.argsort(key)
+        key = key[at]
+    new = np.ones(n, bool)
+    new[1:] = key[1:] != key[:-1]
+    code = np.empty(n, np.int64)
+    code[at] = np.cumsum(new) - 1
+    key = key[new]
+    return key >> bits, key & ((1 << bits) - 1), code
+
+
 class _Asked:
     """The distinct n-grams of a run in the order in which it tells them: by bucket, then by context. ``head`` and
     ``word`` number each n-gram's context and last word, whose hashes are in ``contexts`` and ``words``. ``width``: bytes of a
     context's hash that are told."""
 
     def __init__(self, head, word, contexts, common, words, buckets: int, width: int):
-        code, unique = pd.factorize(head << 32 | word)
-        h, self.buckets, self.width = unique >> 32, buckets, width
-        follow, deal = words[unique & 0xFFFFFFFF], contexts
+        h, last, code = _distinct(head, word)
+        self.buckets, self.width = buckets, width
+        follow, deal = words[last], contexts
         contexts = _low(contexts, width) if width < 8 else contexts
         gram = _gram(contexts[h], follow)
         # by the highest bits
         bucket = ((np.where(common[h], gram, deal[h]) >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
-        order = np.argsort(bucket * max(1, len(contexts)) + h)
+        # pairs are sorted by context; numbers of 16 bits are sorted by radix
+        order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
         number = np.empty(len(order), np.int64)
         number[order] = np.arange(len(order))
         self.number = number[code]  # of each place's n-gram
@@ -358,6 +378,10 @@ class _Shared:
     counts: np.ndarray
     kinds: list
 
+    def frequent(self, c: np.ndarray) -> np.ndarray:
+        """Whether n-grams of such counts may be in the trie."""
+        return c * self.entries >= self.tokens
+
     def common(self, c: np.ndarray) -> np.ndarray:
         """Whether contexts of such counts are dealt out."""
         return c * min(self.entries, 8 * self.buckets) >= self.tokens
@@ -455,26 +479,24 @@ def _mapped(name: str) -> Trie:
     return Trie(np.memmap(SparkFiles.get(name), np.uint8, "r"))
 
 
-def _nodes(ids: np.ndarray, doc: np.ndarray, n_trie: int, trie: Trie) -> tuple[np.ndarray, ...]:
+def _nodes(ids: np.ndarray, doc: np.ndarray, n_trie: int, trie: Trie, run: _Run | None = None) -> tuple[np.ndarray, ...]:
     """Each token's bigram and trigram in the trie (-1: none), the node of the two tokens before it, and whether the
-    token before it is a word of the trie."""
+    token before it is a word of the trie. By a ``run``'s counts only n-grams frequent enough for the trie are looked up."""
     in_trie = (ids >= 0) & (ids < n_trie)
     prior = np.concatenate(([-1], ids[:-1]))
     has = np.concatenate(([False], in_trie[:-1] & (doc[1:] == doc[:-1]))) if len(ids) else np.zeros(0, bool)
     # each distinct pair is looked up once
-    pair = np.where(has & in_trie, prior << _SHIFT | ids, -1)
-    code, unique = pd.factorize(pair)
-    two = np.full(len(unique), -1)
-    ask = np.flatnonzero(unique >= 0)
-    two[ask] = trie.children(0, unique[ask] >> _SHIFT, unique[ask] & ((1 << _SHIFT) - 1))
-    two = two[code]
-    node, three = np.full(len(ids), -1), np.full(len(ids), -1)
+    two, node, three = (np.full(len(ids), -1) for _ in range(3))
+    look = np.flatnonzero(has & in_trie & (True if run is None else run.model.frequent(run.c2)))
+    head, word, code = _distinct(prior[look], ids[look])
+    two[look] = trie.children(0, head, word)[code]
     if len(trie.levels) > 1 and len(ids):
         # the context's node is the bigram that ends at the token before
         node = np.concatenate(([-1], two[:-1]))
         node = np.where(has & (np.concatenate(([-1], doc[:-1])) == doc), node, -1)
-        look = np.flatnonzero((node >= 0) & in_trie)
-        three[look] = trie.children(1, node[look], ids[look])
+        look = np.flatnonzero((node >= 0) & in_trie & (True if run is None else run.model.frequent(run.c3)))
+        head, word, code = _distinct(node[look], ids[look])
+        three[look] = trie.children(1, head, word)[code]
     return two, three, node, has
 
 
@@ -483,7 +505,7 @@ def _ngram_logs(
 ) -> np.ndarray:
     """log10 probability of every token given up to two tokens before; ``base`` is that of
     the word alone. Without a ``run`` the trie's n-grams are all there are."""
-    two, three, node, has = _nodes(ids, doc, t.n_trie, trie)
+    two, three, node, has = _nodes(ids, doc, t.n_trie, trie, run)
     log = base + np.where(has, back[np.where(has, ids[np.arange(len(ids)) - 1], 0)] if len(back) else 0.0, 0.0)
     if run is not None:  # bigrams and contexts that the trie has not
         rest = np.flatnonzero((two < 0) & (run.t2 > 0) & ((run.c2 > 0) | ~has))

@@ -3,6 +3,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
@@ -142,6 +143,47 @@ def test_a_rare_continuation_counts(docs_of):
     assert max(got) > min(got) + 0.5
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4) | st.integers(0, 2**31 - 1), st.integers(0, 4) | st.integers(0, 2**31 - 1)), max_size=60))
+def test_distinct_pairs(pairs):
+    from quire.llm.trie_lm import _distinct
+
+    head, word, code = _distinct(*np.array(pairs, np.int64).reshape(-1, 2).T)
+    found = list(zip(head.tolist(), word.tolist()))
+    assert found == sorted(set(pairs)) and [found[k] for k in code] == pairs
+
+
+def test_rare_ngrams_are_not_looked_up():
+    """By the buckets' counts n-grams too rare for the trie are known: it is asked for each other one, once."""
+    from quire.llm.trie_lm import Table, _ngram_logs, _Shared
+
+    key = [(a, b) for a in range(10) for b in range(10) if (a + b) % 5 == 0]
+    head, word = np.array(key).T
+    above = {"log_p": -np.ones(len(key)), "log_b": np.zeros(len(key)), "above": 10}
+    three = {"parent": np.arange(len(key)), "word": word, "log_p": -np.ones(len(key)), "log_b": np.zeros(len(key)), "above": len(key)}
+    trie, asked = Trie(write_trie([{"parent": head, "word": word} | above, three])), [0, 0]
+    find = trie.children
+
+    def children(level, node, word):
+        asked[level] += len(node)
+        return find(level, node, word)
+
+    trie.children = children
+    ids = np.array([*range(10)] * 40 + [0, 5, 5] * 20)
+    pairs = list(zip(ids[:-1].tolist(), ids[1:].tolist()))
+    c2 = np.array([0, *(9 if p in key else 1 for p in pairs)])
+    c3 = np.array([0, 0, *(9 if p in key and q in key and q[1] == p[1] else 1 for p, q in zip(pairs, pairs[1:]))])
+    ones = np.ones(len(ids), np.int64)
+    none = np.empty(0, np.int64)
+    run = SimpleNamespace(c2=c2, c3=c3, k2=ones, t2=9 * ones, k3=ones, t3=9 * ones,
+                          model=_Shared(8, 1000, 250, none, none, none, []))
+    t = Table({}, np.full(10, 50), 10, 1000, 10)
+    doc, base = np.zeros(len(ids), np.int64), np.full(len(ids), -1.0)
+    got = _ngram_logs(ids, doc, base, t, trie, np.zeros(10, np.float32), run)
+    assert asked == [len({p for p in pairs if p in key}), len({(p, q) for p, q in zip(pairs, pairs[1:]) if p in key and q in key and q[1] == p[1]})]
+    assert got[402] == -1.0 and got[1] != -1.0  # in the trie; not in it
+
+
 def test_runs_stay_where_they_are(spark, docs_of):
     """Only replies are shuffled for the joins with the runs, and the catalogue keeps nothing of them."""
     from quire.llm.trie_lm import frequent, model, word_counts
